@@ -1 +1,8 @@
 """transect: Spark-native analytics for transverse surface-profile surveys."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so that workers need no installed copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
