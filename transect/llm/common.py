@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 _MADE: list[str] = []
@@ -49,3 +50,31 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
 def spread(spark: SparkSession) -> int:
     """Partitions for a shuffle of our own."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def groups(values: list[bytes | None], most: int = 4 << 20):
+    """Index ranges of values of about `most` bytes each, so that a worker's memory doesn't follow the batch; a longer text is a group of its own."""
+    at = size = 0
+    for k, v in enumerate(values):
+        if size and size + len(v or b"") > most:
+            yield at, k
+            at, size = k, 0
+        size += len(v or b"")
+    if at < len(values):
+        yield at, len(values)
+
+
+class Shipped:
+    """A broadcast object of this package: sent as bytes in which its class travels too; loaded once a task."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._sent, self._value = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    def __getstate__(self):
+        return {"_sent": self._sent, "_value": None}
+
+    @property
+    def value(self):
+        if self._value is None:
+            self._value = cloudpickle.loads(self._sent.value)
+        return self._value
