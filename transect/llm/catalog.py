@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transect.llm import decontaminate, quality, simhash
+from transect.llm import decontaminate, quality, secrets, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,25 @@ FROM doc LEFT JOIN hit USING (k) LEFT JOIN found USING (k)
 """.replace("\\\\", "\\")
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in each document: counts of the base kinds, digest of their spans, all spans."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.RULES[:3]]
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in base],
+        F.sha2(listed(F.filter("spans", lambda s: s["order"] < 3)), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of each document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -60,9 +79,9 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op7_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op6_secret_scans, op7_simhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by query name."""
-    return {"op2_benchmark_decontamination": OP2_SQL}
+    return {"op2_benchmark_decontamination": OP2_SQL, "op6_secret_scans": secrets.SQL}

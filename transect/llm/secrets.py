@@ -1,0 +1,280 @@
+"""Secret scans over a trigram inverted index, in DataFrame functions only.
+
+Each rule's regex is parsed on the driver into a Boolean query over the trigrams that any match must hold. One pass writes
+the postings (trigram, id) of just those trigrams to the shared folder. A rule's candidates are the ids whose postings,
+intersected and united as its query says, satisfy it; only there is the regex run. Rules without a mandatory trigram run
+on every text. Trigrams are taken from lower-cased text, which can only add candidates.
+"""
+
+from __future__ import annotations
+
+import re._constants as K
+import re._parser as parser
+from dataclasses import dataclass
+from itertools import product
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from transect.llm.common import stored, workspace
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A regex (syntax common to Java and RE2); a match counts if its group has `least` characters or more."""
+
+    kind: str
+    regex: str
+    group: int = 0
+    least: int = 1
+
+
+#: The base kinds in their order, then the kinds added.
+RULES = (
+    Rule("assign", r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
+    Rule("hex", r"[0-9a-f]+", 0, 16),
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
+    Rule("google", r"AIza[0-9A-Za-z_-]+", 0, 39),
+    Rule("stripe", r"sk_live_[0-9a-zA-Z]+", 0, 24),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
+)
+
+#: Most strings that a part of a regex may stand for before it counts as unknown.
+MOST_STRINGS = 64
+
+
+def _all(parts: list):
+    parts = [p for p in parts if p is not True]
+    flat = [x for p in parts for x in (p[1] if isinstance(p, tuple) and p[0] == "and" else [p])]
+    return ("and", list(dict.fromkeys(map(_frozen, flat)))) if flat else True
+
+
+def _any(parts: list):
+    return True if any(p is True for p in parts) else ("or", list(dict.fromkeys(map(_frozen, parts)))) if len(parts) > 1 else parts[0]
+
+
+def _frozen(q):
+    return (q[0], tuple(q[1])) if isinstance(q, tuple) else q
+
+
+def _of_strings(strings: set[str]):
+    """What holds where one of these strings stands: for any of them, all its trigrams."""
+    return _any([_all(sorted({s[i : i + 3] for i in range(len(s) - 2)})) if len(s) > 2 else True for s in sorted(strings)])
+
+
+def _strings(op, arg) -> set[str] | None:
+    """All strings, lower-cased, that a node stands for, if they are few."""
+    if op is K.LITERAL:
+        return {chr(arg).lower()}
+    if op is K.IN and all(x[0] in (K.LITERAL, K.RANGE) for x in arg):
+        chars = {chr(c).lower() for x in arg for c in ([x[1]] if x[0] is K.LITERAL else range(x[1][0], x[1][1] + 1))}
+        return chars if len(chars) <= 8 else None
+    if op is K.AT:
+        return {""}
+    if op is K.SUBPATTERN:
+        return _sequence_strings(arg[3])
+    if op is K.BRANCH:
+        each = [_sequence_strings(x) for x in arg[1]]
+        return None if None in each else set().union(*each)
+    if op in (K.MAX_REPEAT, K.MIN_REPEAT) and arg[0] == arg[1] <= 8 or op is K.MAX_REPEAT and (arg[0], arg[1]) == (0, 1) and arg[2][0][0] is K.LITERAL:
+        inner = _sequence_strings(arg[2])
+        if inner is not None:
+            return {"".join(x) for n in range(arg[0], arg[1] + 1) for x in product(inner, repeat=n)} if len(inner) ** max(1, arg[1]) <= MOST_STRINGS else None
+    return None
+
+
+def _sequence_strings(nodes) -> set[str] | None:
+    out = {""}
+    for op, arg in nodes:
+        more = _strings(op, arg)
+        if more is None or len(out) * len(more) > MOST_STRINGS:
+            return None
+        out = {a + b for a in out for b in more}
+    return out
+
+
+def _query(nodes):
+    parts, run = [], {""}
+    for op, arg in nodes:
+        more = _strings(op, arg)
+        if more is not None and len(run) * len(more) <= MOST_STRINGS:
+            run = {a + b for a in run for b in more}
+            continue
+        parts.append(_of_strings(run))
+        run = more if more is not None else {""}
+        if more is None:
+            if op is K.SUBPATTERN:
+                parts.append(_query(arg[3]))
+            elif op is K.BRANCH:
+                parts.append(_any([_query(x) for x in arg[1]]))
+            elif op in (K.MAX_REPEAT, K.MIN_REPEAT) and arg[0] > 0:
+                parts.append(_query(arg[2]))
+    return _all([*parts, _of_strings(run)])
+
+
+def trigram_query(regex: str):
+    """The Boolean query of a regex: True (nothing is mandatory), a trigram, or ("and" | "or", queries)."""
+    return _query(parser.parse(regex))
+
+
+def _trigrams(q) -> set[str]:
+    return set() if q is True else {q} if isinstance(q, str) else set().union(*map(_trigrams, q[1]))
+
+
+def _holds(q, bit: dict[str, int], mask: Column) -> Column:
+    """Whether a bit mask of postings satisfies the query."""
+    if isinstance(q, str):
+        return mask.bitwiseAND(F.lit(1 << bit[q])) != 0
+    plain = [x for x in q[1] if isinstance(x, str)]
+    parts = [_holds(x, bit, mask) for x in q[1] if not isinstance(x, str)]
+    if plain:
+        want = F.lit(sum(1 << bit[x] for x in plain))
+        parts.append(mask.bitwiseAND(want) == want if q[0] == "and" else mask.bitwiseAND(want) != 0)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out & p if q[0] == "and" else out | p
+    return out
+
+
+def postings(docs: DataFrame, trigrams: list[str], id_col: str, text_col: str) -> DataFrame:
+    """(trigram, id): the inverted index of docs for these trigrams of lower-cased text, null ids left out."""
+    vocabulary = F.array(*[F.lit(t) for t in trigrams])
+    lowered = F.array(F.lower(F.coalesce(F.col(text_col), F.lit(""))))
+    present = F.flatten(F.transform(lowered, lambda t: F.filter(vocabulary, lambda x: F.contains(t, x))))
+    return docs.filter(F.col(id_col).isNotNull()).select(F.explode(present).alias("trigram"), F.col(id_col).alias("id"))
+
+
+def candidates(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[str, int]]:
+    """((id, rules bigint), bit by kind): ids of which some rule's query holds, and a bit for each such rule; the bits of rules that have a query."""
+    asked = {r.kind: q for r in rules if (q := trigram_query(r.regex)) is not True}
+    trigrams = sorted(set().union(*map(_trigrams, asked.values())))
+    if not asked:
+        return docs.select(F.col(id_col).alias("id"), F.lit(0).cast("bigint").alias("rules")).limit(0), {}
+    at = workspace(docs.sparkSession, "trigrams")
+    index = stored(postings(docs, trigrams, id_col, text_col), f"{at}/postings")
+    words = range(0, len(trigrams), 62)
+    value = F.create_map(*[x for k, t in enumerate(trigrams) for x in (F.lit(t), F.lit(1 << k % 62).cast("bigint"))])[F.col("trigram")]
+    word = F.create_map(*[x for k, t in enumerate(trigrams) for x in (F.lit(t), F.lit(k // 62 * 62))])[F.col("trigram")]
+    none = F.lit(0).cast("bigint")
+    masks = index.select("id", word.alias("word"), value.alias("value")).groupBy("id").agg(*[F.bit_or(F.when(F.col("word") == w, F.col("value")).otherwise(none)).alias(f"m{w}") for w in words])
+    bits = {kind: k for k, kind in enumerate(asked)}
+
+    def holds(q):
+        if isinstance(q, str):
+            k = trigrams.index(q)
+            return _holds(q, {q: k % 62}, F.col(f"m{k // 62 * 62}"))
+        if len(words) == 1:
+            return _holds(q, {t: k for k, t in enumerate(trigrams)}, F.col("m0"))
+        parts = [holds(x) for x in q[1]]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out & p if q[0] == "and" else out | p
+        return out
+
+    met = none
+    for kind, q in asked.items():
+        met = met.bitwiseOR(F.when(holds(q), F.lit(1 << bits[kind]).cast("bigint")).otherwise(none))
+    return stored(masks.select("id", met.alias("rules")).filter("rules <> 0"), f"{at}/candidates"), bits
+
+
+def _spans(text: Column, rule: Rule, order: int) -> Column:
+    """array<struct<start, order, end, kind>> of the rule's matches: leftmost, non-overlapping, failing ones dropped; code points, end exclusive.
+
+    The text between the matches and the matches themselves, in turn, give the positions.
+    """
+    regex = F.lit(rule.regex)
+    whole = F.regexp_extract_all(text, regex, F.lit(0))
+    checked = F.regexp_extract_all(text, regex, F.lit(rule.group)) if rule.group else whole
+    parts = F.arrays_zip(F.split(text, rule.regex, -1).alias("gap"), whole.alias("whole"), checked.alias("checked"))
+    kind = "array<struct<start:int,order:int,end:int,kind:string>>"
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+
+    def step(acc, p):
+        start = acc["at"] + F.length(p["gap"])
+        end = start + F.coalesce(F.length(p["whole"]), F.lit(0))
+        one = F.array(F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind")))
+        good = F.coalesce(F.length(p["checked"]) >= rule.least, F.lit(False))
+        return F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+
+    # A regex without a long enough match costs one search.
+    able = text.rlike(rule.regex if rule.group or rule.least == 1 else re_with_least(rule))
+    return F.when(able, F.aggregate(parts, zero, step, lambda acc: acc["out"])).otherwise(F.array().cast(kind))
+
+
+def re_with_least(rule: Rule) -> str:
+    """A regex that finds something where the rule does, and perhaps where its matches are too short."""
+    if rule.regex == r"[0-9a-f]+":
+        return f"[0-9a-f]{{{rule.least}}}"
+    return rule.regex
+
+
+def _scanned(docs: DataFrame, rules, id_col: str, text_col: str) -> DataFrame:
+    """(row struct of docs, spans): the rows of docs with the spans of all rules, by start, then kind as listed."""
+    found, bits = candidates(docs, rules, id_col, text_col)
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    one = row.schema["row"].dataType[id_col].dataType
+    joined = row.join(found.select(F.col("id").cast(one), "rules"), F.col(f"row.`{id_col}`") == F.col("id"), "left")
+    able = F.when(F.col(f"row.`{id_col}`").isNull(), F.lit(-1).cast("bigint")).otherwise(F.coalesce("rules", F.lit(0).cast("bigint")))
+    text = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
+    spans = []
+    for k, rule in enumerate(rules):
+        got = _spans(text, rule, k)
+        spans.append(F.when(able.bitwiseAND(F.lit(1 << bits[rule.kind])) != 0, got).otherwise(F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")) if rule.kind in bits else got)
+    return joined.select("row", F.array_sort(F.concat(*spans)).alias("spans"))
+
+
+def scan(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, spans array<struct<start, order, end, kind>>), one row for each row of docs.
+
+    A null text is empty. Rows with a null id can't be in the index and are scanned fully; rows that repeat an id share
+    its candidates, which each row's text then decides. An empty table gives an empty one. Other columns aren't read.
+    """
+    few = docs.select(*dict.fromkeys([id_col, text_col]))
+    return _scanned(few, rules, id_col, text_col).select(F.col(f"row.`{id_col}`").alias(id_col), "spans")
+
+
+def redacted(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """The rows of docs, with their columns, every span in their texts replaced by `mark` (overlapping ones by one). n_chars, where there is one, is counted again."""
+    found = _scanned(docs, rules, id_col, text_col)
+    text = F.col(f"row.`{text_col}`")
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc, s):
+        new = F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out"))
+        wider = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
+        return F.when(s["start"] >= acc["at"], new).otherwise(wider)
+
+    clean = F.aggregate("spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    hit = F.size("spans") > 0
+    out = []
+    for f in docs.schema:
+        column = F.col(f"row.`{f.name}`")
+        if f.name == text_col:
+            column = F.when(hit, clean).otherwise(column)
+        elif f.name == "n_chars":
+            column = F.when(hit, F.length(clean).cast(f.dataType)).otherwise(column)
+        out.append(column.alias(f.name))
+    return found.select(*out)
+
+
+def _duck(rules=RULES) -> str:
+    """DuckDB SQL for (doc_id, k, spans): k a row number, spans a list of {start, order, end, kind}."""
+    each = []
+    for k, r in enumerate(rules):
+        regex = r.regex.replace("'", "''")
+        each.append(
+            f"SELECT k, {k} AS o, '{r.kind}' AS kind, CAST(list_sum(list_transform(gaps[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: len(x))), 0) AS BIGINT) AS s, len(whole[i]) AS n "
+            f"FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM (SELECT k, regexp_split_to_array(t, '{regex}') AS gaps, regexp_extract_all(t, '{regex}') AS whole, regexp_extract_all(t, '{regex}', {r.group}) AS checked FROM doc)) WHERE len(checked[i]) >= {r.least}"
+        )
+    base = [r.kind for r in rules[:3]]
+    listed = "string_agg(kind || ':' || s || ':' || (s + n), ',' ORDER BY s, o, n)"
+    return (
+        "WITH doc AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS k FROM documents), span AS (" + " UNION ALL ".join(each) + ") "
+        "SELECT any_value(doc_id) AS doc_id, " + ", ".join(f"count(*) FILTER (kind = '{b}') AS n_{b}" for b in base) + f", sha256(coalesce({listed} FILTER (o < 3), '')) AS base_sha256, coalesce({listed}, '') AS spans FROM doc LEFT JOIN span USING (k) GROUP BY k"
+    )
+
+
+SQL = _duck()
