@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transect.llm import decontaminate, quality, secrets, simhash
+from transect.llm import decontaminate, lm, quality, secrets, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,9 +77,21 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def remainder() -> Column:
+    """crc32 of the doc_id as text, modulo 5; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of each document under a Kneser-Ney model of those that aren't held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder() == 1)
+    model = lm.train(docs.filter(~F.col("held_out")))
+    return lm.scored(docs, model, ["doc_id", "held_out"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op6_secret_scans, op7_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op6_secret_scans, op7_simhash_near_dedup, op9_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,3 +80,28 @@ class Shipped:
         if self._value is None:
             self._value = cloudpickle.loads(self._sent.value)
         return self._value
+
+
+def folder(uri: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a folder in the shared store, by URI or absolute path."""
+    return pafs.FileSystem.from_uri(uri)
+
+
+def put_file(uri: str, name: str, parts: list) -> None:
+    """Write a file of these buffers under its name in one step, so that a task that runs again leaves the same whole file."""
+    fs, path = folder(uri)
+    fs.create_dir(path, recursive=True)
+    made = f"{path}/.{name}-{uuid.uuid4().hex}"
+    with fs.open_output_stream(made) as out:
+        for p in parts:
+            out.write(p)
+    fs.move(made, f"{path}/{name}")
+
+
+def mapped(uri: str, name: str) -> np.ndarray:
+    """The bytes of a shared file: memory-mapped where the store is a mounted file system, else read."""
+    fs, path = folder(uri)
+    if isinstance(fs, pafs.LocalFileSystem):
+        return np.memmap(f"{path}/{name}", np.uint8, "r") if fs.get_file_info(f"{path}/{name}").size else np.zeros(0, np.uint8)
+    with fs.open_input_file(f"{path}/{name}") as f:
+        return np.frombuffer(f.read(), np.uint8)
