@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transect.llm import decontaminate, lm, quality, secrets, simhash
+from transect.llm import decontaminate, lm, mixing, quality, secret_scan, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,10 +52,15 @@ FROM doc LEFT JOIN hit USING (k) LEFT JOIN found USING (k)
 """.replace("\\\\", "\\")
 
 
+def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of the sources takes of each document."""
+    return mixing.Mix(table(spark, sf_dir, "documents")).documents().select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in each document: counts of the base kinds, digest of their spans, all spans."""
-    found = secrets.scan(table(spark, sf_dir, "documents"))
-    base = [r.kind for r in secrets.RULES[:3]]
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secret_scan.RULES[:3]]
 
     def count(kind):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
@@ -91,9 +96,9 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op6_secret_scans, op7_simhash_near_dedup, op9_lm_scoring)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op5_mixing_sources, op6_secret_scans, op7_simhash_near_dedup, op9_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by query name."""
-    return {"op2_benchmark_decontamination": OP2_SQL, "op6_secret_scans": secrets.SQL}
+    return {"op2_benchmark_decontamination": OP2_SQL, "op6_secret_scans": secret_scan.SQL}
