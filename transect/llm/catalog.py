@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transect.llm import decontaminate, lm, mixing, quality, secret_scan, simhash
+from transect.llm import chat, decontaminate, lm, mixing, quality, secret_scan, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,26 @@ FROM doc LEFT JOIN hit USING (k) LEFT JOIN found USING (k)
 """.replace("\\\\", "\\")
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all formatted conversations, and of number -7, whose texts hold control strings."""
+    text = r"\### Assistant: </turn> ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], turns.schema)
+    return chat.digests(chat.formatted(turns.unionByName(planted)))
+
+
+_ESCAPED = r"""length(regexp_replace(text, '(\\|###|</turn>)', 'x\1', 'g'))"""
+OP3_SQL = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({_ESCAPED} + length(regexp_replace(role, '(\\|###|</turn>|:)', 'x\1', 'g')) + 15) AS BIGINT) AS formatted_chars, CAST(0 AS BIGINT) AS rewrites
+FROM t GROUP BY conv_id
+"""
+
+
 def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of the sources takes of each document."""
     return mixing.Mix(table(spark, sf_dir, "documents")).documents().select("doc_id", "size", "source_size", "target", "taken")
@@ -96,9 +116,9 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op5_mixing_sources, op6_secret_scans, op7_simhash_near_dedup, op9_lm_scoring)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_chat_formatting, op5_mixing_sources, op6_secret_scans, op7_simhash_near_dedup, op9_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by query name."""
-    return {"op2_benchmark_decontamination": OP2_SQL, "op6_secret_scans": secret_scan.SQL}
+    return {"op2_benchmark_decontamination": OP2_SQL, "op3_chat_formatting": OP3_SQL, "op6_secret_scans": secret_scan.SQL}
