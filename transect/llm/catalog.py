@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transect.llm import chat, decontaminate, lm, mixing, quality, secret_scan, simhash
+from transect.llm import chat, decontaminate, langid, lm, mixing, quality, secret_scan, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,6 +107,13 @@ def remainder() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, learned from those that aren't held out."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder() == 0)
+    model = langid.train(docs.filter(~F.col("held_out")))
+    return langid.predicted(docs, model, ["doc_id", "held_out"])
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of each document under a Kneser-Ney model of those that aren't held out."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", remainder() == 1)
@@ -116,7 +123,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_chat_formatting, op5_mixing_sources, op6_secret_scans, op7_simhash_near_dedup, op9_lm_scoring)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_chat_formatting, op5_mixing_sources, op6_secret_scans, op7_simhash_near_dedup, op8_language_id, op9_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
