@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transect.llm import chat, decontaminate, langid, lm, mixing, quality, secret_scan, simhash
+from transect.llm import chat, decontaminate, langid, lm, mixing, pii, quality, secret_scan, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,9 +121,24 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(docs, model, ["doc_id", "held_out"])
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document: counts of the base kinds, digest of their spans, all spans."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.detected(docs, pii.train(docs))
+    names = F.array(*[F.lit(k) for k in pii.KINDS])
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint").alias(f"n_{pii.KINDS[kind]}")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    return found.select("doc_id", *[count(k) for k in range(len(pii.KINDS))], F.sha2(listed(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_chat_formatting, op5_mixing_sources, op6_secret_scans, op7_simhash_near_dedup, op8_language_id, op9_lm_scoring)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_chat_formatting, op5_mixing_sources, op6_secret_scans, op7_simhash_near_dedup, op8_language_id, op9_lm_scoring, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
