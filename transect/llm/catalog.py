@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transect.llm import chat, decontaminate, langid, lm, mixing, pii, quality, secret_scan, simhash
+from transect.llm import chat, decontaminate, langid, lm, mixing, pii, quality, secret_scan, simhash, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,11 @@ FROM t GROUP BY conv_id
 """
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document, found by scanning flat token files for separators."""
+    return token_counts.counted(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of the sources takes of each document."""
     return mixing.Mix(table(spark, sf_dir, "documents")).documents().select("doc_id", "size", "source_size", "target", "taken")
@@ -138,7 +143,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_chat_formatting, op5_mixing_sources, op6_secret_scans, op7_simhash_near_dedup, op8_language_id, op9_lm_scoring, op10_pii)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_chat_formatting, op4_token_counts, op5_mixing_sources, op6_secret_scans, op7_simhash_near_dedup, op8_language_id, op9_lm_scoring, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
