@@ -81,6 +81,10 @@ class Shipped:
             self._value = cloudpickle.loads(self._sent.value)
         return self._value
 
+    def forget(self) -> None:
+        """Free a worker's copy; the next use loads it again."""
+        self._value = None
+
 
 def folder(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a folder in the shared store, by URI or absolute path."""

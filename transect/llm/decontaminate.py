@@ -195,16 +195,16 @@ _FOUND = "n_words int, spans array<struct<start:int,end:int>>, items array<strin
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _found(docs: DataFrame, columns: list[str], items: DataFrame, text_col: str, item_id_col: str, item_text_col: str, window: int, block_words: int) -> DataFrame:
-    """(row struct<columns>, n_words, spans, items), one row for each row of docs."""
+def _found(docs: DataFrame, columns: list[str], items: DataFrame, text_col: str, item_id_col: str, item_text_col: str, window: int, block_words: int) -> tuple[DataFrame, list[Shipped]]:
+    """(row struct<columns>, n_words, spans, items), one row for each row of docs; and the automata of the blocks."""
     at, field = columns.index(text_col), F.struct(*[F.col(f"`{c}`") for c in columns])
     now = docs.select(field.alias("row"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
     schema = f"row {now.schema['row'].dataType.simpleString()}, {_FOUND}"
-    folder = workspace(docs.sparkSession, "decontaminate")
+    folder, automata = workspace(docs.sparkSession, "decontaminate"), []
     for k, block in enumerate(_blocks(items, item_id_col, item_text_col, block_words)):
         if k:
             now = stored(now, f"{folder}/{k}").select("row", "spans", "items")
-        shared = Shipped(docs.sparkSession, Automaton(block, window))
+        automata.append(shared := Shipped(docs.sparkSession, Automaton(block, window)))
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             automaton = shared.value
@@ -218,7 +218,7 @@ def _found(docs: DataFrame, columns: list[str], items: DataFrame, text_col: str,
                 yield pa.RecordBatch.from_arrays(arrays, names=["row", "n_words", "spans", "items"])
 
         now = now.mapInArrow(work, schema)
-    return now
+    return now, automata
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10, block_words: int = 200_000) -> DataFrame:
@@ -228,14 +228,14 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     ones count once. Rows of docs are kept one to one, repeated or with a null id; an empty table gives an empty one.
     Other columns aren't read.
     """
-    found = _found(docs, list(dict.fromkeys([id_col, text_col])), items, text_col, item_id_col, item_text_col, window, block_words)
+    found, _ = _found(docs, list(dict.fromkeys([id_col, text_col])), items, text_col, item_id_col, item_text_col, window, block_words)
     return found.select(F.col(f"row.`{id_col}`").alias(id_col), "n_words", "spans", "items")
 
 
 def cleaned(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10, max_coverage: float = 0.5, block_words: int = 200_000) -> DataFrame:
-    """The rows of docs, with their columns, without the hit spans in their texts; rows of which more than max_coverage of the words are hit go. n_chars, where there is one, is counted again. Null and empty texts stay as they are."""
+    """The rows of docs, with their columns, without the hit spans in their texts; rows of which more than max_coverage of the words are hit go. What a cut brings together is scanned again until nothing is hit. n_chars, where there is one, is counted again. Null and empty texts stay as they are."""
     columns = docs.columns
-    found = _found(docs, columns, items, text_col, item_id_col, item_text_col, window, block_words)
+    found, automata = _found(docs, columns, items, text_col, item_id_col, item_text_col, window, block_words)
     at, names = columns.index(text_col), columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,6 +247,17 @@ def cleaned(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_c
             keep = [h <= max_coverage * n for h, n in zip(hit, b.column(1).to_pylist(), strict=True)]
             if any(hit):
                 texts = [cut(t, [(s["start"], s["end"]) for s in x]) if x else t for t, x in zip(texts, spans, strict=True)]
+                again = [k for k, x in enumerate(spans) if x]
+                while again:
+                    hits: dict[int, list] = {}
+                    for a in automata:
+                        for k, (_, x, _) in zip(again, a.value.scan([texts[k] for k in again]), strict=True):
+                            hits.setdefault(k, []).extend(x)
+                        if len(automata) > 1:
+                            a.forget()
+                    again = [k for k, x in hits.items() if x]
+                    for k in again:
+                        texts[k] = cut(texts[k], _merged(hits[k]))
                 fields[at] = pa.array([None if t is None else t.decode() for t in texts], pa.string())
                 if "n_chars" in names:
                     k = names.index("n_chars")

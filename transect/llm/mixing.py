@@ -24,6 +24,8 @@ from transect.llm.common import stored, workspace
 #: Fixed values of the mix: weights by rank of the source, repeating; share of all words; most times a source is taken.
 WEIGHTS, SHARE, MOST_TIMES = (3, 1, 2), 1.5, 2
 WORD = r"[^\x20\x09-\x0D]+"
+#: A word with the white space after it, so that pieces keep their lines.
+WORD_AND_SPACE = WORD + r"[\x20\x09-\x0D]*"
 #: A source has this many blocks at least, if it has the words; so a small one is near its target, too.
 LEAST_BLOCKS = 64
 MOST_COUNTS = 1_000_000
@@ -151,12 +153,12 @@ class Mix:
             def of(b):
                 low = F.greatest(start, b * length) - start
                 high = F.least(start + size, (b + 1) * length) - start
-                text = [] if words is None else [F.array_join(F.slice(words, (low + 1).cast("int"), (high - low).cast("int")), " ").alias("piece")]
+                text = [] if words is None else [F.array_join(F.slice(words, (low + 1).cast("int"), (high - low).cast("int")), "").alias("piece")]
                 return F.struct((F.col("first_block") + b).alias("block"), (high - low).alias("words"), *text)
 
             return F.transform(numbers, of)
 
-        every = piece() if not with_text else F.flatten(F.transform(F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))), piece))
+        every = piece() if not with_text else F.flatten(F.transform(F.array(F.regexp_extract_all("text", F.lit(WORD_AND_SPACE), F.lit(0))), piece))
         return placed.filter("size > 0").select("rank", "chunk", "start", *(["id"] if with_text else []), F.inline(every))
 
     def slots(self) -> DataFrame:
@@ -187,7 +189,7 @@ class Mix:
         return got.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", mine.alias("taken"))
 
     def blocks(self) -> DataFrame:
-        """(shard, slot, source, block, n_words, doc_ids, text): the mixed blocks themselves, one row for each slot."""
+        """(shard, slot, source, block, n_words, doc_ids, text): the mixed blocks themselves, one row for each slot; an empty line stands between texts."""
         rows = self._rows.withColumn("size", word_count(F.col("text")))
         one = F.array_sort(F.collect_list(F.struct("chunk", "start", "id", "words", "piece")))
         packed = self._pieces(self._placed(rows), True).groupBy("rank", "block").agg(one.alias("p"))
@@ -196,5 +198,5 @@ class Mix:
             self.slots()
             .join(packed, ["rank", "block"])
             .join(names, "rank")
-            .select("shard", "slot", "source", "block", F.aggregate("p", F.lit(0).cast("bigint"), lambda n, x: n + x["words"]).alias("n_words"), F.col("p.id").alias("doc_ids"), F.array_join(F.col("p.piece"), " ").alias("text"))
+            .select("shard", "slot", "source", "block", F.aggregate("p", F.lit(0).cast("bigint"), lambda n, x: n + x["words"]).alias("n_words"), F.col("p.id").alias("doc_ids"), F.array_join(F.col("p.piece"), "\n\n").alias("text"))
         )
