@@ -54,6 +54,12 @@ def spread(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with Arrow batches of at most 4 MB from now on in its session, so that a Python worker's memory follows neither the rows of a batch nor their lengths (a longer row is a batch of its own)."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    return df
+
+
 def groups(values: list[bytes | None], most: int = 4 << 20):
     """Index ranges of values of about `most` bytes each, so that a worker's memory doesn't follow the batch; a longer text is a group of its own."""
     at = size = 0

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import Shipped, groups, stored, workspace
+from transect.llm.common import Shipped, groups, small_batches, stored, workspace
 
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(0x80, 0x100))
 #: Lower-cases A-Z and turns what is not part of a word into a space.
@@ -217,7 +217,7 @@ def _found(docs: DataFrame, columns: list[str], items: DataFrame, text_col: str,
                 arrays = [b.column(0), pa.array([f[0] for f in found], pa.int32()), pa.array(spans, _SPANS), pa.array(names, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["row", "n_words", "spans", "items"])
 
-        now = now.mapInArrow(work, schema)
+        now = small_batches(now).mapInArrow(work, schema)
     return now, automata
 
 
@@ -264,4 +264,4 @@ def cleaned(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_c
                     fields[k] = pa.array([len(t.decode()) if x else n for t, x, n in zip(texts, spans, fields[k].to_pylist(), strict=True)], fields[k].type)
             yield pa.RecordBatch.from_arrays(fields, names=names).filter(pa.array(keep, pa.bool_()))
 
-    return found.mapInArrow(work, docs.schema)
+    return small_batches(found).mapInArrow(work, docs.schema)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import as_bytes, groups, mapped, put_file, spread, workspace
+from transect.llm.common import as_bytes, groups, mapped, put_file, small_batches, spread, workspace
 
 #: Bytes that are no UTF-8 text, for the end of a text and for what stands before its first word.
 END, START = b"\xff/", b"\xff"
@@ -66,6 +66,20 @@ def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return ((keys >> np.uint64(48)) * np.uint64(ranges) >> np.uint64(16)).astype(np.int64)
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes | None]]:
+    """The texts of batches, put together to CHUNK_BYTES and more: larger chunks have fewer distinct pairs in all."""
+    texts: list[bytes | None] = []
+    size = 0
+    for b in batches:
+        texts += as_bytes(b.column(0))
+        size += b.nbytes
+        if size >= CHUNK_BYTES:
+            yield texts
+            texts, size = [], 0
+    if texts:
+        yield texts
+
+
 def _packed(*arrays: np.ndarray) -> bytes:
     """Arrays as one block; unpacked() is the inverse."""
     head = np.array([len(arrays), *(x for a in arrays for x in (a.itemsize, len(a)))], "<i8")
@@ -127,21 +141,19 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     ranges, uri = max(1, min(spread(spark), 1 << 16)), workspace(spark, "bigrams")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = as_bytes(b.column(0))
-            for i, j in groups(texts, CHUNK_BYTES):
-                token, before, _, hashes = _tokens(texts[i:j])
-                pair, times = np.unique(before * len(hashes) + token, return_counts=True)
-                left, right = hashes[pair // len(hashes)], hashes[pair % len(hashes)]
-                part = _range_of(pair_keys(left, right), ranges)
-                order = np.argsort(part, kind="stable")
-                left, right, times, part = left[order], right[order], times[order], part[order]
-                cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-                blocks = []
-                for a, z in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
-                    new = np.flatnonzero(np.append(True, left[a + 1 : z] != left[a : z - 1]))
-                    blocks.append(_packed(left[a:z][new], _narrow(np.diff(np.append(new, z - a))), right[a:z], _narrow(times[a:z])))
-                yield pa.RecordBatch.from_arrays([pa.array(part[cuts], pa.int32()), pa.array(blocks, pa.binary())], names=["part", "block"])
+        for texts in gathered(batches):
+            token, before, _, hashes = _tokens(texts)
+            pair, times = np.unique(before * len(hashes) + token, return_counts=True)
+            left, right = hashes[pair // len(hashes)], hashes[pair % len(hashes)]
+            part = _range_of(pair_keys(left, right), ranges)
+            order = np.argsort(part, kind="stable")
+            left, right, times, part = left[order], right[order], times[order], part[order]
+            cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            blocks = []
+            for a, z in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
+                new = np.flatnonzero(np.append(True, left[a + 1 : z] != left[a : z - 1]))
+                blocks.append(_packed(left[a:z][new], _narrow(np.diff(np.append(new, z - a))), right[a:z], _narrow(times[a:z])))
+            yield pa.RecordBatch.from_arrays([pa.array(part[cuts], pa.int32()), pa.array(blocks, pa.binary())], names=["part", "block"])
 
     def pairs(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
@@ -180,7 +192,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         return pa.table([pa.array([part], pa.int32()), pa.array([totals], pa.list_(pa.int64()))], names=["part", "totals"])
 
     schema = "part int, block binary"
-    sent = docs.select(text_col).mapInArrow(counted, schema).groupBy("part").applyInArrow(pairs, schema)
+    sent = small_batches(docs.select(text_col)).mapInArrow(counted, schema).groupBy("part").applyInArrow(pairs, schema)
     rows = sent.groupBy("part").applyInArrow(words, "part int, totals array<bigint>").collect()
     of_pairs = [sum(x) for x in zip(*(r.totals for r in rows if r.part < 0), strict=True)] or [0] * 5
     of_words = [sum(x) for x in zip(*(r.totals for r in rows if r.part >= 0), strict=True)] or [0] * 7
@@ -285,5 +297,5 @@ def scored(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text
             columns = [pa.array(x) for x in (n.astype(np.int64), known, np.full(len(n), model.tokens, np.int64), base, score, np.power(10.0, np.minimum(-score / n, 300.0)))]
             yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["kept", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
-    out = few.mapInArrow(work, f"kept {few.schema[0].dataType.simpleString()}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double")
+    out = small_batches(few).mapInArrow(work, f"kept {few.schema[0].dataType.simpleString()}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double")
     return out.select(*[F.col(f"kept.`{c}`").alias(c) for c in keep], *out.columns[1:])

@@ -248,14 +248,14 @@ def redacted(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str
         return F.when(s["start"] >= acc["at"], new).otherwise(wider)
 
     clean = F.aggregate("spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    hit = F.size("spans") > 0
+    found = found.select("row", F.when(F.size("spans") > 0, clean).alias("clean"))
     out = []
     for f in docs.schema:
         column = F.col(f"row.`{f.name}`")
         if f.name == text_col:
-            column = F.when(hit, clean).otherwise(column)
+            column = F.coalesce("clean", column)
         elif f.name == "n_chars":
-            column = F.when(hit, F.length(clean).cast(f.dataType)).otherwise(column)
+            column = F.coalesce(F.length("clean").cast(f.dataType), column)
         out.append(column.alias(f.name))
     return found.select(*out)
 

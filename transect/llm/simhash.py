@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import as_bytes, stored, workspace
+from transect.llm.common import as_bytes, small_batches, stored, workspace
 
 BITS = 64
 #: Subtree bits by which a hot subtree is split.
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=[id_col, "fp"])
 
     few = docs.select(id_col, F.col(text_col).alias("text"))
-    return few.mapInArrow(work, f"`{id_col}` {few.schema[0].dataType.simpleString()}, fp bigint")
+    return small_batches(few).mapInArrow(work, f"`{id_col}` {few.schema[0].dataType.simpleString()}, fp bigint")
 
 
 def _unite(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
