@@ -1,22 +1,620 @@
-"""Registered queries of the survey operators and their DuckDB SQL."""
+"""Registered queries of the survey operators, named by operator, and their DuckDB SQL.
+
+Doubles are rounded to six places on both sides, because engines add in different orders; adding 0.0 turns -0.0 into 0.0.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from transect.config import Lane, Options, Reduction
+from transect.functions import scalars
+from transect.operators import arrays
+from transect.operators.measure import aggregate_files, measure_profiles
+from transect.plans import batch, maps
+from transect.plans.adapters import profiles, sample_sql, table
+from transect.sources import calibration, records, survey
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embedding rows read as profiles, counted per file (label)."""
-    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").groupBy("label").count()
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+LANE, OFF_GRID = Lane(0.0, 162.0), Lane(0.0, 162.0, 0.5)
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function's name, with its SQL."""
 
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return add
+
+
+def queries() -> dict[str, Query]:
     """Queries by name."""
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by query name."""
-    return {}
+    return dict(_SQL)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smooth every profile, measure it, and aggregate by file."""
+    return a2_file_aggregate(spark, sf_dir)
+
+
+def r6(value: Column | str) -> Column:
+    return F.round(F.col(value) if isinstance(value, str) else value, 6) + 0.0
+
+
+def q6(value: str) -> str:
+    return f"round({value}, 6) + 0.0"
+
+
+# Sources
+
+
+@query("SELECT CAST(c_custkey % 40 + 1 AS VARCHAR) AS set_id, count(*) AS n_files FROM customer WHERE c_custkey % 3 <> 0 GROUP BY 1")
+def s1_discover_sets(spark, sf_dir):
+    path = F.concat(F.lit("file:/survey/"), F.when(F.col("c_custkey") % 3 == 0, F.lit("notes")).otherwise((F.col("c_custkey") % 40 + 1).cast("string")), F.lit("/93/"), F.col("c_custkey"), F.lit(".3dc"))
+    return survey.sets_of(table(spark, sf_dir, "customer").select(path.alias("path")), "/survey")
+
+
+_STEM = "printf('%02d%02d%02d%02dC', hour(ts), minute(ts), second(ts), CAST(floor((microsecond(ts) % 1000000) * 30 / 1000000.0) AS INT))"
+
+
+def _image_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(set_id, relative_path): a file name with a time code for each event; the user is the set."""
+    ts = F.col("ts")
+    frames = F.floor((F.date_format(ts, "SSSSSS").cast("int")) * 30 / 1000000.0).cast("int")
+    stem = F.format_string("%02d%02d%02d%02dC", F.hour(ts), F.minute(ts), F.second(ts), frames)
+    return table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("set_id"), F.concat(F.lit("93/"), stem, F.lit("_"), F.col("event_id"), F.lit(".3dc")).alias("relative_path"), stem.alias("stem"))
+
+
+@query(f"SELECT CAST(user_id AS VARCHAR) AS set_id, event_id, {_STEM} AS stem, CAST(((hour(ts) * 60 + minute(ts)) * 60 + second(ts)) * 30 + floor((microsecond(ts) % 1000000) * 30 / 1000000.0) AS DOUBLE) AS frame FROM events")
+def p1_timecode_frame(spark, sf_dir):
+    names = _image_names(spark, sf_dir)
+    return names.select("set_id", F.regexp_extract("relative_path", "_([0-9]+)[.]", 1).cast("bigint").alias("event_id"), "stem", scalars.frame_of(F.col("stem")).alias("frame"))
+
+
+_INDEX = f"""named AS (SELECT CAST(user_id AS VARCHAR) AS set_id, '93/' || {_STEM} || '_' || event_id || '.3dc' AS relative_path,
+  CAST(((hour(ts) * 60 + minute(ts)) * 60 + second(ts)) * 30 + floor((microsecond(ts) % 1000000) * 30 / 1000000.0) AS DOUBLE) AS start_frame FROM events),
+stepped AS (SELECT *, lead(start_frame) OVER (PARTITION BY set_id ORDER BY start_frame, lower(relative_path), relative_path) AS nxt FROM named),
+usual AS (SELECT set_id, coalesce(median(nxt - start_frame) FILTER (nxt > start_frame), 1.0) AS usual FROM stepped GROUP BY set_id)"""
+
+
+def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survey.end_frames(_image_names(spark, sf_dir).select("set_id", "relative_path", scalars.frame_of(F.col("stem")).alias("start_frame")))
+
+
+@query(f"WITH {_INDEX} SELECT set_id, relative_path, start_frame, CASE WHEN nxt > start_frame THEN nxt ELSE start_frame + usual END AS end_frame FROM stepped JOIN usual USING (set_id)")
+def w9_index_end_frame(spark, sf_dir):
+    return _index(spark, sf_dir)
+
+
+@query(f"WITH {_INDEX} SELECT set_id, usual AS median_step FROM usual")
+def a13_median_step(spark, sf_dir):
+    rows = _index(spark, sf_dir)
+    last = rows.groupBy("set_id").agg(F.max_by(F.struct("start_frame", "end_frame"), F.struct("start_frame", "relative_path")).alias("e"))
+    return last.select("set_id", (F.col("e.end_frame") - F.col("e.start_frame")).alias("median_step"))
+
+
+@query(
+    f"WITH {_INDEX}, ranked AS (SELECT *, row_number() OVER (PARTITION BY set_id ORDER BY start_frame, lower(relative_path), relative_path) AS k FROM stepped WHERE set_id = '7' AND start_frame BETWEEN 100000 AND 2000000) "
+    "SELECT s.set_id, relative_path, start_frame, CASE WHEN nxt > start_frame THEN nxt ELSE start_frame + usual END AS end_frame FROM ranked s JOIN usual USING (set_id) WHERE k <= 25"
+)
+def f7_select_files(spark, sf_dir):
+    return survey.select_files(_index(spark, sf_dir).filter("set_id = '7'"), 100000, 2000000, 25)
+
+
+def _block(total: Column, payload: Column) -> Column:
+    """An uncompressed QuickLZ block with the long header around a payload (hex)."""
+
+    def little(n: Column, width: int) -> Column:
+        return F.concat(*[F.lpad(F.hex(F.shiftright(n.cast("int"), 8 * k).bitwiseAND(255)), 2, "0") for k in range(width)])
+
+    return F.unhex(F.concat(F.lit("46"), little(total + 9, 4), little(total, 4), payload))
+
+
+@query("SELECT s_suppkey, CAST(f AS BIGINT) AS flags, CASE WHEN f & 2 > 0 THEN 9 ELSE 3 END AS size, c % (CASE WHEN f & 2 > 0 THEN 4294967296 ELSE 256 END) AS compressed, d % (CASE WHEN f & 2 > 0 THEN 4294967296 ELSE 256 END) AS decompressed, (f >> 2) & 3 AS level, (f >> 4) & 3 AS streaming, f & 1 = 1 AS is_compressed FROM (SELECT s_suppkey, s_suppkey * 7 % 256 AS f, s_suppkey * 1009 AS c, s_suppkey * 31 AS d FROM supplier)")
+def s5_quicklz_header(spark, sf_dir):
+    def little(n, width):
+        return F.concat(*[F.lpad(F.hex(F.shiftright(n, 8 * k).bitwiseAND(255)), 2, "0") for k in range(width)])
+
+    k = F.col("s_suppkey")
+    f = k * 7 % 256
+    wide = F.unhex(F.concat(F.lpad(F.hex(f), 2, "0"), little(k * 1009, 4), little(k * 31, 4)))
+    short = F.unhex(F.concat(F.lpad(F.hex(f), 2, "0"), little(k * 1009, 1), little(k * 31, 1)))
+    head = records.header_columns(F.when(f.bitwiseAND(2) != 0, wide).otherwise(short))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", head.alias("h")).select("s_suppkey", "h.*")
+
+
+@query("SELECT r_regionkey, 'abcabcabcabcWXYZ' AS text FROM region")
+def s6_quicklz_decompress(spark, sf_dir):
+    """A compressed block with a match that overlaps itself."""
+    body = bytes.fromhex("08000080") + b"abc" + bytes.fromhex("7745") + b"WXYZ"
+    block = b"\x47" + (len(body) + 9).to_bytes(4, "little") + (16).to_bytes(4, "little") + body
+    from transect.sources.quicklz import decompress
+
+    @F.pandas_udf("string")
+    def text(values):
+        return values.map(lambda v: decompress(bytes(v)).decode())
+
+    return table(spark, sf_dir, "region").select("r_regionkey", text(F.lit(block)).alias("text"))
+
+
+def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, content): a file of two profiles with four columns for each supplier."""
+
+    def byte(n):
+        return F.lpad(F.hex(n.bitwiseAND(255)), 2, "0")
+
+    k = F.col("s_suppkey")
+    profile = [F.concat(F.lit("4845414445523031"), *[byte(k + p + c) for c in range(4)], *[F.concat(byte(k * 10 + p * 100 + c), byte(F.shiftright(k * 10 + p * 100 + c, 8))) for c in range(4)]) for p in range(2)]
+    return table(spark, sf_dir, "supplier").select(k.cast("string").alias("path"), _block(F.lit(40), F.concat(*profile)).alias("content"))
+
+
+_IMAGE_SQL = "SELECT CAST(s_suppkey AS VARCHAR) AS path, CAST(p AS INT) AS row_index, [CAST((s_suppkey * 10 + p * 100 + c) % 65536 AS INT) FOR c IN [3, 2, 1, 0]] AS h FROM supplier, (SELECT unnest([0, 1]) AS p)"
+
+
+@query(f"SELECT path, row_index, array_to_string(h, ',') AS heights FROM ({_IMAGE_SQL})")
+def s8_threedc_decode(spark, sf_dir):
+    return records.profiles(_images(spark, sf_dir), columns=4).select("path", "row_index", F.array_join(F.col("raw_heights").cast("array<string>"), ",").alias("heights"))
+
+
+@query(f"SELECT path, row_index, array_to_string(h, ',') AS heights FROM ({_IMAGE_SQL}) WHERE row_index = 1")
+def s9_profile_at(spark, sf_dir):
+    rows = records.profiles(_images(spark, sf_dir), columns=4).select("path", "row_index", F.array_join(F.col("raw_heights").cast("array<string>"), ",").alias("heights"))
+    return records.profile_at(rows, -1)
+
+
+_CAL = "s_suppkey % 7 + 1.5 AS ch, s_suppkey % 5 + 2.25 AS lh, s_suppkey % 9 + 20.0 AS cz, 162.0 AS w, s_suppkey % 11 + 10.0 AS lz"
+
+
+@query(f"SELECT CAST(s_suppkey AS VARCHAR) AS path, w / 4 AS pixel_width, {q6('(w / 4) * sqrt(ch * ch + cz * cz) * lz / (16.0 * (ch * lz + lh * cz))')} AS resolution, make_timestamp(2020, 1 + s_suppkey % 12, 1 + s_suppkey % 28, 3, 4, 0.0) AS calibrated_at, 1 AS n_extra FROM (SELECT s_suppkey, {_CAL} FROM supplier) WHERE s_suppkey % 10 <> 0")
+def s10_calibrations(spark, sf_dir):
+    k = F.col("s_suppkey")
+    words = [F.lit("3D_Camera_Calibration"), F.lit("-1.5 0 2.5 10"), k % 7 + 1.5, k % 5 + 2.25, k % 9 + 20.0, F.lit("162 0.03 0.03"), k % 11 + 10.0, F.lit("0.125 2020"), 1 + k % 12, 1 + k % 28, F.lit("3 4 7.5")]
+    text = F.when(k % 10 == 0, F.lit("other 1 2 3")).otherwise(F.concat_ws(" \n", *[w.cast("string") for w in words]))
+    got = calibration.calibrations_of(table(spark, sf_dir, "supplier").select(k.cast("string").alias("path"), text.alias("value")), columns=4)
+    return got.select("path", (F.col("pavement_width") / 4).alias("pixel_width"), r6("resolution").alias("resolution"), "calibrated_at", F.size("extra").alias("n_extra"))
+
+
+@query("SELECT c_custkey AS line, round(c_acctbal, 2) AS second, 4 AS n FROM customer WHERE c_custkey % 3 = 0")
+def s11_numeric_rows(spark, sf_dir):
+    k = F.col("c_custkey")
+    value = F.when(k % 3 == 0, F.concat_ws("  ", F.lit(" "), k, F.round("c_acctbal", 2), F.lit("3 -4e1"))).when(k % 3 == 1, F.concat_ws(" ", k, F.col("c_name"), F.lit("1 2"))).otherwise(F.concat_ws(" ", k, F.lit("5")))
+    return survey.numbers_of(table(spark, sf_dir, "customer").select(k.alias("line"), value.alias("value")), 4).select("line", F.get("v", F.lit(1)).alias("second"), F.size("v").alias("n"))
+
+
+# Scalars
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN d < 0.25 THEN 0 WHEN d < 0.5 THEN 1 WHEN d < 1.0 THEN 2 ELSE 3 END AS severity FROM (SELECT *, abs(l_discount) * 12 AS d FROM lineitem)")
+def p12_severity(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", scalars.severity(F.abs("l_discount") * 12).alias("severity"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_acctbal / 5000 < 0.25 THEN 0 WHEN c_acctbal / 5000 < 0.5 THEN 1 WHEN c_acctbal / 5000 < 1.0 THEN 2 ELSE 3 END AS severity FROM customer")
+def p13_severity_lenient(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select("c_custkey", scalars.severity(F.col("c_acctbal") / 5000, allow_negative=True).alias("severity"))
+
+
+_LANE = "l_orderkey, l_linenumber, l_quantity AS l, l_quantity + 120 + l_tax * 100 AS r"
+
+
+@query(
+    f"SELECT l_orderkey, l_linenumber, {q6('c')} AS center, {q6('c - 34.448819')} AS wheel_left, {q6('c + 34.448819')} AS wheel_right, {q6('greatest(l, c - 34.448819 - 22.14567)')} AS zone_low, {q6('least(c, c - 34.448819 + 22.14567)')} AS zone_high FROM (SELECT *, (l + r) / 2 AS c FROM (SELECT {_LANE} FROM lineitem))"
+)
+def p6_lane_geometry(spark, sf_dir):
+    left, right = F.col("l_quantity"), F.col("l_quantity") + 120 + F.col("l_tax") * 100
+    center = (left + right) / 2
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", r6(center).alias("center"), r6(center - LANE.wheel_offset).alias("wheel_left"), r6(center + LANE.wheel_offset).alias("wheel_right"),
+        r6(F.greatest(left, center - LANE.wheel_offset - LANE.wheel_width / 2)).alias("zone_low"), r6(F.least(center, center - LANE.wheel_offset + LANE.wheel_width / 2)).alias("zone_high"),
+    )
+
+
+@query(f"SELECT o_orderkey, {q6('CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN (o_totalprice + o_custkey) / 2 END')} AS overall FROM orders")
+def p11_overall(spark, sf_dir):
+    left = F.when(F.col("o_orderkey") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice"))
+    right = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey").cast("double"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", r6(scalars.overall(left, right)).alias("overall"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_totalprice END AS value FROM orders")
+def p18_json_safe(spark, sf_dir):
+    odd = F.when(F.col("o_orderkey") % 8 == 0, F.lit(float("nan"))).when(F.col("o_orderkey") % 8 == 4, F.lit(float("inf"))).otherwise(F.col("o_totalprice"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", scalars.finite(odd).alias("value"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 4 = 2 THEN 'moderate_' || p_partkey || '_' || p_size || '_x.png' WHEN p_size % 4 = 3 THEN 'high_' || p_partkey || '_' || p_size || '_x.png' END AS preview FROM part")
+def p20_preview_name(spark, sf_dir):
+    name = F.concat(F.col("p_size"), F.lit("_x.3dc"))
+    return table(spark, sf_dir, "part").select("p_partkey", scalars.preview_name(F.col("p_size") % 4, F.col("p_partkey").cast("double"), name).alias("preview"))
+
+
+@query("SELECT o_orderkey, printf('%02d:%02d:%02d', t // 3600, t // 60 % 60, t % 60) AS duration FROM (SELECT o_orderkey, CAST(round_even(o_totalprice, 0) AS BIGINT) AS t FROM orders)")
+def p21_duration(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", scalars.duration(F.col("o_totalprice")).alias("duration"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'previews/' || p_size || '.png' ELSE '/elsewhere/' || p_size || '.png' END AS link FROM part")
+def p22_relative_preview(spark, sf_dir):
+    path = F.concat(F.when(F.col("p_partkey") % 2 == 0, F.lit("/out/set_1/previews/")).otherwise(F.lit("/elsewhere/")), F.col("p_size"), F.lit(".png"))
+    return table(spark, sf_dir, "part").select("p_partkey", maps.relative_preview(path, "/out/set_1").alias("link"))
+
+
+@query(
+    f"WITH {sample_sql(8.0)}, lim AS (SELECT file, quantile_cont(y, 0.02) AS lo, quantile_cont(y, 0.98) AS hi FROM sample GROUP BY file) "
+    "SELECT file, profile, CAST(sum(CAST(round_even(least(greatest((y - lo) / (hi - lo), 0.0), 1.0) * 255.0, 0) AS INT)) AS BIGINT) AS gray FROM sample JOIN lim USING (file) GROUP BY file, profile"
+)
+def p14_grayscale(spark, sf_dir):
+    rows = arrays.points(profiles(spark, sf_dir, 8.0), ["file", "profile"])
+    limits = rows.groupBy("file").agg(F.percentile("y", F.array(F.lit(0.02), F.lit(0.98))).alias("p"))
+    gray = scalars.grayscale(F.col("y"), F.get("p", F.lit(0)), F.get("p", F.lit(1)))
+    return rows.join(limits, "file").groupBy("file", "profile").agg(F.sum(gray).alias("gray"))
+
+
+@query("SELECT s_suppkey, p AS severity_pixels FROM (SELECT s_suppkey, CAST(64 AS BIGINT) AS p FROM supplier)")
+def p15_png_preview(spark, sf_dir):
+    """Encode an 8 x 8 image for each supplier and read its header back."""
+    import numpy as np
+
+    from transect.operators.preview import height_image, png
+
+    @F.pandas_udf("binary")
+    def encoded(keys):
+        return keys.map(lambda k: png(height_image(np.arange(64.0).reshape(8, 8) * (k + 1))))
+
+    body = encoded("s_suppkey")
+
+    def number(at):
+        return F.conv(F.hex(F.substring("b", at, 4)), 16, 10).cast("bigint")
+
+    return table(spark, sf_dir, "supplier").select("s_suppkey", body.alias("b")).select("s_suppkey", (number(17) * number(21)).alias("severity_pixels"))
+
+
+# Profile arrays
+
+
+@query(f"WITH {sample_sql(8.0)} SELECT profile, i, {q6('x')} AS x, {q6('(y - 0.01 * i) * 0.78125')} AS y FROM sample")
+def p5_calibrate(spark, sf_dir):
+    offsets = F.transform(F.sequence(F.lit(0), F.size("y") - 1), lambda i: i * 0.01)
+    rows = profiles(spark, sf_dir, 8.0).withColumns({"y": calibration.calibrated(F.col("y"), offsets, F.lit(0.78125)), "x": arrays.grid(F.size("y"), F.lit(162.0) / F.size("y"))})
+    return arrays.points(rows, ["profile"]).select("profile", "i", r6("x").alias("x"), r6("y").alias("y"))
+
+
+@query(f"WITH {sample_sql()} SELECT profile, count(*) AS n, {q6('min(x)')} AS first_x, {q6('max(x)')} AS last_x, {q6('avg(y)')} AS mean_y FROM sample WHERE x BETWEEN 20.25 AND 121.5 GROUP BY profile")
+def f1_crop(spark, sf_dir):
+    got = arrays.crop(profiles(spark, sf_dir), 20.25, 121.5)
+    return got.select("profile", F.size("x").cast("bigint").alias("n"), r6(F.array_min("x")).alias("first_x"), r6(F.array_max("x")).alias("last_x"), r6(arrays.mean(F.col("y"))).alias("mean_y"))
+
+
+@query(f"WITH {sample_sql(1.0, True)} SELECT profile, {q6('count(y) * 1.0 / count(*)')} AS valid_fraction, count(y) * 1.0 / count(*) >= 0.9 AS enough FROM sample GROUP BY profile")
+def f3_valid_fraction(spark, sf_dir):
+    share = arrays.valid_fraction(F.col("y"))
+    return profiles(spark, sf_dir, holes=True).select("profile", r6(share).alias("valid_fraction"), (share >= 0.9).alias("enough"))
+
+
+@query(f"WITH {sample_sql()}, stat AS (SELECT profile, avg(y) AS m, stddev_samp(y) AS s FROM sample GROUP BY profile) SELECT profile, count(*) AS n, {q6('avg(y)')} AS mean_y FROM sample JOIN stat USING (profile) WHERE abs(y - m) <= 2.5 * s GROUP BY profile")
+def f5_sigma_outliers(spark, sf_dir):
+    got = arrays.within_sigma(profiles(spark, sf_dir), 2.5)
+    return got.select("profile", F.size("y").cast("bigint").alias("n"), r6(arrays.mean(F.col("y"))).alias("mean_y"))
+
+
+_INSIDE = f"WITH {sample_sql()} SELECT profile, count(*) AS n FROM sample WHERE x > 2.53125 AND x < 159.46875 GROUP BY profile"
+
+
+@query(_INSIDE)
+def f6_inside_lane(spark, sf_dir):
+    return arrays.inside_lane(profiles(spark, sf_dir), Lane(2.53125, 159.46875)).select("profile", F.size("x").cast("bigint").alias("n"))
+
+
+@query(
+    f"WITH {sample_sql(8.0)}, w AS (SELECT profile, i, n, avg(x) OVER o AS x, avg(y) OVER o AS y, count(*) OVER o AS c FROM sample WINDOW o AS (PARTITION BY profile ORDER BY i ROWS BETWEEN 9 PRECEDING AND 9 FOLLOWING)) "
+    f"SELECT profile, CAST(i - 9 AS INT) AS i, {q6('x')} AS x, {q6('y')} AS y FROM w WHERE c = 19 AND i < n - 10"
+)
+def w1_smooth(spark, sf_dir):
+    return arrays.points(arrays.smoothed(profiles(spark, sf_dir, 8.0)), ["profile"]).select("profile", "i", r6("x").alias("x"), r6("y").alias("y"))
+
+
+@query(
+    f"WITH {sample_sql(1.0, True)}, g AS (SELECT *, last_value(CASE WHEN y IS NOT NULL THEN x END IGNORE NULLS) OVER p AS lx, last_value(y IGNORE NULLS) OVER p AS ly, first_value(CASE WHEN y IS NOT NULL THEN x END IGNORE NULLS) OVER f AS hx, first_value(y IGNORE NULLS) OVER f AS hy FROM sample "
+    "WINDOW p AS (PARTITION BY profile ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), f AS (PARTITION BY profile ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) "
+    f"SELECT profile, CAST(i AS INT) AS i, {q6('coalesce(y, CASE WHEN hx - lx <= 6.0 THEN ly + (x - lx) * ((hy - ly) / (hx - lx)) END)')} AS y FROM g"
+)
+def w2_gap_fill(spark, sf_dir):
+    filled = arrays.gaps_filled(arrays.points(profiles(spark, sf_dir, holes=True), ["profile"]), ["profile"], 6.0)
+    return filled.select("profile", "i", r6("y").alias("y"))
+
+
+@query(f"WITH {sample_sql()}, b AS (SELECT profile, i // 30 AS k, stddev_samp(y) AS s FROM sample GROUP BY 1, 2 HAVING count(*) = 30) SELECT profile, {q6('median(s)')} AS noise, median(s) > 0.12 AS is_noisy FROM b GROUP BY profile")
+def a10_batch_noise(spark, sf_dir):
+    noise = arrays.batch_noise(F.col("y"))
+    return profiles(spark, sf_dir).select("profile", r6(noise).alias("noise"), (noise > 0.12).alias("is_noisy"))
+
+
+@query(None)
+def a11_residual_noise(spark, sf_dir):
+    """Rows only: mirrored running mean, in the kernel."""
+    import numpy as np
+
+    from transect.operators.reduction import residual_noise
+
+    @F.pandas_udf("double")
+    def noise(xs, ys):
+        import pandas as pd
+
+        return pd.Series([residual_noise(np.asarray(x), np.asarray(y), 20.0) for x, y in zip(xs, ys, strict=True)])
+
+    return profiles(spark, sf_dir).select("profile", r6(noise("x", "y")).alias("noise"))
+
+
+@query(f"WITH {sample_sql()}, f AS (SELECT *, first_value(x) OVER w AS x0, first_value(y) OVER w AS y0 FROM sample WINDOW w AS (PARTITION BY profile ORDER BY i)) SELECT profile, CAST(i AS INT) AS i, {q6('x0 + (x - x0) * cos(radians(2.0)) + (y - y0) * sin(radians(2.0))')} AS x, {q6('y0 - (x - x0) * sin(radians(2.0)) + (y - y0) * cos(radians(2.0))')} AS y FROM f")
+def p8_roll(spark, sf_dir):
+    return arrays.points(arrays.rolled(profiles(spark, sf_dir), 2.0), ["profile"]).select("profile", "i", r6("x").alias("x"), r6("y").alias("y"))
+
+
+_SHOULDER = f"""{sample_sql(2.0)},
+seg AS (SELECT *, abs((lead(y) OVER o - y) / (lead(x) OVER o - x)) AS s, count(*) FILTER (x < 81.0 - 0.35 * 162.0) OVER w AS ll, count(*) FILTER (x <= 81.0 + 0.35 * 162.0) OVER w - 1 AS rl FROM sample WINDOW o AS (PARTITION BY profile ORDER BY i), w AS (PARTITION BY profile)),
+isl AS (SELECT *, sum(CASE WHEN s > 0.055 THEN 0 ELSE 1 END) OVER (PARTITION BY profile ORDER BY i) AS k FROM seg),
+run AS (SELECT profile, k, min(i) AS a, max(i) AS b, any_value(ll) AS ll, any_value(rl) AS rl FROM isl WHERE s > 0.055 GROUP BY profile, k HAVING count(*) >= 5 AND max(s) >= 0.17),
+cut AS (SELECT profile, max(b + 2) FILTER (a <= ll) AS start, min(a) FILTER (b >= rl) AS stop FROM run GROUP BY profile),
+kept AS (SELECT s.* FROM sample s LEFT JOIN cut c ON s.profile = c.profile WHERE i >= coalesce(start, 0) AND i < coalesce(stop, 1000000) AND x > 0.0 AND x < 162.0)"""
+
+
+def _trimmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrays.shoulders_removed(arrays.points(profiles(spark, sf_dir, 2.0), ["file", "profile"]), ["file", "profile"], LANE, 162.0)
+
+
+@query(f"WITH {_SHOULDER} SELECT profile, CAST(min(i) AS INT) AS first_i, CAST(max(i) AS INT) AS last_i, count(*) AS n FROM kept GROUP BY profile")
+def w3_shoulder_trim(spark, sf_dir):
+    return _trimmed(spark, sf_dir).groupBy("profile").agg(F.min("i").alias("first_i"), F.max("i").alias("last_i"), F.count("*").alias("n"))
+
+
+@query(f"WITH {_SHOULDER} SELECT profile FROM (SELECT DISTINCT profile FROM sample) WHERE profile NOT IN (SELECT profile FROM kept)")
+def w4_shoulder_empty(spark, sf_dir):
+    return profiles(spark, sf_dir, 2.0).select("profile").join(_trimmed(spark, sf_dir).select("profile"), "profile", "left_anti")
+
+
+_CROSS = """part AS (SELECT profile, file, avg(y) FILTER (x <= {c}) AS yl, avg(y) FILTER (x >= {c}) AS yr, avg(x) FILTER (x <= {c}) AS xl, (max(x) - min(x)) / 2 AS run, avg(y) AS m, count(*) AS n FROM {t} WHERE x > 0.0 AND x < 162.0 GROUP BY profile, file),
+fall AS (SELECT *, (yl - yr) / run AS f, yl + (yl - yr) / run * xl AS b FROM part),
+fit AS (SELECT s.profile, sum(pow(y - b + f * x, 2)) AS rss, sum(pow(y - m, 2)) AS tss FROM {t} s JOIN fall USING (profile) WHERE x > 0.0 AND x < 162.0 GROUP BY s.profile)"""
+
+
+@query(f"WITH {sample_sql(2.0)}, {_CROSS.format(c=81.5, t='sample')} SELECT profile, {q6('100 * f')} AS cs_percent, {q6('degrees(atan(f))')} AS cs_degrees, {q6('b')} AS cs_intercept, {q6('1.0 - rss / tss')} AS cs_r2, CAST(n AS INT) AS cs_points FROM fall JOIN fit USING (profile)")
+def a7_cross_slope(spark, sf_dir):
+    got = arrays.cross_slope(profiles(spark, sf_dir, 2.0), OFF_GRID)
+    return got.select("profile", *[r6(c).alias(c) for c in ("cs_percent", "cs_degrees", "cs_intercept", "cs_r2")], "cs_points")
+
+
+@query(f"WITH {sample_sql()} SELECT profile, {q6('coalesce(regr_slope(y, x), 0)')} AS slope FROM sample WHERE x BETWEEN 10.0 AND 150.0 GROUP BY profile")
+def a9_slope_hint(spark, sf_dir):
+    rows = profiles(spark, sf_dir)
+    return rows.select("profile", r6(arrays.slope_hint(rows, Lane(10.0, 150.0))).alias("slope"))
+
+
+@query(f"WITH {sample_sql()}, d AS (SELECT profile, n, lead(x) OVER (PARTITION BY profile ORDER BY i) - x AS dx FROM sample) SELECT profile, {q6('median(dx) * max(n)')} AS width FROM d GROUP BY profile")
+def a12_nominal_width(spark, sf_dir):
+    steps = F.array_sort(F.transform(F.sequence(F.lit(1), F.size("x") - 1), lambda i: F.element_at("x", i + 1) - F.element_at("x", i)))
+    n = F.size(steps)
+    middle = (F.element_at(steps, F.floor((n + 1) / 2).cast("int")) + F.element_at(steps, F.floor(n / 2).cast("int") + 1)) / 2.0
+    return profiles(spark, sf_dir).select("profile", r6(middle * F.size("x")).alias("width"))
+
+
+def _lines(side: str, lane: Lane, scale: float) -> str:
+    c, (low, high) = lane.wheel_center(side), lane.half(side)
+    return (
+        f"{side}_chord AS (SELECT a.profile, a.x AS ax, b.x AS bx, a.y AS ay, (b.y - a.y) / (b.x - a.x) AS m, a.y + (b.y - a.y) / (b.x - a.x) * ({c} - a.x) AS h, row_number() OVER (PARTITION BY a.profile ORDER BY a.y + (b.y - a.y) / (b.x - a.x) * ({c} - a.x) DESC, a.x, b.x DESC) AS k "
+        f"FROM sample a JOIN sample b ON a.profile = b.profile AND a.x < {c} AND b.x >= {c} AND a.x >= {low} AND b.x <= {high} AND abs(a.x - {c}) <= 36.0 AND abs(b.x - {c}) <= 36.0)"
+    )
+
+
+@query(
+    f"WITH {sample_sql()}, l AS (SELECT a.profile, max(a.y + (b.y - a.y) / (b.x - a.x) * ({LANE.wheel_center('left')} - a.x)) AS h FROM sample a JOIN sample b ON a.profile = b.profile AND a.x < {LANE.wheel_center('left')} AND b.x >= {LANE.wheel_center('left')} AND b.x <= 81.0 GROUP BY a.profile), "
+    f"r AS (SELECT a.profile, max(a.y + (b.y - a.y) / (b.x - a.x) * ({LANE.wheel_center('right')} - a.x)) AS h FROM sample a JOIN sample b ON a.profile = b.profile AND a.x < {LANE.wheel_center('right')} AND a.x >= 81.0 AND b.x >= {LANE.wheel_center('right')} GROUP BY a.profile) "
+    f"SELECT profile, {q6('l.h')} AS left_height, {q6('r.h')} AS right_height FROM l JOIN r USING (profile)"
+)
+def j8_support_line(spark, sf_dir):
+    got = arrays.support_line(arrays.support_line(profiles(spark, sf_dir), "left", LANE), "right", LANE)
+    return got.select("profile", r6("left_height").alias("left_height"), r6("right_height").alias("right_height"))
+
+
+def _raw(spark: SparkSession, sf_dir: str, scale: float) -> DataFrame:
+    return profiles(spark, sf_dir, scale).select(F.lit("0").alias("set_id"), F.col("file").alias("relative_path"), F.col("profile").cast("int").alias("row_index"), "x", "y")
+
+
+#: Raw profiles, measured as they are: no outlier filter and no smoothing.
+PLAIN = Reduction()
+
+
+def _depth_sql(side: str) -> str:
+    """Depth under the bar: line over the wheel center, footprint means at breaks and vertices, first largest gap."""
+    c, (zl, zh) = OFF_GRID.wheel_center(side), OFF_GRID.wheel_zone(side)
+    return f"""
+{side}_line AS (SELECT * FROM {side}_chord WHERE k = 1),
+{side}_span AS (SELECT profile, m, h, greatest({zl}, {c} - 36.0 / sqrt(1 + m * m), ax, (SELECT min(x) FROM kept t WHERE t.profile = l.profile)) + 2.0 AS cl, least({zh}, {c} + 36.0 / sqrt(1 + m * m), bx, (SELECT max(x) FROM kept t WHERE t.profile = l.profile)) - 2.0 AS cr FROM {side}_line l),
+{side}_break AS (SELECT DISTINCT profile, m, h, b FROM (SELECT profile, m, h, cl AS b FROM {side}_span WHERE cr >= cl UNION ALL SELECT profile, m, h, cr FROM {side}_span WHERE cr >= cl UNION ALL
+  SELECT s.profile, m, h, k.x + d FROM {side}_span s JOIN kept k ON s.profile = k.profile, (SELECT unnest([-2.0, 2.0]) AS d) WHERE k.x + d > cl AND k.x + d < cr)),
+{side}_rate AS (SELECT b.*, m - ((hi.y + (b.b + 2.0 - hi.x) * hi.g) - (lo.y + (b.b - 2.0 - lo.x) * lo.g)) / 4.0 AS d FROM {side}_break b JOIN piece lo ON lo.profile = b.profile AND b.b - 2.0 >= lo.x AND (b.b - 2.0 < lo.nx OR (lo.last AND b.b - 2.0 <= lo.nx)) JOIN piece hi ON hi.profile = b.profile AND b.b + 2.0 >= hi.x AND (b.b + 2.0 < hi.nx OR (hi.last AND b.b + 2.0 <= hi.nx))),
+{side}_next AS (SELECT *, lead(b) OVER o AS nb, lead(d) OVER o AS nd FROM {side}_rate WINDOW o AS (PARTITION BY profile ORDER BY b)),
+{side}_spot AS (SELECT profile, m, h, b FROM {side}_break UNION SELECT profile, m, h, b - d * (nb - b) / (nd - d) FROM {side}_next WHERE d * nd <= 0 AND abs(nd - d) > 1.4e-14),
+{side}_gap AS (SELECT s.profile, greatest(0.0, (h + m * (s.b - {c}) - ((hi.area + (s.b + 2.0 - hi.x) * (hi.y + (s.b + 2.0 - hi.x) * hi.g / 2)) - (lo.area + (s.b - 2.0 - lo.x) * (lo.y + (s.b - 2.0 - lo.x) * lo.g / 2))) / 4.0) / sqrt(1 + m * m)) AS gap
+  FROM {side}_spot s JOIN piece lo ON lo.profile = s.profile AND s.b - 2.0 >= lo.x AND (s.b - 2.0 < lo.nx OR (lo.last AND s.b - 2.0 <= lo.nx)) JOIN piece hi ON hi.profile = s.profile AND s.b + 2.0 >= hi.x AND (s.b + 2.0 < hi.nx OR (hi.last AND s.b + 2.0 <= hi.nx))),
+{side}_depth AS (SELECT profile, max(gap) AS depth FROM {side}_gap GROUP BY profile)"""
+
+
+_RUT = (
+    "WITH "
+    + sample_sql(0.5)
+    + ", kept AS (SELECT * FROM sample WHERE x > 0.0 AND x < 162.0), "
+    + "seg AS (SELECT *, lead(x) OVER o AS nx, lead(y) OVER o AS ny FROM kept WINDOW o AS (PARTITION BY profile ORDER BY i)), "
+    + "piece AS (SELECT profile, x, y, nx, (ny - y) / (nx - x) AS g, coalesce(sum((nx - x) * (ny + y) / 2) OVER (PARTITION BY profile ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS area, lead(nx) OVER (PARTITION BY profile ORDER BY i) IS NULL AS last FROM seg WHERE nx IS NOT NULL), "
+    + _lines("left", OFF_GRID, 0.5).replace("FROM sample a JOIN sample b", "FROM kept a JOIN kept b")
+    + ", "
+    + _lines("right", OFF_GRID, 0.5).replace("FROM sample a JOIN sample b", "FROM kept a JOIN kept b")
+    + ","
+    + _depth_sql("left")
+    + ","
+    + _depth_sql("right")
+)
+
+
+@query(_RUT + f" SELECT profile, {q6('l.depth')} AS left_depth, {q6('r.depth')} AS right_depth FROM left_depth l FULL JOIN right_depth r USING (profile)")
+def w7_rut_depth(spark, sf_dir):
+    """Rut depth of raw profiles by the kernel; slopes stay so small that no profile has a shoulder and one round settles the tilt."""
+    got = measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN)
+    return got.filter("left IS NOT NULL OR right IS NOT NULL").select(F.col("row_index").cast("bigint").alias("profile"), r6("left.depth").alias("left_depth"), r6("right.depth").alias("right_depth"))
+
+
+@query(_RUT + f" SELECT profile, {q6('depth')} AS gap FROM left_depth")
+def w6_footprint_gap(spark, sf_dir):
+    got = measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN)
+    return got.filter("left IS NOT NULL").select(F.col("row_index").cast("bigint").alias("profile"), r6("left.depth").alias("gap"))
+
+
+_FILE = (
+    _RUT
+    + ", "
+    + _CROSS.format(c=81.5, t="kept")
+    + ", one AS (SELECT DISTINCT profile, file FROM sample), row_ AS (SELECT file, profile, l.depth AS ld, r.depth AS rd, 100 * f.f AS cs FROM one LEFT JOIN left_depth l USING (profile) LEFT JOIN right_depth r USING (profile) LEFT JOIN (SELECT profile, f FROM fall) f USING (profile)), "
+    + "agg AS (SELECT file, avg(ld) AS la, avg(rd) AS ra, avg(cs) AS cs, count(*) AS n, count(ld) AS ln, count(rd) AS rn, count(cs) AS cn FROM row_ GROUP BY file)"
+)
+
+
+@query(_FILE + f" SELECT file, {q6('la')} AS left_average, {q6('ra')} AS right_average, {q6('(la + ra) / 2')} AS overall_average, {q6('cs')} AS cs_percent, n AS rows_total, n AS rows_ok, ln AS left_count, rn AS right_count, cn AS cs_count, CASE WHEN (la + ra) / 2 < 0.25 THEN 0 WHEN (la + ra) / 2 < 0.5 THEN 1 WHEN (la + ra) / 2 < 1.0 THEN 2 ELSE 3 END AS severity, 'ok' AS status FROM agg")
+def a2_file_aggregate(spark, sf_dir):
+    """File results: side means, their mean, cross slope, counts, severity and status."""
+    got = aggregate_files(measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN))
+    names = ("left_average", "right_average", "overall_average", "cs_percent")
+    return got.select(F.col("relative_path").alias("file"), *[r6(c).alias(c) for c in names], "rows_total", "rows_ok", "left_count", "right_count", "cs_count", "severity", "status")
+
+
+@query(_FILE + ", c AS (SELECT file, CASE WHEN (la + ra) / 2 < 0.25 THEN 0 WHEN (la + ra) / 2 < 0.5 THEN 1 WHEN (la + ra) / 2 < 1.0 THEN 2 ELSE 3 END AS severity FROM agg) SELECT '0' AS set_id, severity, count(*) AS files FROM c GROUP BY severity")
+def a14_severity_histogram(spark, sf_dir):
+    return batch.severity_histogram(aggregate_files(measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN)))
+
+
+@query(None)
+def pipeline_survey_preset(spark, sf_dir):
+    """Rows only: the export's own preset (outliers, 19-point means, shoulders, rut) on scaled profiles, by file."""
+    options = Options()
+    got = aggregate_files(measure_profiles(_raw(spark, sf_dir, 8.0), OFF_GRID, options.reduction(), options))
+    return got.select("relative_path", r6("left_average").alias("left_average"), r6("right_average").alias("right_average"), "rows_ok", "rows_error", "cs_error_count", "status")
+
+
+@query(
+    "WITH r AS (SELECT CAST(l_suppkey % 50 AS VARCHAR) AS file, l_orderkey, l_linenumber, l_orderkey * 8 + l_linenumber AS row_index, l_orderkey % 6 = 0 AS e, l_orderkey % 9 = 0 AS c, l_linenumber % 5 = 0 AS noisy FROM lineitem), "
+    "m AS (SELECT file, row_index, 0 AS o, 'row ' || row_index || ' cross slope: C' AS m FROM r WHERE c UNION ALL SELECT file, row_index, 1, 'row ' || row_index || ': E' FROM r WHERE e) "
+    "SELECT file, count(*) AS rows_total, count(*) FILTER (NOT e) AS rows_ok, count(*) FILTER (e) AS rows_error, count(*) FILTER (noisy) AS rows_noisy, count(*) FILTER (c) AS cs_error_count, (SELECT array_to_string(list(m ORDER BY row_index, o)[1:10], ';') FROM m WHERE m.file = r.file) AS errors, 'failed' AS status FROM r GROUP BY file"
+)
+def a4_row_counters(spark, sf_dir):
+    """Counters, first ten messages and status of files whose rows failed in various ways."""
+    from transect import schemas
+
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    row = table(spark, sf_dir, "lineitem").select(
+        F.lit("0").alias("set_id"), (F.col("l_suppkey") % 50).cast("string").alias("relative_path"), (k * 8 + n).cast("int").alias("row_index"), (n % 5 == 0).alias("is_noisy"), F.when(k % 9 == 0, "C").alias("cs_error"),
+        F.when(k % 6 == 0, "error").otherwise("ok").alias("state"), F.when(k % 6 == 0, "E").alias("row_error"), F.lit(None).cast("double").alias("cs_percent"), F.lit(None).cast("double").alias("cs_degrees"),
+        F.lit(None).cast(schemas.SIDE).alias("left"), F.lit(None).cast(schemas.SIDE).alias("right"), F.lit(None).cast("string").alias("file_error"),
+    )
+    got = aggregate_files(row)
+    return got.select(F.col("relative_path").alias("file"), "rows_total", "rows_ok", "rows_error", "rows_noisy", "cs_error_count", F.array_join("error_samples", ";").alias("errors"), "status")
+
+
+@query(f"SELECT o_custkey, {q6('avg(CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END)')} AS mean FROM orders GROUP BY o_custkey")
+def a1_finite_mean(spark, sf_dir):
+    odd = F.when(F.col("o_orderkey") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("o_totalprice"))
+    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(r6(F.avg(scalars.finite(odd))).alias("mean"))
+
+
+# Joins and roll-ups
+
+
+_NAV = "nav AS (SELECT user_id, epoch_us(ts) / 1e6 AS f, value FROM events WHERE event_type = 'view'), probe AS (SELECT user_id, event_id, epoch_us(ts) / 1e6 AS f FROM events WHERE event_type = 'purchase')"
+
+
+@query(
+    f"WITH {_NAV}, seg AS (SELECT user_id, f AS f0, value AS v0, lead(f) OVER o AS f1, lead(value) OVER o AS v1 FROM nav WINDOW o AS (PARTITION BY user_id ORDER BY f)) "
+    f"SELECT p.event_id, {q6('CASE WHEN p.f = f0 THEN v0 ELSE v0 + (p.f - f0) / (f1 - f0) * (v1 - v0) END')} AS value FROM probe p LEFT JOIN seg s ON p.user_id = s.user_id AND p.f >= f0 AND (p.f < f1 OR (f1 IS NULL AND p.f = f0))"
+)
+def j2_nav_interpolate(spark, sf_dir):
+    """Values of `view` events of a user interpolated at the times of their `purchase` events."""
+    # Seconds since 1970 are large, so neighbours are told apart by microseconds and not by the relative tolerance of frames.
+    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    events = table(spark, sf_dir, "events").select("event_id", F.col("user_id"), "event_type", "value", seconds.alias("frame"))
+    track = events.filter("event_type = 'view'").select("user_id", (F.col("frame") - BASE).alias("frame"), "value")
+    probes = events.filter("event_type = 'purchase'").select("event_id", "user_id", (F.col("frame") - BASE).alias("at"))
+    return survey.interpolated(probes, "at", track, ["value"], "user_id").select("event_id", r6("value").alias("value"))
+
+
+#: Seconds of the events' first day, so that their frames are small numbers.
+BASE = 1704067200.0
+
+
+@query("SELECT CAST(n_nationkey AS VARCHAR) AS set_id FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 3 = 0)")
+def j6_missing_sets(spark, sf_dir):
+    wanted = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("set_id"))
+    there = table(spark, sf_dir, "supplier").filter("s_suppkey % 3 = 0").select(F.col("s_nationkey").cast("string").alias("set_id"))
+    return batch.missing_sets(wanted, there)
+
+
+@query("SELECT CAST(c_nationkey AS VARCHAR) AS set_id FROM customer WHERE c_custkey % 5 = 0 GROUP BY 1 HAVING count(*) > 1")
+def o6_repeated_sets(spark, sf_dir):
+    return batch.repeated_sets(table(spark, sf_dir, "customer").filter("c_custkey % 5 = 0").select(F.col("c_nationkey").cast("string").alias("set_id")))
+
+
+_STATUS = "CASE WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN 'failed' WHEN o_orderstatus = 'P' THEN 'partial' ELSE 'ok' END"
+
+
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.when((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 2 == 0), "failed").when(F.col("o_orderstatus") == "P", "partial").otherwise("ok")
+    return table(spark, sf_dir, "orders").select((F.col("o_custkey") % 500).cast("string").alias("set_id"), F.col("o_orderkey").alias("file"), status.alias("status"))
+
+
+_ROLL = f"f AS (SELECT CAST(o_custkey % 500 AS VARCHAR) AS set_id, {_STATUS} AS status FROM orders), s AS (SELECT set_id, count(*) AS files, count(*) FILTER (status = 'ok') AS files_ok, count(*) FILTER (status = 'partial') AS files_partial, count(*) FILTER (status = 'failed') AS files_failed FROM f GROUP BY set_id)"
+
+
+@query(f"WITH {_ROLL} SELECT *, CASE WHEN files_ok = files THEN 'ok' ELSE 'partial' END AS status FROM s")
+def a15_set_rollup(spark, sf_dir):
+    return batch.set_rollup(_files(spark, sf_dir))
+
+
+@query(f"WITH {_ROLL} SELECT count(*) AS sets_total, count(*) FILTER (files_ok = files) AS sets_ok, count(*) FILTER (files_ok <> files) AS sets_failed, CAST(sum(files) AS BIGINT) AS records_exported, CAST(sum(files_partial) AS BIGINT) AS files_partial, CAST(sum(files_failed) AS BIGINT) AS files_failed FROM s")
+def a15_batch_rollup(spark, sf_dir):
+    return batch.batch_rollup(batch.set_rollup(_files(spark, sf_dir)))
+
+
+@query("SELECT CAST(k AS VARCHAR) AS set_id, k AS place FROM (SELECT DISTINCT c_custkey % 120 AS k FROM customer)")
+def o4_set_order(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 120).cast("string").alias("set_id")).distinct()
+    return batch.in_set_order(rows).select("set_id", F.col("set_id").cast("bigint").alias("place"))
+
+
+@query("WITH r AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity < 20 THEN 0 WHEN l_quantity < 40 THEN 1 WHEN l_quantity < 48 THEN 2 ELSE 3 END AS severity FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY severity ORDER BY l_orderkey, l_linenumber) AS k FROM r) SELECT l_orderkey, l_linenumber, severity FROM n WHERE severity >= 2 OR (severity = 1 AND k % 5 = 1) OR (severity = 0 AND k % 10 = 1)")
+def w10_display_sample(spark, sf_dir):
+    q = F.col("l_quantity")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(q < 20, 0).when(q < 40, 1).when(q < 48, 2).otherwise(3).alias("severity"))
+    return maps.display_sample(rows, ["l_orderkey", "l_linenumber"])
+
+
+@query("SELECT count(*) AS mapped, min(c_acctbal) AS west, min(c_nationkey) * 1.0 AS south, max(c_acctbal) AS east, max(c_nationkey) * 1.0 AS north FROM customer WHERE c_custkey % 4 <> 0")
+def a16_bounds(spark, sf_dir):
+    lon = F.when(F.col("c_custkey") % 8 == 0, F.lit(float("nan"))).when(F.col("c_custkey") % 4 != 0, F.col("c_acctbal"))
+    return maps.bounds(table(spark, sf_dir, "customer").select(lon.alias("lon"), F.col("c_nationkey").cast("double").alias("lat")))
+
+
+@query(f"SELECT l_suppkey, {q6('max(abs(l_discount - l_tax))')} AS max_error, {q6('sqrt(avg(pow(l_discount - l_tax, 2)))')} AS rmse, count(*) FILTER (abs(l_discount - l_tax) <= 0.03) AS passed, count(*) AS n FROM lineitem GROUP BY l_suppkey")
+def a17_compare(spark, sf_dir):
+    from transect.plans.compare import error_summary
+
+    return error_summary(table(spark, sf_dir, "lineitem"), F.col("l_discount"), F.col("l_tax"), 0.03, ["l_suppkey"]).select("l_suppkey", r6("max_error").alias("max_error"), r6("rmse").alias("rmse"), "passed", "n")
