@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _MADE: list[str] = []
 
@@ -60,6 +61,16 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def whole_rows(df: DataFrame) -> DataFrame:
+    """The rows of df as one struct column, `row`: whatever its columns are called, nothing clashes with them."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def columns_of(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The inverse of whole_rows."""
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in names])
+
+
 def groups(values: list[bytes | None], most: int = 4 << 20):
     """Index ranges of values of about `most` bytes each, so that a worker's memory doesn't follow the batch; a longer text is a group of its own."""
     at = size = 0

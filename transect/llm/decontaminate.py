@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from transect.llm.common import Shipped, groups, small_batches, stored, workspace
+from transect.llm.common import Shipped, columns_of, groups, small_batches, stored, whole_rows, workspace
 
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(0x80, 0x100))
 #: Lower-cases A-Z and turns what is not part of a word into a space.
@@ -191,7 +192,11 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> I
     yield block
 
 
-_FOUND = "n_words int, spans array<struct<start:int,end:int>>, items array<string>"
+_FOUND = [
+    StructField("n_words", IntegerType()),
+    StructField("spans", ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))),
+    StructField("items", ArrayType(StringType())),
+]
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
@@ -199,7 +204,7 @@ def _found(docs: DataFrame, columns: list[str], items: DataFrame, text_col: str,
     """(row struct<columns>, n_words, spans, items), one row for each row of docs; and the automata of the blocks."""
     at, field = columns.index(text_col), F.struct(*[F.col(f"`{c}`") for c in columns])
     now = docs.select(field.alias("row"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
-    schema = f"row {now.schema['row'].dataType.simpleString()}, {_FOUND}"
+    schema = StructType([now.schema["row"], *_FOUND])
     folder, automata = workspace(docs.sparkSession, "decontaminate"), []
     for k, block in enumerate(_blocks(items, item_id_col, item_text_col, block_words)):
         if k:
@@ -262,6 +267,7 @@ def cleaned(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_c
                 if "n_chars" in names:
                     k = names.index("n_chars")
                     fields[k] = pa.array([len(t.decode()) if x else n for t, x, n in zip(texts, spans, fields[k].to_pylist(), strict=True)], fields[k].type)
-            yield pa.RecordBatch.from_arrays(fields, names=names).filter(pa.array(keep, pa.bool_()))
+            row = pa.StructArray.from_arrays(fields, fields=list(rows.type))
+            yield pa.RecordBatch.from_arrays([row], names=["row"]).filter(pa.array(keep, pa.bool_()))
 
-    return small_batches(found).mapInArrow(work, docs.schema)
+    return columns_of(small_batches(found).mapInArrow(work, whole_rows(docs).schema), docs.columns)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import as_bytes, small_batches, stored, workspace
+from transect.llm.common import as_bytes, columns_of, small_batches, stored, whole_rows, workspace
 
 BITS = 64
 #: Subtree bits by which a hot subtree is split.
@@ -222,20 +222,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, budget: int = 3) -> DataFrame:
     """The rows of docs, with their columns, that stand for their component: the row whose id is the component's. Rows that repeat an id are reduced to one; of the rows without an id none is dropped unless it is linked to a row with one."""
     found = near_duplicates(docs, id_col, text_col, width, budget)
-    at = workspace(docs.sparkSession, "dedup")
-    found = stored(found, at)
-    gone = found.filter(f"`{id_col}` <> component_id").select(id_col).distinct()
-    orphans = found.filter(f"`{id_col}` IS NULL AND component_id IS NOT NULL").select("fp").distinct()
-    kept = docs.join(gone, id_col, "left_anti")
+    found = stored(found.withColumnRenamed(id_col, "id"), workspace(docs.sparkSession, "dedup"))
+    gone = found.filter("id <> component_id").select("id").distinct()
+    orphans = found.filter("id IS NULL AND component_id IS NOT NULL").select("fp").distinct()
+    kept = whole_rows(docs).select("row", F.col(f"row.`{id_col}`").alias("id")).join(gone, "id", "left_anti").select("row", "id")
     if not orphans.isEmpty():
-        with_id, without = kept.filter(F.col(id_col).isNotNull()), kept.filter(F.col(id_col).isNull())
-        name = "__fp"
-        prints = without.withColumn(name, _print_of(F.col(text_col), width))
-        kept = with_id.unionByName(prints.join(orphans.withColumnRenamed("fp", name), name, "left_anti").drop(name))
-    again = found.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(id_col)
-    if again.isEmpty():
-        return kept
-    return kept.join(again, id_col, "left_anti").unionByName(kept.join(again, id_col, "left_semi").dropDuplicates([id_col])).select(docs.columns)
+        without = kept.filter("id IS NULL").withColumn("fp", _print_of(F.col(f"row.`{text_col}`"), width))
+        kept = kept.filter("id IS NOT NULL").unionByName(without.join(orphans, "fp", "left_anti").select("row", "id"))
+    again = found.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select("id")
+    if not again.isEmpty():
+        kept = kept.join(again, "id", "left_anti").unionByName(kept.join(again, "id", "left_semi").dropDuplicates(["id"]))
+    return columns_of(kept, docs.columns)
 
 
 def _print_of(text, width: int):
