@@ -1,4 +1,4 @@
-"""Command line: inspect-file, export-set, batch, map. Exit 0 if all is well, 1 if some files or sets aren't, 2 for an error."""
+"""Command line: inspect-file, export-set, batch, full-run, map, compare. Exit 0 if all is well, 1 if some files or sets aren't, 2 for an error."""
 
 from __future__ import annotations
 
@@ -66,6 +66,15 @@ def parser() -> argparse.ArgumentParser:
     shown = commands.add_parser("map")
     shown.add_argument("--root", required=True)
     shown.add_argument("--out-dir", required=True)
+    full = commands.add_parser("full-run")
+    full.add_argument("--data-root", required=True)
+    full.add_argument("--sets", nargs="+")
+    _run_options(full)
+    golden = commands.add_parser("compare")
+    golden.add_argument("metadata_json")
+    golden.add_argument("--json-output")
+    for name, default in (("reduced", 1e-6), ("percent", 1e-4), ("degrees", 1e-4), ("depth", 1e-3), ("geometry", 1e-2)):
+        golden.add_argument(f"--{name}-tolerance", type=float, default=default)
     return out
 
 
@@ -82,10 +91,22 @@ def _run(a: argparse.Namespace, spark: SparkSession) -> int:
     if a.command == "inspect-file":
         print(json.dumps(inspect_file(spark, a.file, a.calibration, a.profile_index, _options_of(a)), indent=None if a.json else 2, allow_nan=False))
         return 0
+    if a.command == "compare":
+        from transect.plans.golden import Tolerances, compare, report_text
+
+        t = Tolerances(a.reduced_tolerance, a.percent_tolerance, a.degrees_tolerance, a.depth_tolerance, a.geometry_tolerance)
+        report = compare(spark, a.metadata_json, t, a.json_output)
+        print(report_text(report), end="")
+        return int(not report["passed"])
     if a.command == "map":
         print(json.dumps(build_map(spark, a.root, a.out_dir), indent=2))
         return 0
     shared = {"out_dir": a.out_dir, "limit_files": a.limit_files, "resume": a.resume, "checkpoint_dir": a.checkpoint_dir, "files_per_chunk": a.checkpoint_every, "preview_min_severity": a.preview_min_severity, "options": _options_of(a)}
+    if a.command == "full-run":
+        from transect.plans.full_run import full_run
+
+        done = full_run(spark, a.data_root, a.out_dir, ExportConfig(set_dir="", **shared), a.sets)
+        return int(done["status"] != "ok")
     if a.command == "batch":
         done = run_batch(spark, a.data_root, ExportConfig(set_dir="", rebuild_index=a.rebuild_indexes, **shared), a.sets, a.index_dir)
         print(json.dumps(done, indent=2, allow_nan=False))

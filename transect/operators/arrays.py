@@ -135,6 +135,27 @@ def support_line(df: DataFrame, side: str, lane: Lane) -> DataFrame:
     return df.withColumn("__b", best).withColumns({f"{side}_slope": F.col("__b.slope"), f"{side}_height": F.col("__b.height")}).drop("__b")
 
 
+def surface_at(at: Column) -> Column:
+    """Height of the surface through arrays x and y at a position: on the line between its neighbours, null outside."""
+    k = F.size(F.filter("x", lambda x: x <= at))
+    x0, y0 = F.get("x", k - 1), F.get("y", k - 1)
+    line = y0 + (at - x0) * F.try_divide(F.get("y", k) - y0, F.get("x", k) - x0)
+    return F.when(k > 0, F.when(x0 == at, y0).otherwise(line))
+
+
+def area_until(at: Column) -> Column:
+    """Integral of the surface through arrays x and y from its first sample to a position inside it."""
+    pieces = F.transform(F.sequence(F.lit(1), F.greatest(F.size("x") - 1, F.lit(1))), lambda i: F.struct(F.element_at("x", i).alias("a"), F.element_at("y", i).alias("p"), F.get("x", i).alias("b"), F.get("y", i).alias("q")))
+
+    def part(p):
+        end = F.least(p["b"], at)
+        height = p["p"] + (end - p["a"]) * (p["q"] - p["p"]) / (p["b"] - p["a"])
+        return F.when(p["a"] < at, (end - p["a"]) * (p["p"] + height) / 2.0).otherwise(F.lit(0.0))
+
+    inside = (at >= F.element_at("x", 1)) & (at <= F.element_at("x", -1))
+    return F.when(inside, total(F.transform(pieces, part)))
+
+
 def points(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys..., i, x, y), one row for each sample."""
     return df.select(*keys, F.posexplode(F.arrays_zip("x", "y")).alias("i", "p")).select(*keys, "i", "p.x", "p.y")

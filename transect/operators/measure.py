@@ -119,3 +119,25 @@ def aggregate_files(results: DataFrame, skip_noisy: bool = False, require_both:
     whole = F.col("left_average").isNotNull() & F.col("right_average").isNotNull() & F.col("overall_average").isNotNull()
     partly = (F.col("rows_error") > 0) | (F.col("cs_error_count") > 0) | (F.lit(skip_noisy) & (F.col("rows_noisy") > 0))
     return out.withColumn("severity", severity(F.col("overall_average"))).withColumn("status", F.when(~whole, "failed").when(partly, "partial").otherwise("ok"))
+
+
+def reduce_profiles(profiles: DataFrame, reduction: Reduction, keys: list[str]) -> DataFrame:
+    """keys..., x, y, is_noisy, n_original, valid_fraction, notes, error: cleaned profiles (x array<double>, y array<double>, null elevations invalid); an error instead of arrays where too little is left."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, text = pa.list_(pa.float64()), pa.list_(pa.string())
+        for b in batches:
+            rows = []
+            for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                try:
+                    p = reduce_profile(np.array(x or [], float), np.array(y or [], float), reduction)
+                    rows.append((p.x, p.y, p.is_noisy, p.n_original, p.valid_fraction, list(p.notes), None))
+                except (ArithmeticError, ValueError) as e:
+                    rows.append((None, None, None, None, None, None, f"{type(e).__name__}: {e}"))
+            kinds = (number, number, pa.bool_(), pa.int32(), pa.float64(), text, pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=["k", "x", "y", "is_noisy", "n_original", "valid_fraction", "notes", "error"])
+
+    few = profiles.select(F.struct(*keys).alias("k"), "x", "y")
+    schema = f"k {few.schema['k'].dataType.simpleString()}, x array<double>, y array<double>, is_noisy boolean, n_original int, valid_fraction double, notes array<string>, error string"
+    out = few.mapInArrow(work, schema)
+    return out.select("k.*", *out.columns[1:])

@@ -537,6 +537,56 @@ def a1_finite_mean(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(r6(F.avg(scalars.finite(odd))).alias("mean"))
 
 
+_PIECES = f"WITH {sample_sql(8.0)}, piece AS (SELECT profile, i, x, y, lead(x) OVER o AS nx, lead(y) OVER o AS ny FROM sample WINDOW o AS (PARTITION BY profile ORDER BY i)), probe AS (SELECT vec_id AS profile, 5.0 + vec_id % 150 AS pos FROM embeddings)"
+
+
+@query(_PIECES + f" SELECT profile, {q6('y + (pos - x) * (ny - y) / (nx - x)')} AS height FROM probe JOIN piece USING (profile) WHERE pos >= x AND pos < nx")
+def p9_surface_at(spark, sf_dir):
+    return profiles(spark, sf_dir, 8.0).select("profile", r6(arrays.surface_at(5.0 + F.col("profile") % 150)).alias("height"))
+
+
+@query(_PIECES + f" SELECT profile, {q6('sum((least(nx, pos) - x) * (y + y + (least(nx, pos) - x) * (ny - y) / (nx - x)) / 2)')} AS area FROM probe JOIN piece USING (profile) WHERE x < pos AND nx IS NOT NULL GROUP BY profile")
+def p10_area_until(spark, sf_dir):
+    return profiles(spark, sf_dir, 8.0).select("profile", r6(arrays.area_until(5.0 + F.col("profile") % 150)).alias("area"))
+
+
+@query(None)
+def p16_measurement_point(spark, sf_dir):
+    """Rows only: where the depth is read off the bar, and the bar's ends (P17); arg-max ties make coordinates arbitrary on flat stretches."""
+    from transect.config import BAR_LENGTH
+    from transect.plans.golden import geometry
+
+    got = measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN).filter("left IS NOT NULL")
+    at = geometry("left", OFF_GRID, BAR_LENGTH)
+    return got.select(F.col("row_index").alias("profile"), *[r6(at[p, a]).alias(f"{p}_{a}") for p in ("measurement_point", "left_reference_point", "right_reference_point") for a in "xy"])
+
+
+@query("SELECT s_suppkey, sha256('file ' || s_suppkey) AS digest FROM supplier")
+def a18_file_hash(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.sha2(F.concat(F.lit("file "), "s_suppkey"), 256).alias("digest"))
+
+
+@query("WITH e AS (SELECT o_orderkey AS file, o_orderdate AS changed, CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'ok' END AS status, o_custkey AS k FROM orders), n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY changed DESC, file DESC) AS r FROM e) SELECT c_custkey AS pending FROM customer WHERE c_custkey NOT IN (SELECT k FROM n WHERE r = 1 AND status = 'ok')")
+def j4_pending_files(spark, sf_dir):
+    """Index rows without a reusable latest entry."""
+    from pyspark.sql import Window
+
+    entries = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), "o_orderdate", "o_orderkey", F.when(F.col("o_orderstatus") == "F", "failed").otherwise("ok").alias("status"))
+    latest = entries.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")))).filter("r = 1 AND status = 'ok'")
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pending")).join(latest.select(F.col("k").alias("pending")), "pending", "left_anti")
+
+
+@query("SELECT 'price' AS value, TRUE AS differs, count(*) FILTER (o_orderkey % 50 <> 0 AND o_orderkey % 77 <> 0) AS passed, count(*) AS n, count(*) FILTER (o_orderkey % 77 = 0) AS alone FROM orders")
+def j7_golden_join(spark, sf_dir):
+    """A full join of expected and actual rows; those on one side only fail."""
+    from transect.plans.compare import matched
+
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    changed = rows.filter("o_orderkey % 77 <> 0").withColumn("price", F.col("price") * (1 + F.when(F.col("o_orderkey") % 50 == 0, 0.001).otherwise(0.0)))
+    got = matched(rows, changed, ["o_orderkey"], ["price"], 1e-9)
+    return got.select("value", (F.col("max_error") > 0).alias("differs"), "passed", "n", "alone")
+
+
 # Joins and roll-ups
 
 

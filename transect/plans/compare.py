@@ -20,11 +20,10 @@ def error_summary(rows: DataFrame, expected: Column, actual: Column, tolerance:
 
 
 def matched(expected: DataFrame, actual: DataFrame, keys: list[str], values: list[str], tolerance: float) -> DataFrame:
-    """(value, max_error, rmse, passed, n): a full join of both tables on keys, one row for each compared column; a row on one side only fails everywhere."""
+    """(value, max_error, rmse, passed, n, alone): a full join of both tables on keys, one row for each compared column; a row on one side only fails everywhere."""
     both = expected.select(*keys, F.struct(*values).alias("e")).join(actual.select(*keys, F.struct(*values).alias("a")), keys, "full")
-    each = F.inline(F.array(*[F.struct(F.lit(v).alias("value"), F.col(f"e.{v}").cast("double").alias("x"), F.col(f"a.{v}").cast("double").alias("y"), (F.col("e").isNull() != F.col("a").isNull()).alias("alone")) for v in values]))
-    rows = both.select(each)
-    known = rows.withColumn("y", F.when(F.col("alone"), F.when(F.col("x").isNull(), F.coalesce("y", F.lit(0.0)))).otherwise(F.col("y"))).withColumn("x", F.when(F.col("alone") & F.col("x").isNull(), None).otherwise(F.col("x")))
-    summary = error_summary(known, F.col("x"), F.col("y"), tolerance, ["value"])
-    lonely = rows.groupBy("value").agg(F.count_if("alone").alias("alone"))
-    return summary.join(lonely, "value")
+    each = [F.struct(F.lit(v).alias("value"), F.col(f"e.{v}").cast("double").alias("x"), F.col(f"a.{v}").cast("double").alias("y"), (F.col("e").isNull() != F.col("a").isNull()).alias("alone")) for v in values]
+    rows = both.select(F.inline(F.array(*each)))
+    error = F.abs(finite(F.col("x")) - finite(F.col("y")))
+    good = ~F.col("alone") & F.coalesce(error <= tolerance, F.col("x").isNull() & F.col("y").isNull())
+    return rows.groupBy("value").agg(F.max(error).alias("max_error"), F.sqrt(F.avg(error * error)).alias("rmse"), F.count_if(good).alias("passed"), F.count("*").alias("n"), F.count_if("alone").alias("alone"))
