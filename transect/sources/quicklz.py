@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+
 #: The most bytes that a header may announce.
 MAX_OUTPUT = 512 << 20
 SLOTS = 4096
@@ -63,23 +65,37 @@ def decompress(data: bytes, max_output: int | None = MAX_OUTPUT) -> bytes:
 
 
 def _decode(src: bytes, s: int, total: int) -> bytes:
-    """Literals and matches steered by 31-bit control words; a match names a slot of recently hashed output positions."""
+    """Literals and matches steered by 31-bit control words; a match names a slot of recently hashed output positions.
+
+    A run of literals is copied at once, and positions are hashed only when a match is about to ask for them.
+    """
     out, slots = bytearray(total), [0] * SLOTS
+    seen = np.frombuffer(out, np.uint8)
     d, hashed, control, matches_until = 0, 0, 1, total - 11
 
-    def control_word(at: int) -> int:
-        if at + 4 > len(src):
-            raise QuickLZError("the block ends within a control word")
-        word = int.from_bytes(src[at : at + 4], "little")
-        if not word:
-            raise QuickLZError("a control word is zero")
-        return word
+    def hash_until(end: int) -> None:
+        """Note positions from `hashed` up to, but not, `end`."""
+        if end - hashed < 12:
+            for p in range(hashed, end):
+                f = out[p] | out[p + 1] << 8 | out[p + 2] << 16
+                slots[(f >> 12 ^ f) & 4095] = p
+        else:
+            part = seen[hashed : end + 2].astype(np.uint32)
+            f = part[:-2] | part[1:-1] << 8 | part[2:] << 16
+            for p, slot in enumerate(((f >> 12 ^ f) & 4095).tolist(), hashed):
+                slots[slot] = p
 
     while True:
         if control == 1:
-            control, s = control_word(s), s + 4
+            if s + 4 > len(src):
+                raise QuickLZError("the block ends within a control word")
+            control, s = int.from_bytes(src[s : s + 4], "little"), s + 4
+            if not control:
+                raise QuickLZError("a control word is zero")
         if control & 1:
             control >>= 1
+            hash_until(d - 2)
+            hashed = max(hashed, d - 2)
             low = src[s]
             at = slots[low >> 4 | src[s + 1] << 4]
             if low & 15:
@@ -95,17 +111,14 @@ def _decode(src: bytes, s: int, total: int) -> bytes:
                 piece = out[at:d]
                 out[d : d + length] = (piece * (length // len(piece) + 1))[:length]
             d += length
-            for p in range(hashed, start + 1):
-                f = out[p] | out[p + 1] << 8 | out[p + 2] << 16
-                slots[(f >> 12 ^ f) & 4095] = p
+            hash_until(start + 1)
             hashed = d
         elif d <= matches_until:
-            out[d] = src[s]
-            d, s, control = d + 1, s + 1, control >> 1
-            while hashed < d - 2:
-                f = out[hashed] | out[hashed + 1] << 8 | out[hashed + 2] << 16
-                slots[(f >> 12 ^ f) & 4095] = hashed
-                hashed += 1
+            run = min((control & -control).bit_length() - 1, matches_until - d + 1)
+            if s + run > len(src):
+                raise QuickLZError("the block ends within literals")
+            out[d : d + run] = src[s : s + run]
+            d, s, control = d + run, s + run, control >> run
         else:
             while d < total:
                 if control == 1:
