@@ -5,76 +5,71 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from dataclasses import asdict
 
 from pyspark.sql import SparkSession
 
 from transect.config import BAR_LENGTH, POLICIES, ExportConfig, Options
+from transect.plans.golden import Tolerances
 
 
-def _options(parser: argparse.ArgumentParser) -> None:
-    parser.add_argument("--lane-left-inches", type=float, default=0.0)
-    parser.add_argument("--lane-right-inches", type=float)
-    parser.add_argument("--lane-center-offset-inches", type=float, default=0.0)
-    parser.add_argument("--rut-bar-inches", type=float, default=BAR_LENGTH)
-    parser.add_argument("--roll-degrees", type=float, default=0.0)
-    parser.add_argument("--invalid-policy", choices=POLICIES, default="interpolate")
-    parser.add_argument("--minimum-valid-fraction", type=float, default=0.5)
-    parser.add_argument("--max-interpolation-gap-inches", type=float)
-    parser.add_argument("--max-noise-std-inches", type=float)
-    parser.add_argument("--skip-noisy-profiles", action="store_true")
+#: Options of processing that are numbers, with their defaults.
+NUMBERS = {"lane-left-inches": 0.0, "lane-right-inches": None, "lane-center-offset-inches": 0.0, "rut-bar-inches": BAR_LENGTH, "roll-degrees": 0.0, "minimum-valid-fraction": 0.5, "max-interpolation-gap-inches": None, "max-noise-std-inches": None}
 
 
-def _run_options(parser: argparse.ArgumentParser) -> None:
-    parser.add_argument("--out-dir", required=True)
-    parser.add_argument("--limit-files", type=int)
-    parser.add_argument("--no-resume", action="store_false", dest="resume")
-    parser.add_argument("--checkpoint-dir")
-    parser.add_argument("--checkpoint-every", type=int, default=4096, help="files in a chunk")
-    previews = parser.add_mutually_exclusive_group()
-    previews.add_argument("--preview-min-severity", type=int, choices=(2, 3), default=2)
-    previews.add_argument("--no-previews", action="store_const", const=None, dest="preview_min_severity")
-    _options(parser)
+def _options(to: argparse.ArgumentParser) -> None:
+    for name, value in NUMBERS.items():
+        to.add_argument(f"--{name}", type=float, default=value)
+    to.add_argument("--invalid-policy", default=POLICIES[0], choices=POLICIES)
+    to.add_argument("--skip-noisy-profiles", action="store_true")
+
+
+def _run_options(to: argparse.ArgumentParser) -> None:
+    _options(to)
+    to.add_argument("--out-dir", required=True)
+    to.add_argument("--limit-files", type=int)
+    to.add_argument("--checkpoint-dir")
+    to.add_argument("--checkpoint-every", metavar="FILES", default=4096, type=int)
+    to.add_argument("--no-resume", dest="resume", action="store_false")
+    either = to.add_mutually_exclusive_group()
+    either.add_argument("--preview-min-severity", choices=(2, 3), default=2, type=int)
+    either.add_argument("--no-previews", dest="preview_min_severity", action="store_const", const=None)
 
 
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="transect", description="Transverse profiles: decoding, cross slope and rut depth.")
     commands = out.add_subparsers(dest="command", required=True)
-    one = commands.add_parser("inspect-file")
-    one.add_argument("file")
-    one.add_argument("--calibration", required=True)
-    one.add_argument("--profile-index", type=int, default=0)
-    one.add_argument("--json", action="store_true")
-    _options(one)
-    many = commands.add_parser("export-set")
-    source = many.add_mutually_exclusive_group(required=True)
-    source.add_argument("--set-dir")
-    source.add_argument("--data-root")
-    many.add_argument("--set", dest="set_number")
-    many.add_argument("--calibration")
-    many.add_argument("--index-json")
-    many.add_argument("--rebuild-index", action="store_true")
-    many.add_argument("--from-frame", type=float)
-    many.add_argument("--to-frame", type=float)
-    many.add_argument("--output-name")
-    _run_options(many)
-    batch = commands.add_parser("batch")
-    batch.add_argument("--data-root", required=True)
-    batch.add_argument("--sets", nargs="+")
-    batch.add_argument("--index-dir")
-    batch.add_argument("--rebuild-indexes", action="store_true")
-    _run_options(batch)
-    shown = commands.add_parser("map")
-    shown.add_argument("--root", required=True)
-    shown.add_argument("--out-dir", required=True)
-    full = commands.add_parser("full-run")
-    full.add_argument("--data-root", required=True)
-    full.add_argument("--sets", nargs="+")
-    _run_options(full)
-    golden = commands.add_parser("compare")
-    golden.add_argument("metadata_json")
-    golden.add_argument("--json-output")
-    for name, default in (("reduced", 1e-6), ("percent", 1e-4), ("degrees", 1e-4), ("depth", 1e-3), ("geometry", 1e-2)):
-        golden.add_argument(f"--{name}-tolerance", type=float, default=default)
+    new = {name: commands.add_parser(name) for name in ("inspect-file", "export-set", "batch", "full-run", "map", "compare")}
+
+    def texts(command: str, *names: str, required: bool = False) -> None:
+        for n in names:
+            new[command].add_argument(f"--{n}", required=required)
+
+    new["inspect-file"].add_argument("file")
+    texts("inspect-file", "calibration", required=True)
+    new["inspect-file"].add_argument("--profile-index", default=0, type=int)
+    new["inspect-file"].add_argument("--json", action="store_true")
+    _options(new["inspect-file"])
+    where = new["export-set"].add_mutually_exclusive_group(required=True)
+    where.add_argument("--set-dir")
+    where.add_argument("--data-root")
+    texts("export-set", "set", "calibration", "index-json", "output-name")
+    for edge in ("from", "to"):
+        new["export-set"].add_argument(f"--{edge}-frame", type=float)
+    new["export-set"].add_argument("--rebuild-index", action="store_true")
+    texts("batch", "data-root", required=True)
+    texts("batch", "index-dir")
+    new["batch"].add_argument("--rebuild-indexes", action="store_true")
+    texts("full-run", "data-root", required=True)
+    for command in ("batch", "full-run"):
+        new[command].add_argument("--sets", nargs="+")
+    for command in ("export-set", "batch", "full-run"):
+        _run_options(new[command])
+    texts("map", "root", "out-dir", required=True)
+    new["compare"].add_argument("metadata_json")
+    texts("compare", "json-output")
+    for name, value in asdict(Tolerances()).items():
+        new["compare"].add_argument(f"--{name}-tolerance", default=value, type=float)
     return out
 
 
@@ -92,7 +87,7 @@ def _run(a: argparse.Namespace, spark: SparkSession) -> int:
         print(json.dumps(inspect_file(spark, a.file, a.calibration, a.profile_index, _options_of(a)), indent=None if a.json else 2, allow_nan=False))
         return 0
     if a.command == "compare":
-        from transect.plans.golden import Tolerances, compare, report_text
+        from transect.plans.golden import compare, report_text
 
         t = Tolerances(a.reduced_tolerance, a.percent_tolerance, a.degrees_tolerance, a.depth_tolerance, a.geometry_tolerance)
         report = compare(spark, a.metadata_json, t, a.json_output)
@@ -113,10 +108,10 @@ def _run(a: argparse.Namespace, spark: SparkSession) -> int:
         return int(done["sets_failed"] > 0)
     set_dir = a.set_dir
     if set_dir is None:
-        if not a.set_number or not a.set_number.isdigit():
+        if not a.set or not a.set.isdigit():
             raise ValueError("--data-root takes --set with a number")
-        set_dir = f"{a.data_root.rstrip('/')}/{a.set_number}"
-    elif a.set_number:
+        set_dir = f"{a.data_root.rstrip('/')}/{a.set}"
+    elif a.set:
         raise ValueError("--set goes with --data-root only")
     config = ExportConfig(set_dir=set_dir, calibration=a.calibration, index_json=a.index_json, rebuild_index=a.rebuild_index, from_frame=a.from_frame, to_frame=a.to_frame, output_name=a.output_name, **shared)
     done = export_set(spark, config)
