@@ -90,3 +90,18 @@ def test_full_run(spark, tmp_path):
     assert [(r["set"], r["status"]) for r in done["results"]] == [("3", "ok"), ("21", "failed")] and done["status"] == "partial" and done["performance"]["speedup"] > 0
     assert "set 3: ok, files=2" in (tmp_path / "out" / "full_run_report.txt").read_text()
     assert (tmp_path / "out" / "set_3" / "set_3_rut_results.geojson").exists()
+
+
+def test_flatten_previews(spark, tmp_path, capsys):
+    old = tmp_path / "set_1" / "previews" / "high"
+    old.mkdir(parents=True)
+    (old / "a.png").write_bytes(b"png")
+    for name in ("r.csv", "r.geojson"):
+        (tmp_path / "set_1" / name).write_text('x,"previews/high/a.png"\n')
+    assert main(["flatten", "--root", str(tmp_path)], spark) == 0 and (old / "a.png").exists()
+    assert main(["flatten", "--root", str(tmp_path), "--apply"], spark) == 0
+    assert (tmp_path / "set_1" / "previews" / "a.png").read_bytes() == b"png" and not old.exists()
+    assert (tmp_path / "set_1" / "r.csv").read_text() == 'x,"previews/a.png"\n'
+    old.mkdir()
+    (old / "a.png").write_bytes(b"png")
+    assert main(["flatten", "--root", str(tmp_path), "--apply"], spark) == 2

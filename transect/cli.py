@@ -1,4 +1,4 @@
-"""Command line: inspect-file, export-set, batch, full-run, map, compare. Exit 0 if all is well, 1 if some files or sets aren't, 2 for an error."""
+"""Command line: inspect-file, export-set, batch, full-run, map, compare, flatten. Exit 0 if all is well, 1 if some files or sets aren't, 2 for an error."""
 
 from __future__ import annotations
 
@@ -39,7 +39,7 @@ def _run_options(to: argparse.ArgumentParser) -> None:
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="transect", description="Transverse profiles: decoding, cross slope and rut depth.")
     commands = out.add_subparsers(dest="command", required=True)
-    new = {name: commands.add_parser(name) for name in ("inspect-file", "export-set", "batch", "full-run", "map", "compare")}
+    new = {name: commands.add_parser(name) for name in ("inspect-file", "export-set", "batch", "full-run", "map", "compare", "flatten")}
 
     def texts(command: str, *names: str, required: bool = False) -> None:
         for n in names:
@@ -66,6 +66,8 @@ def parser() -> argparse.ArgumentParser:
     for command in ("export-set", "batch", "full-run"):
         _run_options(new[command])
     texts("map", "root", "out-dir", required=True)
+    texts("flatten", "root", required=True)
+    new["flatten"].add_argument("--apply", action="store_true")
     new["compare"].add_argument("metadata_json")
     texts("compare", "json-output")
     for name, value in asdict(Tolerances()).items():
@@ -93,6 +95,11 @@ def _run(a: argparse.Namespace, spark: SparkSession) -> int:
         report = compare(spark, a.metadata_json, t, a.json_output)
         print(report_text(report), end="")
         return int(not report["passed"])
+    if a.command == "flatten":
+        from transect.plans.flatten import flatten_previews
+
+        print(json.dumps(flatten_previews(a.root, a.apply)))
+        return 0
     if a.command == "map":
         print(json.dumps(build_map(spark, a.root, a.out_dir), indent=2))
         return 0

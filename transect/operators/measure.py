@@ -72,6 +72,8 @@ def measure_files(files: DataFrame, calibration: Calibration, options: Options,
                     continue
                 yield _batch([name | {"row_index": k} | measure(x, y, lane, reduction, options) for k, y in enumerate(heights)])
 
+    # A few images at a time in a worker, however small they are compressed.
+    files.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return files.select("set_id", "relative_path", "content").mapInArrow(work, schemas.RESULT)
 
 

@@ -107,12 +107,17 @@ def a13_median_step(spark, sf_dir):
     return last.select("set_id", (F.col("e.end_frame") - F.col("e.start_frame")).alias("median_step"))
 
 
+_ONE_SET = _INDEX.replace("CAST(user_id AS VARCHAR) AS set_id", "'0' AS set_id")
+
+
 @query(
-    f"WITH {_INDEX}, ranked AS (SELECT *, row_number() OVER (PARTITION BY set_id ORDER BY start_frame, lower(relative_path), relative_path) AS k FROM stepped WHERE set_id = '7' AND start_frame BETWEEN 100000 AND 2000000) "
-    "SELECT s.set_id, relative_path, start_frame, CASE WHEN nxt > start_frame THEN nxt ELSE start_frame + usual END AS end_frame FROM ranked s JOIN usual USING (set_id) WHERE k <= 25"
+    f"WITH {_ONE_SET}, ranked AS (SELECT *, row_number() OVER (ORDER BY start_frame, lower(relative_path), relative_path) AS k FROM stepped WHERE start_frame BETWEEN 100000 AND 2000000) "
+    "SELECT relative_path, start_frame, CASE WHEN nxt > start_frame THEN nxt ELSE start_frame + usual END AS end_frame FROM ranked JOIN usual USING (set_id) WHERE k <= 1000"
 )
 def f7_select_files(spark, sf_dir):
-    return survey.select_files(_index(spark, sf_dir).filter("set_id = '7'"), 100000, 2000000, 25)
+    """The first 1,000 files of a frame range, all events taken as one set; the limit is the operator's."""
+    names = _image_names(spark, sf_dir).select(F.lit("0").alias("set_id"), "relative_path", scalars.frame_of(F.col("stem")).alias("start_frame"))
+    return survey.select_files(survey.end_frames(names), 100000, 2000000, 1000).drop("set_id")
 
 
 def _block(total: Column, payload: Column) -> Column:

@@ -108,7 +108,7 @@ def export_set(spark: SparkSession, config: ExportConfig) -> dict:
     everything, index_at = _index(spark, config, set_id)
     chosen = survey.select_files(everything, config.from_frame, config.to_frame, config.limit_files).withColumn("path", F.concat(F.lit(set_dir + "/"), F.col("relative_path")))
     with Checkpoint(spark, root, mark, config.resume).locked() as checkpoint:
-        known = chosen.join(identities(chosen), "relative_path")
+        known = chosen.join(identities(chosen), "relative_path").checkpoint()  # files are probed once
         todo = known.join(checkpoint.reusable().select(KEY), KEY, "left_anti").orderBy("pos")
         rows = todo.select("relative_path", "path", "start_frame", "end_frame", "size", "changed", "probe")
         missing = rows.filter("size < 0")
@@ -151,7 +151,7 @@ def export_set(spark: SparkSession, config: ExportConfig) -> dict:
         "measurement_units": {"rut_depth": "inch", "cross_slope_average_percent": "percent", "cross_slope_average_angle_degrees": "degree"}, "set": set_id, "set_dir": set_dir, "calibration": calibration_at, "index_json": index_at,
         "options": asdict(config.options), "lane_positions_inches": {"left": lane.left, "right": lane.right, "center": lane.center}, "records_indexed": everything.count(), "records_exported": total,
         **{f"files_{s}": states.get(s, 0) for s in ("ok", "partial", "failed")}, "severity_counts": severities, "previews": previews, "diagnostics": [r.asDict(True) for r in results.orderBy("start_frame", "relative_path").limit(1000).collect()],
-        "checkpoint": {"resume_requested": config.resume, "fingerprint": mark, "root": root, "records_reused": reused, "records_processed": total - reused, "records_not_checkpointed": states.get("failed", 0) and gone.count()},
+        "checkpoint": {"resume_requested": config.resume, "fingerprint": mark, "root": root, "records_reused": reused, "records_processed": total - reused, "records_not_checkpointed": missing.count()},
         "outputs": {"geojson": f"{out}/{base}.geojson", "csv": f"{out}/{base}.csv", "metadata_json": f"{out}/{base}.metadata.json"},
     }
     write_text(f"{out}/{base}.metadata.json", json.dumps(metadata, indent=2, allow_nan=False))
