@@ -48,7 +48,7 @@ def oracle_sql() -> dict[str, str]:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Smooth every profile, measure it, and aggregate by file."""
-    return a2_file_aggregate(spark, sf_dir)
+    return survey_preset(spark, sf_dir)
 
 
 def r6(value: Column | str) -> Column:
@@ -348,9 +348,12 @@ def a10_batch_noise(spark, sf_dir):
     return profiles(spark, sf_dir).select("profile", r6(noise).alias("noise"), (noise > 0.12).alias("is_noisy"))
 
 
-@query(None)
+@query(
+    f"WITH {sample_sql()}, t AS (SELECT s.profile, s.i, any_value(s.y) AS y, avg(r.y) AS m FROM sample s, (SELECT unnest(range(-4, 5)) AS o), sample r WHERE r.profile = s.profile AND r.i = CASE WHEN abs(s.i + o) > s.n - 1 THEN 2 * (s.n - 1) - abs(s.i + o) ELSE abs(s.i + o) END GROUP BY s.profile, s.i) "
+    f"SELECT profile, {q6('sqrt(avg(pow(y - m, 2)))')} AS noise FROM t GROUP BY profile"
+)
 def a11_residual_noise(spark, sf_dir):
-    """Rows only: mirrored running mean, in the kernel."""
+    """Mirrored running mean over nine samples, in the kernel."""
     import numpy as np
 
     from transect.operators.reduction import residual_noise
@@ -453,7 +456,7 @@ def _depth_sql(side: str) -> str:
 {side}_rate AS (SELECT b.*, m - ((hi.y + (b.b + 2.0 - hi.x) * hi.g) - (lo.y + (b.b - 2.0 - lo.x) * lo.g)) / 4.0 AS d FROM {side}_break b JOIN piece lo ON lo.profile = b.profile AND b.b - 2.0 >= lo.x AND (b.b - 2.0 < lo.nx OR (lo.last AND b.b - 2.0 <= lo.nx)) JOIN piece hi ON hi.profile = b.profile AND b.b + 2.0 >= hi.x AND (b.b + 2.0 < hi.nx OR (hi.last AND b.b + 2.0 <= hi.nx))),
 {side}_next AS (SELECT *, lead(b) OVER o AS nb, lead(d) OVER o AS nd FROM {side}_rate WINDOW o AS (PARTITION BY profile ORDER BY b)),
 {side}_spot AS (SELECT profile, m, h, b FROM {side}_break UNION SELECT profile, m, h, b - d * (nb - b) / (nd - d) FROM {side}_next WHERE d * nd <= 0 AND abs(nd - d) > 1.4e-14),
-{side}_gap AS (SELECT s.profile, greatest(0.0, (h + m * (s.b - {c}) - ((hi.area + (s.b + 2.0 - hi.x) * (hi.y + (s.b + 2.0 - hi.x) * hi.g / 2)) - (lo.area + (s.b - 2.0 - lo.x) * (lo.y + (s.b - 2.0 - lo.x) * lo.g / 2))) / 4.0) / sqrt(1 + m * m)) AS gap
+{side}_gap AS (SELECT s.profile, s.m, s.b, ((hi.area + (s.b + 2.0 - hi.x) * (hi.y + (s.b + 2.0 - hi.x) * hi.g / 2)) - (lo.area + (s.b - 2.0 - lo.x) * (lo.y + (s.b - 2.0 - lo.x) * lo.g / 2))) / 4.0 AS mean, greatest(0.0, (h + m * (s.b - {c}) - ((hi.area + (s.b + 2.0 - hi.x) * (hi.y + (s.b + 2.0 - hi.x) * hi.g / 2)) - (lo.area + (s.b - 2.0 - lo.x) * (lo.y + (s.b - 2.0 - lo.x) * lo.g / 2))) / 4.0) / sqrt(1 + m * m)) AS gap
   FROM {side}_spot s JOIN piece lo ON lo.profile = s.profile AND s.b - 2.0 >= lo.x AND (s.b - 2.0 < lo.nx OR (lo.last AND s.b - 2.0 <= lo.nx)) JOIN piece hi ON hi.profile = s.profile AND s.b + 2.0 >= hi.x AND (s.b + 2.0 < hi.nx OR (hi.last AND s.b + 2.0 <= hi.nx))),
 {side}_depth AS (SELECT profile, max(gap) AS depth FROM {side}_gap GROUP BY profile)"""
 
@@ -487,6 +490,24 @@ def w6_footprint_gap(spark, sf_dir):
     return got.filter("left IS NOT NULL").select(F.col("row_index").cast("bigint").alias("profile"), r6("left.depth").alias("gap"))
 
 
+_C = OFF_GRID.wheel_center("left")
+
+
+@query(
+    _RUT
+    + ", best AS (SELECT *, row_number() OVER (PARTITION BY profile ORDER BY round(gap, 9) DESC, b) AS k FROM left_gap), spot AS (SELECT profile, m, b - m * gap / sqrt(1 + m * m) AS mx, mean + gap / sqrt(1 + m * m) AS my, 36.0 / sqrt(1 + m * m) AS reach FROM best WHERE k = 1) "
+    + f"SELECT CAST(profile AS INT) AS profile, {q6('mx')} AS measurement_point_x, {q6('my')} AS measurement_point_y, {q6(f'{_C} - reach')} AS left_reference_point_x, {q6(f'my + m * ({_C} - reach - mx)')} AS left_reference_point_y, {q6(f'{_C} + reach')} AS right_reference_point_x, {q6(f'my + m * ({_C} + reach - mx)')} AS right_reference_point_y FROM spot"
+)
+def p16_measurement_point(spark, sf_dir):
+    """Where the depth is read off the bar, and the bar's ends."""
+    from transect.config import BAR_LENGTH
+    from transect.plans.golden import geometry
+
+    got = measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN).filter("left IS NOT NULL")
+    at = geometry("left", OFF_GRID, BAR_LENGTH)
+    return got.select(F.col("row_index").alias("profile"), *[r6(at[p, a]).alias(f"{p}_{a}") for p in ("measurement_point", "left_reference_point", "right_reference_point") for a in "xy"])
+
+
 _FILE = (
     _RUT
     + ", "
@@ -509,12 +530,32 @@ def a14_severity_histogram(spark, sf_dir):
     return batch.severity_histogram(aggregate_files(measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN)))
 
 
-@query(None)
-def pipeline_survey_preset(spark, sf_dir):
-    """Rows only: the export's own preset (outliers, 19-point means, shoulders, rut) on scaled profiles, by file."""
+#: The export's preset on scaled profiles: outliers, 19-point means without the last, shoulders by islands, then as above.
+_PRESET = (
+    "WITH "
+    + sample_sql(8.0).replace("sample AS", "raw AS", 1)
+    + ", stat AS (SELECT profile, avg(y) AS m, stddev_samp(y) AS s FROM raw GROUP BY profile), ok AS (SELECT r.profile, file, row_number() OVER (PARTITION BY r.profile ORDER BY i) - 1 AS i, count(*) OVER (PARTITION BY r.profile) AS n, x, y FROM raw r JOIN stat t ON r.profile = t.profile WHERE abs(y - m) <= 3.5 * s), "
+    + "mean19 AS (SELECT profile, file, i, n, avg(x) OVER o AS x, avg(y) OVER o AS y, count(*) OVER o AS c FROM ok WINDOW o AS (PARTITION BY profile ORDER BY i ROWS BETWEEN 9 PRECEDING AND 9 FOLLOWING)), "
+    + "sample AS (SELECT profile, file, i - 9 AS i, x, y FROM mean19 WHERE c = 19 AND i < n - 10), "
+    + "width AS (SELECT profile, median(dx) * 64 AS w FROM (SELECT profile, lead(x) OVER (PARTITION BY profile ORDER BY i) - x AS dx FROM sample) GROUP BY profile), "
+    + "slopes AS (SELECT s.*, abs((lead(y) OVER o - y) / (lead(x) OVER o - x)) AS s, count(*) FILTER (x < 81.5 - 0.35 * w) OVER p AS ll, count(*) FILTER (x <= 81.5 + 0.35 * w) OVER p - 1 AS rl FROM sample s JOIN width USING (profile) WINDOW o AS (PARTITION BY profile ORDER BY i), p AS (PARTITION BY profile)), "
+    + "isl AS (SELECT *, sum(CASE WHEN s > 0.055 THEN 0 ELSE 1 END) OVER (PARTITION BY profile ORDER BY i) AS k FROM slopes), "
+    + "run AS (SELECT profile, k, min(i) AS a, max(i) AS b, any_value(ll) AS ll, any_value(rl) AS rl FROM isl WHERE s > 0.055 GROUP BY profile, k HAVING count(*) >= 5 AND max(s) >= 0.17), "
+    + "cut AS (SELECT profile, max(b + 2) FILTER (a <= ll) AS start, min(a) FILTER (b >= rl) AS stop FROM run GROUP BY profile), "
+    + "kept AS (SELECT s.* FROM sample s LEFT JOIN cut c ON s.profile = c.profile WHERE i >= coalesce(start, 0) AND i < coalesce(stop, 1000000) AND x > 0.0 AND x < 162.0), "
+    + _RUT[_RUT.index("seg AS") :]
+    + ", half AS (SELECT profile, count(*) FILTER (x <= 81.5) > 0 AND count(*) FILTER (x >= 81.5) > 0 AS both_ FROM kept GROUP BY profile), "
+    + "row_ AS (SELECT file, profile, l.depth AS ld, r.depth AS rd, h.profile IS NOT NULL AS ok, coalesce(both_, FALSE) AS cs FROM (SELECT DISTINCT profile, file FROM raw) o LEFT JOIN left_depth l USING (profile) LEFT JOIN right_depth r USING (profile) LEFT JOIN half h USING (profile)), "
+    + "agg AS (SELECT file, avg(ld) AS la, avg(rd) AS ra, count(*) FILTER (ok) AS good, count(*) FILTER (NOT ok) AS bad, count(*) FILTER (NOT cs) AS cs_bad FROM row_ GROUP BY file)"
+)
+
+
+@query(_PRESET + f" SELECT file, {q6('la')} AS left_average, {q6('ra')} AS right_average, good AS rows_ok, bad AS rows_error, cs_bad AS cs_error_count, CASE WHEN la IS NULL OR ra IS NULL THEN 'failed' WHEN bad > 0 OR cs_bad > 0 THEN 'partial' ELSE 'ok' END AS status FROM agg")
+def survey_preset(spark, sf_dir):
+    """The export's own preset on scaled profiles, by file: reduction, shoulders, cross slope, rut depth, aggregate, status."""
     options = Options()
     got = aggregate_files(measure_profiles(_raw(spark, sf_dir, 8.0), OFF_GRID, options.reduction(), options))
-    return got.select("relative_path", r6("left_average").alias("left_average"), r6("right_average").alias("right_average"), "rows_ok", "rows_error", "cs_error_count", "status")
+    return got.select(F.col("relative_path").alias("file"), r6("left_average").alias("left_average"), r6("right_average").alias("right_average"), "rows_ok", "rows_error", "cs_error_count", "status")
 
 
 @query(
@@ -555,17 +596,6 @@ def p10_area_until(spark, sf_dir):
     return profiles(spark, sf_dir, 8.0).select("profile", r6(arrays.area_until(5.0 + F.col("profile") % 150)).alias("area"))
 
 
-@query(None)
-def p16_measurement_point(spark, sf_dir):
-    """Rows only: where the depth is read off the bar, and the bar's ends (P17); arg-max ties make coordinates arbitrary on flat stretches."""
-    from transect.config import BAR_LENGTH
-    from transect.plans.golden import geometry
-
-    got = measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN).filter("left IS NOT NULL")
-    at = geometry("left", OFF_GRID, BAR_LENGTH)
-    return got.select(F.col("row_index").alias("profile"), *[r6(at[p, a]).alias(f"{p}_{a}") for p in ("measurement_point", "left_reference_point", "right_reference_point") for a in "xy"])
-
-
 @query("SELECT s_suppkey, sha256('file ' || s_suppkey) AS digest FROM supplier")
 def a18_file_hash(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", F.sha2(F.concat(F.lit("file "), "s_suppkey"), 256).alias("digest"))
