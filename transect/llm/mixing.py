@@ -6,8 +6,8 @@ over what each source still owes, so that the totals come out as targeted. A sou
 pseudorandom permutation of its block numbers (a keyed Feistel network, walked until it falls into range), a new one for
 each pass over the source; a pass uses no block twice. Slots and blocks are joined by block number.
 
-Positions come from sums over chunks of about `chunk_docs` rows, then over chunks, so a source that holds most of the rows
-is dealt out like the others. The driver holds one row for each source and, for slots, at most about a million counts.
+Positions come from sums over chunks of about `chunk_docs` rows of one source, then over chunks, so a source that holds
+most of the rows is dealt out in as many more chunks, of the same size as others'. The driver holds one row for each source and, for slots, at most about a million counts.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ class Source:
     size: int
     target: float
     block_words: int
+    chunks: int
     blocks: int = 0
     slots: int = 0
 
@@ -105,16 +106,15 @@ def word_count(text: Column) -> Column:
 class Mix:
     """The mix of a table of documents. Null sources are a source of their own, ranked last; the names of other columns don't matter."""
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=WEIGHTS, share: float = SHARE, most: float = MOST_TIMES, block_words: int = 256, chunk_docs: int = 2000, shard_slots: int = 4096, seed: int = 11):
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights=WEIGHTS, share: float = SHARE, most: float = MOST_TIMES, block_words: int = 256, chunk_docs: int = 1000, shard_slots: int = 4096, seed: int = 11):
         self.spark, self.seed = docs.sparkSession, seed
         at = workspace(self.spark, "mix")
         self._rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
         sized = stored(self._rows.select("id", "source", word_count(F.col("text")).alias("size"), "tie"), f"{at}/sizes")
         found = {r.source: (r.size, r.n) for r in sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()}
-        self.chunks = max(1, -(-sum(n for _, n in found.values()) // chunk_docs))
         names = sorted(found, key=lambda s: (s is None, s or ""))
         given = targets([found[s][0] for s in names], [weights[k % len(weights)] for k in range(len(names))], share, most)
-        self.sources = [Source(s, k, found[s][0], t, max(1, min(block_words, found[s][0] // LEAST_BLOCKS))) for k, (s, t) in enumerate(zip(names, given, strict=True))]
+        self.sources = [Source(s, k, found[s][0], t, max(1, min(block_words, found[s][0] // LEAST_BLOCKS)), -(-found[s][1] // chunk_docs)) for k, (s, t) in enumerate(zip(names, given, strict=True))]
         self._sizes = sized
         chunk = self._with_chunk(sized).groupBy("rank", "chunk").agg(F.ceil(F.sum("size") / F.first("block_words")).cast("bigint").alias("blocks"))
         chunk = stored(chunk, f"{at}/chunks").withColumn("thousand", F.expr("chunk div 1000"))
@@ -132,12 +132,12 @@ class Mix:
         self.shard_slots = max(shard_slots, -(-total * len(self.sources) // MOST_COUNTS))
 
     def _plan(self) -> DataFrame:
-        rows = [(s.name, s.rank, s.size, s.target, s.block_words) for s in self.sources]
-        return self.spark.createDataFrame(rows, "source string, rank int, source_size bigint, target double, block_words int")
+        rows = [(s.name, s.rank, s.size, s.target, s.block_words, s.chunks) for s in self.sources]
+        return self.spark.createDataFrame(rows, "source string, rank int, source_size bigint, target double, block_words int, chunks int")
 
     def _with_chunk(self, rows: DataFrame) -> DataFrame:
         plan = self._plan().withColumnRenamed("source", "of")
-        return rows.withColumn("chunk", F.pmod(F.xxhash64("id", "tie"), F.lit(self.chunks))).join(plan, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+        return rows.join(plan, F.col("source").eqNullSafe(F.col("of")), "left").withColumn("chunk", F.pmod(F.xxhash64("id", "tie"), F.col("chunks"))).drop("of", "chunks")
 
     def _placed(self, rows: DataFrame) -> DataFrame:
         """rows with `start`, the place of their first word in their chunk's words, and the number of the chunk's first block."""
