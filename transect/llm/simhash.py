@@ -215,7 +215,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct()).join(distinct, F.col("node") == F.col("fp"))
     least = members.groupBy("root").agg(F.min("least").alias("component"))
     joined = members.select(F.col("fp"), "root").join(least, "root").select("fp", "component")
-    of_print = distinct.join(joined, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    # Written first, so that the join below has plain shuffles on both sides, which Spark splits where one fingerprint has very many rows.
+    of_print = stored(distinct.join(joined, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id")), f"{at}/labels")
     return prints.join(of_print, "fp", "left").select(id_col, "fp", "component_id")
 
 
