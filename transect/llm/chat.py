@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import Shipped, small_batches
+from transect.llm.common import Shipped, arrow_map
 
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
@@ -118,7 +118,7 @@ def formatted(turns: DataFrame, template: Template = turn_template, id_col: str
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.text for r in done], pa.string()), *lists], names=["id", "formatted", "spans", "loss", "rewrites"])
 
     kind, spans = grouped.schema["id"].dataType.simpleString(), "array<struct<start:int,end:int>>"
-    return small_batches(grouped).mapInArrow(work, f"id {kind}, formatted string, spans {spans}, loss {spans}, rewrites {spans}").withColumnRenamed("id", id_col)
+    return arrow_map(grouped, work, f"id {kind}, formatted string, spans {spans}, loss {spans}, rewrites {spans}").withColumnRenamed("id", id_col)
 
 
 def _turn_order(a, b):
@@ -146,4 +146,4 @@ def digests(done: DataFrame, id_col: str = "conv_id") -> DataFrame:
 
     few = done.select(F.col(id_col).alias("id"), "formatted", "loss", F.size("rewrites").cast("bigint").alias("rewrites"))
     kind = few.schema["id"].dataType.simpleString()
-    return small_batches(few).mapInArrow(work, f"id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, rewrites bigint").withColumnRenamed("id", id_col)
+    return arrow_map(few, work, f"id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, rewrites bigint").withColumnRenamed("id", id_col)

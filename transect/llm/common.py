@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -18,11 +19,9 @@ _MADE: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir). One of our own is set only where it is unset, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", None)
-    if at:
-        return at.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="transect-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+        spark.sparkContext.setCheckpointDir(at or tempfile.mkdtemp(prefix="transect-"))
+    return (at or spark.sparkContext.getCheckpointDir()).rstrip("/")
 
 
 def workspace(spark: SparkSession, name: str) -> str:
@@ -55,10 +54,37 @@ def spread(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small_batches(df: DataFrame) -> DataFrame:
-    """df, with Arrow batches of at most 4 MB from now on in its session, so that a Python worker's memory follows neither the rows of a batch nor their lengths (a longer row is a batch of its own)."""
+def least_hashed(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The n rows of df with the least values of `key`, a 64-bit hash, in its order.
+
+    Rows are counted first and those that can't be among the least (but for a chance below one in a billion, which costs a
+    few rows) are filtered out where they lie, so what is sorted and sent to the driver doesn't grow with the table.
+    """
+    total = df.count()
+    if total > 8 * n:
+        df = df.filter(F.col(key) <= int(-(2**63) + 2**64 * (4 * n / total)))
+    return df.orderBy(key, *[c for c in df.columns if c != key]).limit(n)
+
+
+def arrow_map(df: DataFrame, work, schema) -> DataFrame:
+    """df.mapInArrow(work, schema) with little memory in the workers.
+
+    From now on Arrow batches of the session have at most 4 MB, so that a worker's memory follows neither the rows of a
+    batch nor their lengths (a longer row is a batch of its own). A worker gives freed memory back when its task ends;
+    it lives on beside the executor's other tasks.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
-    return df
+
+    def thrifty(batches):
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from work(batches)
+        finally:
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return df.mapInArrow(thrifty, schema)
 
 
 def whole_rows(df: DataFrame) -> DataFrame:

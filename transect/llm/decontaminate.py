@@ -11,7 +11,7 @@ more blocks mean more passes, each written to the shared folder, with the same r
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from transect.llm.common import Shipped, columns_of, groups, small_batches, stored, whole_rows, workspace
+from transect.llm.common import Shipped, arrow_map, columns_of, groups, stored, workspace
 
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(0x80, 0x100))
 #: Lower-cases A-Z and turns what is not part of a word into a space.
@@ -200,18 +200,20 @@ _FOUND = [
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _found(docs: DataFrame, columns: list[str], items: DataFrame, text_col: str, item_id_col: str, item_text_col: str, window: int, block_words: int) -> tuple[DataFrame, list[Shipped]]:
-    """(row struct<columns>, n_words, spans, items), one row for each row of docs; and the automata of the blocks."""
+def _found(docs: DataFrame, columns: list[str], items: DataFrame, text_col: str, item_id_col: str, item_text_col: str, window: int, block_words: int, finish: Callable[[pa.RecordBatch, list[Shipped]], pa.RecordBatch] | None = None) -> DataFrame:
+    """(row struct<columns>, n_words, spans, items), one row for each row of docs; or (row) of what finish, given such a batch and the automata of all blocks, makes of it, in the worker that scans the last block."""
     at, field = columns.index(text_col), F.struct(*[F.col(f"`{c}`") for c in columns])
     now = docs.select(field.alias("row"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
     schema = StructType([now.schema["row"], *_FOUND])
     folder, automata = workspace(docs.sparkSession, "decontaminate"), []
-    for k, block in enumerate(_blocks(items, item_id_col, item_text_col, block_words)):
-        if k:
-            now = stored(now, f"{folder}/{k}").select("row", "spans", "items")
+    blocks = _blocks(items, item_id_col, item_text_col, block_words)
+    block = next(blocks)
+    while block is not None:
+        following = next(blocks, None)
+        last = finish if following is None else None
         automata.append(shared := Shipped(docs.sparkSession, Automaton(block, window)))
 
-        def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def work(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             automaton = shared.value
             for b in batches:
                 texts = b.column(0).field(at).cast(pa.binary()).to_pylist()
@@ -220,10 +222,14 @@ def _found(docs: DataFrame, columns: list[str], items: DataFrame, text_col: str,
                 spans = [[{"start": x, "end": y} for x, y in _merged([*((p["start"], p["end"]) for p in o or ()), *f[1]])] for f, o in zip(found, old_spans, strict=True)]
                 names = [sorted(f[2].union(o or ())) for f, o in zip(found, old_items, strict=True)]
                 arrays = [b.column(0), pa.array([f[0] for f in found], pa.int32()), pa.array(spans, _SPANS), pa.array(names, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["row", "n_words", "spans", "items"])
+                out = pa.RecordBatch.from_arrays(arrays, names=["row", "n_words", "spans", "items"])
+                yield last(out, automata) if last else out
 
-        now = small_batches(now).mapInArrow(work, schema)
-    return now, automata
+        now = arrow_map(now, work, StructType(schema.fields[:1]) if last else schema)
+        if following is not None:
+            now = stored(now, f"{folder}/{len(automata)}").select("row", "spans", "items")
+        block = following
+    return now
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10, block_words: int = 200_000) -> DataFrame:
@@ -233,41 +239,39 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     ones count once. Rows of docs are kept one to one, repeated or with a null id; an empty table gives an empty one.
     Other columns aren't read.
     """
-    found, _ = _found(docs, list(dict.fromkeys([id_col, text_col])), items, text_col, item_id_col, item_text_col, window, block_words)
+    found = _found(docs, list(dict.fromkeys([id_col, text_col])), items, text_col, item_id_col, item_text_col, window, block_words)
     return found.select(F.col(f"row.`{id_col}`").alias(id_col), "n_words", "spans", "items")
 
 
 def cleaned(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10, max_coverage: float = 0.5, block_words: int = 200_000) -> DataFrame:
     """The rows of docs, with their columns, without the hit spans in their texts; rows of which more than max_coverage of the words are hit go. What a cut brings together is scanned again until nothing is hit. n_chars, where there is one, is counted again. Null and empty texts stay as they are."""
-    columns = docs.columns
-    found, automata = _found(docs, columns, items, text_col, item_id_col, item_text_col, window, block_words)
-    at, names = columns.index(text_col), columns
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows, spans = b.column(0), b.column(2).to_pylist()
-            fields = rows.flatten()
-            texts = fields[at].cast(pa.binary()).to_pylist()
-            hit = [sum(s["end"] - s["start"] for s in x) for x in spans]
-            keep = [h <= max_coverage * n for h, n in zip(hit, b.column(1).to_pylist(), strict=True)]
-            if any(hit):
-                texts = [cut(t, [(s["start"], s["end"]) for s in x]) if x else t for t, x in zip(texts, spans, strict=True)]
-                again = [k for k, x in enumerate(spans) if x]
-                while again:
-                    hits: dict[int, list] = {}
-                    for a in automata:
-                        for k, (_, x, _) in zip(again, a.value.scan([texts[k] for k in again]), strict=True):
-                            hits.setdefault(k, []).extend(x)
-                        if len(automata) > 1:
-                            a.forget()
-                    again = [k for k, x in hits.items() if x]
-                    for k in again:
-                        texts[k] = cut(texts[k], _merged(hits[k]))
-                fields[at] = pa.array([None if t is None else t.decode() for t in texts], pa.string())
-                if "n_chars" in names:
-                    k = names.index("n_chars")
-                    fields[k] = pa.array([len(t.decode()) if x else n for t, x, n in zip(texts, spans, fields[k].to_pylist(), strict=True)], fields[k].type)
-            row = pa.StructArray.from_arrays(fields, fields=list(rows.type))
-            yield pa.RecordBatch.from_arrays([row], names=["row"]).filter(pa.array(keep, pa.bool_()))
-
-    return columns_of(small_batches(found).mapInArrow(work, whole_rows(docs).schema), docs.columns)
+    names = docs.columns
+    at = names.index(text_col)
+
+    def finish(b: pa.RecordBatch, automata: list[Shipped]) -> pa.RecordBatch:
+        rows, spans = b.column(0), b.column(2).to_pylist()
+        fields = rows.flatten()
+        texts = fields[at].cast(pa.binary()).to_pylist()
+        hit = [sum(s["end"] - s["start"] for s in x) for x in spans]
+        keep = [h <= max_coverage * n for h, n in zip(hit, b.column(1).to_pylist(), strict=True)]
+        if any(hit):
+            texts = [cut(t, [(s["start"], s["end"]) for s in x]) if x else t for t, x in zip(texts, spans, strict=True)]
+            again = [k for k, x in enumerate(spans) if x]
+            while again:
+                hits: dict[int, list] = {}
+                for a in automata:
+                    for k, (_, x, _) in zip(again, a.value.scan([texts[k] for k in again]), strict=True):
+                        hits.setdefault(k, []).extend(x)
+                    if len(automata) > 1:
+                        a.forget()
+                again = [k for k, x in hits.items() if x]
+                for k in again:
+                    texts[k] = cut(texts[k], _merged(hits[k]))
+            fields[at] = pa.array([None if t is None else t.decode() for t in texts], pa.string())
+            if "n_chars" in names:
+                k = names.index("n_chars")
+                fields[k] = pa.array([len(t.decode()) if x else n for t, x, n in zip(texts, spans, fields[k].to_pylist(), strict=True)], fields[k].type)
+        row = pa.StructArray.from_arrays(fields, fields=list(rows.type))
+        return pa.RecordBatch.from_arrays([row], names=["row"]).filter(pa.array(keep, pa.bool_()))
+
+    return columns_of(_found(docs, names, items, text_col, item_id_col, item_text_col, window, block_words, finish), names)

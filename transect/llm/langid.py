@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import Shipped, groups, shared_folder, small_batches
+from transect.llm.common import Shipped, arrow_map, groups, shared_folder
 
 #: Longest n-grams; words are padded by a space on each side.
 ORDER = 4
@@ -139,7 +139,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
         if counts:
             yield out()
 
-    counts = small_batches(few).mapInArrow(counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = arrow_map(few, counted, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = counts.checkpoint()
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     model = Model(sorted(totals))
@@ -163,7 +163,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
 
     short = counts.filter(F.length("word") <= MAX_WORD_CHARS)
     model.words, model.word_logs = _logs([(r.lang, r.word, r.n) for r in most(short, ["lang"], MAX_WORDS)], model.langs, totals)
-    found = small_batches(counts).mapInArrow(grams, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    found = arrow_map(counts, grams, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     found = found.filter("gram <> ' '").withColumn("size", F.length("gram")).checkpoint()
     of_size = {(r["size"], r.lang): r.n for r in found.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
     kept = most(found, ["lang", "size"], MAX_GRAMS)
@@ -187,5 +187,5 @@ def predicted(docs: DataFrame, model: Model, keep: list[str], text_col: str = "t
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["kept", "lang_pred", "score"])
 
     few = docs.select(F.struct(*[F.col(c) for c in keep]).alias("kept"), F.col(text_col).alias("text"))
-    out = small_batches(few).mapInArrow(work, f"kept {few.schema[0].dataType.simpleString()}, lang_pred string, score double")
+    out = arrow_map(few, work, f"kept {few.schema[0].dataType.simpleString()}, lang_pred string, score double")
     return out.select(*[F.col(f"kept.`{c}`").alias(c) for c in keep], "lang_pred", "score")

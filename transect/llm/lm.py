@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import as_bytes, groups, mapped, put_file, small_batches, spread, workspace
+from transect.llm.common import arrow_map, as_bytes, groups, mapped, put_file, spread, workspace
 
 #: Bytes that are no UTF-8 text, for the end of a text and for what stands before its first word.
 END, START = b"\xff/", b"\xff"
@@ -192,7 +192,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         return pa.table([pa.array([part], pa.int32()), pa.array([totals], pa.list_(pa.int64()))], names=["part", "totals"])
 
     schema = "part int, block binary"
-    sent = small_batches(docs.select(text_col)).mapInArrow(counted, schema).groupBy("part").applyInArrow(pairs, schema)
+    sent = arrow_map(docs.select(text_col), counted, schema).groupBy("part").applyInArrow(pairs, schema)
     rows = sent.groupBy("part").applyInArrow(words, "part int, totals array<bigint>").collect()
     of_pairs = [sum(x) for x in zip(*(r.totals for r in rows if r.part < 0), strict=True)] or [0] * 5
     of_words = [sum(x) for x in zip(*(r.totals for r in rows if r.part >= 0), strict=True)] or [0] * 7
@@ -297,5 +297,5 @@ def scored(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text
             columns = [pa.array(x) for x in (n.astype(np.int64), known, np.full(len(n), model.tokens, np.int64), base, score, np.power(10.0, np.minimum(-score / n, 300.0)))]
             yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["kept", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
 
-    out = small_batches(few).mapInArrow(work, f"kept {few.schema[0].dataType.simpleString()}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double")
+    out = arrow_map(few, work, f"kept {few.schema[0].dataType.simpleString()}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, perplexity double")
     return out.select(*[F.col(f"kept.`{c}`").alias(c) for c in keep], *out.columns[1:])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import Shipped, as_bytes, groups, small_batches
+from transect.llm.common import Shipped, arrow_map, as_bytes, groups
 
 KINDS = ("email", "ip", "card", "phone")
 #: O, then B and I of each kind.
@@ -342,4 +342,4 @@ def detected(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, kind)], names=["id", "spans"])
 
     few = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return small_batches(few).mapInArrow(work, f"id {few.schema[0].dataType.simpleString()}, spans array<struct<kind:int,start:int,end:int,base:boolean>>").withColumnRenamed("id", id_col)
+    return arrow_map(few, work, f"id {few.schema[0].dataType.simpleString()}, spans array<struct<kind:int,start:int,end:int,base:boolean>>").withColumnRenamed("id", id_col)

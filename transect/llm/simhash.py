@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import as_bytes, columns_of, small_batches, stored, whole_rows, workspace
+from transect.llm.common import arrow_map, as_bytes, columns_of, stored, whole_rows, workspace
 
 BITS = 64
 #: Subtree bits by which a hot subtree is split.
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=[id_col, "fp"])
 
     few = docs.select(id_col, F.col(text_col).alias("text"))
-    return small_batches(few).mapInArrow(work, f"`{id_col}` {few.schema[0].dataType.simpleString()}, fp bigint")
+    return arrow_map(few, work, f"`{id_col}` {few.schema[0].dataType.simpleString()}, fp bigint")
 
 
 def _unite(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -175,7 +175,7 @@ def links(distinct: DataFrame, n: int, budget: int = 3, hot: int = 20_000) -> Da
         for k in range(0, len(a), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(a[k : k + (1 << 16)]), pa.array(b[k : k + (1 << 16)])], names=["a", "b"])
 
-    return parts.repartition("order", "value", "low", "high").mapInArrow(work, "a bigint, b bigint")
+    return arrow_map(parts.repartition("order", "value", "low", "high"), work, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from transect.llm.common import Shipped, as_bytes, folder, groups, small_batches, spread, stored, workspace
+from transect.llm.common import Shipped, arrow_map, as_bytes, folder, groups, spread, stored, workspace
 
 #: The pattern that splits text before the merges of the rank file; the free id that ends a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -86,7 +86,7 @@ def write_tokens(docs: DataFrame, uri: str, ranks: str = RANKS, separator: int =
                 out.close()
 
     few = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return small_batches(few).mapInArrow(work, f"file string, ordinal bigint, id {few.schema[0].dataType.simpleString()}")
+    return arrow_map(few, work, f"file string, ordinal bigint, id {few.schema[0].dataType.simpleString()}")
 
 
 def token_type(separator: int) -> str:
