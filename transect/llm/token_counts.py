@@ -132,9 +132,10 @@ def scan_tokens(files: DataFrame, uri: str, separator: int = SEPARATOR, block_to
     stitch = found.select("file", "block", F.size("at").cast("bigint").alias("n"), F.element_at(F.when(F.size("at") > 0, F.col("at")), -1).alias("last")).select(
         "file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ordinals"), F.coalesce(F.max("last").over(before), F.lit(-1)).alias("carried")
     )
-    starts = F.concat(F.array(F.col("carried") + 1), F.transform("at", lambda x: x + 1))
-    texts = F.transform("at", lambda x, i: F.struct((F.col("ordinals") + i).alias("ordinal"), F.get(starts, i).alias("start"), (x - F.get(starts, i)).alias("n_tokens")))
-    return found.join(stitch, ["file", "block"]).select("file", F.inline(texts))
+    starts = F.concat(F.array(F.col("carried") + 1), F.transform(F.slice("at", 1, F.greatest(F.size("at") - 1, F.lit(0))), lambda x: x + 1))
+    texts = F.zip_with(starts, "at", lambda first, x: F.struct(first.alias("start"), (x - first).alias("n_tokens")))
+    each = found.filter(F.size("at") > 0).join(stitch, ["file", "block"]).select("file", "ordinals", F.posexplode(texts).alias("place", "text"))
+    return each.select("file", (F.col("ordinals") + F.col("place")).alias("ordinal"), "text.start", "text.n_tokens")
 
 
 def counted(docs: DataFrame, ranks: str = RANKS, separator: int = SEPARATOR, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
