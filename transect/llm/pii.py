@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import Shipped, arrow_map, as_bytes, groups
+from transect.llm.common import Shipped, arrow_map, as_bytes, groups, least_hashed
 
 KINDS = ("email", "ip", "card", "phone")
 #: O, then B and I of each kind.
@@ -313,7 +313,7 @@ def tag_texts(tagger: Tagger, texts: list[str], batch: int = 2048) -> list[np.nd
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 300, longest: int = 20_000, seed: int = 5) -> Tagger:
     """Tagger from at most 2 * sample rows of docs, of texts of at most `longest` characters: those with the least hash of their id that have a digit or @, and of all. Without any it learns from made-up items alone."""
     few = docs.filter(F.length(text_col) <= longest).select(F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
-    rows = few.filter(F.col("text").rlike("[0-9@]")).orderBy("h", "text").limit(sample).collect() + few.orderBy("h", "text").limit(sample).collect()
+    rows = least_hashed(few.filter(F.col("text").rlike("[0-9@]")), "h", sample).collect() + least_hashed(few, "h", sample).collect()
     tagger = Tagger(seed)
     tagger.fit(*training_windows([r.text for r in rows], seed=seed), seed=seed)
     return tagger
