@@ -12,6 +12,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,46 +46,76 @@ class Model:
     grams: dict[int, dict[str, int]] = field(default_factory=dict)
     gram_logs: dict[int, np.ndarray] = field(default_factory=dict)
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Scores of an unknown word: of the longest order that has any of its n-grams."""
-        padded = f" {word} "
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """Scores of unknown words: of each, by the longest order that has any of its n-grams."""
+        out = np.zeros((len(words), len(self.langs)))
+        rest = list(range(len(words)))
         for n in range(ORDER, 0, -1):
-            known = self.grams.get(n, {})
-            rows = [known[g] for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) in known and g != " "]
-            if rows:
-                return self.gram_logs[n][rows].mean(axis=0)
-        return np.zeros(len(self.langs))
+            get, able, flat, sizes = self.grams.get(n, {}).get, [], [], []
+            for k in rest:
+                padded = f" {words[k]} "
+                if len(padded) >= n:
+                    ids = [get(padded[i : i + n], -1) for i in range(len(padded) - n + 1)]
+                    able.append(k)
+                    flat += ids
+                    sizes.append(len(ids))
+            if not able or n not in self.gram_logs or not len(self.gram_logs[n]):
+                continue
+            at = np.array(flat)
+            known, starts = at >= 0, np.cumsum(sizes) - sizes
+            total = np.add.reduceat(self.gram_logs[n][np.maximum(at, 0)] * known[:, None], starts, axis=0)
+            count = np.add.reduceat(known.astype(np.int64), starts)
+            done = count > 0
+            out[np.array(able)[done]] = total[done] / count[done, None]
+            rest = sorted(set(rest) - set(np.array(able)[done].tolist()))
+        return out
 
-    def predict(self, texts: list[str | None], memo: dict[str, np.ndarray]) -> list[tuple[str, float]]:
+    def predict(self, texts: list[str | None], rows: Rows) -> list[tuple[str, float]]:
         """Language and probability of each text; UNKNOWN and 0 for one without a letter, or if the model has no language."""
-        out = []
-        for text in texts:
-            words = words_of(text)
-            if not self.langs or not any(c.isalpha() for w in words for c in w):
-                out.append((UNKNOWN, 0.0))
-                continue
-            score = np.zeros(len(self.langs))
-            counts = Counter(words)
-            known = [(self.words[w], n) for w, n in counts.items() if w in self.words]
-            if known:
-                rows, times = np.array(known).T
-                score += times @ self.word_logs[rows]
-            for w, n in counts.items():
-                if w not in self.words:
-                    if w not in memo:
-                        if len(memo) >= FLUSH:
-                            memo.clear()
-                        if len(w) > MAX_WORD_CHARS:
-                            score += n * self.unseen(w)
-                            continue
-                        memo[w] = self.unseen(w)
-                    score += n * memo[w]
-            share = np.exp(score - score.max())
-            best = int(np.argmax(share))
-            out.append((self.langs[best], float(share[best] / share.sum())))
+        split = [words_of(t) for t in texts]
+        split = [w if any(c.isalpha() for x in w for c in x) else [] for w in split]
+        sizes = np.array([len(w) for w in split], np.int64)
+        out = [(UNKNOWN, 0.0)] * len(texts)
+        if not self.langs or not sizes.any():
+            return out
+        rows.add(split)
+        at = np.fromiter(map(rows.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        able = np.flatnonzero(sizes)
+        score = np.add.reduceat(rows.table[at], (np.cumsum(sizes) - sizes)[able], axis=0)
+        share = np.exp(score - score.max(axis=1, keepdims=True))
+        best = share.argmax(axis=1)
+        sure = share[np.arange(len(able)), best] / share.sum(axis=1)
+        for k, b, p in zip(able.tolist(), best.tolist(), sure.tolist(), strict=True):
+            out[k] = (self.langs[b], p)
         return out
 
 
+class Rows(dict):
+    """Row of each word in a worker's table of scores: those of the model first, then unknown words as they come, at most FLUSH of them at a time."""
+
+    def __init__(self, model: Model):
+        super().__init__(model.words)
+        self.model, self.known = model, len(model.words)
+        self.size = self.known
+        self.table = np.concatenate([model.word_logs.reshape(len(model.words), len(model.langs)), np.zeros((1024, len(model.langs)))])
+
+    def add(self, split: list[list[str]]) -> None:
+        """Score the words of these texts that have no row yet."""
+        new = [w for w in set(chain.from_iterable(split)) if w not in self]
+        if self.size + len(new) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((len(self.table) + len(new), self.table.shape[1]))])
+        self.table[self.size : self.size + len(new)] = self.model.unseen(new)
+        self.update(zip(new, range(self.size, self.size + len(new)), strict=True))
+        self.size += len(new)
+
+    def trim(self) -> None:
+        """Forget the unknown words if there are too many; only between texts."""
+        if self.size - self.known > FLUSH:
+            self.clear()
+            self.update(self.model.words)
+            self.size, self.table = self.known, self.table[: self.known + 1024]
+
+
 def _logs(rows: list[tuple[str, str, int]], langs: list[str], totals: dict[str, int], alpha: float = 0.5) -> tuple[dict[str, int], np.ndarray]:
     at: dict[str, int] = {}
     for _, key, _ in rows:
@@ -121,21 +152,21 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
         yield from out()
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
 
         def out():
-            rows = list(counts.items())
+            rows = [(lang, gram, n) for lang, c in counts.items() for gram, n in c.items()]
             counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], names=["lang", "gram", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "gram", "n"])
 
         for b in batches:
             for lang, word, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                padded = f" {word} "
+                padded, of_lang = f" {word} ", counts[lang]
                 for size in range(1, ORDER + 1):
                     for i in range(len(padded) - size + 1):
-                        counts[lang, padded[i : i + size]] += n
-                if len(counts) > FLUSH:
-                    yield out()
+                        of_lang[padded[i : i + size]] += n
+            if sum(map(len, counts.values())) > FLUSH:
+                yield out()
         if counts:
             yield out()
 
@@ -146,7 +177,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     if not totals:
         return model
 
-    def most(df: DataFrame, by: list[str], limit: int) -> list:
+    def most(df: DataFrame, by: list[str], limit: int) -> list[tuple]:
         """The rows of the highest counts in each group, as many whole steps of a sixteenth of a doubling as fit in the limit: no ranking, so no task gets a whole group."""
         stepped = df.withColumn("step", F.floor(F.log2("n") * 16).cast("int"))
         least: dict[tuple, list[int]] = {}
@@ -159,16 +190,17 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
                 state[2] = 1
         kinds = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by]
         cut = df.sparkSession.createDataFrame([(*k, v[0]) for k, v in least.items()], ", ".join([*kinds, "least int"]))
-        return stepped.join(F.broadcast(cut), by).filter("step >= least").select(df.columns).collect()
+        kept = stepped.join(F.broadcast(cut), by).filter("step >= least").select(df.columns).toArrow()
+        return list(zip(*(c.to_pylist() for c in kept.columns), strict=True))
 
     short = counts.filter(F.length("word") <= MAX_WORD_CHARS)
-    model.words, model.word_logs = _logs([(r.lang, r.word, r.n) for r in most(short, ["lang"], MAX_WORDS)], model.langs, totals)
+    model.words, model.word_logs = _logs(most(short, ["lang"], MAX_WORDS), model.langs, totals)
     found = arrow_map(counts, grams, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     found = found.filter("gram <> ' '").withColumn("size", F.length("gram")).checkpoint()
     of_size = {(r["size"], r.lang): r.n for r in found.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
     kept = most(found, ["lang", "size"], MAX_GRAMS)
     for n in range(1, ORDER + 1):
-        model.grams[n], model.gram_logs[n] = _logs([(r.lang, r.gram, r.n) for r in kept if r["size"] == n], model.langs, {x: of_size.get((n, x), 0) for x in model.langs})
+        model.grams[n], model.gram_logs[n] = _logs([r[:3] for r in kept if r[3] == n], model.langs, {x: of_size.get((n, x), 0) for x in model.langs})
     return model
 
 
@@ -181,9 +213,13 @@ def predicted(docs: DataFrame, model: Model, keep: list[str], text_col: str = "t
     shared = Shipped(docs.sparkSession, model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, np.ndarray] = {}
+        rows = Rows(shared.value)
         for b in batches:
-            found = shared.value.predict(b.column(1).to_pylist(), memo)
+            raw, texts = b.column(1).cast(pa.binary()).to_pylist(), b.column(1).to_pylist()
+            found = []
+            for i, j in groups(raw, 2 << 20):
+                rows.trim()
+                found += shared.value.predict(texts[i:j], rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["kept", "lang_pred", "score"])
 
     few = docs.select(F.struct(*[F.col(c) for c in keep]).alias("kept"), F.col(text_col).alias("text"))
