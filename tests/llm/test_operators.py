@@ -14,7 +14,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from transect.llm import catalog, chat, decontaminate, lm, mixing, pii, quality, secret_scan, simhash, token_counts
+from transect.llm import catalog, chat, decontaminate, langid, lm, mixing, pii, quality, secret_scan, simhash, token_counts
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -329,6 +329,26 @@ def test_language_accuracy(spark, sf_small, frame):
     assert (got.lang_pred == got.lang)[got.held_out].mean() > 0.95 and got.score.between(0, 1).all()
 
 
+def test_every_counted_word_is_known(spark):
+    """150,000 words of one language, all but a few seen once, and a few of them in the other language too, seen less than others there."""
+    letters = "abcdefghij"
+    words = ["q" + "".join(letters[int(x)] for x in str(k)) for k in range(150_000)]
+    texts = {"aa": [*words, "x" * 100], "bb": [*words[:3], *(w.replace("q", "z") for w in words[:120_000] for _ in range(2))]}
+    docs = spark.createDataFrame([(t[k : k + 5000], lang) for lang, t in texts.items() for k in range(0, len(t), 5000)], "w array<string>, lang string")
+    model = langid.train(docs.selectExpr("array_join(w, ' ') AS text", "lang"))
+    asked = ["qa", "qjjjjj", "qbejjjj x" + "x" * 99, "zbbjjjj qb", "qb qc zb"]
+    got = {r.text: r for r in langid.predicted(spark.createDataFrame([(t,) for t in asked], "text string"), model, ["text"]).collect()}
+    counts = {lang: Counter(t) for lang, t in texts.items()}
+    types = len(set().union(*counts.values()))
+    for text in asked:
+        known = [w for w in text.split() if any(c[w] for c in counts.values())]
+        assert known == text.split()
+        logs = [sum(math.log((c[w] + 0.5) / (c.total() + 0.5 * (types + 1))) for w in known) for c in counts.values()]
+        share = np.exp(np.array(logs) - max(logs))
+        assert got[text].lang_pred == ("aa", "bb")[int(share.argmax())] and got[text].score == pytest.approx(share.max() / share.sum(), rel=1e-9)
+    assert model.types == types and model.totals == [c.total() for c in counts.values()]
+
+
 # 9
 
 

@@ -1,9 +1,10 @@
 """Language identification by known words first, then shorter and shorter character n-grams.
 
-Words are runs of letters, lower-cased. Spark counts every word of the training texts by language; the model keeps each
-language's most frequent words (its size is bounded, so it can be broadcast) and n-gram counts taken from all counted
-words. A known word scores by its log frequency in each language; an unknown one by the longest order of n-grams of which
-the model has seen any, the mean log frequency of those, one order less for each step back.
+Words are runs of letters, lower-cased. Spark counts every word of the training texts by language; all counts are kept, as
+sorted arrays of word hashes in the shared folder, which the workers map. N-gram counts are taken from all counted words;
+the model holds the most frequent n-grams (a bounded number, so they can be broadcast). A known word, one that training has
+seen in any language, scores by its log frequency in each language; an unknown one by the longest order of n-grams of which
+the model has seen any, the mean log frequency of those, one order less for each step back. Words are compared by 64-bit hash.
 """
 
 from __future__ import annotations
@@ -16,17 +17,22 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import Shipped, arrow_map, groups, shared_folder
+from transect.llm.common import Shipped, arrow_map, groups, mapped, put_file, shared_folder, spread, workspace
+from transect.llm.lm import _narrow, _packed, _range_of, _unpacked
 
 #: Longest n-grams; words are padded by a space on each side.
 ORDER = 4
-#: The most words and n-grams (of one order) in a model, shared equally by its languages, and the most characters of a known word.
-MAX_WORDS, MAX_GRAMS, MAX_WORD_CHARS = 200_000, 100_000, 64
-#: Distinct words that a task holds before it sends their counts on.
+#: The most n-grams (of one order) in a model, shared equally by its languages.
+MAX_GRAMS = 100_000
+#: Distinct words that a task holds before it sends their counts on, or forgets their scores.
 FLUSH = 200_000
+#: Added to each count; seed of the word hashes, that of Spark's xxhash64.
+ALPHA, SEED = 0.5, 42
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -38,11 +44,13 @@ def words_of(text: str | None) -> list[str]:
 
 @dataclass
 class Model:
-    """Log frequencies by language: rows of `words` for known words, of grams[n] for n-grams of n characters; what an unseen one gets."""
+    """Where the counts of all words lie, in how many ranges of hash, words of each language and distinct ones; log frequencies by language, rows of grams[n], for n-grams of n characters."""
 
     langs: list[str]
-    words: dict[str, int] = field(default_factory=dict)
-    word_logs: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    uri: str = ""
+    ranges: int = 1
+    totals: list[int] = field(default_factory=list)
+    types: int = 0
     grams: dict[int, dict[str, int]] = field(default_factory=dict)
     gram_logs: dict[int, np.ndarray] = field(default_factory=dict)
 
@@ -90,33 +98,67 @@ class Model:
         return out
 
 
+class Words:
+    """A worker's view of the counted words: hash, language and count, sorted by hash, mapped from the shared folder when first needed."""
+
+    def __init__(self, model: Model):
+        self.model, self._open = model, {}
+
+    def _file(self, part: int) -> list[np.ndarray]:
+        if part not in self._open:
+            try:
+                self._open[part] = _unpacked(mapped(self.model.uri, f"words-{part}"))
+            except FileNotFoundError:  # no word fell into this range
+                self._open[part] = [np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.uint8)]
+        return self._open[part]
+
+    def counts(self, words: list[str]) -> np.ndarray:
+        """Count of each word in each language; all 0 for an unknown one."""
+        out = np.zeros((len(words), len(self.model.langs)))
+        keys = np.fromiter((xxhash.xxh64_intdigest(w.encode(), SEED) for w in words), np.uint64, len(words))
+        order = np.argsort(keys)
+        keys = keys[order]
+        part = _range_of(keys, self.model.ranges)
+        cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+        for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)], strict=False):
+            key, lang, n = self._file(int(part[a]))
+            low, high = np.searchsorted(key, keys[a:z], "left"), np.searchsorted(key, keys[a:z], "right")
+            sizes = high - low
+            at = np.arange(sizes.sum()) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
+            out[np.repeat(order[a:z], sizes), lang[at]] = n[at]
+        return out
+
+
 class Rows(dict):
-    """Row of each word in a worker's table of scores: those of the model first, then unknown words as they come, at most FLUSH of them at a time."""
+    """Row of each word in a worker's table of scores, as words come, about FLUSH of them at a time."""
 
     def __init__(self, model: Model):
-        super().__init__(model.words)
-        self.model, self.known = model, len(model.words)
-        self.size = self.known
-        self.table = np.concatenate([model.word_logs.reshape(len(model.words), len(model.langs)), np.zeros((1024, len(model.langs)))])
+        super().__init__()
+        self.model, self.words, self.size = model, Words(model), 0
+        self.rest = np.log(np.array(model.totals) + ALPHA * (model.types + 1))
+        self.table = np.zeros((1024, len(model.langs)))
 
     def add(self, split: list[list[str]]) -> None:
         """Score the words of these texts that have no row yet."""
         new = [w for w in set(chain.from_iterable(split)) if w not in self]
         if self.size + len(new) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros((len(self.table) + len(new), self.table.shape[1]))])
-        self.table[self.size : self.size + len(new)] = self.model.unseen(new)
+        counts = self.words.counts(new)
+        scores = np.log(counts + ALPHA) - self.rest
+        unknown = np.flatnonzero(~counts.any(axis=1))
+        scores[unknown] = self.model.unseen([new[k] for k in unknown])
+        self.table[self.size : self.size + len(new)] = scores
         self.update(zip(new, range(self.size, self.size + len(new)), strict=True))
         self.size += len(new)
 
     def trim(self) -> None:
-        """Forget the unknown words if there are too many; only between texts."""
-        if self.size - self.known > FLUSH:
+        """Forget the words if there are too many; only between texts."""
+        if self.size > FLUSH:
             self.clear()
-            self.update(self.model.words)
-            self.size, self.table = self.known, self.table[: self.known + 1024]
+            self.size, self.table = 0, self.table[:1024].copy()
 
 
-def _logs(rows: list[tuple[str, str, int]], langs: list[str], totals: dict[str, int], alpha: float = 0.5) -> tuple[dict[str, int], np.ndarray]:
+def _logs(rows: list[tuple[str, str, int]], langs: list[str], totals: dict[str, int], alpha: float = ALPHA) -> tuple[dict[str, int], np.ndarray]:
     at: dict[str, int] = {}
     for _, key, _ in rows:
         at.setdefault(key, len(at))
@@ -193,8 +235,21 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
         kept = stepped.join(F.broadcast(cut), by).filter("step >= least").select(df.columns).toArrow()
         return list(zip(*(c.to_pylist() for c in kept.columns), strict=True))
 
-    short = counts.filter(F.length("word") <= MAX_WORD_CHARS)
-    model.words, model.word_logs = _logs(most(short, ["lang"], MAX_WORDS), model.langs, totals)
+    def written(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        key, n = table.column("h").to_numpy().view(np.uint64), table.column("n").to_numpy().astype(np.uint64)
+        lang = pc.index_in(table.column("lang"), pa.array(langs)).to_numpy().astype(np.uint64)
+        order = np.argsort(key)
+        key = key[order]
+        put_file(uri, f"words-{part}", [_packed(key, _narrow(lang[order]), _narrow(n[order]))])
+        return pa.table([pa.array([part], pa.int32()), pa.array([len(np.unique(key))], pa.int64())], names=["part", "types"])
+
+    langs, ranges, uri = model.langs, max(1, min(spread(docs.sparkSession), 1 << 16)), workspace(docs.sparkSession, "words")
+    hashed = counts.select("lang", F.xxhash64("word").alias("h"), "n")
+    of_range = F.shiftright(F.shiftrightunsigned("h", 48) * ranges, 16).cast("int")
+    parts = hashed.withColumn("part", of_range).groupBy("part").applyInArrow(written, "part int, types bigint")
+    model.types = sum(r.types for r in parts.collect())
+    model.uri, model.ranges, model.totals = uri, ranges, [totals[x] for x in langs]
     found = arrow_map(counts, grams, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     found = found.filter("gram <> ' '").withColumn("size", F.length("gram")).checkpoint()
     of_size = {(r["size"], r.lang): r.n for r in found.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
