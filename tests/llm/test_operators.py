@@ -85,6 +85,17 @@ def test_good_documents_are_kept(spark, sf_small):
     assert got[(got.quality == 1) & ~got.base_failed].kept.mean() > 0.97
 
 
+def test_bad_documents_are_caught(spark, sf_small):
+    """Of the labelled rows that the base rules pass, the forest takes nearly all bad ones for few good ones; rows that the base rules reject have no say in the threshold."""
+    sf_dir = sf_small.replace("sf0.001", "sf0.01")
+    got = run(spark, sf_dir, "op1_quality_rules").merge(pd.read_parquet(f"{sf_dir}/labels.parquet"), on="doc_id")
+    passed = got[~got.base_failed]
+    good = (passed.quality == 1).to_numpy()
+    assert (~good).sum() == 28 and (~passed.kept[~good]).mean() > 0.9 and (~passed.kept[good]).mean() <= quality.MAX_GOOD_LOSS
+    threshold = quality.calibrate(passed.score.to_numpy(), good, quality.MAX_GOOD_LOSS)
+    assert (passed.kept == (passed.score <= threshold)).all()
+
+
 # 2
 
 
