@@ -78,6 +78,21 @@ def test_simhash(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.deduplicated(empty).count() == 0
 
 
+def test_each_component_keeps_one_row(spark):
+    """Ids that stand on different texts, and null ids: of each text one row stays, that of the least id."""
+    a, b, c, d, e, f = (" ".join(f"{x}{k * k % 101}" for k in range(60)) for x in "abcdef")
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, b, "x"), (3, c, "x"), (1, c, "x"), (1, d, "x"), (4, d, "x"), (4, e, "x"), (4, e, "x"), (None, f, "x"), (None, f, "x"), (None, f, "x"), (None, a, "x"), (None, None, "x"), (None, "", "x"), (5, None, "x"), (None, "alone", "x")]
+    kept = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(4))
+    assert kept.columns == ["doc_id", "text", "key"]
+    want = [(1, a), (2, b), (1, c), (1, d), (4, e), (None, f), (5, None), (None, "alone")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    long = " ".join(f"w{k}" for k in range(3000))
+    assert 0 < (simhash.fingerprint(long.encode()) ^ simhash.fingerprint(f"{long} {a}".encode())).bit_count() <= 3
+    nulls = simhash.deduplicated(spark.createDataFrame([(None, t, "x") for t in (long, long, b, f"{long} {a}", None, "")], "doc_id long, text string, key string"))
+    texts = [r.text for r in nulls.collect()]
+    assert len(texts) == 3 and b in texts and (long in texts) + (f"{long} {a}" in texts) == 1
+
+
 def test_secrets(docs, empty):
     got = {r.doc_id: r.spans for r in secret_scan.scan(docs).filter("doc_id IS NOT NULL").collect()}
     assert [s.kind for s in got[6]] == ["assign"] and got[3] == [] and got[4] == []

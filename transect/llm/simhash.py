@@ -221,26 +221,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, budget: int = 3) -> DataFrame:
-    """The rows of docs, with their columns, that stand for their component: the row whose id is the component's. Rows that repeat an id are reduced to one; of the rows without an id none is dropped unless it is linked to a row with one."""
-    found = near_duplicates(docs, id_col, text_col, width, budget)
-    found = stored(found.withColumnRenamed(id_col, "id"), workspace(docs.sparkSession, "dedup"))
-    gone = found.filter("id <> component_id").select("id").distinct()
-    orphans = found.filter("id IS NULL AND component_id IS NOT NULL").select("fp").distinct()
-    kept = whole_rows(docs).select("row", F.col(f"row.`{id_col}`").alias("id")).join(gone, "id", "left_anti").select("row", "id")
-    if not orphans.isEmpty():
-        without = kept.filter("id IS NULL").withColumn("fp", _print_of(F.col(f"row.`{text_col}`"), width))
-        kept = kept.filter("id IS NOT NULL").unionByName(without.join(orphans, "fp", "left_anti").select("row", "id"))
-    again = found.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select("id")
+    """The rows of docs, with their columns, that stand for their component: of each component one row, that of the least id, whatever the ids are.
+
+    Rows are told apart by id and hash of the text, so an id on rows of different components stands for each of them. Among
+    rows of the least id the least hash decides; of rows that share both one stays. A null id comes after all others.
+    """
+    key = lambda id, text: F.struct(id.isNull().alias("none"), id.alias("id"), F.xxhash64(text).alias("h")).alias("key")
+    keyed = docs.select(key(F.col(id_col), F.col(text_col)), F.col(text_col).alias("text"))
+    found = stored(near_duplicates(keyed, "key", "text", width, budget), workspace(docs.sparkSession, "dedup"))
+    gone = found.filter("key <> component_id").select("key").distinct()
+    kept = whole_rows(docs).select("row", key(F.col(f"row.`{id_col}`"), F.col(f"row.`{text_col}`"))).join(gone, "key", "left_anti").select("row", "key")
+    again = found.filter("key = component_id").groupBy("key").count().filter("count > 1").select("key")
     if not again.isEmpty():
-        kept = kept.join(again, "id", "left_anti").unionByName(kept.join(again, "id", "left_semi").dropDuplicates(["id"]))
+        kept = kept.join(again, "key", "left_anti").unionByName(kept.join(again, "key", "left_semi").dropDuplicates(["key"]))
     return columns_of(kept, docs.columns)
-
-
-def _print_of(text, width: int):
-    @F.pandas_udf("bigint")
-    def of(values):
-        import pandas as pd
-
-        return pd.Series([int(np.uint64(fingerprint(None if v is None else v.encode(), width)).view(np.int64)) for v in values])
-
-    return of(text)
