@@ -5,7 +5,8 @@ each range of pair keys. The owner of a range merges its blocks, writes the sort
 folder, and sends on, by ranges of word hashes, what its pairs say about words: token counts, distinct left neighbours,
 and how many followers were seen once, twice, and more often. A second round merges these into sorted word files. A frequent
 word's pairs are spread over 256 places of the key space, so no range holds a third of the rows. Every pair and word counts;
-nothing is pruned. The driver gets one row of totals for each range.
+nothing is pruned. There are as many ranges as the texts have RANGE_BYTES, so that a range's share, and with it a task's, stays
+the same whatever the size of the table. The driver gets one row of totals for each range.
 
 Scoring: a worker maps the files and looks up the sorted, distinct keys of some MB of texts at a time.
 
@@ -26,12 +27,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import arrow_map, as_bytes, groups, mapped, put_file, spread, workspace
+from transect.llm.common import arrow_map, as_bytes, groups, mapped, put_file, workspace
 
 #: Bytes that are no UTF-8 text, for the end of a text and for what stands before its first word.
 END, START = b"\xff/", b"\xff"
 #: Text counted or scored at once in a worker.
 CHUNK_BYTES = 8 << 20
+#: Bytes of text for which there is one range of keys; their pairs are merged in one worker, at most about so many at a time.
+RANGE_BYTES, MERGE_PAIRS = 16 << 20, 1 << 20
 WORD_COLUMNS = (("key", "<u8"), ("count", "<u8"), ("left", "<u4"), ("once", "<u4"), ("twice", "<u4"), ("more", "<u4"))
 
 
@@ -63,7 +66,7 @@ def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     """The equal part of the key space that a key lies in."""
-    return ((keys >> np.uint64(48)) * np.uint64(ranges) >> np.uint64(16)).astype(np.int64)
+    return ((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
 
 def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes | None]]:
@@ -86,7 +89,7 @@ def _packed(*arrays: np.ndarray) -> bytes:
     return b"".join([head.tobytes(), *(a.tobytes() for a in arrays)])
 
 
-def _unpacked(block: bytes) -> list[np.ndarray]:
+def _unpacked(block) -> list[np.ndarray]:
     n = int(np.frombuffer(block, "<i8", 1)[0])
     shape = np.frombuffer(block, "<i8", 2 * n, 8).reshape(n, 2)
     out, at = [], 8 + 16 * n
@@ -110,12 +113,34 @@ def _summed(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     return [key[at], *(np.add.reduceat(v[order].astype(np.uint64), at) if len(at) else np.zeros(0, np.uint64) for v in values), order[at]]
 
 
+def _merged(blocks: Iterator[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order, their counts, left and right words, of blocks of pairs; blocks are merged as they come, so what is held is in proportion to the distinct pairs."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size, most = 0, MERGE_PAIRS
+
+    def together() -> tuple[np.ndarray, ...]:
+        left, right, times = (np.concatenate(x) for x in zip(*held, strict=True))
+        key, times, first = _summed(pair_keys(left, right), times)
+        return key, left[first], right[first], times
+
+    for left, runs, right, times in blocks:
+        held.append((np.repeat(left, runs.astype(np.int64)), right, times.astype(np.uint64)))
+        size += len(right)
+        if size > most:
+            held[:] = [together()[1:]]
+            size = len(held[0][0])
+            most = max(MERGE_PAIRS, 2 * size)
+    key, left, right, times = together()
+    return key, times, left, right
+
+
 @dataclass
 class Model:
-    """Where the arrays lie, in how many ranges, and the totals from which probabilities follow."""
+    """Where the arrays lie, in how many ranges of pairs and of words, and the totals from which probabilities follow."""
 
     uri: str
     ranges: int
+    word_ranges: int
     tokens: int
     types: int
     pairs: int
@@ -138,7 +163,9 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     """Model of all texts of docs; null is empty. An empty table gives a model that knows nothing. Only the texts are read."""
     spark = docs.sparkSession
-    ranges, uri = max(1, min(spread(spark), 1 << 16)), workspace(spark, "bigrams")
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("bigint"))).first()[0] or 0
+    ranges, uri = max(1, min(-(-size // RANGE_BYTES), 1 << 24)), workspace(spark, "bigrams")
+    word_ranges = -(-ranges // 4)  # there is less to say about words than about pairs
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in gathered(batches):
@@ -157,48 +184,44 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
 
     def pairs(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        got = [_unpacked(x) for x in table.column("block").to_pylist()]
-        left = np.concatenate([np.repeat(g[0], g[1].astype(np.int64)) for g in got])
-        right, times = np.concatenate([g[2] for g in got]), np.concatenate([g[3].astype(np.uint64) for g in got])
-        key, times, first = _summed(pair_keys(left, right), times)
-        left, right = left[first], right[first]
+        key, times, left, right = _merged(_unpacked(x.as_buffer()) for x in table.column("block"))
         put_file(uri, f"pairs-{part}", [np.array([len(key)], "<u8"), key.astype("<u8"), times.astype("<u8" if len(times) and times.max() >= 1 << 32 else "<u4")])
         word, seen, _ = _summed(right, times)
         _, lefts, _ = _summed(right, np.ones(len(right), np.uint64))
         context, once, twice, more, _ = _summed(left, times == 1, times == 2, times > 2)
-        of_word, of_context = _range_of(word, ranges), _range_of(context, ranges)
+        of_word, of_context = _range_of(word, word_ranges), _range_of(context, word_ranges)
         parts, blocks = [], []
-        for k in range(ranges):
+        for k in np.union1d(of_word, of_context).tolist():
             a, z = np.searchsorted(of_word, [k, k + 1])
             c, d = np.searchsorted(of_context, [k, k + 1])
-            if z > a or d > c:
-                parts.append(k)
-                blocks.append(_packed(word[a:z], _narrow(seen[a:z]), _narrow(lefts[a:z]), context[c:d], _narrow(once[c:d]), _narrow(twice[c:d]), _narrow(more[c:d])))
-        parts.append(-1 - part % 8)
+            parts.append(k)
+            blocks.append(_packed(word[a:z], _narrow(seen[a:z]), _narrow(lefts[a:z]), context[c:d], _narrow(once[c:d]), _narrow(twice[c:d]), _narrow(more[c:d])))
+        # Totals of the pairs, a block of one array, go along with some range of words.
+        parts.append(part % word_ranges)
         blocks.append(_packed(np.array([(times == k).sum() for k in (1, 2, 3, 4)] + [len(times)], "<u8")))
         return pa.table([pa.array(parts, pa.int32()), pa.array(blocks, pa.binary())], names=["part", "block"])
 
     def words(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
-        got = [_unpacked(x) for x in table.column("block").to_pylist()]
-        if part < 0:
-            totals = [int(x) for x in np.sum([g[0] for g in got], axis=0)]
-        else:
-            word, seen, left, context, once, twice, more = (np.concatenate([g[k].astype("<u8") for g in got]) for k in range(7))
-            none_w, none_c = np.zeros(len(word), np.uint64), np.zeros(len(context), np.uint64)
-            key, seen, left, once, twice, more, _ = _summed(np.concatenate([word, context]), *(np.concatenate(x) for x in ((seen, none_c), (left, none_c), (none_w, once), (none_w, twice), (none_w, more))))
-            put_file(uri, f"words-{part}", [x.astype(t) for x, (_, t) in zip((key, seen, left, once, twice, more), WORD_COLUMNS, strict=True)])
-            totals = [int(seen.sum()), int((seen > 0).sum()), *(int((left == k).sum()) for k in (1, 2, 3, 4)), int((left > 2).sum())]
-        return pa.table([pa.array([part], pa.int32()), pa.array([totals], pa.list_(pa.int64()))], names=["part", "totals"])
+        got = [_unpacked(x.as_buffer()) for x in table.column("block")]
+        of_pairs = [int(x) for x in np.sum([g[0] for g in got if len(g) == 1] or [np.zeros(5, np.uint64)], axis=0)]
+        empty = [np.zeros(0, "<u8")] * 7
+        word, seen, left, context, once, twice, more = (np.concatenate([g[k].astype("<u8") for g in got if len(g) > 1] or [empty[k]]) for k in range(7))
+        none_w, none_c = np.zeros(len(word), np.uint64), np.zeros(len(context), np.uint64)
+        key, seen, left, once, twice, more, _ = _summed(np.concatenate([word, context]), *(np.concatenate(x) for x in ((seen, none_c), (left, none_c), (none_w, once), (none_w, twice), (none_w, more))))
+        put_file(uri, f"words-{part}", [x.astype(t) for x, (_, t) in zip((key, seen, left, once, twice, more), WORD_COLUMNS, strict=True)])
+        of_words = [int(seen.sum()), int((seen > 0).sum()), *(int((left == k).sum()) for k in (1, 2, 3, 4)), int((left > 2).sum())]
+        return pa.table([pa.array([part], pa.int32()), pa.array([of_words], pa.list_(pa.int64())), pa.array([of_pairs], pa.list_(pa.int64()))], names=["part", "words", "pairs"])
 
     schema = "part int, block binary"
-    sent = arrow_map(docs.select(text_col), counted, schema).groupBy("part").applyInArrow(pairs, schema)
-    rows = sent.groupBy("part").applyInArrow(words, "part int, totals array<bigint>").collect()
-    of_pairs = [sum(x) for x in zip(*(r.totals for r in rows if r.part < 0), strict=True)] or [0] * 5
-    of_words = [sum(x) for x in zip(*(r.totals for r in rows if r.part >= 0), strict=True)] or [0] * 7
+    # One partition for each range, so that a task's share follows neither the session's setting nor the size of the table.
+    sent = arrow_map(docs.select(text_col), counted, schema).repartitionById(ranges, F.col("part")).groupBy("part").applyInArrow(pairs, schema)
+    rows = sent.repartitionById(word_ranges, F.col("part")).groupBy("part").applyInArrow(words, "part int, words array<bigint>, pairs array<bigint>").collect()
+    of_pairs = [sum(x) for x in zip(*(r.pairs for r in rows), strict=True)] or [0] * 5
+    of_words = [sum(x) for x in zip(*(r.words for r in rows), strict=True)] or [0] * 7
     low = discounts(of_words[2:6])
     rest = (low[0] * of_words[2] + low[1] * of_words[3] + low[2] * of_words[6]) / of_pairs[4] if of_pairs[4] else 1.0
-    model = Model(uri, ranges, of_words[0], of_words[1], of_pairs[4], 0, discounts(of_pairs[:4]), low, rest)
+    model = Model(uri, ranges, word_ranges, of_words[0], of_words[1], of_pairs[4], 0, discounts(of_pairs[:4]), low, rest)
     model.texts = int(Arrays(model).words(np.array([xxhash.xxh64_intdigest(END)], np.uint64))["count"][0])
     return model
 
@@ -217,8 +240,8 @@ class Arrays:
                 self._open[name] = np.zeros(0, np.uint8)
         return self._open[name]
 
-    def _each(self, keys: np.ndarray):
-        part = _range_of(keys, self.model.ranges)
+    def _each(self, keys: np.ndarray, ranges: int):
+        part = _range_of(keys, ranges)
         cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
         for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)], strict=False):
             yield int(part[a]), a, z
@@ -228,7 +251,7 @@ class Arrays:
         order = np.argsort(keys, kind="stable")
         asked = keys[order]
         out = {name: np.zeros(len(keys), np.int64) for name, _ in WORD_COLUMNS[1:]}
-        for part, a, z in self._each(asked):
+        for part, a, z in self._each(asked, self.model.word_ranges):
             raw, at, columns = self._file(f"words-{part}"), 0, []
             n = len(raw) // 32
             for _, kind in WORD_COLUMNS:
@@ -244,7 +267,7 @@ class Arrays:
     def pairs(self, keys: np.ndarray) -> np.ndarray:
         """Counts of these pair keys, 0 for unknown ones; keys in order."""
         out = np.zeros(len(keys), np.int64)
-        for part, a, z in self._each(keys):
+        for part, a, z in self._each(keys, self.model.ranges):
             raw = self._file(f"pairs-{part}")
             if len(raw):
                 n = int(raw[:8].view("<u8")[0])
