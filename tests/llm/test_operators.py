@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -242,6 +243,30 @@ def test_secrets_against_python(spark, sf_small, frame):
             assert {s.kind for s in r.spans} >= {"github", "slack", "private_key"}
 
 
+def test_very_many_secrets_in_one_text(spark):
+    """200,000 secrets in one text, some of them inside others: scanned and cut in time that follows their number, and exactly."""
+    text = " ".join(f"token = {k:06d}cafecafecafecafe é AKIA{k:016d}" for k in range(100_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.perf_counter()
+    spans = secret_scan.scan(docs).first().spans
+    want = [(m.start(), 0, m.end()) for m in re.finditer(r"token = [0-9]{6}(cafe){4}", text)] + [(m.start(), 1, m.end()) for m in re.finditer("AKIA[0-9]{16}", text)]
+    want += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]{16,}", text)]
+    assert [(s.start, s.order, s.end) for s in spans] == sorted(want)
+    assert secret_scan.redacted(docs).first().text == " ".join(["[SECRET] é [SECRET]"] * 100_000)
+    assert time.perf_counter() - began < 60
+
+
+def test_any_number_of_rules(spark):
+    """A hundred rules with a query of their own and more than 62 trigrams, and one without."""
+    rules = [secret_scan.Rule(f"k{k}", f"q{chr(97 + k % 26)}{chr(97 + k // 26)}z[0-9]+", 0, 6) for k in range(100)] + [secret_scan.Rule("any", "[A-Z]+", 0, 3)]
+    assert secret_scan.with_least(rules[0]) == "qaaz[0-9]{2}" and secret_scan.with_least(rules[-1]) == "[A-Z]{3}"
+    texts = [f"x q{chr(97 + k % 26)}{chr(97 + k // 26)}z{'1' * (k % 5)} ABC" for k in range(100)]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), rules).collect()}
+    for k, t in enumerate(texts):
+        want = [(2, f"k{k}")] if k % 5 >= 2 else []
+        assert [(s.start, s.kind) for s in got[k]] == [*want, (len(t) - 3, "any")]
+
+
 def test_trigram_queries():
     assert secret_scan.trigram_query("[0-9a-f]+") is True and secret_scan.trigram_query("a?b?") is True
     assert secret_scan.trigram_query("abcd") == ("and", ["abc", "bcd"])

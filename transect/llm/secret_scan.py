@@ -11,7 +11,9 @@ from __future__ import annotations
 import re._constants as K
 import re._parser as parser
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +46,9 @@ RULES = (
 
 #: Most strings that a part of a regex may stand for before it counts as unknown.
 MOST_STRINGS = 64
+#: Items of an array that are run through one by one when sums are carried along it.
+BLOCK = 128
+SPANS = "array<struct<start:int,order:int,end:int,kind:string,low:int,high:int>>"
 
 
 def _all(parts: list):
@@ -124,105 +129,146 @@ def _trigrams(q) -> set[str]:
     return set() if q is True else {q} if isinstance(q, str) else set().union(*map(_trigrams, q[1]))
 
 
-def _holds(q, bit: dict[str, int], mask: Column) -> Column:
-    """Whether a bit mask of postings satisfies the query."""
-    if isinstance(q, str):
-        return mask.bitwiseAND(F.lit(1 << bit[q])) != 0
-    plain = [x for x in q[1] if isinstance(x, str)]
-    parts = [_holds(x, bit, mask) for x in q[1] if not isinstance(x, str)]
-    if plain:
-        want = F.lit(sum(1 << bit[x] for x in plain))
-        parts.append(mask.bitwiseAND(want) == want if q[0] == "and" else mask.bitwiseAND(want) != 0)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out & p if q[0] == "and" else out | p
-    return out
+def _any_of(trigrams: list[str]) -> str:
+    """A regex whose group 1 is the trigram at a position, if it is one of these. Classes of characters, then groups of first characters, turn most positions down at once, so the cost of a position hardly follows the number of trigrams."""
+
+    def plain(c: str) -> str:
+        return c if c.isalnum() else "\\" + c
+
+    def one_of(chars) -> str:
+        return "[" + "".join(map(plain, sorted(set(chars)))) + "]"
+
+    tree: dict[str, dict[str, list[str]]] = {}
+    for a, b, c in sorted(trigrams):
+        tree.setdefault(a, {}).setdefault(b, []).append(c)
+    first = list(tree)
+    each = {a: f"{plain(a)}(?:{'|'.join(plain(b) + one_of(cs) for b, cs in under.items())})" for a, under in tree.items()}
+    groups = [first[k : k + 5] for k in range(0, len(first), 5)]
+    some = "".join(one_of(t[k] for t in trigrams) for k in range(3))
+    return f"(?={some})(?=(" + "|".join(f"(?={one_of(g)})(?:{'|'.join(each[a] for a in g)})" for g in groups) + "))"
 
 
 def postings(docs: DataFrame, trigrams: list[str], id_col: str, text_col: str) -> DataFrame:
-    """(trigram, id): the inverted index of docs for these trigrams of lower-cased text, null ids left out."""
-    vocabulary = F.array(*[F.lit(t) for t in trigrams])
-    lowered = F.array(F.lower(F.coalesce(F.col(text_col), F.lit(""))))
-    present = F.flatten(F.transform(lowered, lambda t: F.filter(vocabulary, lambda x: F.contains(t, x))))
+    """(trigram, id): the inverted index of docs for these trigrams of lower-cased text, found in one pass over each text; null ids left out."""
+    present = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(_any_of(trigrams)), F.lit(1)))
     return docs.filter(F.col(id_col).isNotNull()).select(F.explode(present).alias("trigram"), F.col(id_col).alias("id"))
 
 
-def candidates(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[str, int]]:
-    """((id, rules bigint), bit by kind): ids of which some rule's query holds, and a bit for each such rule; the bits of rules that have a query."""
-    asked = {r.kind: q for r in rules if (q := trigram_query(r.regex)) is not True}
+def _holds(q, has) -> Column:
+    """Whether the postings of a text satisfy a query; has gives the column that tells of a trigram whether it is there."""
+    if isinstance(q, str):
+        return has(q)
+    parts = [_holds(x, has) for x in q[1]]
+    return reduce(and_ if q[0] == "and" else or_, parts)
+
+
+def candidates(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, set[int]]:
+    """((id, rules array<int>), numbers of the rules that have a query): ids of which some rule's query holds, and the numbers of those rules. Neither rules nor trigrams have a limit."""
+    asked = {k: q for k, r in enumerate(rules) if (q := trigram_query(r.regex)) is not True}
     trigrams = sorted(set().union(*map(_trigrams, asked.values())))
     if not asked:
-        return docs.select(F.col(id_col).alias("id"), F.lit(0).cast("bigint").alias("rules")).limit(0), {}
+        return docs.select(F.col(id_col).alias("id"), F.array().cast("array<int>").alias("rules")).limit(0), set()
     at = workspace(docs.sparkSession, "trigrams")
     index = stored(postings(docs, trigrams, id_col, text_col), f"{at}/postings")
+    number = F.create_map(*[x for k, t in enumerate(trigrams) for x in (F.lit(t), F.lit(k))])[F.col("trigram")]
+    # One bit for each trigram, 62 to a word.
     words = range(0, len(trigrams), 62)
-    value = F.create_map(*[x for k, t in enumerate(trigrams) for x in (F.lit(t), F.lit(1 << k % 62).cast("bigint"))])[F.col("trigram")]
-    word = F.create_map(*[x for k, t in enumerate(trigrams) for x in (F.lit(t), F.lit(k // 62 * 62))])[F.col("trigram")]
-    none = F.lit(0).cast("bigint")
-    masks = index.select("id", word.alias("word"), value.alias("value")).groupBy("id").agg(*[F.bit_or(F.when(F.col("word") == w, F.col("value")).otherwise(none)).alias(f"m{w}") for w in words])
-    bits = {kind: k for k, kind in enumerate(asked)}
-
-    def holds(q):
-        if isinstance(q, str):
-            k = trigrams.index(q)
-            return _holds(q, {q: k % 62}, F.col(f"m{k // 62 * 62}"))
-        if len(words) == 1:
-            return _holds(q, {t: k for k, t in enumerate(trigrams)}, F.col("m0"))
-        parts = [holds(x) for x in q[1]]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out & p if q[0] == "and" else out | p
-        return out
-
-    met = none
-    for kind, q in asked.items():
-        met = met.bitwiseOR(F.when(holds(q), F.lit(1 << bits[kind]).cast("bigint")).otherwise(none))
-    return stored(masks.select("id", met.alias("rules")).filter("rules <> 0"), f"{at}/candidates"), bits
+    bit = F.expr("shiftleft(1L, number % 62)")
+    masks = index.select("id", number.alias("number")).groupBy("id").agg(*[F.bit_or(F.when(F.expr("number div 62 * 62") == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"m{w}") for w in words])
+
+    def has(t: str) -> Column:
+        k = trigrams.index(t)
+        return F.col(f"m{k // 62 * 62}").bitwiseAND(F.lit(1 << k % 62)) != 0
+
+    met = F.filter(F.array(*[F.when(_holds(q, has), F.lit(k)) for k, q in asked.items()]), lambda k: k.isNotNull())
+    return stored(masks.select("id", met.alias("rules")).filter(F.size("rules") > 0), f"{at}/candidates"), set(asked)
+
+
+def _let(value: Column, use) -> Column:
+    """use(value), with value computed once however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """The items of an array in arrays of BLOCK of them."""
+    last = F.floor(F.greatest(F.size(items) - 1, F.lit(0)) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(items, b * BLOCK + 1, BLOCK))
+
+
+def _before(values: Column, zero: Column, join, levels: int = 3) -> Column:
+    """For each item of an array, join over all items before it (zero for the first).
+
+    Blocks of BLOCK items are run through one by one; what lies before a block comes from the same over the blocks' totals.
+    With three levels the work is in proportion to the items up to some millions, and no array grows item by item beyond a block.
+    """
+
+    def step(acc, v):
+        return F.struct(join(acc["now"], v).alias("now"), F.concat(acc["out"], F.array(acc["now"])).alias("out"))
+
+    def through(block, start):
+        return F.aggregate(block, F.struct(start.alias("now"), F.slice(F.array(start), 1, 0).alias("out")), step, lambda acc: acc["out"])
+
+    def joined(blocks):
+        return _let(F.transform(blocks, lambda b: F.aggregate(b, zero, join)), lambda totals: F.flatten(F.zip_with(blocks, _before(totals, zero, join, levels - 1), through)))
+
+    return through(values, zero) if levels == 1 else _let(_let(values, _blocks), joined)
 
 
 def _spans(text: Column, rule: Rule, order: int) -> Column:
-    """array<struct<start, order, end, kind>> of the rule's matches: leftmost, non-overlapping, failing ones dropped; code points, end exclusive.
+    """SPANS of the rule's matches: leftmost, non-overlapping, failing ones dropped; code points and bytes, ends exclusive.
 
-    The text between the matches and the matches themselves, in turn, give the positions.
+    The text between the matches and the matches themselves, in turn, give the positions: first inside blocks of them, then
+    each block's spans are moved to where it begins.
     """
-    regex = F.lit(rule.regex)
+    regex, none = F.lit(rule.regex), F.array().cast(SPANS)
     whole = F.regexp_extract_all(text, regex, F.lit(0))
     checked = F.regexp_extract_all(text, regex, F.lit(rule.group)) if rule.group else whole
     parts = F.arrays_zip(F.split(text, rule.regex, -1).alias("gap"), whole.alias("whole"), checked.alias("checked"))
-    kind = "array<struct<start:int,order:int,end:int,kind:string>>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
+
+    def at(chars, bytes):
+        return chars.alias("chars"), bytes.alias("bytes")
+
+    def span(start, end, low, high):
+        return F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind"), low.alias("low"), high.alias("high"))
 
     def step(acc, p):
-        start = acc["at"] + F.length(p["gap"])
-        end = start + F.coalesce(F.length(p["whole"]), F.lit(0))
-        one = F.array(F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind")))
+        start, low = acc["chars"] + F.length(p["gap"]), acc["bytes"] + F.octet_length(p["gap"])
+        end, high = start + F.coalesce(F.length(p["whole"]), F.lit(0)), low + F.coalesce(F.octet_length(p["whole"]), F.lit(0))
         good = F.coalesce(F.length(p["checked"]) >= rule.least, F.lit(False))
-        return F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+        return F.struct(*at(end, high), F.when(good, F.concat(acc["out"], F.array(span(start, end, low, high)))).otherwise(acc["out"]).alias("out"))
+
+    def moved(run, base):
+        return F.transform(run["out"], lambda s: span(s["start"] + base["chars"], s["end"] + base["chars"], s["low"] + base["bytes"], s["high"] + base["bytes"]))
 
-    # A regex without a long enough match costs one search.
-    able = text.rlike(rule.regex if rule.group or rule.least == 1 else re_with_least(rule))
-    return F.when(able, F.aggregate(parts, zero, step, lambda acc: acc["out"])).otherwise(F.array().cast(kind))
+    def placed(runs):
+        sizes = F.transform(runs, lambda r: F.struct(*at(r["chars"], r["bytes"])))
+        return F.flatten(F.zip_with(runs, _before(sizes, F.struct(*at(F.lit(0), F.lit(0))), lambda a, b: F.struct(*at(a["chars"] + b["chars"], a["bytes"] + b["bytes"])), 2), moved))
 
+    runs = F.transform(_let(parts, _blocks), lambda block: F.aggregate(block, F.struct(*at(F.lit(0), F.lit(0)), none.alias("out")), step))
+    # A text without a long enough match costs one search.
+    return F.when(text.rlike(with_least(rule)), _let(runs, placed)).otherwise(none)
 
-def re_with_least(rule: Rule) -> str:
-    """A regex that finds something where the rule does, and perhaps where its matches are too short."""
-    if rule.regex == r"[0-9a-f]+":
-        return f"[0-9a-f]{{{rule.least}}}"
-    return rule.regex
+
+def with_least(rule: Rule) -> str:
+    """A regex that finds something in every text in which the rule has a match that counts: the rule's, and where it is a part of fixed length and then a repeated character, that many of them."""
+    nodes = list(parser.parse(rule.regex))
+    low, high = parser.parse(rule.regex[:-1]).getwidth() if rule.regex.endswith("+") else (0, 1)
+    if rule.group or low != high or nodes[-1][0] is not K.MAX_REPEAT or nodes[-1][1][2].getwidth() != (1, 1):
+        return rule.regex
+    return f"{rule.regex[:-1]}{{{max(1, rule.least - low + 1)}}}"
 
 
 def _scanned(docs: DataFrame, rules, id_col: str, text_col: str) -> DataFrame:
-    """(row struct of docs, spans): the rows of docs with the spans of all rules, by start, then kind as listed."""
-    found, bits = candidates(docs, rules, id_col, text_col)
+    """(row struct of docs, spans SPANS): the rows of docs with the spans of all rules, by start, then kind as listed."""
+    found, asked = candidates(docs, rules, id_col, text_col)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     one = row.schema["row"].dataType[id_col].dataType
     joined = row.join(found.select(F.col("id").cast(one), "rules"), F.col(f"row.`{id_col}`") == F.col("id"), "left")
-    able = F.when(F.col(f"row.`{id_col}`").isNull(), F.lit(-1).cast("bigint")).otherwise(F.coalesce("rules", F.lit(0).cast("bigint")))
-    text = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
+    unknown, text = F.col(f"row.`{id_col}`").isNull(), F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
     spans = []
     for k, rule in enumerate(rules):
         got = _spans(text, rule, k)
-        spans.append(F.when(able.bitwiseAND(F.lit(1 << bits[rule.kind])) != 0, got).otherwise(F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")) if rule.kind in bits else got)
+        spans.append(F.when(unknown | F.coalesce(F.array_contains("rules", k), F.lit(False)), got).otherwise(F.array().cast(SPANS)) if k in asked else got)
     return joined.select("row", F.array_sort(F.concat(*spans)).alias("spans"))
 
 
@@ -231,24 +277,29 @@ def scan(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "
 
     A null text is empty. Rows with a null id can't be in the index and are scanned fully; rows that repeat an id share
     its candidates, which each row's text then decides. An empty table gives an empty one. Other columns aren't read.
+    A text with very many matches takes time in proportion to them.
     """
     few = docs.select(*dict.fromkeys([id_col, text_col]))
-    return _scanned(few, rules, id_col, text_col).select(F.col(f"row.`{id_col}`").alias(id_col), "spans")
+    return _scanned(few, rules, id_col, text_col).select(F.col(f"row.`{id_col}`").alias(id_col), F.transform("spans", lambda s: s.dropFields("low", "high")).alias("spans"))
 
 
 def redacted(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The rows of docs, with their columns, every span in their texts replaced by `mark` (overlapping ones by one). n_chars, where there is one, is counted again."""
     found = _scanned(docs, rules, id_col, text_col)
     text = F.col(f"row.`{text_col}`")
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc, s):
-        new = F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out"))
-        wider = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
-        return F.when(s["start"] >= acc["at"], new).otherwise(wider)
+    def pieces(raw):
+        """What is kept, in bytes, before each span that no span before it reaches, and its mark; then the rest."""
+
+        def piece(s, reached):
+            return F.when(s["low"] >= reached, F.concat(F.substring(raw, reached + 1, s["low"] - reached).cast("string"), F.lit(mark))).otherwise(F.lit(""))
+
+        reached = _before(F.transform("spans", lambda s: s["high"]), F.lit(0), lambda a, b: F.greatest(a, b))
+        last = F.array_max(F.transform("spans", lambda s: s["high"]))
+        rest = F.substring(raw, last + 1, F.greatest(F.octet_length(raw) - last, F.lit(0))).cast("string")
+        return F.concat(F.array_join(F.zip_with("spans", reached, piece), ""), rest)
 
-    clean = F.aggregate("spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    found = found.select("row", F.when(F.size("spans") > 0, clean).alias("clean"))
+    found = found.select("row", F.when(F.size("spans") > 0, _let(text.cast("binary"), pieces)).alias("clean"))
     out = []
     for f in docs.schema:
         column = F.col(f"row.`{f.name}`")
