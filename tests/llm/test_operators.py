@@ -382,7 +382,54 @@ def test_every_counted_word_is_known(spark):
         logs = [sum(math.log((c[w] + 0.5) / (c.total() + 0.5 * (types + 1))) for w in known) for c in counts.values()]
         share = np.exp(np.array(logs) - max(logs))
         assert got[text].lang_pred == ("aa", "bb")[int(share.argmax())] and got[text].score == pytest.approx(share.max() / share.sum(), rel=1e-9)
-    assert model.types == types and model.totals == [c.total() for c in counts.values()]
+    assert model.types[0] == types and model.totals[0] == [c.total() for c in counts.values()]
+
+
+def test_language_scores_against_brute_force(spark, sf_small, frame):
+    """Every score again from plain counters: known words by their logs, others by the longest n-grams that training has seen; ties go to the first language."""
+    got = run(spark, sf_small, "op8_language_id").set_index("doc_id")
+    letters = re.compile(r"[^\W\d_]+")
+    words, grams = defaultdict(Counter), {n: defaultdict(Counter) for n in (1, 2, 3, 4)}
+    split = {d.doc_id: letters.findall(d.text.lower()) for d in frame.itertuples()}
+    for d in frame[frame.lang.notna()].itertuples():
+        if zlib.crc32(str(d.doc_id).encode()) % 5:
+            words[d.lang].update(split[d.doc_id])
+    langs = sorted(words)
+    for lang, c in words.items():
+        for w, times in c.items():
+            for n in grams:
+                for i in range(len(w) + 3 - n):
+                    if (g := f" {w} "[i : i + n]) != " ":
+                        grams[n][lang][g] += times
+
+    def logs(counts, item):
+        types = len(set().union(*counts.values()))
+        return [math.log((counts[x][item] + 0.5) / (counts[x].total() + 0.5 * (types + 1))) for x in langs]
+
+    known, cache = set().union(*words.values()), {}
+
+    def score(w):
+        if w in known:
+            return logs(words, w)
+        for n in (4, 3, 2, 1):
+            seen = [g for i in range(len(w) + 3 - n) if (g := f" {w} "[i : i + n]) != " " and any(grams[n][x][g] for x in langs)]
+            if seen:
+                return np.mean([logs(grams[n], g) for g in seen], axis=0)
+        return [0.0] * len(langs)
+
+    checked = unknown = 0
+    for k, w in list(split.items())[::4]:
+        for x in set(w) - set(cache):
+            cache[x] = score(x)
+            unknown += x not in known
+        total = np.sum([cache[x] for x in w], axis=0)
+        share = np.exp(total - total.max())
+        assert got.loc[k].lang_pred == langs[int(share.argmax())] and got.loc[k].score == pytest.approx(share.max() / share.sum(), abs=1e-9)
+        checked += 1
+    assert checked > 40 and unknown > 100
+    tie = langid.train(spark.createDataFrame([("same words", "bb"), ("same words", "aa")], "text string, lang string"))
+    rows = langid.predicted(spark.createDataFrame([("same",), ("samewor",), ("\u4e2d",)], "text string"), tie, ["text"]).collect()
+    assert [(r.lang_pred, r.score) for r in rows] == [("aa", 0.5)] * 3
 
 
 # 9
