@@ -213,18 +213,70 @@ def test_mix(spark, sf_small, frame):
     assert got.sort_values("doc_id").reset_index(drop=True).equals(again.sort_values("doc_id").reset_index(drop=True))
 
 
-def test_blocks_hold_what_documents_say(spark, sf_small, frame):
-    mix = mixing.Mix(spark.read.parquet(f"{sf_small}/documents.parquet"))
-    blocks = mix.blocks().toPandas()
-    text = dict(zip(frame.doc_id, frame.text, strict=True))
-    taken = Counter()
-    for b in blocks.itertuples():
-        parts = b.text.split("\n\n") if len(b.doc_ids) == 1 else None
-        if parts is not None:
-            assert b.text in text[b.doc_ids[0]]
-            taken[b.doc_ids[0]] += 0
-        assert len(WORDS.findall(b.text)) == b.n_words
-    assert blocks.n_words.sum() == mix.documents().toPandas().taken.sum()
+def brute_mix(mix, frame):
+    """Blocks and words taken, from plain lists: a source's words in order of chunk, id, size and hash; slots by draw() and permuted()."""
+    import xxhash
+
+    def spark_hash(d):  # xxhash64 of id and hash of the text, as Spark chains them
+        tie = xxhash.xxh64_intdigest(d.text.encode(), 42)
+        tie -= (tie >= 1 << 63) << 64
+        h = xxhash.xxh64_intdigest(int(d.doc_id).to_bytes(8, "little", signed=True), 42)
+        h = xxhash.xxh64_intdigest(tie.to_bytes(8, "little", signed=True), h)
+        return h - ((h >= 1 << 63) << 64), tie
+
+    taken, blocks = Counter(), []
+    for s in mix.sources:
+        docs = []
+        for d in frame[frame.source == s.name].itertuples():
+            h, tie = spark_hash(d)
+            docs.append((h % s.chunks, d.doc_id, len(WORDS.findall(d.text)), tie, d.text))
+        words = [(d[1], w) for d in sorted(docs) for w in WORDS.findall(d[4])]
+        size, length = len(words), mix.block_words
+        want, n = round(s.target), 0
+        every = [words[k : k + length] for k in range(0, size, length)]
+        full = size // length
+        while n < want:  # passes over the full blocks in permuted order, the short one last, until the target is met to the word
+            turn = n // size
+            order = [int(mixing.permuted(np.array([s.rank]), np.array([full]), np.array([turn * full + i]), mix.seed)[0]) for i in range(full)] + [full] * (size % length > 0)
+            for b in order:
+                part = every[b][: want - n]
+                if part:
+                    blocks.append((s.rank, b, tuple(w for _, w in part)))
+                    taken.update(i for i, _ in part)
+                    n += len(part)
+    return taken, blocks
+
+
+@pytest.mark.parametrize("length", [256, 7])
+def test_mix_against_brute_force(spark, sf_small, frame, length):
+    mix = mixing.Mix(spark.read.parquet(f"{sf_small}/documents.parquet"), block_words=length, chunk_docs=20, shard_slots=50)
+    taken, blocks = brute_mix(mix, frame)
+    got = mix.documents().toPandas().set_index("doc_id").taken
+    assert got.to_dict() == {d: taken[d] for d in frame.doc_id}
+    rank = {s.name: s.rank for s in mix.sources}
+    made = mix.blocks().toPandas()
+    assert sorted((rank[b.source], b.block, tuple(WORDS.findall(b.text))) for b in made.itertuples()) == sorted(blocks)
+    for s in mix.sources:  # one length but for the last block and the cut slot
+        sizes = Counter(len(w) for r, b, w in blocks if r == s.rank and b < s.size // length)
+        assert sum(n for size, n in sizes.items() if size != length) <= 1
+        assert sum(len(w) for r, _, w in blocks if r == s.rank) == round(s.target)
+    slots = mix.slots().toPandas()
+    assert set(slots.groupby("shard").size()[:-1]) == {50} and not slots.duplicated(["rank", "slot"]).any()
+
+
+def test_a_row_repeated_very_often(spark):
+    """Equal rows beyond a limit have a chunk of their own, made from their count; every copy is a row with words of its own."""
+    rows = [(1, "same words every time", "a")] * 400 + [(k, f"other text {k}", "a") for k in range(2, 60)] + [(None, None, "b")] * 300 + [(7, "x y", "b")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    plain, own = (mixing.Mix(docs, block_words=8, chunk_docs=10, most_copies=n) for n in (10_000, 100))
+    assert plain._copied is None and own._copied.count() == 2
+    for mix in (plain, own):
+        got = mix.documents().toPandas()
+        assert len(got) == len(rows) and (got.taken <= 2 * got["size"]).all()
+        by = got.groupby("source").agg(taken=("taken", "sum"), target=("target", "first"))
+        assert (by.taken == by.target.round()).all()
+        made = mix.blocks().toPandas()
+        assert made.n_words.sum() == got.taken.sum() and (made.text.map(lambda t: len(WORDS.findall(t))) == made.n_words).all()
 
 
 # 6
