@@ -120,6 +120,22 @@ def test_automaton_against_brute_force():
             assert {p for a, b in spans for p in range(a, b)} == hit
 
 
+def test_many_automata_in_one_pass(spark, sf_small, monkeypatch):
+    """Blocks of few words, and an item longer than a block: the same words hit and the same items, for one scan of the documents."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    words = " ".join(r.text for r in docs.orderBy("doc_id").limit(12).collect()).split()
+    long = spark.createDataFrame([("long", " ".join(words[:3000])), ("short", " ".join(words[40:44]))], "item_id string, text string")
+    items = spark.read.parquet(f"{sf_small}/benchmark.parquet").selectExpr("CAST(item_id AS STRING) AS item_id", "text").unionByName(long)
+    whole, many = (decontaminate.automata(items, "item_id", "text", 10, n) for n in (10_000_000, 150))
+    assert len(whole.names) == 1 and len(many.names) > 20
+    monkeypatch.setattr(decontaminate, "HELD_BYTES", 50_000)
+    one, two = (decontaminate.matches(docs, items, block_words=n).toPandas().sort_values("doc_id").reset_index(drop=True) for n in (10_000_000, 150))
+    assert one.equals(two) and (one["items"].map(len) > 0).sum() > 12
+    assert decontaminate.matches(docs, items, block_words=150)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    clean = [decontaminate.cleaned(docs, items, block_words=n).orderBy("doc_id").toPandas() for n in (10_000_000, 150)]
+    assert clean[0].equals(clean[1])
+
+
 # 3
 
 

@@ -4,25 +4,29 @@ Items and texts are lower-cased (A-Z) and cut into words of letters, digits and
 every run of words of every item. A text is streamed through it while the longest match that ends at each word is
 tracked; where that reaches `window` words, these words are hit, and so is a whole item shorter than the window.
 Runs of words whose neighbours follow each other in no item can hold no match, so they are skipped by array operations
-first; the rest is streamed. Items are taken in blocks of at most `block_words`, which bounds the broadcast automaton;
-more blocks mean more passes, each written to the shared folder, with the same result.
+first; the rest is streamed. Executors build one automaton for each block of at most `block_words` words of items and write
+it to the shared folder; a longer item is cut into parts that overlap by all but one word of a window. Documents are read
+once, whatever the number of blocks: a worker takes some of them and runs them through one automaton after the other.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from transect.llm.common import Shipped, arrow_map, columns_of, groups, stored, workspace
+from transect.llm.common import arrow_map, columns_of, groups, mapped, put_file, workspace
 
 _KEEP = set(b"0123456789abcdefghijklmnopqrstuvwxyz") | set(range(0x80, 0x100))
+#: Bytes of documents that a worker holds where there is more than one automaton, each of which it loads for them.
+HELD_BYTES = 64 << 20
 #: Lower-cases A-Z and turns what is not part of a word into a space.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c in _KEEP else 32 for c in range(256))
 
@@ -180,16 +184,60 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    block, size = [], 0
-    for name, text in items.select(F.col(id_col).cast("string"), text_col).filter(F.col(id_col).isNotNull()).toLocalIterator():
-        words = words_of((text or "").encode())
-        if size and size + len(words) > block_words:
-            yield block
-            block, size = [], 0
-        block.append((name, words))
-        size += len(words)
-    yield block
+class Automata:
+    """The automata of all blocks, in the shared folder; a worker keeps one of them at a time."""
+
+    def __init__(self, uri: str, names: list[str]):
+        self.uri, self.names, self._name, self._value = uri, names, None, None
+
+    def scan(self, texts: list[bytes | None]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
+        """Automaton.scan() for all of them together."""
+        if not self.names:
+            return [(len(words_of(t)), [], set()) for t in texts]
+        found: list = [(0, [], set())] * len(texts)
+        for name in self.names:
+            if name != self._name:
+                self._value = None  # the old one goes first
+                self._name, self._value = name, cloudpickle.loads(mapped(self.uri, name).tobytes())
+            got = [x for i, j in groups(texts) for x in self._value.scan(texts[i:j])]
+            found = [(n, [*a, *b], x | y) for (n, a, x), (_, b, y) in zip(got, found, strict=True)]
+        return [(n, _merged(a), x) if a else (n, a, x) for n, a, x in found]
+
+
+def automata(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> Automata:
+    """Build the automata of items in tasks, each from blocks of at most block_words words. The driver gets their names."""
+    uri, part_words = workspace(items.sparkSession, "automata"), max(block_words, 2 * window)
+    few = items.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    size = few.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+        for b in batches:
+            for name, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                words = words_of(text)
+                for k in range(0, max(1, len(words) - window + 1), part_words - window + 1):
+                    yield name, words[k : k + part_words]
+
+    def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, words, names = [], 0, []
+
+        def close() -> None:
+            names.append(f"automaton-{TaskContext.get().partitionId()}-{len(names)}")
+            put_file(uri, names[-1], [cloudpickle.dumps(Automaton(block, window))])
+            block.clear()
+
+        for name, part in parts(batches):
+            if words and words + len(part) > block_words:
+                close()
+                words = 0
+            block.append((name, part))
+            words += len(part)
+        if words:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
+
+    # In a fixed order, so that a task that runs again leaves the same files.
+    dealt = few.repartition(max(1, -(-size // (6 * block_words))), "id", "text").sortWithinPartitions("id", "text")
+    return Automata(uri, sorted(r.name for r in arrow_map(dealt, built, "name string").collect()))
 
 
 _FOUND = [
@@ -200,36 +248,35 @@ _FOUND = [
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _found(docs: DataFrame, columns: list[str], items: DataFrame, text_col: str, item_id_col: str, item_text_col: str, window: int, block_words: int, finish: Callable[[pa.RecordBatch, list[Shipped]], pa.RecordBatch] | None = None) -> DataFrame:
-    """(row struct<columns>, n_words, spans, items), one row for each row of docs; or (row) of what finish, given such a batch and the automata of all blocks, makes of it, in the worker that scans the last block."""
+def _found(docs: DataFrame, columns: list[str], shared: Automata, text_col: str, finish: Callable[[pa.RecordBatch, Automata], pa.RecordBatch] | None = None) -> DataFrame:
+    """(row struct<columns>, n_words, spans, items), one row for each row of docs; or (row) of what finish makes of such a batch."""
     at, field = columns.index(text_col), F.struct(*[F.col(f"`{c}`") for c in columns])
-    now = docs.select(field.alias("row"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
+    now = docs.select(field.alias("row"))
     schema = StructType([now.schema["row"], *_FOUND])
-    folder, automata = workspace(docs.sparkSession, "decontaminate"), []
-    blocks = _blocks(items, item_id_col, item_text_col, block_words)
-    block = next(blocks)
-    while block is not None:
-        following = next(blocks, None)
-        last = finish if following is None else None
-        automata.append(shared := Shipped(docs.sparkSession, Automaton(block, window)))
-
-        def work(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
-            automaton = shared.value
-            for b in batches:
-                texts = b.column(0).field(at).cast(pa.binary()).to_pylist()
-                old_spans, old_items = b.column(1).to_pylist(), b.column(2).to_pylist()
-                found = [x for i, j in groups(texts) for x in automaton.scan(texts[i:j])]
-                spans = [[{"start": x, "end": y} for x, y in _merged([*((p["start"], p["end"]) for p in o or ()), *f[1]])] for f, o in zip(found, old_spans, strict=True)]
-                names = [sorted(f[2].union(o or ())) for f, o in zip(found, old_items, strict=True)]
-                arrays = [b.column(0), pa.array([f[0] for f in found], pa.int32()), pa.array(spans, _SPANS), pa.array(names, pa.list_(pa.string()))]
+    most = HELD_BYTES if len(shared.names) > 1 else 0
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+        some, size = [], 0
+        for b in batches:
+            some.append(b)
+            size += b.nbytes
+            if size >= most:
+                yield some
+                some, size = [], 0
+        if some:
+            yield some
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in held(batches):
+            found = iter(shared.scan(list(chain.from_iterable(b.column(0).field(at).cast(pa.binary()).to_pylist() for b in some))))
+            for b in some:
+                each = [next(found) for _ in range(b.num_rows)]
+                spans = [[{"start": x, "end": y} for x, y in f[1]] for f in each]
+                arrays = [b.column(0), pa.array([f[0] for f in each], pa.int32()), pa.array(spans, _SPANS), pa.array([sorted(f[2]) for f in each], pa.list_(pa.string()))]
                 out = pa.RecordBatch.from_arrays(arrays, names=["row", "n_words", "spans", "items"])
-                yield last(out, automata) if last else out
+                yield finish(out, shared) if finish else out
 
-        now = arrow_map(now, work, StructType(schema.fields[:1]) if last else schema)
-        if following is not None:
-            now = stored(now, f"{folder}/{len(automata)}").select("row", "spans", "items")
-        block = following
-    return now
+    return arrow_map(now, work, StructType(schema.fields[:1]) if finish else schema)
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10, block_words: int = 200_000) -> DataFrame:
@@ -239,7 +286,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     ones count once. Rows of docs are kept one to one, repeated or with a null id; an empty table gives an empty one.
     Other columns aren't read.
     """
-    found = _found(docs, list(dict.fromkeys([id_col, text_col])), items, text_col, item_id_col, item_text_col, window, block_words)
+    found = _found(docs, list(dict.fromkeys([id_col, text_col])), automata(items, item_id_col, item_text_col, window, block_words), text_col)
     return found.select(F.col(f"row.`{id_col}`").alias(id_col), "n_words", "spans", "items")
 
 
@@ -248,7 +295,7 @@ def cleaned(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_c
     names = docs.columns
     at = names.index(text_col)
 
-    def finish(b: pa.RecordBatch, automata: list[Shipped]) -> pa.RecordBatch:
+    def finish(b: pa.RecordBatch, shared: Automata) -> pa.RecordBatch:
         rows, spans = b.column(0), b.column(2).to_pylist()
         fields = rows.flatten()
         texts = fields[at].cast(pa.binary()).to_pylist()
@@ -258,15 +305,11 @@ def cleaned(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_c
             texts = [cut(t, [(s["start"], s["end"]) for s in x]) if x else t for t, x in zip(texts, spans, strict=True)]
             again = [k for k, x in enumerate(spans) if x]
             while again:
-                hits: dict[int, list] = {}
-                for a in automata:
-                    for k, (_, x, _) in zip(again, a.value.scan([texts[k] for k in again]), strict=True):
-                        hits.setdefault(k, []).extend(x)
-                    if len(automata) > 1:
-                        a.forget()
-                again = [k for k, x in hits.items() if x]
+                found = shared.scan([texts[k] for k in again])
+                hits = {k: x for k, (_, x, _) in zip(again, found, strict=True) if x}
+                again = list(hits)
                 for k in again:
-                    texts[k] = cut(texts[k], _merged(hits[k]))
+                    texts[k] = cut(texts[k], hits[k])
             fields[at] = pa.array([None if t is None else t.decode() for t in texts], pa.string())
             if "n_chars" in names:
                 k = names.index("n_chars")
@@ -274,4 +317,4 @@ def cleaned(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_c
         row = pa.StructArray.from_arrays(fields, fields=list(rows.type))
         return pa.RecordBatch.from_arrays([row], names=["row"]).filter(pa.array(keep, pa.bool_()))
 
-    return columns_of(_found(docs, names, items, text_col, item_id_col, item_text_col, window, block_words, finish), names)
+    return columns_of(_found(docs, names, automata(items, item_id_col, item_text_col, window, block_words), text_col, finish), names)
