@@ -1,6 +1,7 @@
 """Every registered query against SQL, a brute-force version, an exact round trip or held-out accuracy."""
 
 import hashlib
+import json
 import math
 import os
 import random
@@ -150,12 +151,60 @@ def test_chat_round_trip():
         assert "".join(r.text[a:b] for a, b in r.spans) == r.text
 
 
+def loss_texts(r):
+    return [r.text[a:b] for a, b in r.loss]
+
+
 def test_templates_that_rewrite_history_are_found():
-    turns = [("user", "a"), ("assistant", "b"), ("user", "c")]
-    r = chat.render(turns, lambda t: f"{len(t)}|" + chat.turn_template(t))
-    assert [k for k, _ in r.rewrites] == [0, 1, 2] and r.loss == []
-    tail = chat.render(turns, lambda t: chat.turn_template(t) + ("<eos>" if t and t[-1][0] == "assistant" else ""))
-    assert [k for k, _ in tail.rewrites] == [2]
+    """Every text that stands in the last rendering is under the mask, exactly; those that don't are named."""
+    turns = [("user", "a"), ("assistant", "<think>why</think>b one"), ("user", "c"), ("assistant", " <think>because</think>b two ")]
+    plain = "".join
+
+    def counts_first(t):
+        return f"{len(t)}|" + chat.turn_template(t)
+
+    def counts_last(t):
+        return chat.turn_template(t) + f"[{len(t)} turns]"
+
+    def counts_characters(t):
+        return plain(f"<{r}>{x}" for r, x in t) + f"|{sum(len(x) for _, x in t)}"
+
+    def ends_once(t):
+        return chat.turn_template(t) + ("<eos>" if t and t[-1][0] == "assistant" else "")
+
+    def drops_reasoning(t):  # of all answers but the last
+        last = max((k for k, (r, _) in enumerate(t) if r == "assistant"), default=-1)
+        return plain(f"<{r}>{x if k == last else re.sub('<think>.*?</think>', '', x)}</{r}>" for k, (r, x) in enumerate(t))
+
+    def drops_old(t):  # answers before the last two turns
+        return plain(f"<{r}>{x if r != 'assistant' or k >= len(t) - 2 else ''}" for k, (r, x) in enumerate(t))
+
+    def trims(t):
+        return plain(f"<{r}>{x.strip()}</{r}>" for r, x in t)
+
+    def quotes(t):
+        return json.dumps([list(x) for x in t])
+
+    one, two = turns[1][1], turns[3][1]
+    expected = [
+        (counts_first, [0, 1, 2, 3], [one, two], []), (counts_last, [0, 1, 2, 3], [one, two], []), (counts_characters, [0, 1, 2, 3], [one, two], []), (ends_once, [2], [one, two], []),
+        (drops_reasoning, [3], ["b one", two], []), (drops_old, [3], [two], [1]), (trims, [], [one, two.strip()], []), (quotes, [0, 1, 2, 3], [one, two], []),
+    ]
+    for template, rewrites, loss, lost in expected:
+        r = chat.render(turns, template)
+        assert r.text == template(turns) and ([k for k, _ in r.rewrites], loss_texts(r), r.lost) == (rewrites, loss, lost), template
+        again = rewrites[-1] + 1 if rewrites else 0
+        for k in range(again):
+            assert k in lost or r.text[slice(*r.spans[k])] in (turns[k][1], "b one")
+    silent = chat.render(turns, lambda t: plain(r for r, _ in t))  # texts don't show at all
+    assert silent.loss == [] and silent.lost == [1, 3]
+    assert chat.render([], counts_first).text == "0|"
+
+
+def test_long_conversations():
+    turns = [(("user", "assistant")[k % 2], f"text {k} " + "### " * (k % 3)) for k in range(600)] + [("assistant", "x" * 1_000_000)]
+    r = chat.render(turns)
+    assert chat.read_back(r.text) == turns and [chat.unescape(x) for x in loss_texts(r)] == [t for role, t in turns if role == "assistant"] and not r.lost
 
 
 # 4

@@ -2,9 +2,13 @@
 
 A template is a function from turns (role, text) to a string, and nothing more is known of it. Each prefix of a
 conversation is rendered and compared with the one before: if it only adds to it, what it adds is the new turn's span; if
-not, the template rewrites history, which is reported with the first position that changed. Inside a span, the text's
-place is found by rendering the same prefix with two probe texts: what they share at the front is the header, at the end
-the footer. The loss mask covers the assistant texts only.
+not, the template rewrites history, which is reported with the first position that changed. A text's place is found by
+rendering the same turns with two probe texts in its stead: what they share at the front stands before it, what they share
+at the end behind it. After a rewrite every turn up to it is located anew in the last rendering; a text that can't be found
+there is reported. The loss mask covers the assistant texts only.
+
+A conversation of n turns is rendered once for each prefix and twice for each text to be placed; only one with rewrites has
+more renderings, two or four for each turn before the last rewrite. It is one row, as the template takes it whole.
 """
 
 from __future__ import annotations
@@ -12,7 +16,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +30,8 @@ Template = Callable[[list[Turn]], str]
 HEAD, MID, TAIL = "### ", ": ", " </turn>\n"
 CONTROL = r"\\|###|</turn>"
 ROLE_CONTROL = CONTROL + "|:"
-PROBES = ("\x02", "\x03")
+#: Texts that no template has to quote or escape.
+PROBES = ("Q", "Z")
 
 
 def escape(text: str, control: str = CONTROL) -> str:
@@ -68,42 +72,81 @@ def read_back(formatted: str) -> list[Turn]:
 
 @dataclass
 class Rendering:
-    """A formatted conversation: spans of turns and of assistant texts (code points, end exclusive), and turns whose rendering changed what stood before, with where."""
+    """A formatted conversation: spans of turns and of assistant texts (code points, end exclusive), turns whose rendering changed what stood before, with where, and turns whose text can't be found in the result."""
 
     text: str
     spans: list[tuple[int, int]] = field(default_factory=list)
     loss: list[tuple[int, int]] = field(default_factory=list)
     rewrites: list[tuple[int, int]] = field(default_factory=list)
+    lost: list[int] = field(default_factory=list)
+
+
+def shared_prefix(a: str, b: str) -> int:
+    """How many characters two strings share at the front."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        middle = (low + high) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
+def place(turns: list[Turn], k: int, now: str, template: Template) -> tuple[int, int] | None:
+    """Where the text of turn k stands in `now`, the rendering of turns: between what is the same for both probes. Probes of one character, then of the text's length, for templates that count characters. None where neither tells."""
+    role, text = turns[k]
+    for size in dict.fromkeys((1, max(1, len(text)))):
+        one, two = (template([*turns[:k], (role, p * size), *turns[k + 1 :]]) for p in PROBES)
+        if one == two:
+            return None
+        head = shared_prefix(one, two)
+        foot = shared_prefix(one[:head:-1] + one[head], two[:head:-1] + two[head])
+        end = len(now) - foot
+        if head <= end and now.startswith(one[:head]) and now.endswith(one[len(one) - foot :]):
+            return head, end
+    return None
 
 
 def render(turns: list[Turn], template: Template = turn_template, trained_roles: tuple[str, ...] = ("assistant",)) -> Rendering:
-    """Render all prefixes of a conversation and locate its turns. After a rewrite the spans are those of the last rendering as far as known; loss spans before the changed position are dropped, as they can't be trusted."""
+    """Render all prefixes of a conversation and locate its turns.
+
+    A turn's span is what it adds, a trained turn's loss span its text as rendered. If the template rewrites history at turn
+    j, the turns up to j are located again in the last rendering: then their span is the place of their text alone, and a
+    turn whose text isn't there or can't be placed has the span (-1, -1), no loss span, and its number in `lost`.
+    """
     before, out = template([]), Rendering("")
-    for k in range(len(turns)):
+    texts: list[tuple[int, int] | None] = []
+    for k, (role, _) in enumerate(turns):
         now = template(turns[: k + 1])
-        if now.startswith(before):
-            start = len(before)
-        else:
-            start = len(commonprefix([before, now]))
+        start = len(before)
+        if not now.startswith(before):
+            start = shared_prefix(before, now)
             out.rewrites.append((k, start))
-            out.loss = [(a, b) for a, b in out.loss if b <= start]
         out.spans.append((start, len(now)))
-        if turns[k][0] in trained_roles:
-            one, two = (template([*turns[:k], (turns[k][0], p)]) for p in PROBES)
-            head = len(commonprefix([one, two]))
-            foot = len(commonprefix([one[:head:-1], two[:head:-1]]))
-            if now[:head] == one[:head] and one[head : head + 1] == PROBES[0] and now[len(now) - foot :] == one[len(one) - foot :]:
-                out.loss.append((head, len(now) - foot))
+        texts.append(place(turns[: k + 1], k, now, template) if role in trained_roles else None)
         before = now
     out.text = before
+    again = out.rewrites[-1][0] + 1 if out.rewrites else 0
+    for k in range(again):
+        texts[k] = place(turns, k, before, template)
+        out.spans[k] = texts[k] or (-1, -1)
+    for k, (role, _) in enumerate(turns):
+        if texts[k] is None and (k < again or role in trained_roles):
+            out.lost.append(k)
+        elif role in trained_roles:
+            out.loss.append(texts[k])
     return out
 
 
 def formatted(turns: DataFrame, template: Template = turn_template, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", trained_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """(id_col, formatted, spans, loss, rewrites), one row for each conversation.
+    """(id_col, formatted, spans, loss, rewrites, lost), one row for each conversation; see Rendering.
 
     Rows are ordered by turn (null first), ties by role and text; repeated rows are turns of their own. A null role or text
-    is empty. A null id is a conversation of its own. An empty table gives an empty one. Other columns aren't read.
+    is empty. Rows with a null id are one conversation, like those of any other id. A long conversation is one row and is
+    rendered once a turn, so its cost grows with the square of its turns. An empty table gives an empty one. Other columns aren't read.
     """
     shared = Shipped(turns.sparkSession, (template, trained_roles))
     row = F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -115,10 +158,11 @@ def formatted(turns: DataFrame, template: Template = turn_template, id_col: str
         for b in batches:
             done = [render([(t["role"], t["text"]) for t in c], template, trained) for c in b.column(1).to_pylist()]
             lists = [pa.array([[{"start": x, "end": y} for x, y in getattr(r, name)] for r in done], pair) for name in ("spans", "loss", "rewrites")]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.text for r in done], pa.string()), *lists], names=["id", "formatted", "spans", "loss", "rewrites"])
+            lost = pa.array([r.lost for r in done], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.text for r in done], pa.string()), *lists, lost], names=["id", "formatted", "spans", "loss", "rewrites", "lost"])
 
     kind, spans = grouped.schema["id"].dataType.simpleString(), "array<struct<start:int,end:int>>"
-    return arrow_map(grouped, work, f"id {kind}, formatted string, spans {spans}, loss {spans}, rewrites {spans}").withColumnRenamed("id", id_col)
+    return arrow_map(grouped, work, f"id {kind}, formatted string, spans {spans}, loss {spans}, rewrites {spans}, lost array<int>").withColumnRenamed("id", id_col)
 
 
 def _turn_order(a, b):
