@@ -644,6 +644,60 @@ def test_tagger_finds_what_patterns_miss(frame):
     assert right / n > 0.85 and wrong <= 5
 
 
+def test_one_search_over_all_windows(frame):
+    """Tags are those of a plain Viterbi search over the merged emissions of every window of the whole text, with O far from digits and @s."""
+    tagger = pii.Tagger(3)
+    tagger.p["t"] = np.random.default_rng(3).normal(0, 1, tagger.p["t"].shape).astype(np.float32)
+    tagger.p["o"] *= 8
+    texts = ["", "no digits here", "1", "a" * 500 + "7" + "b" * 500 + "@" + "c" * 90, "12 34 " * 100, *frame.text.tolist()[:60]]
+    some = 0
+    for text, got in zip(texts, pii.tag_texts(tagger, texts, batch=7), strict=True):
+        c, n = pii.classes(text), len(text)
+        e, total = np.zeros((n, pii.TAGS)), np.zeros(n)
+        for s in range(0, n, pii.STRIDE):
+            x = np.zeros((1, pii.WINDOW), np.uint8)
+            size = min(pii.WINDOW, n - s)
+            x[0, :size] = c[s : s + size]
+            w = np.minimum(np.arange(pii.WINDOW) + 1, pii.WINDOW - np.arange(pii.WINDOW))[:size]
+            e[s : s + size] += w[:, None] * tagger.emissions(x)[0, :size]
+            total[s : s + size] += w
+        e /= np.maximum(total, 1)[:, None]
+        marks = np.flatnonzero((c == 1) | (c == 5)) // pii.STRIDE
+        free = np.isin(np.arange(n) // pii.STRIDE, np.concatenate([marks - 1, marks, marks + 1]))
+        e[~free, 1:] = -np.inf
+        t = tagger.p["t"][: pii.TAGS].astype(float)
+        score, back = np.where(np.arange(pii.TAGS) == 0, 0.0, -np.inf), []
+        for row in e:
+            ways = score[:, None] + t
+            back.append(ways.argmax(0))
+            score = ways.max(0) + row
+        tag, want = int((score + t[:, 0]).argmax()), []
+        for b in reversed(back):
+            want.append(tag)
+            tag = int(b[tag])
+        assert got.tolist() == want[::-1]
+        some += sum(x > 0 for x in want)
+    assert some > 100
+
+
+def test_recall_on_documents_not_trained_on(spark, sf_small):
+    """The network alone against what the patterns find in rows that it wasn't trained on, by kind."""
+    docs = spark.read.parquet(sf_small.replace("sf0.001", "sf0.1") + "/documents.parquet")
+    seen = set(pii.training_rows(docs, "doc_id", "text", 300, 20_000))
+    assert 300 <= len(seen) <= 600
+    tagger = pii.train(docs)
+    texts = [r.text for r in docs.select("text").collect() if r.text not in seen]
+    n, hit, extra = Counter(), Counter(), 0
+    for text, tags in zip(texts, pii.tag_texts(tagger, texts), strict=True):
+        base = pii.base_spans(text, text.encode())
+        found = set(pii.found_spans(text, tags, []))
+        n.update(k for k, _, _ in base)
+        hit.update(k for k, a, b in base if (k, a, b) in found)
+        extra += len(found - set(base))
+    print({pii.KINDS[k]: (hit[k], n[k]) for k in sorted(n)}, "other spans", extra, "texts", len(texts))
+    assert sum(n.values()) > 50 and all(hit[k] >= 0.8 * n[k] for k in n if n[k] >= 10)
+
+
 def test_window_borders_do_not_matter(frame):
     tagger = pii.Tagger()
     tagger.fit(*pii.training_windows(frame.text.tolist()), steps=300)

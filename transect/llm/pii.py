@@ -2,8 +2,9 @@
 
 The patterns give the base spans. The network is trained on windows with labelled spans: those of the patterns in a bounded
 sample of rows, and forms that the patterns miss, made from a seed and set into contexts of that sample. Texts are read in
-overlapping windows; each window is decoded by Viterbi, and a character takes the label of the window in which it lies
-most centrally. A span must hold a digit or an @, so only windows with one can have any; all of those are decoded. Spans
+overlapping windows. The emissions of all windows over a character are put together, the more central ones weighing more, and
+one Viterbi search over them decides all tags of a text at once. A span must hold a digit or an @, so characters further than
+a window from any are O beforehand; windows over the others are all computed, so what is left out can't change a tag. Spans
 that touch a base span are dropped, so base spans stay as they are.
 """
 
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import Shipped, arrow_map, as_bytes, groups, least_hashed
+from transect.llm.common import Shipped, arrow_map, as_bytes, groups
 
 KINDS = ("email", "ip", "card", "phone")
 #: O, then B and I of each kind.
@@ -188,20 +189,46 @@ class Tagger:
                 self.p[k] -= (rate * (1 - 0.9 * step / steps) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
         return losses
 
-    def decode(self, x: np.ndarray) -> np.ndarray:
-        """Best tags of each window, by Viterbi."""
-        e, _ = self._forward(x, False)
-        n, length, k = e.shape
-        score, back = e[:, 0] + self.p["t"][k], np.empty((length, n, k), np.int8)
-        for t in range(1, length):
-            each = score[:, :, None] + self.p["t"][:k]
-            back[t] = each.argmax(1)
-            score = each.max(1) + e[:, t]
-        out = np.empty((n, length), np.int8)
-        out[:, -1] = score.argmax(1)
-        for t in range(length - 1, 0, -1):
+    def emissions(self, x: np.ndarray) -> np.ndarray:
+        """Emissions (window, position, tag) of windows."""
+        return self._forward(x, False)[0]
+
+    def best_tags(self, e: np.ndarray, block: int = 64) -> np.ndarray:
+        """The best tags of one sequence of emissions that begins and ends with O, by Viterbi.
+
+        Blocks are searched side by side from every tag that may stand before them; then their ends are chained, and each
+        block is searched once more from the tag that it got. So a long sequence costs few steps and little memory.
+        """
+        k, trans = TAGS, self.p["t"][:TAGS]
+        n = -(-len(e) // block)
+        padded = np.full((n * block, k), -np.inf, np.float32)
+        padded[: len(e)] = e
+        padded[len(e) :, 0] = 0
+        padded[[0, len(e) - 1], 1:] = -np.inf
+        each = padded.reshape(n, block, k)
+        through = trans[None] + each[:, 0, None]  # (block, tag before it, last tag)
+        for t in range(1, block):
+            through = (through[:, :, :, None] + trans).max(2) + each[:, t, None]
+        score, came = np.zeros(k, np.float32), np.empty((n, k), np.int8)
+        score[1:] = -np.inf
+        for j in range(n):
+            ways = score[:, None] + through[j]
+            came[j], score = ways.argmax(0), ways.max(0)
+            score = score - score.max()
+        last, before = np.empty(n, np.int64), np.empty(n, np.int64)
+        tag = 0
+        for j in range(n - 1, -1, -1):
+            last[j], before[j] = tag, came[j, tag]
+            tag = int(came[j, tag])
+        score, back = trans[before] + each[:, 0], np.empty((block, n, k), np.int8)
+        for t in range(1, block):
+            ways = score[:, :, None] + trans
+            back[t], score = ways.argmax(1), ways.max(1) + each[:, t]
+        out = np.empty((n, block), np.int8)
+        out[:, -1] = last
+        for t in range(block - 1, 0, -1):
             out[:, t - 1] = back[t, np.arange(n), out[:, t]]
-        return out
+        return out.reshape(-1)[: len(e)]
 
 
 def _made(rng: np.random.Generator) -> tuple[int | None, str]:
@@ -224,7 +251,7 @@ def _made(rng: np.random.Generator) -> tuple[int | None, str]:
 
 
 def training_windows(texts: list[str], made: int = 1600, most: int = 2400, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and tags: those around labelled or suspicious characters of texts, at most `most`, and `made` with made-up items in contexts of texts."""
+    """Windows and tags: `most` of those around digits and @s of texts, drawn evenly from all there are, and `made` with made-up items in contexts of texts."""
     rng = np.random.default_rng(seed)
     x, y = [], []
 
@@ -233,13 +260,10 @@ def training_windows(texts: list[str], made: int = 1600, most: int = 2400, seed:
         x.append(np.pad(c, (0, WINDOW - len(c))))
         y.append(np.pad(tags, (0, WINDOW - len(tags))))
 
-    for text in texts:
-        raw = text.encode()
-        if len(x) >= most or len(raw.translate(None, TRIGGERS)) == len(raw):
-            continue
-        c, tags = classes(text), _tags(len(text), base_spans(text, raw))
-        for p in np.unique(np.flatnonzero((c == 1) | (c == 5)) // STRIDE)[:8]:
-            add(c, tags, max(0, int(p) * STRIDE - int(rng.integers(0, STRIDE))))
+    coded = [(c, _tags(len(text), base_spans(text, text.encode()))) for text in texts if ((c := classes(text)) == 1).any() or (c == 5).any()]
+    blocks = [(k, int(p)) for k, (c, _) in enumerate(coded) for p in np.unique(np.flatnonzero((c == 1) | (c == 5)) // STRIDE)]
+    for k in sorted(rng.permutation(len(blocks))[:most].tolist()):
+        add(*coded[blocks[k][0]], max(0, blocks[k][1] * STRIDE - int(rng.integers(0, STRIDE))))
     long = [t for t in texts if len(t) > 40] or ["abc def ghijk lmno pqrst uvwxyz the end of it. " * 6]
     for _ in range(made):
         t = long[int(rng.integers(0, len(long)))]
@@ -280,42 +304,87 @@ def found_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
     return out
 
 
+def _islands(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Strides of a text (by number) that windows with a digit or an @ cover, and all windows over these."""
+    last = max(0, -(-len(c) // STRIDE) - 1)
+    marked = np.unique(np.flatnonzero((c == 1) | (c == 5)) // STRIDE)
+    near = np.unique(np.concatenate([marked - 1, marked, marked + 1]))
+    near = near[(near >= 0) & (near <= last)]
+    windows = np.unique(np.concatenate([near - 1, near]))
+    return near, windows[windows >= 0]
+
+
 def tag_texts(tagger: Tagger, texts: list[str], batch: int = 2048) -> list[np.ndarray]:
-    """Tags of each text, from all overlapping windows that hold a digit or an @."""
-    rows, where = [], []
+    """Tags of each text: emissions of all windows over its islands, put together by how central they are, and one search over all of them with O between."""
     coded = [classes(t) for t in texts]
     out = [np.zeros(len(c), np.int8) for c in coded]
-    near = [np.full(len(c), WINDOW, np.int64) for c in coded]
-    away = np.abs(2 * np.arange(WINDOW) - WINDOW + 1) // 2
+    weight = np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)).astype(np.float32)
+    todo: list[tuple[int, np.ndarray, np.ndarray]] = []
 
     def run() -> None:
-        x = np.zeros((len(rows), WINDOW), np.uint8)
-        for k, r in enumerate(rows):
-            x[k, : len(r)] = r
-        for (k, at), r, tags in zip(where, rows, tagger.decode(x), strict=True):
-            better = away[: len(r)] < near[k][at : at + len(r)]
-            out[k][at : at + len(r)][better] = tags[: len(r)][better]
-            near[k][at : at + len(r)][better] = away[: len(r)][better]
-        rows.clear(), where.clear()
-
+        total = sum(len(w) for _, _, w in todo)
+        x = np.zeros((total, WINDOW), np.uint8)
+        at = 0
+        for k, _, windows in todo:
+            for s in windows.tolist():
+                part = coded[k][s * STRIDE : s * STRIDE + WINDOW]
+                x[at, : len(part)] = part
+                at += 1
+        e = np.concatenate([tagger.emissions(x[i : i + batch]) for i in range(0, total, batch)]) * weight[:, None]
+        # The strides of all islands one after the other; a row of O stands before each island and at the end.
+        gap = np.full((1, TAGS), -np.inf, np.float32)
+        gap[0, 0] = 0
+        rows, places, at = [], [], 0
+        for k, near, windows in todo:
+            slot = {s: at + i for i, s in enumerate(windows.tolist())}
+            at += len(windows)
+            for i, s in enumerate(near.tolist()):
+                if i == 0 or near[i - 1] != s - 1:
+                    rows.append(gap)
+                    places.append((k, -1, 1))
+                size = min(STRIDE, len(coded[k]) - s * STRIDE)
+                both, w = e[slot[s], :size], weight[:size]
+                if s - 1 in slot:
+                    both, w = both + e[slot[s - 1], STRIDE : STRIDE + size], w + weight[STRIDE : STRIDE + size]
+                rows.append(both / w[:, None])
+                places.append((k, s * STRIDE, size))
+        tags = tagger.best_tags(np.concatenate([*rows, gap]))
+        done = 0
+        for k, s, size in places:
+            if s >= 0:
+                out[k][s : s + size] = tags[done : done + size]
+            done += size
+        todo.clear()
+
+    waiting = 0
     for k, c in enumerate(coded):
-        block = np.unique(np.flatnonzero((c == 1) | (c == 5)) // STRIDE)
-        for s in np.unique(np.concatenate([block, np.maximum(block - 1, 0)])).tolist():
-            rows.append(c[s * STRIDE : s * STRIDE + WINDOW])
-            where.append((k, s * STRIDE))
-            if len(rows) == batch:
-                run()
-    if rows:
+        near, windows = _islands(c)
+        if len(near):
+            todo.append((k, near, windows))
+            waiting += len(windows)
+        if waiting >= batch:
+            run()
+            waiting = 0
+    if todo:
         run()
     return out
 
 
+def training_rows(docs: DataFrame, id_col: str, text_col: str, sample: int, longest: int) -> list[str]:
+    """At most 2 * sample texts of at most `longest` characters: those with the least hash of id and text, and those among the ones with a digit or @. Two scans: both kinds are counted, then only what can be among the least is sent."""
+    few = docs.filter(F.length(text_col) <= longest).select(F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).rlike("[0-9@]").alias("able"))
+    n = few.agg(F.count("*"), F.count_if("able")).first()
+    # But for a chance below one in a billion these have `sample` rows each, if the table has.
+    least = [int(-(2**63) + 2**64 * min(1.0, 4 * sample / total)) - 1 if total else -(2**63) for total in n]
+    rows = few.filter((F.col("h") <= least[0]) | (F.col("able") & (F.col("h") <= least[1]))).collect()
+    rows.sort(key=lambda r: (r.h, r.text))
+    return [r.text for r in rows if r.able][:sample] + [r.text for r in rows if r.h <= least[0]][:sample]
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 300, longest: int = 20_000, seed: int = 5) -> Tagger:
-    """Tagger from at most 2 * sample rows of docs, of texts of at most `longest` characters: those with the least hash of their id that have a digit or @, and of all. Without any it learns from made-up items alone."""
-    few = docs.filter(F.length(text_col) <= longest).select(F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
-    rows = least_hashed(few.filter(F.col("text").rlike("[0-9@]")), "h", sample).collect() + least_hashed(few, "h", sample).collect()
+    """Tagger from the training_rows() of docs. Without any it learns from made-up items alone."""
     tagger = Tagger(seed)
-    tagger.fit(*training_windows([r.text for r in rows], seed=seed), seed=seed)
+    tagger.fit(*training_windows(training_rows(docs, id_col, text_col, sample, longest), seed=seed), seed=seed)
     return tagger
 
 
