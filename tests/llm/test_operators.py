@@ -88,14 +88,25 @@ def test_good_documents_are_kept(spark, sf_small):
 
 
 def test_bad_documents_are_caught(spark, sf_small):
-    """Of the labelled rows that the base rules pass, the forest takes nearly all bad ones for few good ones; rows that the base rules reject have no say in the threshold."""
-    sf_dir = sf_small.replace("sf0.001", "sf0.01")
-    got = run(spark, sf_dir, "op1_quality_rules").merge(pd.read_parquet(f"{sf_dir}/labels.parquet"), on="doc_id")
-    passed = got[~got.base_failed]
-    good = (passed.quality == 1).to_numpy()
-    assert (~good).sum() == 28 and (~passed.kept[~good]).mean() > 0.9 and (~passed.kept[good]).mean() <= quality.MAX_GOOD_LOSS
-    threshold = quality.calibrate(passed.score.to_numpy(), good, quality.MAX_GOOD_LOSS)
-    assert (passed.kept == (passed.score <= threshold)).all()
+    """Fit on half of the labels: of the other half's rows that the base rules pass, the forest takes nearly all bad ones for few good ones."""
+    sf_dir = sf_small.replace("sf0.001", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    for part in (0, 1):
+        forest = quality.fit(docs, labels.filter(f"crc32(CAST(doc_id AS STRING)) % 2 = {part}"))
+        got = quality.judged(docs, forest).join(labels.filter(f"crc32(CAST(doc_id AS STRING)) % 2 = {1 - part}"), "doc_id").filter("NOT base_failed").toPandas()
+        good = (got.quality == 1).to_numpy()
+        print(f"bad ones caught {(~got.kept[~good]).sum()} of {(~good).sum()}, good ones lost {(~got.kept[good]).sum()} of {good.sum()}")
+        assert (~good).sum() > 100 and (~got.kept[~good]).mean() > 0.9 and (~got.kept[good]).mean() <= 1.5 * quality.MAX_GOOD_LOSS
+        assert (got.kept == (got.score <= forest.threshold)).all()
+
+
+def test_threshold_from_rows_that_grew_no_tree(spark, sf_small):
+    """Rows with one id and several texts give the same forest in any order; the rows with even places grow, the others calibrate."""
+    text = "Some words that make a plain sentence, one after the other, until there are more than twenty of them in this text. "
+    rows = [(k % 50, text * (1 + k % 7) + "#$%" * (k % 50 % 10 == 0)) for k in range(150)]
+    labels = spark.createDataFrame([(k, int(k % 10 != 0)) for k in range(50)], "doc_id long, quality int")
+    one, two = (quality.fit(spark.createDataFrame(r, "doc_id long, text string").repartition(n), labels) for r, n in ((rows, 2), (rows[::-1], 5)))
+    assert one.threshold == two.threshold and (one.value == two.value).all()
 
 
 # 2

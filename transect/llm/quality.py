@@ -2,8 +2,9 @@
 
 Each text is described by rule statistics (word length, symbols, repeated lines and words, variety, capitals, line ends).
 A forest of random splits is grown on small subsamples of a bounded sample of labelled rows; documents that few splits
-isolate (short paths) are anomalous. The threshold on that score is set on the labelled rows that the base rules pass, as
-only those are the forest's to judge: it has the best net gain while at most `max_good_loss` of the good ones go.
+isolate (short paths) are anomalous. The threshold on that score is set on labelled rows that grew no tree, as scores of those
+that did are flattered, and that the base rules pass, as only those are the forest's to judge: it has the best net gain while
+at most `max_good_loss` of the good ones go.
 """
 
 from __future__ import annotations
@@ -160,23 +161,29 @@ def base_failed(n: np.ndarray, again: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 8192, max_good_loss: float = MAX_GOOD_LOSS, seed: int = 7) -> Forest:
-    """Forest and threshold from at most `sample` labelled rows, those whose id has the least hash. Half of them, in the order of that hash, grow the trees; all that the base rules pass set the threshold. Labels other than 0 and 1, null ids and texts with few words are left out."""
+    """Forest and threshold from at most `sample` labelled rows, those whose id has the least hash.
+
+    Every other one of them, in the order of that hash, grows the trees; the rest, where the base rules pass it, sets the
+    threshold. Labels other than 0 and 1, null ids and texts with few words are left out; of rows that share an id the one
+    with the least hash of its text counts, of labels the least.
+    """
     usable = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(label_col).alias("good"))
     few = least_hashed(usable.withColumn("h", F.xxhash64(F.col(id_col))), "h", sample).drop("h")
-    joined = docs.select(id_col, text_col).join(F.broadcast(few), id_col).select(F.col(id_col).alias("id"), F.col("good").cast("int"), F.col(text_col).alias("text"))
+    joined = docs.select(id_col, text_col).join(F.broadcast(few), id_col).select(F.col(id_col).alias("id"), F.col("good").cast("int"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [describe(t) for t in as_bytes(b.column(2))]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([f[0][k] for f in found], pa.int64()) for k in (0, 4)), pa.array([f[1] for f in found], pa.list_(pa.float64()))], names=["id", "good", "n", "again", "stats"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), b.column(1), *(pa.array([f[0][k] for f in found], pa.int64()) for k in (0, 4)), pa.array([f[1] for f in found], pa.list_(pa.float64()))], names=["id", "tie", "good", "n", "again", "stats"])
 
     kind = joined.schema["id"].dataType.simpleString()
-    rows = arrow_map(joined, work, f"id {kind}, good int, n bigint, again bigint, stats array<double>").dropDuplicates(["id"]).filter(F.col("n") >= MIN_WORDS).orderBy(F.xxhash64("id"), "id").collect()
+    each = arrow_map(joined, work, f"id {kind}, tie bigint, good int, n bigint, again bigint, stats array<double>").filter(F.col("n") >= MIN_WORDS)
+    rows = each.groupBy("id").agg(F.min(F.struct("tie", "n", "again", "good", "stats")).alias("r")).orderBy(F.xxhash64("id"), "id").select("r.*").collect()
     x = np.array([r.stats for r in rows]).reshape(-1, len(STATS))
     good = np.array([r.good == 1 for r in rows], bool)
-    forest = grow(x[::2] if len(x) >= 4 else x, seed=seed)
-    passed = ~base_failed(*(np.array([r[k] for r in rows], np.int64) for k in ("n", "again")))
-    forest.threshold = calibrate(forest.score(x[passed]), good[passed], max_good_loss)
+    forest = grow(x[::2], seed=seed)
+    judged = ~base_failed(*(np.array([r[k] for r in rows], np.int64) for k in ("n", "again"))) & (np.arange(len(rows)) % 2 == 1)
+    forest.threshold = calibrate(forest.score(x[judged]), good[judged], max_good_loss)
     return forest
 
 
