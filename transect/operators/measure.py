@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from transect import schemas
 from transect.config import Lane, Options, Reduction
+from transect.functions.batches import small_batches
 from transect.functions.scalars import finite, severity
 from transect.operators.geometry import cross_slope, rutting, without_shoulders
 from transect.operators.reduction import reduce_profile
@@ -72,8 +73,7 @@ def measure_files(files: DataFrame, calibration: Calibration, options: Options,
                     continue
                 yield _batch([name | {"row_index": k} | measure(x, y, lane, reduction, options) for k, y in enumerate(heights)])
 
-    # A few images at a time in a worker, however small they are compressed.
-    files.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    small_batches(files.sparkSession)  # a few images at a time in a worker, however small they are compressed
     return files.select("set_id", "relative_path", "content").mapInArrow(work, schemas.RESULT)
 
 

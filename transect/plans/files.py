@@ -12,9 +12,12 @@ from pyspark.sql import SparkSession
 
 
 def ensure_shared_folder(spark: SparkSession) -> None:
-    """See to it that checkpoint() has a folder: the cluster's (spark.checkpoint.dir), or one of our own where that is unset, as in tests."""
+    """See to it that checkpoint() has a folder: the cluster's (spark.checkpoint.dir), or one of our own where that is unset in local mode, as in tests."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="transect-"))
+        at = spark.conf.get("spark.checkpoint.dir", None)
+        if at is None and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(at or tempfile.mkdtemp(prefix="transect-"))
 
 
 def store(path: str) -> tuple[pafs.FileSystem, str]:
