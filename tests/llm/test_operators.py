@@ -16,7 +16,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from transect.llm import catalog, chat, decontaminate, langid, lm, mixing, pii, quality, secret_scan, simhash, token_counts
+from transect.llm import catalog, chat, common, decontaminate, langid, lm, mixing, pii, quality, secret_scan, simhash, token_counts
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -744,3 +744,15 @@ def test_pipeline_stages(spark, sf_small, frame, tmp_path):
     assert set(safe.doc_id) == set(clean.doc_id) and not safe.text.str.contains(r"AKIA[A-Z0-9]{14}|[0-9a-f]{16}").any()
     assert set(mixed.columns) == {"shard", "slot", "source", "block", "n_words", "doc_ids", "text"} and set().union(*mixed.doc_ids) <= set(safe.doc_id)
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_small).select("shard", "slot", "source", "n_words").toPandas().to_numpy().tolist())) == sorted(map(tuple, mixed[["shard", "slot", "source", "n_words"]].to_numpy().tolist()))
+
+
+def test_pipeline_leaves_little_behind(spark, sf_small):
+    """After a run the shared folder holds what the last stage reads, and nothing once it is released."""
+    folder = common.shared_folder(spark).removeprefix("file:")
+    common.release(spark)
+    corpus_pipeline.run(spark, sf_small).count()
+    left = [x for x in os.listdir(folder) if x.startswith("transect-")]
+    assert {x.split("-")[1] for x in left} == {"pipeline", "mix"} and len(left) == 2
+    assert os.listdir(f"{folder}/{next(x for x in left if 'pipeline' in x)}") == ["3"]
+    common.release(spark)
+    assert not [x for x in os.listdir(folder) if x.startswith("transect-") and "pipeline" in x or "-mix-" in x]

@@ -13,12 +13,16 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from transect.functions.batches import small_batches
+
 _MADE: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir). One of our own is set only where it is unset, as in tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared folder (spark.checkpoint.dir). One of our own is set only in local mode, as in tests; on a cluster each executor would write to its own disk."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if at is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(at or tempfile.mkdtemp(prefix="transect-"))
     return (at or spark.sparkContext.getCheckpointDir()).rstrip("/")
@@ -30,12 +34,21 @@ def workspace(spark: SparkSession, name: str) -> str:
     return at
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the workspaces that this driver has made; results that read them must have been written by then."""
-    jvm = spark.sparkContext._jvm
-    while _MADE:
-        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def made() -> int:
+    """How many workspaces this driver has made and not yet released."""
+    return len(_MADE)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the workspaces that this driver has made, but for the first `since`; results that read them must have been written by then."""
+    while len(_MADE) > since:
+        delete(spark, _MADE.pop())
+
+
+def delete(spark: SparkSession, at: str) -> None:
+    """Delete a folder of the shared store."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, at: str) -> DataFrame:
@@ -69,11 +82,11 @@ def least_hashed(df: DataFrame, key: str, n: int) -> DataFrame:
 def arrow_map(df: DataFrame, work, schema) -> DataFrame:
     """df.mapInArrow(work, schema) with little memory in the workers.
 
-    From now on Arrow batches of the session have at most 4 MB, so that a worker's memory follows neither the rows of a
-    batch nor their lengths (a longer row is a batch of its own). A worker gives freed memory back when its task ends;
-    it lives on beside the executor's other tasks.
+    Arrow batches of the session have at most 4 MB from now on (a smaller limit stays), so that a worker's memory follows
+    neither the rows of a batch nor their lengths (a longer row is a batch of its own). A worker gives freed memory back
+    when its task ends; it lives on beside the executor's other tasks.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    small_batches(df.sparkSession)
 
     def thrifty(batches):
         pa.set_memory_pool(pa.system_memory_pool())
