@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from transect.llm import decontaminate, mixing, quality, secret_scan, simhash
-from transect.llm.common import stored, workspace
+from transect.llm.common import delete, made, release, stored, workspace
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,10 +50,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over documents; what a stage returns is written to the shared folder and read again."""
+    """All stages, one after the other, over documents; what a stage returns is written to the shared folder and read again.
+
+    Once it is written, the stage's own workspaces and what it has read go. The last stage's stay, as its result is read
+    from them; transect.llm.common.release() deletes them when that has been written.
+    """
     docs, at = spark.read.parquet(f"{sf_dir}/documents.parquet"), workspace(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
+        before = made()
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = stored(docs, f"{at}/{k}")
+            release(spark, before)
+            if k:
+                delete(spark, f"{at}/{k - 1}")
     return docs
