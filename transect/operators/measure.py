@@ -18,8 +18,8 @@ from transect import schemas
 from transect.config import Lane, Options, Reduction
 from transect.functions.batches import small_batches
 from transect.functions.scalars import finite, severity
-from transect.operators.geometry import cross_slope, rutting, without_shoulders
-from transect.operators.reduction import reduce_profile
+from transect.operators.geometry import SIDES, cross_slope, ruts, slope_hint, without_shoulders
+from transect.operators.reduction import Profile, reduce_profile
 from transect.sources.calibration import Calibration
 from transect.sources.records import read_image
 
@@ -28,30 +28,49 @@ _TYPES = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "boo
 _FIELDS = [(f.split(" ")[0], _SIDE if " struct" in f else _TYPES[f.split(" ")[1]]) for f in schemas.RESULT.replace(schemas.SIDE, "struct").split(", ")]
 
 
-def measure(x: np.ndarray, y: np.ndarray, lane: Lane, reduction: Reduction, options: Options) -> dict:
-    """One profile's row. Cross slope and rutting share the trimmed profile; if trimming fails, each fails by itself, as both need it."""
-    out: dict = {"state": "ok"}
-    try:
-        p = reduce_profile(x, y, reduction)
+def measure_all(samples: list[tuple[np.ndarray, np.ndarray]], lane: Lane, reduction: Reduction, options: Options) -> list[dict]:
+    """Rows of profiles (x, y). Cross slope and rutting share the trimmed profile; if trimming fails, each fails by itself, as both need it. Rut depths are found for all of them together."""
+    rows: list[dict] = [{"state": "ok"} for _ in samples]
+    able: list[tuple[dict, Profile, float]] = []
+    for out, (x, y) in zip(rows, samples, strict=True):
+        try:
+            p = reduce_profile(x, y, reduction)
+        except (ArithmeticError, ValueError) as e:
+            out |= {"state": "error", "row_error": f"{type(e).__name__}: {e}"}
+            continue
         out |= {"n_points": len(p.x), "is_noisy": p.is_noisy, "valid_fraction": p.valid_fraction}
         if p.is_noisy and options.skip_noisy:
-            return out | {"state": "skipped"}
+            out["state"] = "skipped"
+            continue
         try:
-            trimmed = without_shoulders(p, lane)
-        except (ArithmeticError, ValueError):
-            trimmed = None
+            trimmed, why = without_shoulders(p, lane), ""
+        except (ArithmeticError, ValueError) as e:
+            trimmed, why = None, f"{type(e).__name__}: {e}"
+        if trimmed is None:
+            out |= {"cs_error": why, "state": "error", "row_error": why}
+            continue
         try:
-            cs = cross_slope(trimmed or p, lane, remove_shoulders=trimmed is None)
+            cs = cross_slope(trimmed, lane, remove_shoulders=False)
             out |= {"cs_intercept": cs.intercept, "cs_r2": cs.r2, "cs_points": cs.points}
             if not (math.isfinite(cs.percent) and math.isfinite(cs.degrees)):
                 raise ArithmeticError("cross slope is not finite")
             out |= {"cs_percent": cs.percent, "cs_degrees": cs.degrees}
         except (ArithmeticError, ValueError) as e:
             out["cs_error"] = f"{type(e).__name__}: {e}"
-        out["left"], out["right"] = rutting(p, lane, options.bar_length, trimmed=trimmed)
-    except (ArithmeticError, ValueError) as e:
-        out |= {"state": "error", "row_error": f"{type(e).__name__}: {e}"}
-    return {k: None if isinstance(v, float) and not math.isfinite(v) else v for k, v in out.items()}
+        able.append((out, trimmed, slope_hint(p, lane)))
+    try:
+        both = [ruts([p for _, p, _ in able], side, lane, options.bar_length, hints=[h for *_, h in able]) for side in SIDES]
+        for (out, *_), left, right in zip(able, *both, strict=True):
+            out |= {"left": left, "right": right}
+    except (ArithmeticError, ValueError) as e:  # of the lane and the bar, so of every profile
+        for out, *_ in able:
+            out |= {"state": "error", "row_error": f"{type(e).__name__}: {e}"}
+    return [{k: None if isinstance(v, float) and not math.isfinite(v) else v for k, v in out.items()} for out in rows]
+
+
+def measure(x: np.ndarray, y: np.ndarray, lane: Lane, reduction: Reduction, options: Options) -> dict:
+    """One profile's row."""
+    return measure_all([(x, y)], lane, reduction, options)[0]
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
@@ -71,7 +90,7 @@ def measure_files(files: DataFrame, calibration: Calibration, options: Options,
                 except ValueError as e:
                     yield _batch([name | {"state": "error", "file_error": f"{type(e).__name__}: {e}"}])
                     continue
-                yield _batch([name | {"row_index": k} | measure(x, y, lane, reduction, options) for k, y in enumerate(heights)])
+                yield _batch([name | {"row_index": k} | row for k, row in enumerate(measure_all([(x, y) for y in heights], lane, reduction, options))])
 
     small_batches(files.sparkSession)  # a few images at a time in a worker, however small they are compressed
     return files.select("set_id", "relative_path", "content").mapInArrow(work, schemas.RESULT)
@@ -83,11 +102,10 @@ def measure_profiles(profiles: DataFrame, lane: Lane, reduction: Reduction, opti
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for set_id, path, index, x, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                rows.append({"set_id": set_id, "relative_path": path, "row_index": index} | measure(np.array(x or [], float), np.array(y or [], float), lane, reduction, options))
-            if rows:
-                yield _batch(rows)
+            names = [dict(zip(("set_id", "relative_path", "row_index"), key, strict=True)) for key in zip(*(c.to_pylist() for c in b.columns[:3]), strict=True)]
+            samples = [tuple(np.array(v or [], float) for v in p) for p in zip(*(c.to_pylist() for c in b.columns[3:]), strict=True)]
+            if names:
+                yield _batch([name | row for name, row in zip(names, measure_all(samples, lane, reduction, options), strict=True)])
 
     return profiles.select("set_id", "relative_path", "row_index", "x", "y").mapInArrow(work, schemas.RESULT)
 
