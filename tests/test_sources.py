@@ -1,8 +1,11 @@
 import math
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from transect.sources import survey
 from transect.sources.calibration import CalibrationError, parse_calibration
 from transect.sources.quicklz import QuickLZError, decompress, parse_header
 from transect.sources.records import decode_records
@@ -135,3 +138,20 @@ def test_navigation(spark, tmp_path):
     probes = spark.createDataFrame([("a", f) for f in (9.0, 10.0, 15.0, 19.999999999999, 20.0, 20.5)] + [("b", 0.0), ("c", 1.0)], "set_id string, f double")
     got = {(r.set_id, r.f): r.v for r in interpolated(probes, "f", track, ["v"]).collect()}
     assert got == {("a", 9.0): None, ("a", 10.0): 1.0, ("a", 15.0): 2.0, ("a", 19.999999999999): 3.0, ("a", 20.0): 3.0, ("a", 20.5): None, ("b", 0.0): 0.0, ("c", 1.0): None}
+
+
+def test_repeated_frames_and_long_tracks(spark):
+    """The first row of a frame ends a line, the last one begins it; a million rows of one key take seconds and are many tasks."""
+    rows = [("7", 0, 10.0, 1.0), ("7", 1, 10.0, 5.0), ("7", 2, 20.0, 9.0), ("7", 3, 20.0, 2.0), ("7", 4, 30.0, 4.0), ("8", 0, float("nan"), 3.0), ("8", 1, None, 3.0)]
+    track = spark.createDataFrame(rows, "set_id string, line long, frame double, v double")
+    asked = {5.0: None, 10.0: 1.0, 15.0: 7.0, 20.0 * (1 - 1e-10): 9.0, 20.0: 9.0, 25.0: 3.0, 30.0: 4.0, 31.0: None}
+    probes = spark.createDataFrame([(s, f) for s in ("7", "8") for f in asked] + [("7", None)], "set_id string, at double")
+    for span in (65536.0, 4.0):
+        got = {(r.set_id, r["at"]): r.v for r in survey.interpolated(probes, "at", track, ["v"], span=span).collect()}
+        assert len(got) == 17 and all(got["7", f] == (None if v is None else pytest.approx(v)) for f, v in asked.items()) and got["7", None] is None
+        assert all(v is None for (s, _), v in got.items() if s == "8")
+    long = spark.range(1_000_000).select(F.lit("7").alias("set_id"), F.col("id").alias("line"), (F.col("id") * 2.0).alias("frame"), (F.col("id") * 3.0).alias("v"))
+    many = spark.range(200_000).select(F.lit("7").alias("set_id"), (F.col("id") * 9.0 + 1).alias("at"))
+    began = time.perf_counter()
+    off = survey.interpolated(many, "at", long, ["v"]).agg(F.max(F.abs(F.col("v") - F.col("at") * 1.5)), F.count("v")).first()
+    assert off[0] < 1e-6 and off[1] == 200_000 and time.perf_counter() - began < 60

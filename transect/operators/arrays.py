@@ -163,10 +163,9 @@ def points(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def gaps_filled(rows: DataFrame, keys: list[str], max_gap: float | None = None) -> DataFrame:
     """points() with inner nulls of y on the line between their neighbours, if those are at most max_gap apart."""
-    order = Window.partitionBy(*keys).orderBy("i")
     known = F.when(F.col("y").isNotNull(), F.struct("x", "y"))
-    low = F.last(known, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    high = F.first(known, ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    run = Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    low, high = (F.last(known, ignorenulls=True).over(run.orderBy(way)) for way in (F.asc("i"), F.desc("i")))
     near = rows.withColumns({"__l": low, "__h": high})
     span = F.col("__h.x") - F.col("__l.x")
     line = F.col("__l.y") + (F.col("x") - F.col("__l.x")) * F.try_divide(F.col("__h.y") - F.col("__l.y"), span)

@@ -639,7 +639,25 @@ def j2_nav_interpolate(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", F.col("user_id"), "event_type", "value", seconds.alias("frame"))
     track = events.filter("event_type = 'view'").select("user_id", (F.col("frame") - BASE).alias("frame"), "value")
     probes = events.filter("event_type = 'purchase'").select("event_id", "user_id", (F.col("frame") - BASE).alias("at"))
-    return survey.interpolated(probes, "at", track, ["value"], "user_id").select("event_id", r6("value").alias("value"))
+    return survey.interpolated(probes, "at", track, ["value"], "user_id", "frame").select("event_id", r6("value").alias("value"))
+
+
+@query(
+    "WITH nav AS (SELECT user_id % 4 AS k, CAST(epoch_us(ts) // 300000000 AS DOUBLE) - 5680224 AS f, arg_min(event_id, event_id) AS a, arg_max(event_id, event_id) AS b FROM events WHERE event_type = 'view' GROUP BY 1, 2), "
+    "seg AS (SELECT n.k, f, x.value AS v0, y.value AS w0, x.event_id % 1000 AS h0, y.event_id % 1000 AS g0 FROM nav n JOIN events x ON x.event_id = n.a JOIN events y ON y.event_id = n.b), "
+    "line AS (SELECT *, lead(f) OVER o AS f1, lead(v0) OVER o AS v1, lead(h0) OVER o AS h1 FROM seg WINDOW o AS (PARTITION BY k ORDER BY f)), "
+    "probe AS (SELECT event_id, user_id % 4 AS k, CAST(epoch_us(ts) // 100000000 AS DOUBLE) / 3 - 5680224 AS f FROM events WHERE event_type = 'purchase') "
+    f"SELECT p.event_id, {q6('CASE WHEN p.f = s.f THEN v0 ELSE w0 + (p.f - s.f) / (f1 - s.f) * (v1 - w0) END')} AS value, {q6('CASE WHEN p.f = s.f THEN h0 ELSE g0 + (p.f - s.f) / (f1 - s.f) * (h1 - g0) END')} AS heading "
+    "FROM probe p LEFT JOIN line s ON p.k = s.k AND p.f >= s.f AND (p.f < f1 OR (f1 IS NULL AND p.f = s.f))"
+)
+def j3_nav_repeated_frames(spark, sf_dir):
+    """Two columns of a track with many rows for one frame, at and between its frames, in short spans: the first row ends a line, the last one begins it."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    events = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 4).alias("k"), "event_type", "value", micros.alias("us"))
+    track = events.filter("event_type = 'view'").select("k", (F.expr("us div 300000000").cast("double") - 5680224).alias("frame"), "value", (F.col("event_id") % 1000).cast("double").alias("heading"), F.col("event_id").alias("line"))
+    probes = events.filter("event_type = 'purchase'").select("event_id", "k", (F.expr("us div 100000000").cast("double") / 3 - 5680224).alias("at"))
+    got = survey.interpolated(probes, "at", track, ["value", "heading"], "k", span=500.0)
+    return got.select("event_id", r6("value").alias("value"), r6("heading").alias("heading"))
 
 
 #: Seconds of the events' first day, so that their frames are small numbers.

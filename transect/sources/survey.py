@@ -124,35 +124,43 @@ def numbers_of(lines: DataFrame, least: int) -> DataFrame:
 
 
 def navigation(spark: SparkSession, set_dir: str) -> tuple[DataFrame, DataFrame]:
-    """GPS rows (set_id, frame, lat, lon) and heading rows (set_id, frame, heading) of gpsdis.<set> and heading.<set>; of rows with one frame the first counts."""
+    """GPS rows (set_id, line, frame, lat, lon) and heading rows (set_id, line, frame, heading) of gpsdis.<set> and heading.<set>."""
     set_id = PurePosixPath(set_dir.rstrip("/")).name
 
-    def first(rows: DataFrame, names: list[str]) -> DataFrame:
-        each = rows.select(F.lit(set_id).alias("set_id"), "line", *[F.get("v", F.lit(k)).alias(n) for k, n in enumerate(names)])
-        return each.withColumn("k", F.row_number().over(Window.partitionBy("set_id", "frame").orderBy("line"))).filter("k = 1").select("set_id", *names)
+    def named(rows: DataFrame, names: list[str]) -> DataFrame:
+        return rows.select(F.lit(set_id).alias("set_id"), "line", *[F.get("v", F.lit(k)).alias(n) for k, n in enumerate(names)])
 
-    return first(numeric_rows(spark, f"{set_dir}/gpsdis.{set_id}", 4), ["frame", "lat", "lon"]), first(numeric_rows(spark, f"{set_dir}/heading.{set_id}", 2), ["frame", "heading"])
+    return named(numeric_rows(spark, f"{set_dir}/gpsdis.{set_id}", 4), ["frame", "lat", "lon"]), named(numeric_rows(spark, f"{set_dir}/heading.{set_id}", 2), ["frame", "heading"])
 
 
-def interpolated(probes: DataFrame, at: str, track: DataFrame, values: list[str], key: str = "set_id") -> DataFrame:
+def interpolated(probes: DataFrame, at: str, track: DataFrame, values: list[str], key: str = "set_id", order: str | None = "line", span: float = 65536.0) -> DataFrame:
     """probes with `values` of the track interpolated at frame column `at`; null before the first and after the last frame of the key's track.
 
-    Both are put into one order of frames, and each probe takes the last track row at or before it and the next one, so the
-    work is a sort, however long the track is: no pair of probe and row is built. A probe that is close to the row after it
-    takes that row. Without a key column in common use a constant. Track frames must be distinct for a key.
+    Of rows with one frame the first (by `order`) counts for a probe at that frame, or close to it from below, and as the end
+    of a line; the last one as a line's begin. Track and probes are sorted together in spans of `span` frames, each of which
+    also holds the nearest track rows of its neighbours, so a long track of one key is many tasks, and each probe gets what
+    stands before and behind it in one run over its span in either direction: no pair of probe and row is built. Without a
+    key column in common use a constant. A track without the order column is in order of its values.
     """
-    row = F.struct(F.col("frame").alias("frame"), *[F.col(v) for v in values])
-    marks = track.filter("frame IS NOT NULL AND NOT isnan(frame)").select(F.col(key), F.col("frame").alias("__f"), F.lit(0).alias("__o"), row.alias("__t"), F.lit(None).cast(probes.select(F.struct("*")).schema[0].dataType).alias("__p"))
-    asked = probes.select(F.col(key), F.col(at).alias("__f"), F.lit(1).alias("__o"), F.lit(None).cast(marks.schema["__t"].dataType).alias("__t"), F.struct("*").alias("__p"))
-    order = Window.partitionBy(key).orderBy("__f", "__o")
-    both = marks.unionByName(asked)
-    low = F.last("__t", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    high = F.first("__t", ignorenulls=True).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    near = both.withColumn("__l", low).withColumn("__h", high).filter("__o = 1")
-    out = [F.col("__p.*")]
+    row = F.struct(*[F.col(v) for v in values])
+    order = order if order in track.columns else row
+    known = track.filter("frame IS NOT NULL AND NOT isnan(frame)").groupBy(key, F.col("frame").alias("__f")).agg(F.min_by(row, order).alias("first"), F.max_by(row, order).alias("last"))
+    known = known.select(key, "__f", F.struct(F.col("__f").alias("frame"), "first", "last").alias("__t"))
+    asked = probes.select(key, F.col(at).cast("double").alias("__f"), F.struct("*").alias("__p"))
+    part = F.floor(F.col("__f") / span).alias("__s")
+    marks, asked = known.select(key, part, "__f", "__t"), asked.select(key, part, "__f", "__p")
+    ends = marks.groupBy(key, "__s").agg(F.min_by("__t", "__f").alias("low"), F.max_by("__t", "__f").alias("high"))
+    ends = ends.unionByName(asked.select(key, "__s").distinct(), allowMissingColumns=True).groupBy(key, "__s").agg(F.first("low", True).alias("low"), F.first("high", True).alias("high"))
+    outside = Window.partitionBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    near = ends.select(key, "__s", F.last("high", True).over(outside.orderBy("__s")).alias("before"), F.last("low", True).over(outside.orderBy(F.desc("__s"))).alias("after"))
+    borders = near.select(key, "__s", F.explode(F.array(F.struct(F.lit(float("-inf")).alias("__f"), F.col("before").alias("__t")), F.struct(F.lit(float("inf")).alias("__f"), F.col("after").alias("__t")))).alias("b")).select(key, "__s", "b.*").filter("__t IS NOT NULL")
+    both = marks.unionByName(borders).unionByName(asked, allowMissingColumns=True)
+    probe = F.col("__p").isNotNull()
+    here = Window.partitionBy(key, "__s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = both.withColumn("__l", F.last("__t", True).over(here.orderBy("__f", probe))).withColumn("__h", F.last("__t", True).over(here.orderBy(F.desc("__f"), probe.desc()))).filter(probe)
+    out, lf, hf, f = [F.col("__p.*")], F.col("__l.frame"), F.col("__h.frame"), F.col("__f")
     for v in values:
-        lf, hf, f = F.col("__l.frame"), F.col("__h.frame"), F.col("__f")
-        line = F.col(f"__l.{v}") + F.try_divide(f - lf, hf - lf) * (F.col(f"__h.{v}") - F.col(f"__l.{v}"))
-        value = F.when(lf == f, F.col(f"__l.{v}")).when(lf.isNull() | hf.isNull(), None).when(is_close(f, hf), F.col(f"__h.{v}")).otherwise(line)
-        out.append(value.alias(v))
-    return near.select(*out)
+        begin, end = F.col(f"__l.last.{v}"), F.col(f"__h.first.{v}")
+        line = begin + F.try_divide(f - lf, hf - lf) * (end - begin)
+        out.append(F.when(lf == f, F.col(f"__l.first.{v}")).when(lf.isNull() | hf.isNull(), None).when(is_close(f, hf), end).otherwise(line).alias(v))
+    return both.select(*out)
