@@ -44,7 +44,7 @@ def golden(tmp_path):
     }
     np.savez(tmp_path / "g.npz", **arrays)
     body = {
-        "schema": "an-oracle-golden", "schema_version": 1, "kind": "real_3dc_profiles", "arrays": {"file_name": "g.npz", "sha256": sha256((tmp_path / "g.npz").read_bytes()).hexdigest()}, "calibration": {"pixel_width": {"inches": 0.10546875}},
+        "schema": "pathview-oracle-golden", "schema_version": 1, "kind": "real_3dc_profiles", "arrays": {"file_name": "g.npz", "sha256": sha256((tmp_path / "g.npz").read_bytes()).hexdigest()}, "calibration": {"pixel_width": {"inches": 0.10546875}},
         "parameters": {"is_double_laser": False, "dark_band_columns": [], "roll_degrees": 0.0, "max_stddev_inches_high_noise": 999.0, "lane_left_inches": 0.0, "lane_right_inches": 162.0, "rut_bar_used": {"inches": 72.0}},
         "public_api_contract": {"rut_bar_public_constants": {"rut_path_width_inches": 44.29134, "wheel_path_center_inches_from_centerline": 34.448819}}, "profiles": records,
     }
@@ -87,8 +87,10 @@ def test_full_run(spark, tmp_path):
     make_set(tmp_path / "in", "21", frames=1)
     (tmp_path / "in" / "21" / "3D_Camera.cal").unlink()
     done = full_run(spark, str(tmp_path / "in"), str(tmp_path / "out"), ExportConfig("", ""))
-    assert [(r["set"], r["status"]) for r in done["results"]] == [("3", "ok"), ("21", "failed")] and done["status"] == "partial" and done["performance"]["speedup"] > 0
-    assert "set 3: ok, files=2" in (tmp_path / "out" / "full_run_report.txt").read_text()
+    assert [(r["set_id"], r["state"]) for r in done["sets"]] == [("3", "ok"), ("21", "failed")] and not done["run"]["complete"] and done["run"]["ended"]
+    assert done["sets"][0]["cpu_s"] > 0 and done["sets"][1]["cpu_s"] == 0 and 0 < done["run"]["speedup"] == pytest.approx(done["sets"][0]["cpu_s"] / sum(s["wall_s"] for s in done["sets"]))
+    lines = [x.split() for x in (tmp_path / "out" / "full_run_report.txt").read_text().splitlines()]
+    assert [x[:5] for x in lines[1:3]] == [["3", "ok", "2", "0", "0"], ["21", "failed", "0", "0", "0"]] and lines[3][:5] == ["all", "1", "of", "2", "ok"]
     assert (tmp_path / "out" / "set_3" / "set_3_rut_results.geojson").exists()
 
 

@@ -77,7 +77,10 @@ def parser() -> argparse.ArgumentParser:
 
 def _options_of(a: argparse.Namespace) -> Options:
     noise = 999.0 if a.max_noise_std_inches is None else a.max_noise_std_inches
-    return Options(a.lane_left_inches, a.lane_right_inches, a.lane_center_offset_inches, a.rut_bar_inches, a.roll_degrees, a.invalid_policy, a.minimum_valid_fraction, a.max_interpolation_gap_inches, noise, a.skip_noisy_profiles)
+    return Options(
+        lane_left=a.lane_left_inches, lane_right=a.lane_right_inches, lane_center_offset=a.lane_center_offset_inches, bar_length=a.rut_bar_inches, roll_degrees=a.roll_degrees,
+        invalid_policy=a.invalid_policy, min_valid_fraction=a.minimum_valid_fraction, max_gap=a.max_interpolation_gap_inches, max_noise=noise, skip_noisy=a.skip_noisy_profiles,
+    )
 
 
 def _run(a: argparse.Namespace, spark: SparkSession) -> int:
@@ -108,7 +111,7 @@ def _run(a: argparse.Namespace, spark: SparkSession) -> int:
         from transect.plans.full_run import full_run
 
         done = full_run(spark, a.data_root, a.out_dir, ExportConfig(set_dir="", **shared), a.sets)
-        return int(done["status"] != "ok")
+        return int(not done["run"]["complete"])
     if a.command == "batch":
         done = run_batch(spark, a.data_root, ExportConfig(set_dir="", rebuild_index=a.rebuild_indexes, **shared), a.sets, a.index_dir)
         print(json.dumps(done, indent=2, allow_nan=False))

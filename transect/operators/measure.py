@@ -7,6 +7,7 @@ it; from there on everything is columns. Errors of a profile or a file are data;
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,20 +78,22 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], t) for n, t in _FIELDS], names=[n for n, _ in _FIELDS])
 
 
-def measure_files(files: DataFrame, calibration: Calibration, options: Options, columns: int | None = None) -> DataFrame:
-    """RESULT rows of files (set_id, relative_path, content): one for each profile, or one with file_error for a file that can't be decoded."""
+def measure_files(files: DataFrame, calibration: Calibration, options: Options, columns: int | None = None, cpu=None) -> DataFrame:
+    """RESULT rows of files (set_id, relative_path, content): one for each profile, or one with file_error for a file that can't be decoded. cpu: an accumulator that gets the CPU seconds of the workers."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lane, reduction, x = options.lane(calibration.pavement_width), options.reduction(), calibration.x()
         for b in batches:
             for set_id, path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                name = {"set_id": set_id, "relative_path": path}
+                name, began = {"set_id": set_id, "relative_path": path}, time.thread_time()
                 try:
                     heights = calibration.apply(read_image(content.as_py(), columns or len(calibration.offsets))["heights"])
+                    rows = [name | {"row_index": k} | row for k, row in enumerate(measure_all([(x, y) for y in heights], lane, reduction, options))]
                 except ValueError as e:
-                    yield _batch([name | {"state": "error", "file_error": f"{type(e).__name__}: {e}"}])
-                    continue
-                yield _batch([name | {"row_index": k} | row for k, row in enumerate(measure_all([(x, y) for y in heights], lane, reduction, options))])
+                    rows = [name | {"state": "error", "file_error": f"{type(e).__name__}: {e}"}]
+                if cpu is not None:
+                    cpu.add(time.thread_time() - began)
+                yield _batch(rows)
 
     small_batches(files.sparkSession)  # a few images at a time in a worker, however small they are compressed
     return files.select("set_id", "relative_path", "content").mapInArrow(work, schemas.RESULT)

@@ -29,9 +29,9 @@ from transect.sources.records import read_image
 CALIBRATION_NAME = "3D_Camera.cal"
 
 
-def file_results(files: DataFrame, index: DataFrame, calibration: Calibration, config: ExportConfig) -> DataFrame:
+def file_results(files: DataFrame, index: DataFrame, calibration: Calibration, config: ExportConfig, cpu=None) -> DataFrame:
     """FILE_RESULT of files (set_id, relative_path, content) in the index."""
-    got = aggregate_files(measure_files(files, calibration, config.options), config.options.skip_noisy)
+    got = aggregate_files(measure_files(files, calibration, config.options, cpu=cpu), config.options.skip_noisy)
     named = got.join(index.select("set_id", "relative_path", "start_frame", "end_frame"), ["set_id", "relative_path"])
     return named.withColumn("file_name", F.element_at(F.split("relative_path", "/"), -1)).select(*[f.split(" ")[0] for f in schemas.FILE_RESULT.split(", ")])
 
@@ -86,8 +86,8 @@ def _index(spark: SparkSession, config: ExportConfig, set_id: str) -> tuple[Data
     return survey.read_index(spark, at, set_id), at
 
 
-def export_set(spark: SparkSession, config: ExportConfig) -> dict:
-    """Run an export and return its metadata.
+def export_set(spark: SparkSession, config: ExportConfig, cpu=None) -> dict:
+    """Run an export and return its metadata. cpu: an accumulator that gets the CPU seconds of the workers.
 
     Files are measured in chunks of `files_per_chunk`; each chunk that is done is in the checkpoint. A file that changes
     while it is measured ends the run before its chunk is written; one that is missing is a failed row that isn't kept.
@@ -119,7 +119,7 @@ def export_set(spark: SparkSession, config: ExportConfig) -> dict:
             of_path = part.select("relative_path", "path", F.regexp_replace("path", "^[a-z0-9]+:/+", "/").alias("p"))
             content = spark.read.format("binaryFile").load([r.path for r in pending[k : k + config.files_per_chunk]]).select(F.regexp_replace("path", "^[a-z0-9]+:/+", "/").alias("p"), "content")
             files = content.join(F.broadcast(of_path), "p").select(F.lit(set_id).alias("set_id"), "relative_path", "content")
-            done = file_results(files, part.withColumn("set_id", F.lit(set_id)), calibration, config)
+            done = file_results(files, part.withColumn("set_id", F.lit(set_id)), calibration, config, cpu)
             done = done.join(part.select("relative_path", "size", "changed", "probe"), "relative_path").checkpoint()
             changed = identities(part).join(part.select("relative_path", F.struct("size", "changed", "probe").alias("was")), "relative_path").filter(F.struct("size", "changed", "probe") != F.col("was"))
             if (other := changed.first()) is not None:
@@ -150,7 +150,7 @@ def export_set(spark: SparkSession, config: ExportConfig) -> dict:
         "schema_version": 1, "status": "ok" if states.get("ok", 0) == total else "partial", "created_at": datetime.now(UTC).isoformat(timespec="seconds"), "elapsed_seconds": time.time() - began,
         "measurement_units": {"rut_depth": "inch", "cross_slope_average_percent": "percent", "cross_slope_average_angle_degrees": "degree"}, "set": set_id, "set_dir": set_dir, "calibration": calibration_at, "index_json": index_at,
         "options": asdict(config.options), "lane_positions_inches": {"left": lane.left, "right": lane.right, "center": lane.center}, "records_indexed": everything.count(), "records_exported": total,
-        **{f"files_{s}": states.get(s, 0) for s in ("ok", "partial", "failed")}, "severity_counts": severities, "previews": previews, "diagnostics": [r.asDict(True) for r in results.orderBy("start_frame", "relative_path").limit(1000).collect()],
+        **{f"files_{s}": states.get(s, 0) for s in ("ok", "partial", "failed")}, "severity_counts": severities, "previews": previews, "diagnostics": [r.asDict(True) for r in results.orderBy("start_frame", "relative_path").toLocalIterator()],
         "checkpoint": {"resume_requested": config.resume, "fingerprint": mark, "root": root, "records_reused": reused, "records_processed": total - reused, "records_not_checkpointed": missing.count()},
         "outputs": {"geojson": f"{out}/{base}.geojson", "csv": f"{out}/{base}.csv", "metadata_json": f"{out}/{base}.metadata.json"},
     }
@@ -159,7 +159,7 @@ def export_set(spark: SparkSession, config: ExportConfig) -> dict:
 
 
 def inspect_file(spark: SparkSession, path: str, calibration_at: str, profile_index: int = 0, options=None) -> dict:
-    """Summary of one profile of one file, measured without a crop. IndexError outside the file."""
+    """Summary of one profile of one file, measured without a crop. IndexError outside the file, ValueError if it can't be reduced or has no cross slope."""
     from transect.config import Options
     from transect.operators.measure import measure
 
@@ -172,8 +172,8 @@ def inspect_file(spark: SparkSession, path: str, calibration_at: str, profile_in
     raw = rows["heights"][profile_index]
     heights = calibration.apply(raw)
     got = measure(calibration.x(), heights, options.lane(calibration.pavement_width), options.reduction(), options)
-    if got["state"] == "error":
-        raise ValueError(got["row_error"])
+    if (problem := got.get("row_error") or got.get("cs_error")) is not None:
+        raise ValueError(problem)
     left, right = ((got.get(s) or {}).get("depth") for s in ("left", "right"))
     return {
         "file": path, "compressed_bytes": row.length, "profiles": len(rows), "columns": len(raw), "profile_index": profile_index, "raw_height_min": int(raw.min()), "raw_height_max": int(raw.max()),

@@ -20,6 +20,8 @@ from transect.config import Lane, Options, Reduction
 from transect.operators.measure import measure_profiles, reduce_profiles
 from transect.plans.files import store, write_text
 
+#: Fixed value of the format: the schema's name in a manifest.
+SCHEMA = "pathview-oracle-golden"
 #: Types of the arrays of an archive; points of a side's geometry.
 ARRAYS = {
     "profile_indices": "int64", "raw_offsets": "int64", "raw_height_u16": "uint16", "calibrated_height_inches": "float64", "intensity_u8": "uint8", "reduced_offsets": "int64", "reduced_x_inches": "float64", "reduced_y_inches": "float64",
@@ -103,7 +105,7 @@ def load_golden(path: str) -> Golden:
     try:
         with fs.open_input_file(at) as f:
             body = _strict(f.read().decode())
-        if not str(body["schema"]).endswith("oracle-golden") or body["schema_version"] != 1 or body["kind"] != "real_3dc_profiles":
+        if body["schema"] != SCHEMA or body["schema_version"] != 1 or body["kind"] != "real_3dc_profiles":
             raise GoldenError("unsupported manifest")
         name = body["arrays"]["file_name"]
         if "/" in name or "\\" in name or name in ("", ".", ".."):

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from transect.plans.files import ensure_shared_folder
 
+#: Rows of the small sums that are broadcast; more of them are joined by a shuffle.
+MOST_BROADCAST = 100_000
+
 
 def running_number(rows: DataFrame, by: str, order: list[str], name: str) -> DataFrame:
     """rows with a column `name`: 1, 2, ... within each value of `by`, in the given order.
@@ -22,6 +25,7 @@ def running_number(rows: DataFrame, by: str, order: list[str], name: str) -> Dat
     before = F.sum("__c").over(Window.partitionBy(by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
     counts = ranged.groupBy("__range", by).agg(F.count("*").alias("__c")).select("__range", by, F.coalesce(before, F.lit(0)).alias("__before"))
     same = [F.col("l.__range") == F.col("r.__range"), F.col(f"l.{by}").eqNullSafe(F.col(f"r.{by}"))]
-    # Rows are in order of class, so counts has at most one row more for each range than there are classes: small, whatever the rows.
-    joined = ranged.withColumn(name, own).alias("l").join(F.broadcast(counts).alias("r"), same)
+    # Rows are in order of class, so counts has at most one row more for each range than there are classes.
+    small = counts.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    joined = ranged.withColumn(name, own).alias("l").join((F.broadcast(counts) if small else counts).alias("r"), same)
     return joined.select("l.*", "r.__before").withColumn(name, F.col(name) + F.col("__before")).drop("__range", "__before")
