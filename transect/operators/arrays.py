@@ -121,20 +121,6 @@ def cross_slope(df: DataFrame, lane: Lane) -> DataFrame:
     return out.drop("__p", "__l", "__r", "__run", "__fall", "__m")
 
 
-def support_line(df: DataFrame, side: str, lane: Lane) -> DataFrame:
-    """df with `<side>_slope` and `<side>_height` of the line on top of the half-lane's samples, lowest at the wheel center: of all chords over the center the highest. For centers that are no sample."""
-    c, (low, high) = lane.wheel_center(side), lane.half(side)
-    pairs = F.filter(F.arrays_zip("x", "y"), lambda p: (p["x"] >= low) & (p["x"] <= high))
-    left, right = F.filter(pairs, lambda p: p["x"] < c), F.filter(pairs, lambda p: p["x"] >= c)
-
-    def chord(a, b):
-        slope = (b["y"] - a["y"]) / (b["x"] - a["x"])
-        return F.struct((a["y"] + slope * (c - a["x"])).alias("height"), (-a["x"]).alias("ax"), b["x"].alias("bx"), slope.alias("slope"))
-
-    best = F.array_max(F.flatten(F.transform(left, lambda a: F.transform(right, lambda b: chord(a, b)))))
-    return df.withColumn("__b", best).withColumns({f"{side}_slope": F.col("__b.slope"), f"{side}_height": F.col("__b.height")}).drop("__b")
-
-
 def surface_at(at: Column) -> Column:
     """Height of the surface through arrays x and y at a position: on the line between its neighbours, null outside."""
     k = F.size(F.filter("x", lambda x: x <= at))

@@ -19,7 +19,7 @@ from transect import schemas
 from transect.config import Lane, Options, Reduction
 from transect.functions.batches import small_batches
 from transect.functions.scalars import finite, severity
-from transect.operators.geometry import SIDES, cross_slope, ruts, slope_hint, without_shoulders
+from transect.operators.geometry import SIDES, cross_slope, nominal_width, ruts, shoulder_slice, slope_hint, support_line, without_shoulders
 from transect.operators.reduction import Profile, reduce_profile
 from transect.sources.calibration import Calibration
 from transect.sources.records import read_image
@@ -144,23 +144,49 @@ def aggregate_files(results: DataFrame, skip_noisy: bool = False, require_both:
     return out.withColumn("severity", severity(F.col("overall_average"))).withColumn("status", F.when(~whole, "failed").when(partly, "partial").otherwise("ok"))
 
 
-def reduce_profiles(profiles: DataFrame, reduction: Reduction, keys: list[str]) -> DataFrame:
-    """keys..., x, y, is_noisy, n_original, valid_fraction, notes, error: cleaned profiles (x array<double>, y array<double>, null elevations invalid); an error instead of arrays where too little is left."""
+def _of_profiles(profiles: DataFrame, keys: list[str], work, fields: list[tuple[str, pa.DataType, str]]) -> DataFrame:
+    """keys..., fields, error: what work(x, y) gives for each profile (x array<double>, y array<double>, null elevations invalid), as a dict; an error instead where it can't."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, text = pa.list_(pa.float64()), pa.list_(pa.string())
+    def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 try:
-                    p = reduce_profile(np.array(x or [], float), np.array(y or [], float), reduction)
-                    rows.append((p.x, p.y, p.is_noisy, p.n_original, p.valid_fraction, list(p.notes), None))
+                    rows.append(work(np.array(x or [], float), np.array(y or [], float)))
                 except (ArithmeticError, ValueError) as e:
-                    rows.append((None, None, None, None, None, None, f"{type(e).__name__}: {e}"))
-            kinds = (number, number, pa.bool_(), pa.int32(), pa.float64(), text, pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=["k", "x", "y", "is_noisy", "n_original", "valid_fraction", "notes", "error"])
+                    rows.append({"error": f"{type(e).__name__}: {e}"})
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r.get(n) for r in rows], t) for n, t, _ in [*fields, ("error", pa.string(), "")])], names=["k", *(f[0] for f in fields), "error"])
 
     few = profiles.select(F.struct(*keys).alias("k"), "x", "y")
-    schema = f"k {few.schema['k'].dataType.simpleString()}, x array<double>, y array<double>, is_noisy boolean, n_original int, valid_fraction double, notes array<string>, error string"
-    out = few.mapInArrow(work, schema)
+    out = few.mapInArrow(batches_of, f"k {few.schema['k'].dataType.simpleString()}, {', '.join(f'{n} {kind}' for n, _, kind in fields)}, error string")
     return out.select("k.*", *out.columns[1:])
+
+
+def reduce_profiles(profiles: DataFrame, reduction: Reduction, keys: list[str]) -> DataFrame:
+    """keys..., x, y, is_noisy, noise, n_original, valid_fraction, notes, error: cleaned profiles; an error instead of arrays where too little is left."""
+
+    def work(x: np.ndarray, y: np.ndarray) -> dict:
+        p = reduce_profile(x, y, reduction)
+        return {"x": p.x, "y": p.y, "is_noisy": p.is_noisy, "noise": p.noise, "n_original": p.n_original, "valid_fraction": p.valid_fraction, "notes": list(p.notes)}
+
+    number = pa.list_(pa.float64())
+    kinds = [("x", number, "array<double>"), ("y", number, "array<double>"), ("is_noisy", pa.bool_(), "boolean"), ("noise", pa.float64(), "double"), ("n_original", pa.int32(), "int"), ("valid_fraction", pa.float64(), "double"), ("notes", pa.list_(pa.string()), "array<string>")]
+    return _of_profiles(profiles, keys, work, kinds)
+
+
+def profile_parts(profiles: DataFrame, lane: Lane, reduction: Reduction, keys: list[str]) -> DataFrame:
+    """keys..., start, stop, width, hint, left_slope, left_height, right_slope, right_height, error: the part between the shoulders (numbers of samples, stop exclusive), the nominal width, the slope hint, and the line on top of each half of the lane, lowest at its wheel centre (null where it isn't carried)."""
+
+    def work(x: np.ndarray, y: np.ndarray) -> dict:
+        p = reduce_profile(x, y, reduction)
+        start, stop = shoulder_slice(p, lane)
+        out = {"start": start, "stop": stop, "width": nominal_width(p), "hint": slope_hint(p, lane)}
+        for side in SIDES:
+            (low, high), c = lane.half(side), lane.wheel_center(side)
+            inside = (p.x >= low) & (p.x <= high)
+            if inside.sum() > 1 and p.x[inside][0] <= c <= p.x[inside][-1]:
+                out[f"{side}_slope"], out[f"{side}_height"], *_ = support_line(p.x[inside], p.y[inside], c, out["hint"])
+        return out
+
+    names = ("width", "hint", *(f"{side}_{what}" for side in SIDES for what in ("slope", "height")))
+    return _of_profiles(profiles, keys, work, [("start", pa.int32(), "int"), ("stop", pa.int32(), "int"), *((n, pa.float64(), "double") for n in names)])

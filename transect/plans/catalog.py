@@ -7,14 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from transect.config import Lane, Options, Reduction
 from transect.functions import scalars
 from transect.operators import arrays
-from transect.operators.measure import aggregate_files, measure_profiles
+from transect.operators.measure import aggregate_files, measure_profiles, profile_parts, reduce_profiles
 from transect.plans import batch, maps
+from transect.plans.checkpoint import Checkpoint, probe
+from transect.plans.export import csv_parts, export_rows, geojson_parts
+from transect.plans.files import new_folder, write_parts
 from transect.plans.adapters import profiles, sample_sql, table
 from transect.sources import calibration, records, survey
 
@@ -22,6 +25,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 LANE, OFF_GRID = Lane(0.0, 162.0), Lane(0.0, 162.0, 0.5)
+#: Raw profiles, taken as they are: no outlier filter and no smoothing.
+PLAIN = Reduction()
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -120,13 +125,13 @@ def f7_select_files(spark, sf_dir):
     return survey.select_files(survey.end_frames(names), 100000, 2000000, 1000).drop("set_id")
 
 
-def _block(total: Column, payload: Column) -> Column:
-    """An uncompressed QuickLZ block with the long header around a payload (hex)."""
+def _block(total: Column, payload: Column, flags: int = 0x46) -> Column:
+    """A QuickLZ block with the long header around a payload (hex) that stands for `total` bytes; uncompressed unless the flags say otherwise."""
 
     def little(n: Column, width: int) -> Column:
         return F.concat(*[F.lpad(F.hex(F.shiftright(n.cast("int"), 8 * k).bitwiseAND(255)), 2, "0") for k in range(width)])
 
-    return F.unhex(F.concat(F.lit("46"), little(total + 9, 4), little(total, 4), payload))
+    return F.unhex(F.concat(F.lit(f"{flags:02x}"), little((F.length(payload) / 2).cast("int") + 9, 4), little(total, 4), payload))
 
 
 @query("SELECT s_suppkey, CAST(f AS BIGINT) AS flags, CASE WHEN f & 2 > 0 THEN 9 ELSE 3 END AS size, c % (CASE WHEN f & 2 > 0 THEN 4294967296 ELSE 256 END) AS compressed, d % (CASE WHEN f & 2 > 0 THEN 4294967296 ELSE 256 END) AS decompressed, (f >> 2) & 3 AS level, (f >> 4) & 3 AS streaming, f & 1 = 1 AS is_compressed FROM (SELECT s_suppkey, s_suppkey * 7 % 256 AS f, s_suppkey * 1009 AS c, s_suppkey * 31 AS d FROM supplier)")
@@ -142,18 +147,23 @@ def s5_quicklz_header(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", head.alias("h")).select("s_suppkey", "h.*")
 
 
-@query("SELECT r_regionkey, 'abcabcabcabcWXYZ' AS text FROM region")
+_LETTERS = "chr(CAST(97 + s_suppkey % 26 AS INT)) || chr(CAST(65 + s_suppkey * 7 % 26 AS INT)) || chr(CAST(48 + s_suppkey * 3 % 10 AS INT))"
+
+
+@query(f"SELECT s_suppkey, substr(repeat({_LETTERS}, 10), 1, CAST(5 + s_suppkey % 15 + 1 AS INT)) || printf('%011d', s_suppkey) AS text FROM supplier")
 def s6_quicklz_decompress(spark, sf_dir):
-    """A compressed block with a match that overlaps itself."""
-    body = bytes.fromhex("08000080") + b"abc" + bytes.fromhex("7745") + b"WXYZ"
-    block = b"\x47" + (len(body) + 9).to_bytes(4, "little") + (16).to_bytes(4, "little") + body
-    from transect.sources.quicklz import decompress
+    """A compressed block for each supplier: three letters, a match of 3 to 17 bytes that repeats itself, eleven digits."""
+    k = F.col("s_suppkey")
 
-    @F.pandas_udf("string")
-    def text(values):
-        return values.map(lambda v: decompress(bytes(v)).decode())
+    def byte(n):
+        return F.lpad(F.hex(n.cast("int").bitwiseAND(255)), 2, "0")
 
-    return table(spark, sf_dir, "region").select("r_regionkey", text(F.lit(block)).alias("text"))
+    a, b, c = 97 + k % 26, 65 + k * 7 % 26, 48 + k * 3 % 10
+    fetch = (a + b * 256 + c * 65536).cast("int")
+    more = (k % 15 + 1).cast("int")  # a match's length less two
+    match = F.shiftleft(F.shiftright(fetch, 12).bitwiseXOR(fetch).bitwiseAND(4095), 4) + more
+    body = F.concat(F.lit("08000080"), byte(a), byte(b), byte(c), byte(match), byte(F.shiftright(match, 8)), F.hex(F.format_string("%011d", k).cast("binary")))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", records.decompressed(_block(more + 16, body, 0x47)).cast("string").alias("text"))
 
 
 def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,19 +223,33 @@ def p13_severity_lenient(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", scalars.severity(F.col("c_acctbal") / 5000, allow_negative=True).alias("severity"))
 
 
-_LANE = "l_orderkey, l_linenumber, l_quantity AS l, l_quantity + 120 + l_tax * 100 AS r"
+_LANE = "SELECT l_orderkey, l_linenumber, l_quantity AS l, l_quantity + 40 + l_tax * 1000 AS r, (2 * l_quantity + 40 + l_tax * 1000) / 2 AS c FROM lineitem"
 
 
 @query(
-    f"SELECT l_orderkey, l_linenumber, {q6('c')} AS center, {q6('c - 34.448819')} AS wheel_left, {q6('c + 34.448819')} AS wheel_right, {q6('greatest(l, c - 34.448819 - 22.14567)')} AS zone_low, {q6('least(c, c - 34.448819 + 22.14567)')} AS zone_high FROM (SELECT *, (l + r) / 2 AS c FROM (SELECT {_LANE} FROM lineitem))"
+    f"SELECT l_orderkey, l_linenumber, {q6('c')} AS center, {q6('c - 34.448819')} AS wheel_left, {q6('c + 34.448819')} AS wheel_right, {q6('greatest(l, c - 34.448819 - 22.14567)')} AS zone_low, {q6('least(c, c - 34.448819 + 22.14567)')} AS zone_high, "
+    f"{q6('greatest(c, c + 34.448819 - 22.14567)')} AS right_low, {q6('least(r, c + 34.448819 + 22.14567)')} AS right_high, FALSE AS refused FROM ({_LANE}) WHERE l_quantity_ok(l) "
+    f"UNION ALL SELECT l_orderkey, l_linenumber, NULL, NULL, NULL, NULL, NULL, NULL, NULL, TRUE FROM ({_LANE}) WHERE NOT l_quantity_ok(l)".replace("l_quantity_ok(l)", "(CAST(l AS INT) % 7 <> 0)")
 )
 def p6_lane_geometry(spark, sf_dir):
-    left, right = F.col("l_quantity"), F.col("l_quantity") + 120 + F.col("l_tax") * 100
-    center = (left + right) / 2
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", r6(center).alias("center"), r6(center - LANE.wheel_offset).alias("wheel_left"), r6(center + LANE.wheel_offset).alias("wheel_right"),
-        r6(F.greatest(left, center - LANE.wheel_offset - LANE.wheel_width / 2)).alias("zone_low"), r6(F.least(center, center - LANE.wheel_offset + LANE.wheel_width / 2)).alias("zone_high"),
-    )
+    """Lane's own numbers for each pair of edges that there is (P6); edges the wrong way round are refused."""
+    import pandas as pd
+
+    def lanes(batches):
+        for b in batches:
+            rows = []
+            for left, right in zip(b["l"], b["r"], strict=True):
+                try:
+                    x = Lane(left, right) if int(left) % 7 else Lane(right, left)
+                    rows.append((left, right, x.center, x.wheel_center("left"), x.wheel_center("right"), *x.wheel_zone("left"), *x.wheel_zone("right"), False))
+                except ValueError:
+                    rows.append((left, right, *[None] * 7, True))
+            yield pd.DataFrame(rows, columns=["l", "r", *names, "refused"])
+
+    names = ["center", "wheel_left", "wheel_right", "zone_low", "zone_high", "right_low", "right_high"]
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("l"), (F.col("l_quantity") + 40 + F.col("l_tax") * 1000).cast("double").alias("r"))
+    found = items.select("l", "r").distinct().mapInPandas(lanes, "l double, r double, " + ", ".join(f"{n} double" for n in names) + ", refused boolean")
+    return items.join(found, ["l", "r"]).select("l_orderkey", "l_linenumber", *[r6(n).alias(n) for n in names], "refused")
 
 
 @query(f"SELECT o_orderkey, {q6('CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 THEN (o_totalprice + o_custkey) / 2 END')} AS overall FROM orders")
@@ -269,26 +293,37 @@ def p14_grayscale(spark, sf_dir):
     return rows.join(limits, "file").groupBy("file", "profile").agg(F.sum(gray).alias("gray"))
 
 
-@query("SELECT s_suppkey, p AS severity_pixels FROM (SELECT s_suppkey, CAST(64 AS BIGINT) AS p FROM supplier)")
+@query("SELECT s_suppkey, 3 + s_suppkey % 11 AS width, 2 + s_suppkey % 7 AS height, CASE WHEN s_suppkey % 3 = 0 THEN 128 * (3 + s_suppkey % 11) * (2 + s_suppkey % 7) ELSE 255 * (((3 + s_suppkey % 11) * (2 + s_suppkey % 7)) // 2) END AS gray FROM supplier")
 def p15_png_preview(spark, sf_dir):
-    """Encode an 8 x 8 image for each supplier and read its header back."""
+    """An image of another size for each supplier, flat or half low and half high, encoded and read back."""
+    import zlib
+
     import numpy as np
+    import pandas as pd
 
     from transect.operators.preview import height_image, png
 
-    @F.pandas_udf("binary")
-    def encoded(keys):
-        return keys.map(lambda k: png(height_image(np.arange(64.0).reshape(8, 8) * (k + 1))))
+    def encoded(batches):
+        for b in batches:
+            rows = []
+            for key in b["s_suppkey"].tolist():
+                width, height = 3 + key % 11, 2 + key % 7
+                heights = np.full(width * height, 7.0) if key % 3 == 0 else np.where(np.arange(width * height) < width * height - width * height // 2, 1.0, 2.0)
+                body = png(height_image(heights.reshape(height, width)))
+                at = body.index(b"IDAT")
+                pixels = zlib.decompress(body[at + 4 : at + 4 + int.from_bytes(body[at - 4 : at], "big")])
+                rows.append((key, int.from_bytes(body[16:20], "big"), int.from_bytes(body[20:24], "big"), sum(pixels)))
+            yield pd.DataFrame(rows, columns=["s_suppkey", "width", "height", "gray"])
 
-    body = encoded("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint").alias("s_suppkey")).mapInPandas(encoded, "s_suppkey bigint, width bigint, height bigint, gray bigint")
 
-    def number(at):
-        return F.conv(F.hex(F.substring("b", at, 4)), 16, 10).cast("bigint")
 
-    return table(spark, sf_dir, "supplier").select("s_suppkey", body.alias("b")).select("s_suppkey", (number(17) * number(21)).alias("severity_pixels"))
+# Profile arrays
 
 
-# Profile arrays
+def _reduced(spark: SparkSession, sf_dir: str, reduction: Reduction, scale: float = 1.0, holes: bool = False) -> DataFrame:
+    """Profiles as the kernel cleans them."""
+    return reduce_profiles(profiles(spark, sf_dir, scale, holes), reduction, ["profile"])
 
 
 @query(f"WITH {sample_sql(8.0)} SELECT profile, i, {q6('x')} AS x, {q6('(y - 0.01 * i) * 0.78125')} AS y FROM sample")
@@ -353,18 +388,8 @@ def a10_batch_noise(spark, sf_dir):
     f"SELECT profile, {q6('sqrt(avg(pow(y - m, 2)))')} AS noise FROM t GROUP BY profile"
 )
 def a11_residual_noise(spark, sf_dir):
-    """Mirrored running mean over nine samples, in the kernel."""
-    import numpy as np
-
-    from transect.operators.reduction import residual_noise
-
-    @F.pandas_udf("double")
-    def noise(xs, ys):
-        import pandas as pd
-
-        return pd.Series([residual_noise(np.asarray(x), np.asarray(y), 20.0) for x, y in zip(xs, ys, strict=True)])
-
-    return profiles(spark, sf_dir).select("profile", r6(noise("x", "y")).alias("noise"))
+    """Mirrored running mean over nine samples."""
+    return _reduced(spark, sf_dir, Reduction(noise_window=20.0)).select("profile", r6("noise").alias("noise"))
 
 
 @query(f"WITH {sample_sql()}, f AS (SELECT *, first_value(x) OVER w AS x0, first_value(y) OVER w AS y0 FROM sample WINDOW w AS (PARTITION BY profile ORDER BY i)) SELECT profile, CAST(i AS INT) AS i, {q6('x0 + (x - x0) * cos(radians(2.0)) + (y - y0) * sin(radians(2.0))')} AS x, {q6('y0 - (x - x0) * sin(radians(2.0)) + (y - y0) * cos(radians(2.0))')} AS y FROM f")
@@ -389,9 +414,29 @@ def w3_shoulder_trim(spark, sf_dir):
     return _trimmed(spark, sf_dir).groupBy("profile").agg(F.min("i").alias("first_i"), F.max("i").alias("last_i"), F.count("*").alias("n"))
 
 
-@query(f"WITH {_SHOULDER} SELECT profile FROM (SELECT DISTINCT profile FROM sample) WHERE profile NOT IN (SELECT profile FROM kept)")
+_STEEP = _SHOULDER.replace(sample_sql(2.0), sample_sql(64.0))
+
+
+@query(f"WITH {_STEEP} SELECT profile FROM (SELECT DISTINCT profile FROM sample) WHERE profile NOT IN (SELECT profile FROM kept)")
 def w4_shoulder_empty(spark, sf_dir):
-    return profiles(spark, sf_dir, 2.0).select("profile").join(_trimmed(spark, sf_dir).select("profile"), "profile", "left_anti")
+    """Profiles so steep that nothing is left between the shoulders, in columns."""
+    rows = profiles(spark, sf_dir, 64.0)
+    kept = arrays.shoulders_removed(arrays.points(rows, ["file", "profile"]), ["file", "profile"], LANE, 162.0)
+    return rows.select("profile").join(kept.select("profile"), "profile", "left_anti")
+
+
+@query(f"WITH {_STEEP} SELECT profile, CAST(coalesce(min(k.i), -1) AS INT) AS first_i, CAST(coalesce(max(k.i), -1) AS INT) AS last_i, count(k.i) AS n FROM (SELECT DISTINCT profile FROM sample) LEFT JOIN kept k USING (profile) GROUP BY profile")
+def w4_shoulder_kernel(spark, sf_dir):
+    """What the kernel keeps between the shoulders of steep profiles; nothing (-1) of some."""
+    got = profile_parts(profiles(spark, sf_dir, 64.0), LANE, PLAIN, ["profile"])
+    some = F.col("stop") > F.col("start")
+    return got.select("profile", F.when(some, F.col("start")).otherwise(-1).alias("first_i"), F.when(some, F.col("stop") - 1).otherwise(-1).alias("last_i"), (F.col("stop") - F.col("start")).cast("bigint").alias("n"))
+
+
+@query(_SQL["w3_shoulder_trim"])
+def w3_shoulder_kernel(spark, sf_dir):
+    got = profile_parts(profiles(spark, sf_dir, 2.0), LANE, PLAIN, ["profile"]).filter("stop > start")
+    return got.select("profile", F.col("start").alias("first_i"), (F.col("stop") - 1).alias("last_i"), (F.col("stop") - F.col("start")).cast("bigint").alias("n"))
 
 
 _CROSS = """part AS (SELECT profile, file, avg(y) FILTER (x <= {c}) AS yl, avg(y) FILTER (x >= {c}) AS yr, avg(x) FILTER (x <= {c}) AS xl, (max(x) - min(x)) / 2 AS run, avg(y) AS m, count(*) AS n FROM {t} WHERE x > 0.0 AND x < 162.0 GROUP BY profile, file),
@@ -413,10 +458,76 @@ def a9_slope_hint(spark, sf_dir):
 
 @query(f"WITH {sample_sql()}, d AS (SELECT profile, n, lead(x) OVER (PARTITION BY profile ORDER BY i) - x AS dx FROM sample) SELECT profile, {q6('median(dx) * max(n)')} AS width FROM d GROUP BY profile")
 def a12_nominal_width(spark, sf_dir):
-    steps = F.array_sort(F.transform(F.sequence(F.lit(1), F.size("x") - 1), lambda i: F.element_at("x", i + 1) - F.element_at("x", i)))
-    n = F.size(steps)
-    middle = (F.element_at(steps, F.floor((n + 1) / 2).cast("int")) + F.element_at(steps, F.floor(n / 2).cast("int") + 1)) / 2.0
-    return profiles(spark, sf_dir).select("profile", r6(middle * F.size("x")).alias("width"))
+    return profile_parts(profiles(spark, sf_dir), LANE, PLAIN, ["profile"]).select("profile", r6("width").alias("width"))
+
+
+@query(_SQL["a9_slope_hint"])
+def a9_slope_kernel(spark, sf_dir):
+    return profile_parts(profiles(spark, sf_dir), Lane(10.0, 150.0), PLAIN, ["profile"]).select("profile", r6("hint").alias("slope"))
+
+
+@query(_SQL["f1_crop"])
+def f1_crop_kernel(spark, sf_dir):
+    got = _reduced(spark, sf_dir, Reduction(crop_left=20.25, crop_right=121.5))
+    return got.select("profile", F.size("x").cast("bigint").alias("n"), r6(F.array_min("x")).alias("first_x"), r6(F.array_max("x")).alias("last_x"), r6(arrays.mean(F.col("y"))).alias("mean_y"))
+
+
+@query(_SQL["f5_sigma_outliers"])
+def f5_sigma_kernel(spark, sf_dir):
+    got = _reduced(spark, sf_dir, Reduction(sigma=2.5))
+    return got.select("profile", F.size("y").cast("bigint").alias("n"), r6(arrays.mean(F.col("y"))).alias("mean_y"))
+
+
+@query(_SQL["w1_smooth"])
+def w1_smooth_kernel(spark, sf_dir):
+    got = _reduced(spark, sf_dir, Reduction(smooth_points=19, drop_last_window=True), 8.0)
+    return arrays.points(got, ["profile"]).select("profile", "i", r6("x").alias("x"), r6("y").alias("y"))
+
+
+@query(_SQL["w2_gap_fill"].replace("SELECT profile, CAST(i AS INT) AS i, round(coalesce", "SELECT profile, round(x, 6) + 0.0 AS x, round(coalesce") + " WHERE y IS NOT NULL OR hx - lx <= 6.0")
+def w2_gap_kernel(spark, sf_dir):
+    """Samples that are there or filled; the kernel drops the rest."""
+    got = _reduced(spark, sf_dir, Reduction(max_gap=6.0, min_valid_fraction=0.0), holes=True)
+    return arrays.points(got, ["profile"]).select("profile", r6("x").alias("x"), r6("y").alias("y"))
+
+
+@query(_SQL["a10_batch_noise"])
+def a10_noise_kernel(spark, sf_dir):
+    got = _reduced(spark, sf_dir, Reduction(noise_batch=30, max_noise=0.12))
+    return got.select("profile", r6("noise").alias("noise"), "is_noisy")
+
+
+@query(_SQL["p8_roll"])
+def p8_roll_kernel(spark, sf_dir):
+    return arrays.points(_reduced(spark, sf_dir, Reduction(roll_degrees=2.0)), ["profile"]).select("profile", "i", r6("x").alias("x"), r6("y").alias("y"))
+
+
+@query(_SQL["p8_roll"].replace("first_value(x) OVER w AS x0, first_value(y) OVER w AS y0", "81.0 AS x0, max(CASE WHEN x = 81.0 THEN y END) OVER w AS y0").replace("PARTITION BY profile ORDER BY i", "PARTITION BY profile"))
+def p8_roll_about(spark, sf_dir):
+    """Turned about the surface at the lane's center, which is a sample."""
+    return arrays.points(_reduced(spark, sf_dir, Reduction(roll_degrees=2.0, roll_reference=81.0)), ["profile"]).select("profile", "i", r6("x").alias("x"), r6("y").alias("y"))
+
+
+_POLICY = f"WITH {sample_sql(1.0, True)}, v AS (SELECT profile, any_value(n) AS n, profile % 3 = 0 AS whole, count(y) AS good, max(i) FILTER (y IS NOT NULL) - min(i) FILTER (y IS NOT NULL) + 1 AS span FROM sample GROUP BY profile)"
+
+
+@query(
+    f"{_POLICY} SELECT profile, policy, CAST(coalesce(CASE WHEN whole THEN n WHEN good < 0.9 * n OR policy = 'raise' THEN NULL ELSE CASE WHEN (CASE policy WHEN 'drop' THEN good ELSE span END) >= 59 THEN (CASE policy WHEN 'drop' THEN good ELSE span END) END END, -1) AS BIGINT) AS points "
+    "FROM v, (SELECT unnest(['interpolate', 'drop', 'raise']) AS policy)"
+)
+def f4_invalid_policy(spark, sf_dir):
+    """Points that each policy leaves of profiles with and without holes, -1 where too few are valid (F3) or left (F2) or holes aren't allowed."""
+    rows = profiles(spark, sf_dir, holes=True).withColumn("whole", F.col("profile") % 3 == 0)
+    rows = rows.withColumn("y", F.when(F.col("whole"), F.transform("y", lambda v: F.coalesce(v, F.lit(0.0)))).otherwise(F.col("y")))
+    each = [reduce_profiles(rows, Reduction(invalid_policy=p, min_valid_fraction=0.9, min_points=59), ["profile"]).select("profile", F.lit(p).alias("policy"), F.size("x").cast("bigint").alias("points")) for p in ("interpolate", "drop", "raise")]
+    out = each[0].unionByName(each[1]).unionByName(each[2])
+    return out.withColumn("points", F.when(F.col("points") >= 0, F.col("points")).otherwise(-1).cast("bigint"))
+
+
+@query(f"WITH {sample_sql(0.5)}, b AS (SELECT profile, i // 30 AS k, stddev_samp(y) AS s FROM sample GROUP BY 1, 2 HAVING count(*) = 30) SELECT CAST(profile AS INT) AS profile, CASE WHEN median(s) > 0.06 THEN 'skipped' ELSE 'ok' END AS state FROM b GROUP BY profile")
+def f8_skip_noisy(spark, sf_dir):
+    got = measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, Reduction(noise_batch=30, max_noise=0.06), Options(skip_noisy=True))
+    return got.select(F.col("row_index").alias("profile"), "state")
 
 
 def _lines(side: str, lane: Lane, scale: float) -> str:
@@ -433,16 +544,18 @@ def _lines(side: str, lane: Lane, scale: float) -> str:
     f"SELECT profile, {q6('l.h')} AS left_height, {q6('r.h')} AS right_height FROM l JOIN r USING (profile)"
 )
 def j8_support_line(spark, sf_dir):
-    got = arrays.support_line(arrays.support_line(profiles(spark, sf_dir), "left", LANE), "right", LANE)
+    got = profile_parts(profiles(spark, sf_dir), LANE, PLAIN, ["profile"])
     return got.select("profile", r6("left_height").alias("left_height"), r6("right_height").alias("right_height"))
 
 
-def _raw(spark: SparkSession, sf_dir: str, scale: float) -> DataFrame:
-    return profiles(spark, sf_dir, scale).select(F.lit("0").alias("set_id"), F.col("file").alias("relative_path"), F.col("profile").cast("int").alias("row_index"), "x", "y")
+@query(_SQL["a7_cross_slope"].replace(sample_sql(2.0), sample_sql(0.5)))
+def a7_cross_slope_kernel(spark, sf_dir):
+    got = measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN)
+    return got.select(F.col("row_index").cast("bigint").alias("profile"), *[r6(c).alias(c) for c in ("cs_percent", "cs_degrees", "cs_intercept", "cs_r2")], "cs_points")
 
 
-#: Raw profiles, measured as they are: no outlier filter and no smoothing.
-PLAIN = Reduction()
+def _raw(spark: SparkSession, sf_dir: str, scale: float) -> DataFrame:
+    return profiles(spark, sf_dir, scale).select(F.lit("0").alias("set_id"), F.col("file").alias("relative_path"), F.col("profile").cast("int").alias("row_index"), "x", "y")
 
 
 def _depth_sql(side: str) -> str:
@@ -484,10 +597,15 @@ def w7_rut_depth(spark, sf_dir):
     return got.filter("left IS NOT NULL OR right IS NOT NULL").select(F.col("row_index").cast("bigint").alias("profile"), r6("left.depth").alias("left_depth"), r6("right.depth").alias("right_depth"))
 
 
-@query(_RUT + f" SELECT profile, {q6('depth')} AS gap FROM left_depth")
+@query(
+    _RUT
+    + ", best AS (SELECT *, row_number() OVER (PARTITION BY profile ORDER BY round(gap, 9) DESC, b) AS k FROM right_gap) "
+    + f"SELECT CAST(profile AS INT) AS profile, {q6('b')} AS rut_x, {q6('mean')} AS rut_y, {q6('m')} AS slope, CAST((SELECT count(*) FROM kept t WHERE t.profile = best.profile AND t.x BETWEEN b - 2.0 - 1e-9 AND b + 2.0 + 1e-9) AS INT) AS points FROM best WHERE k = 1 AND gap > 1e-9"
+)
 def w6_footprint_gap(spark, sf_dir):
-    got = measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN)
-    return got.filter("left IS NOT NULL").select(F.col("row_index").cast("bigint").alias("profile"), r6("left.depth").alias("gap"))
+    """Where the footprint lies deepest under the bar of the right wheel path, the surface's mean there, and its samples; rows with a gap."""
+    got = measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN).filter("right.depth > 1e-9")
+    return got.select(F.col("row_index").alias("profile"), r6("right.rut_x").alias("rut_x"), r6("right.rut_y").alias("rut_y"), r6("right.bar_slope").alias("slope"), F.col("right.footprint_points").alias("points"))
 
 
 _C = OFF_GRID.wheel_center("left")
@@ -596,19 +714,102 @@ def p10_area_until(spark, sf_dir):
     return profiles(spark, sf_dir, 8.0).select("profile", r6(arrays.area_until(5.0 + F.col("profile") % 150)).alias("area"))
 
 
-@query("SELECT s_suppkey, sha256('file ' || s_suppkey) AS digest FROM supplier")
-def a18_file_hash(spark, sf_dir):
-    return table(spark, sf_dir, "supplier").select("s_suppkey", F.sha2(F.concat(F.lit("file "), "s_suppkey"), 256).alias("digest"))
+_LE = "unhex(printf('%02x%02x000000000000', ({n}) % 256, ({n}) // 256))"
+
 
+def _probe_part(at: str) -> str:
+    return f"|| {_LE.format(n=at)} || {_LE.format(n='least(size, 4096)')} || encode(substr(body, CAST({at} AS BIGINT) + 1, 4096))"
 
-@query("WITH e AS (SELECT o_orderkey AS file, o_orderdate AS changed, CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'ok' END AS status, o_custkey AS k FROM orders), n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY changed DESC, file DESC) AS r FROM e) SELECT c_custkey AS pending FROM customer WHERE c_custkey NOT IN (SELECT k FROM n WHERE r = 1 AND status = 'ok')")
+
+@query(
+    "WITH f AS (SELECT s_suppkey, repeat('file ' || s_suppkey || ';', CAST(1 + s_suppkey % 3 * 900 AS INT)) AS body FROM supplier), s AS (SELECT *, length(body) AS size FROM f) SELECT s_suppkey, "
+    f"CASE WHEN size <= 4096 THEN sha256(encode('probe:' || size || ':') {_probe_part('0')}) ELSE sha256(encode('probe:' || size || ':') {_probe_part('0')} {_probe_part('(size - 4096) // 2')} {_probe_part('size - 4096')}) END AS digest FROM s"
+)
+def a18_file_probe(spark, sf_dir):
+    """Hash of the first, middle and last 4 KiB of contents of 7 to 20,000 bytes, with their places."""
+    import pandas as pd
+
+    def probed(batches):
+        for b in batches:
+            yield pd.DataFrame({"s_suppkey": b["s_suppkey"], "digest": [probe(lambda at, n, x=x: x[at : at + n], len(x)) for x in map(bytes, b["body"])]})
+
+    body = F.expr("repeat(concat('file ', s_suppkey, ';'), CAST(1 + s_suppkey % 3 * 900 AS INT))").cast("binary")
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"), body.alias("body")).mapInPandas(probed, "s_suppkey bigint, digest string")
+
+
+@query(
+    "WITH e AS (SELECT o_custkey AS k, o_orderkey % 2 AS odd, max(o_orderkey) AS o FROM orders GROUP BY 1, 2), latest AS (SELECT k, arg_min(o, odd) AS o FROM e GROUP BY k), "
+    "done AS (SELECT k FROM latest JOIN orders ON o_orderkey = o WHERE o_orderstatus <> 'F') SELECT c_custkey AS pending FROM customer WHERE c_custkey NOT IN (SELECT k FROM done)"
+)
 def j4_pending_files(spark, sf_dir):
-    """Index rows without a reusable latest entry."""
-    from pyspark.sql import Window
+    """Index rows without a reusable entry in a checkpoint of two chunks, of which the second is newer."""
+    from transect import schemas
+
+    orders = table(spark, sf_dir, "orders")
+    newest = orders.groupBy("o_custkey", (F.col("o_orderkey") % 2).alias("odd")).agg(F.max_by("o_orderstatus", "o_orderkey").alias("s"))
+    names = [(f.split(" ")[0], f.split(" ")[1]) for f in schemas.FILE_RESULT.split(", ")]
+    known = {"relative_path": F.col("o_custkey").cast("string"), "status": F.when(F.col("s") == "F", "failed").otherwise("ok"), "start_frame": F.lit(1.0), "end_frame": F.lit(2.0)}
+    done = Checkpoint(spark, new_folder(spark, "entries"), "q")
+    for odd in (1, 0):
+        rows = newest.filter(F.col("odd") == odd).select(*[known.get(n, F.lit(None)).cast(t).alias(n) for n, t in names], F.lit(9).cast("bigint").alias("size"), F.lit(9).cast("bigint").alias("changed"), F.lit("p").alias("probe"))
+        done.append(rows, 10 - odd)
+    index = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pending"), F.col("c_custkey").cast("string").alias("relative_path"))
+    return index.join(done.reusable().select("relative_path"), "relative_path", "left_anti").select("pending")
+
+
+@query(f"WITH {_INDEX} SELECT CAST(row_number() OVER (ORDER BY start_frame, lower(relative_path), relative_path) - 1 AS INT) AS pos, relative_path, start_frame, CASE WHEN nxt > start_frame THEN nxt ELSE start_frame + usual END AS end_frame FROM stepped JOIN usual USING (set_id) WHERE set_id = '7'")
+def k5_index_json(spark, sf_dir):
+    """One set's index, written as JSON and read back in stored order (K5, S3)."""
+    at = f"{new_folder(spark, 'index')}/i.json"
+    survey.write_index(_index(spark, sf_dir).filter("set_id = '7'"), at)
+    return survey.read_index(spark, at, "7").drop("set_id")
+
+
+_EXPORTED = """track AS (SELECT CAST(e AS DOUBLE) AS f FROM (SELECT DISTINCT event_id * 5 AS e FROM events)),
+r AS (SELECT o_orderkey, CAST(o_orderkey % 4 AS INT) AS severity, o_orderkey * 2.0 AS f, 'd/' || o_orderkey || '.3dc' AS path FROM orders),
+x AS (SELECT *, f BETWEEN (SELECT min(f) FROM track) AND (SELECT max(f) FROM track) AS inside FROM r)"""
+_EXPORTED_ROWS = f"SELECT path AS relative_path, f AS starting_frame_number, CASE WHEN inside THEN {q6('f / 10')} END AS latitude, CASE WHEN inside THEN {q6('-f / 7')} END AS longitude, CASE WHEN inside THEN {q6('f / 3')} END AS heading, severity, CASE WHEN severity >= 2 THEN 'previews/' || CASE severity WHEN 2 THEN 'moderate' ELSE 'high' END || '_' || CAST(f AS BIGINT) || '_' || o_orderkey || '.png' END AS preview_png FROM x"
+
+
+def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export rows of a result for each order along a straight track."""
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        F.lit("7").alias("set_id"), F.concat(F.lit("d/"), k, F.lit(".3dc")).alias("relative_path"), F.concat(k, F.lit(".3dc")).alias("file_name"), (k * 2.0).alias("start_frame"), (k % 4).cast("int").alias("severity"),
+        *[(k / 8).cast("double").alias(c) for c in ("left_average", "right_average", "overall_average", "cs_percent", "cs_degrees")], *[F.lit(1).cast("bigint").alias(c) for c in ("cs_count", "cs_error_count")],
+    )
+    track = table(spark, sf_dir, "events").select((F.col("event_id") * 5).cast("double").alias("frame")).distinct().select(F.lit("7").alias("set_id"), "frame", (F.col("frame") / 10).alias("lat"), (-F.col("frame") / 7).alias("lon"), (F.col("frame") / 3).alias("heading"))
+    return export_rows(rows, track.select("set_id", "frame", "lat", "lon"), track.select("set_id", "frame", "heading"))
+
+
+_SHOWN = ("relative_path", "starting_frame_number", "latitude", "longitude", "heading", "severity", "preview_png")
+
+
+@query(f"WITH {_EXPORTED} {_EXPORTED_ROWS}")
+def f10_export_rows(spark, sf_dir):
+    """Positions at the start frames and names of the previews of severe files."""
+    return _exported(spark, sf_dir).select(*[r6(c).alias(c) if c in ("latitude", "longitude", "heading") else c for c in _SHOWN])
+
+
+@query(f"WITH {_EXPORTED} SELECT *, row_number() OVER (ORDER BY starting_frame_number) - 1 AS line FROM ({_EXPORTED_ROWS})")
+def k1_export_csv(spark, sf_dir):
+    """Export rows written as CSV in index order and read back (K1, O3)."""
+    from transect import schemas
+
+    at = f"{new_folder(spark, 'csv')}/r.csv"
+    write_parts(at, csv_parts(_exported(spark, sf_dir).toLocalIterator()))
+    kinds = {"severity": "int", **dict.fromkeys(("set", "file_name", "relative_path", "preview_png"), "string")}
+    rows = spark.read.option("header", True).schema(", ".join(f"`{c}` {kinds.get(c, 'double')}" for c in schemas.EXPORT_COLUMNS)).csv(at)
+    line = F.row_number().over(Window.orderBy(F.monotonically_increasing_id())) - 1
+    return rows.withColumn("line", line.cast("bigint")).select("line", *[r6(c).alias(c) if c in ("latitude", "longitude", "heading") else c for c in _SHOWN])
+
 
-    entries = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), "o_orderdate", "o_orderkey", F.when(F.col("o_orderstatus") == "F", "failed").otherwise("ok").alias("status"))
-    latest = entries.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")))).filter("r = 1 AND status = 'ok'")
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pending")).join(latest.select(F.col("k").alias("pending")), "pending", "left_anti")
+@query(f"WITH {_EXPORTED} SELECT CAST(row_number() OVER (ORDER BY starting_frame_number) - 1 AS INT) AS pos, *, longitude AS lon, latitude AS lat FROM ({_EXPORTED_ROWS})")
+def k2_export_geojson(spark, sf_dir):
+    """Export rows written as GeoJSON and read back as the map does (K2, S14); no point where there is no position."""
+    at = f"{new_folder(spark, 'geojson')}/r.geojson"
+    write_parts(at, geojson_parts(_exported(spark, sf_dir).toLocalIterator(), "r"))
+    return maps.features(spark, at).select("pos", *[r6(c).alias(c) if c in ("latitude", "longitude", "heading") else c for c in _SHOWN], r6("lon").alias("lon"), r6("lat").alias("lat"))
 
 
 @query("SELECT 'price' AS value, TRUE AS differs, count(*) FILTER (o_orderkey % 50 <> 0 AND o_orderkey % 77 <> 0) AS passed, count(*) AS n, count(*) FILTER (o_orderkey % 77 = 0) AS alone FROM orders")

@@ -20,6 +20,12 @@ def ensure_shared_folder(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(at or tempfile.mkdtemp(prefix="transect-"))
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder."""
+    ensure_shared_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def store(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of an absolute path or URI, in the forms that Spark gives them."""
     return pafs.FileSystem.from_uri(re.sub("^file:/+", "/", path))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,16 @@ def header_columns(content: Column) -> Column:
     return F.when((F.octet_length(content) >= 1) & (F.octet_length(content) >= size), fields)
 
 
+def decompressed(block: Column) -> Column:
+    """The bytes of small QuickLZ blocks, an Arrow batch of them at a time."""
+
+    @F.pandas_udf("binary")
+    def each(blocks: pd.Series) -> pd.Series:
+        return blocks.map(lambda b: decompress(bytes(b)))
+
+    return each(block)
+
+
 def profiles(files: DataFrame, columns: int = COLUMNS, reverse: bool = True) -> DataFrame:
     """(path, row_index, header, intensity, raw_heights, error), one row for each profile; one with an error for a file that can't be decoded.
 
