@@ -193,7 +193,7 @@ class Mix:
             def of(b):
                 low = F.greatest(start, b * length)
                 high = F.least(start + size, (b + 1) * length)
-                text = [] if words is None else [F.slice(words, (low - start + 1).cast("int"), (high - low).cast("int")).alias("piece")]
+                text = [] if words is None else [F.array_join(F.slice(words, (low - start + 1).cast("int"), (high - low).cast("int")), "").alias("piece")]
                 return F.struct(b.alias("block"), (low - b * length).alias("at"), (high - low).alias("words"), *text)
 
             return F.transform(numbers, of)
@@ -254,7 +254,11 @@ class Mix:
         one = F.array_sort(F.collect_list(F.struct("at", "id", "words", "piece")))
         packed = self._pieces(self._placed(rows), True).repartition(self.parts, "rank", "block").groupBy("rank", "block").agg(one.alias("p"))
         names = self._plan().select("rank", "source")
-        # A cut slot takes whole words from the front of its block.
-        kept = F.transform(F.filter("p", lambda x: x["at"] < F.col("take")), lambda x: F.struct(x["id"].alias("id"), F.slice(x["piece"], 1, F.least(x["words"], F.col("take") - x["at"]).cast("int")).alias("piece")))
+        def front(x):
+            """A piece's part of a slot: all of it, or its first words where the slot is cut."""
+            room = (F.col("take") - x["at"]).cast("int")
+            return F.when(x["words"] <= room, x["piece"]).otherwise(F.array_join(F.slice(F.regexp_extract_all(x["piece"], F.lit(WORD_AND_SPACE), F.lit(0)), 1, room), ""))
+
+        kept = F.transform(F.filter("p", lambda x: x["at"] < F.col("take")), lambda x: F.struct(x["id"].alias("id"), front(x).alias("piece")))
         joined = self.slots().repartition(self.parts, "rank", "block").join(packed, ["rank", "block"]).join(F.broadcast(names) if len(self.sources) <= MOST_BROADCAST else names, "rank").withColumn("kept", kept)
-        return joined.select("shard", "slot", "source", "block", F.col("take").alias("n_words"), F.col("kept.id").alias("doc_ids"), F.array_join(F.transform("kept", lambda x: F.array_join(x["piece"], "")), "\n\n").alias("text"))
+        return joined.select("shard", "slot", "source", "block", F.col("take").alias("n_words"), F.col("kept.id").alias("doc_ids"), F.array_join(F.col("kept.piece"), "\n\n").alias("text"))
