@@ -74,7 +74,9 @@ def test_simhash(docs, empty):
     kept = simhash.deduplicated(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(ids, key=lambda x: (x is None, x)) == [1, 3, 5, 6, 8, 9, 10, None] or sorted(i for i in ids if i is not None) == [1, 3, 5, 6, 8, 9, 10]
+    # Of the null ids one has the text of 1 and a word more, few bits away, and one has no text, like 3, 4 and 7.
+    assert (simhash.fingerprint(rows()[0][1].encode()) ^ simhash.fingerprint(rows()[5][1].encode())).bit_count() <= 3
+    assert sorted(ids) == [1, 3, 5, 6, 8, 9, 10]
     assert simhash.near_duplicates(empty).count() == 0 and simhash.deduplicated(empty).count() == 0
 
 

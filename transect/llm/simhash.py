@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import arrow_map, as_bytes, columns_of, stored, whole_rows, workspace
+from transect.llm.common import arrow_map, as_bytes, columns_of, spread, stored, whole_rows, workspace
 
 BITS = 64
 #: Subtree bits by which a hot subtree is split.
@@ -31,6 +31,8 @@ SPLIT_BITS = 8
 LEAF_PAIRS = 64
 #: Node pairs advanced at once: bounds a worker's memory.
 CHUNK = 60_000
+#: Rows of a task of the join, about.
+TASK_ROWS = 500_000
 
 
 def fingerprint(text: bytes | None, width: int = 3, seed: int = 42) -> int:
@@ -175,7 +177,8 @@ def links(distinct: DataFrame, n: int, budget: int = 3, hot: int = 20_000) -> Da
         for k in range(0, len(a), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(a[k : k + (1 << 16)]), pa.array(b[k : k + (1 << 16)])], names=["a", "b"])
 
-    return arrow_map(parts.repartition("order", "value", "low", "high"), work, "a bigint, b bigint")
+    tasks = max(spread(distinct.sparkSession), -(-distinct.count() * len(tops) // TASK_ROWS))
+    return arrow_map(parts.repartition(tasks, "order", "value", "low", "high"), work, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
