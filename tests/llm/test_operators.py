@@ -38,7 +38,8 @@ def test_against_sql(spark, sf_small, name):
     got, want = run(spark, sf_small, name), con.execute(catalog.oracle_sql()[name]).df()
     key = got.columns[0]
     got, want = (d[sorted(d.columns)].sort_values(key).reset_index(drop=True) for d in (got, want))
-    assert list(got.columns) == list(want.columns) and (got == want).all().all()
+    got, want = (d.astype(object).where(d.notna(), None) for d in (got, want))  # a null equals a null
+    assert list(got.columns) == list(want.columns) and ((got == want) | (got.isna() & want.isna())).all().all()
 
 
 # 1

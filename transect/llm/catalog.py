@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transect.llm import chat, decontaminate, langid, lm, mixing, pii, quality, secret_scan, simhash, token_counts
+from transect.llm import chat, decontaminate, fim, langid, lm, mixing, packing, pii, quality, secret_scan, simhash, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,11 +141,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in range(len(pii.KINDS))], F.sha2(listed(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle form of each document: digests of the output and of the text restored from it."""
+    done = fim.transformed(table(spark, sf_dir, "documents"))
+    text = fim.restored(F.col("form"), F.col("output"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 4,096 tokens."""
+    pieces = packing.pieces_of(packing.packed(table(spark, sf_dir, "documents")))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Queries by name."""
-    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_chat_formatting, op4_token_counts, op5_mixing_sources, op6_secret_scans, op7_simhash_near_dedup, op8_language_id, op9_lm_scoring, op10_pii)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_benchmark_decontamination, op3_chat_formatting, op4_token_counts, op5_mixing_sources, op6_secret_scans, op7_simhash_near_dedup, op8_language_id, op9_lm_scoring, op10_pii, op11_fill_in_middle, op12_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by query name."""
-    return {"op2_benchmark_decontamination": OP2_SQL, "op3_chat_formatting": OP3_SQL, "op6_secret_scans": secret_scan.SQL}
+    return {"op2_benchmark_decontamination": OP2_SQL, "op3_chat_formatting": OP3_SQL, "op6_secret_scans": secret_scan.SQL, "op11_fill_in_middle": fim.SQL}
