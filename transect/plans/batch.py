@@ -40,6 +40,14 @@ def severity_histogram(results: DataFrame) -> DataFrame:
     return results.groupBy("set_id", "severity").agg(F.count("*").alias("files"))
 
 
+def condition_totals(ratings: DataFrame) -> DataFrame:
+    """(level, set_id, severity, n, n_ok, depth) of ratings (set_id, severity, state, depth): rows and mean depth over all of them, by set, and by set and severity, from one pass of grouping sets."""
+    sets = ratings.groupingSets([[], ["set_id"], ["set_id", "severity"]], "set_id", "severity")
+    got = sets.agg(F.grouping_id("set_id", "severity").alias("g"), F.count("*").alias("n"), F.count_if(F.col("state") == "ok").alias("n_ok"), F.avg("depth").alias("depth"))
+    level = F.when(F.col("g") == 3, "all").when(F.col("g") == 1, "set").otherwise("severity")
+    return got.select(level.alias("level"), "set_id", "severity", "n", "n_ok", "depth")
+
+
 def missing_sets(requested: DataFrame, available: DataFrame) -> DataFrame:
     """Requested set labels that aren't available."""
     return requested.select("set_id").distinct().join(available.select("set_id"), "set_id", "left_anti")

@@ -649,7 +649,7 @@ def a14_severity_histogram(spark, sf_dir):
 
 
 #: The export's preset on scaled profiles: outliers, 19-point means without the last, shoulders by islands, then as above.
-_PRESET = (
+PRESET_SQL = (
     "WITH "
     + sample_sql(8.0).replace("sample AS", "raw AS", 1)
     + ", stat AS (SELECT profile, avg(y) AS m, stddev_samp(y) AS s FROM raw GROUP BY profile), ok AS (SELECT r.profile, file, row_number() OVER (PARTITION BY r.profile ORDER BY i) - 1 AS i, count(*) OVER (PARTITION BY r.profile) AS n, x, y FROM raw r JOIN stat t ON r.profile = t.profile WHERE abs(y - m) <= 3.5 * s), "
@@ -668,7 +668,7 @@ _PRESET = (
 )
 
 
-@query(_PRESET + f" SELECT file, {q6('la')} AS left_average, {q6('ra')} AS right_average, good AS rows_ok, bad AS rows_error, cs_bad AS cs_error_count, CASE WHEN la IS NULL OR ra IS NULL THEN 'failed' WHEN bad > 0 OR cs_bad > 0 THEN 'partial' ELSE 'ok' END AS status FROM agg")
+@query(PRESET_SQL + f" SELECT file, {q6('la')} AS left_average, {q6('ra')} AS right_average, good AS rows_ok, bad AS rows_error, cs_bad AS cs_error_count, CASE WHEN la IS NULL OR ra IS NULL THEN 'failed' WHEN bad > 0 OR cs_bad > 0 THEN 'partial' ELSE 'ok' END AS status FROM agg")
 def survey_preset(spark, sf_dir):
     """The export's own preset on scaled profiles, by file: reduction, shoulders, cross slope, rut depth, aggregate, status."""
     options = Options()

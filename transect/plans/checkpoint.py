@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from transect import schemas
@@ -43,6 +43,21 @@ def probe(read, size: int) -> str:
     return digest.hexdigest()
 
 
+def probe_of(content: Column) -> Column:
+    """probe() of binary content, as an expression."""
+
+    def little(n: Column) -> Column:
+        digits = F.lpad(F.hex(n), 16, "0")
+        return F.unhex(F.concat(*[F.substring(digits, 15 - 2 * k, 2) for k in range(8)]))
+
+    size = F.octet_length(content).cast("bigint")
+    n = F.least(size, F.lit(PROBE_BYTES))
+    places = F.array_distinct(F.array(F.lit(0).cast("bigint"), F.floor((size - n) / 2), size - n))
+    parts = F.transform(places, lambda at: F.concat(little(at), little(n), F.substring(content, (at + 1).cast("int"), PROBE_BYTES)))
+    whole = F.aggregate(parts, F.concat(F.lit("probe:"), size.cast("string"), F.lit(":")).cast("binary"), lambda a, p: F.concat(a, p))
+    return F.when(content.isNotNull(), F.sha2(whole, 256))
+
+
 def identities(files: DataFrame) -> DataFrame:
     """IDENTITY of files (relative_path, path): 12 KiB of each are read. size -1 for a file that is gone."""
 

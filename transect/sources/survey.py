@@ -39,6 +39,14 @@ def discover_sets(spark: SparkSession, root: str, requested: list[str] | None =
     return sorted(there, key=lambda x: (int(x), x))
 
 
+def file_pattern(path: str) -> str:
+    """A pattern that only `path` matches, for file streams: they take a plain path for a folder, a pattern may name a file, too."""
+    path = path.rstrip("/")
+    if not path[-1:].isalnum():
+        raise ValueError(f"the last character of {path!r} must be a letter or a digit")
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def _below(path: Column, root: str) -> Column:
     """What follows the folder `root` in a path, with or without a scheme; null outside it."""
     plain, base = F.regexp_replace(path, "^[a-z0-9]+:/+", "/"), re.sub("^[a-z0-9]+:/+", "/", root).rstrip("/") + "/"
