@@ -15,9 +15,11 @@ through the tokenizer.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import public_tokenizers
@@ -33,8 +35,8 @@ from transect.llm.common import Shipped, arrow_map, groups
 VOCABULARY = "word_bpe_49k.json"
 #: What ends a sentence, as a token's last character.
 ENDS = (".", "!", "?", "…")
-#: About how many bytes of known words make a generation of a worker's memory of them, characters of a word that is kept, parts of words that are kept, tokens of stream solved at once.
-KEPT_BYTES, LONGEST_KEPT, MOST_PARTS, STRETCH = 48 << 20, 64, 200_000, 1 << 20
+#: Words that a worker process knows at most, bytes of one that is kept (so all take some 50 MB, rarely up to 100), tokens of stream solved at once.
+KEPT_WORDS, LONGEST_KEPT, STRETCH = 1_000_000, 64, 1 << 20
 #: Fixed values of the tokenizer file: its pattern for parts, here for words of lower-case Latin letters, and its letters for bytes that don't print.
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-zß-öø-ÿ0-9]+|\n")
 PLAIN_WORD = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -110,6 +112,67 @@ def candidates(ids: np.ndarray, ends: np.ndarray, sentence_ends: np.ndarray, cos
     return at, fine[at]
 
 
+def gathered(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(runs, sizes) of the runs `which` of flat, whose runs have these sizes one after the other."""
+    starts, each = np.cumsum(sizes) - sizes, sizes[which]
+    ends = np.cumsum(each)
+    return flat[np.repeat(starts[which] - ends + each, each) + np.arange(each.sum())], each
+
+
+class Known:
+    """What a worker process has loaded and learned of a tokenizer file: the tokenizer, and words with their ids, end to end."""
+
+    def __init__(self, vocabulary: str):
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.model = self.tokenizer.model
+        self.words, self.ids, self.sizes = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def ids_of(self, part: str) -> bytes:
+        """Ids of a part of a word, as the bytes of 32-bit numbers."""
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(BYTES)
+        return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of words: by the merge model if their letters are simple, else by the whole tokenizer."""
+        simple = [PLAIN_WORD.fullmatch(w) is not None and "<|" not in w for w in words]
+        found, now = [], []
+        parts = PARTS.findall("\n".join([*compress(words, simple), ""]).lower())
+        known = {p: self.ids_of(p) for p in set(parts) if p != "\n"}
+        for p in parts:
+            if p == "\n":
+                found.append(now[0] if len(now) == 1 else b"".join(now))
+                now = []
+            else:
+                now.append(known[p])
+        others = self.tokenizer.encode_batch_fast([w for w, s in zip(words, simple, strict=True) if not s], add_special_tokens=False)
+        rest, easy = iter(others), iter(found)
+        return [next(easy) if s else array("I", next(rest).ids).tobytes() for s in simple]
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, sizes, place of each word among them) of different words; those that are new are learned. When there are too many, only these are kept."""
+        at = pc.index_in(words, value_set=self.words)
+        new = pc.filter(words, pc.is_null(at))
+        encoded = self.encode(new.to_numpy(zero_copy_only=False).tolist())
+        place = np.asarray(pc.fill_null(at, -1)).astype(np.int64)
+        place[place < 0] = len(self.words) + np.arange(len(encoded))
+        ids = np.concatenate([self.ids, np.frombuffer(b"".join(encoded), np.uint32)])
+        sizes = np.concatenate([self.sizes, np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4])
+        names, kept = (pa.concat_arrays([self.words, new]), None) if len(sizes) <= KEPT_WORDS else (words, place)
+        short = np.asarray(pc.less_equal(pc.binary_length(names), LONGEST_KEPT), bool)
+        if kept is not None or not short.all():
+            kept = np.arange(len(names)) if kept is None else kept
+            self.words = names.filter(pa.array(short))
+            self.ids, self.sizes = gathered(ids, sizes, kept[short])
+        else:
+            self.words, self.ids, self.sizes = names, ids, sizes
+        return ids, sizes, place
+
+
+#: The tokenizer file that this process used last, and what it knows of it; it outlives a task.
+_LAST: dict[str, Known] = {}
+
+
 class Words:
     """Ids of texts by a tokenizer file, word by word; equal to encoding each whole text.
 
@@ -118,79 +181,30 @@ class Words:
     """
 
     def __init__(self, vocabulary: str):
-        self.vocabulary, self._tokenizer = vocabulary, None
-
-    def __getstate__(self):
-        return {"vocabulary": self.vocabulary, "_tokenizer": None}
+        self.vocabulary = vocabulary
 
-    def _load(self) -> Tokenizer:
-        if self._tokenizer is None:
-            self._tokenizer = Tokenizer.from_str(self.vocabulary)
-            self._model, self._parts = self._tokenizer.model, {}
-            #: Two generations: what the younger one lacks is looked for in the older, which goes when the younger is full.
-            self._young, self._old, self._bytes = {}, {}, 0
-        return self._tokenizer
+    def known(self) -> Known:
+        if self.vocabulary not in _LAST:
+            _LAST.clear()
+            _LAST[self.vocabulary] = Known(self.vocabulary)
+        return _LAST[self.vocabulary]
 
     def sentence_ends(self) -> np.ndarray:
         """Whether a token's text ends a sentence, by id."""
-        tokens = self._load().get_vocab()
+        tokens = self.known().tokenizer.get_vocab()
         out = np.zeros(max(tokens.values()) + 1, bool)
         for token, k in tokens.items():
             out[k] = token.removesuffix("</w>").endswith(ENDS)
         return out
 
-    def _part(self, part: str) -> bytes:
-        ids = np.array([t.id for t in self._model.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(BYTES))], np.uint32).tobytes()
-        self._parts[part] = ids
-        return ids
-
-    def _new(self, words: list[str]) -> list[bytes]:
-        """Ids of words, as the bytes of 32-bit numbers."""
-        simple = [PLAIN_WORD.fullmatch(w) is not None and "<|" not in w for w in words]
-        parts, found, now = self._parts, [], []
-        for p in PARTS.findall("\n".join([*(w for w, s in zip(words, simple, strict=True) if s), ""]).lower()):
-            if p == "\n":
-                found.append(now[0] if len(now) == 1 else b"".join(now))
-                now = []
-            else:
-                now.append(parts.get(p) or self._part(p))
-        if len(parts) > MOST_PARTS:
-            parts.clear()
-        others = iter(self._load().encode_batch_fast([w for w, s in zip(words, simple, strict=True) if not s], add_special_tokens=False))
-        easy = iter(found)
-        return [next(easy) if s else np.array(next(others).ids, np.uint32).tobytes() for s in simple]
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        young, old = self._young, self._old
-        found = [young.get(w) for w in words]
-        for k, x in enumerate(found):
-            if x is None and (x := old.get(words[k])) is not None:
-                found[k] = young[words[k]] = x
-                self._bytes += 200
-        new = [k for k, x in enumerate(found) if x is None]
-        for k, x in zip(new, self._new([words[k] for k in new]), strict=True):
-            found[k] = x
-            if len(words[k]) <= LONGEST_KEPT:
-                young[words[k]] = x
-                self._bytes += 200
-        if self._bytes > KEPT_BYTES:
-            self._young, self._old, self._bytes = {}, young, 0
-        return found
-
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): the ids of text i are ids[offsets[i]:offsets[i + 1]]."""
-        self._load()
         split = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
         words = split.flatten().dictionary_encode()
-        ids = self._ids(words.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat, starts = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(sizes) - sizes
-        which = np.asarray(words.indices)
-        each = sizes[which]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        out = flat[np.repeat(starts[which] - ends[:-1], each) + np.arange(ends[-1])]
+        ids, sizes, place = self.known().look_up(words.dictionary)
+        out, each = gathered(ids, sizes, place[np.asarray(words.indices)])
         borders = np.asarray(split.offsets).astype(np.int64)
-        return out, ends[borders - borders[0]]
+        return out, np.concatenate([[0], np.cumsum(each)])[borders - borders[0]]
 
 
 class Stream:
