@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,6 +53,16 @@ def frame_of(stem: Column, fps: int = 30) -> Column:
     return F.when((m < 60) & (s < 60) & (f < fps), (((h * 60 + m) * 60 + s) * fps + f).cast("double"))
 
 
+def frame_number(stem: str, fps: int = 30) -> float | None:
+    """frame_of() of one stem."""
+    if fps <= 0:
+        raise ValueError("fps must be positive")
+    if (code := re.search(TIMECODE, stem, re.ASCII)) is None or stem.endswith("\n"):
+        return None
+    h, m, s, f = map(int, code.groups())
+    return float(((h * 60 + m) * 60 + s) * fps + f) if m < 60 and s < 60 and f < fps else None
+
+
 def stem_of(path: Column) -> Column:
     """File name without folder and last suffix."""
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?<=.)\.[^.]*$", "")

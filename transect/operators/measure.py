@@ -99,18 +99,44 @@ def measure_files(files: DataFrame, calibration: Calibration, options: Options,
     return files.select("set_id", "relative_path", "content").mapInArrow(work, schemas.RESULT)
 
 
-def measure_profiles(profiles: DataFrame, lane: Lane, reduction: Reduction, options: Options | None = None) -> DataFrame:
-    """RESULT rows of profiles (set_id, relative_path, row_index, x array<double>, y array<double>); a null elevation is an invalid sample."""
+def measure_profiles(profiles: DataFrame, lane: Lane | None, reduction: Reduction, options: Options | None = None) -> DataFrame:
+    """RESULT rows of profiles (set_id, relative_path, row_index, x array<double>, y array<double>); a null elevation is an invalid sample.
+
+    Without a lane each profile has that of its column pavement_width, by the options; its column error, if not null, is
+    an error of its file, and so is a lane that its width doesn't allow; such rows have no row_index.
+    """
     options = options or Options()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lanes: dict[float, Lane | str] = {}
+
+        def lane_of(width: float | None) -> Lane | str:
+            if width not in lanes:
+                try:
+                    lanes[width] = options.lane(width)
+                except (TypeError, ValueError) as e:
+                    lanes[width] = f"{type(e).__name__}: {e}"
+            return lanes[width]
+
         for b in batches:
-            names = [dict(zip(("set_id", "relative_path", "row_index"), key, strict=True)) for key in zip(*(c.to_pylist() for c in b.columns[:3]), strict=True)]
-            samples = [tuple(np.array(v or [], float) for v in p) for p in zip(*(c.to_pylist() for c in b.columns[3:]), strict=True)]
-            if names:
-                yield _batch([name | row for name, row in zip(names, measure_all(samples, lane, reduction, options), strict=True)])
+            rows = [dict(zip(("set_id", "relative_path", "row_index"), key, strict=True)) for key in zip(*(c.to_pylist() for c in b.columns[:3]), strict=True)]
+            samples = [tuple(np.array(v or [], float) for v in p) for p in zip(*(c.to_pylist() for c in b.columns[3:5]), strict=True)]
+            among: dict[Lane, list[int]] = {} if lane is None else {lane: list(range(len(rows)))}
+            if lane is None:
+                for k, (width, error) in enumerate(zip(*(c.to_pylist() for c in b.columns[5:]), strict=True)):
+                    where = error or lane_of(width)
+                    if isinstance(where, str):
+                        rows[k] |= {"row_index": None, "state": "error", "file_error": where}
+                    else:
+                        among.setdefault(where, []).append(k)
+            for where, some in among.items():
+                for k, row in zip(some, measure_all([samples[k] for k in some], where, reduction, options), strict=True):
+                    rows[k] |= row
+            if rows:
+                yield _batch(rows)
 
-    return profiles.select("set_id", "relative_path", "row_index", "x", "y").mapInArrow(work, schemas.RESULT)
+    more = [] if lane is not None else ["pavement_width", "error"]
+    return profiles.select("set_id", "relative_path", "row_index", "x", "y", *more).mapInArrow(work, schemas.RESULT)
 
 
 def overall_of(left: Column, right: Column, require_both: bool = True) -> Column:

@@ -7,19 +7,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transect.config import Lane, Options, Reduction
 from transect.functions import scalars
 from transect.operators import arrays
 from transect.operators.measure import aggregate_files, measure_profiles, profile_parts, reduce_profiles
-from transect.plans import batch, maps
+from transect.plans import batch, maps, sets
 from transect.plans.checkpoint import Checkpoint, probe
-from transect.plans.export import csv_parts, export_rows, geojson_parts
-from transect.plans.files import new_folder, write_parts
+from transect.plans.export import export_rows, write_csv, write_geojson
+from transect.plans.files import new_folder, put_files
 from transect.plans.adapters import profiles, sample_sql, table
-from transect.sources import calibration, records, survey
+from transect.plans.ranking import running_number
+from transect.sources import calibration, datasource, records, survey
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -191,14 +192,64 @@ def s9_profile_at(spark, sf_dir):
     return records.profile_at(rows, -1)
 
 
+_TICKS = "s_suppkey * 7"
+_FILES = (
+    f"file AS (SELECT s_suppkey, CAST(s_suppkey % 5 AS VARCHAR) AS set_id, '93/' || printf('%02d%02d%02d%02dC', t // 108000, t // 1800 % 60, t // 30 % 60, t % 30) || '.3dc' AS relative_path, CAST(t AS DOUBLE) AS start_frame FROM (SELECT s_suppkey, CAST({_TICKS} AS BIGINT) AS t FROM supplier))"
+)
+
+
+def _survey(spark: SparkSession, sf_dir: str) -> str:
+    """A survey on disk, written by tasks: the image of each supplier under one of five sets, and a calibration of each region as that of a set."""
+    root, t = new_folder(spark, "survey"), F.expr(f"CAST({_TICKS} AS BIGINT)")
+    name = F.format_string("%02d%02d%02d%02dC.3dc", F.floor(t / 108000), F.floor(t / 1800) % 60, F.floor(t / 30) % 60, t % 30)
+    images = _images(spark, sf_dir).withColumn("s_suppkey", F.col("path").cast("bigint")).select(F.concat(F.lit(f"{root}/"), (F.col("s_suppkey") % 5).cast("string"), F.lit("/93/"), name).alias("path"), "content")
+    k = F.col("r_regionkey")
+    words = [F.lit("3D_Camera_Calibration -1.5 0 2.5"), k * 10, k % 7 + 1.5, k % 5 + 2.25, k % 9 + 20.0, F.lit("162 0.03 0.03"), k % 11 + 10.0, F.lit("0.125 2020 1 2 3 4")]
+    text = table(spark, sf_dir, "region").select(F.concat(F.lit(f"{root}/"), k.cast("string"), F.lit("/3D_Camera.cal")).alias("path"), F.concat_ws(" ", *[w.cast("string") for w in words]).cast("binary").alias("content"))
+    put_files(images.unionByName(text)).write.format("noop").mode("overwrite").save()
+    return root
+
+
+@query(
+    f"WITH {_FILES}, n AS (SELECT *, lead(start_frame) OVER (PARTITION BY set_id ORDER BY start_frame) AS nxt FROM file), u AS (SELECT set_id, coalesce(median(nxt - start_frame), 1.0) AS usual FROM n GROUP BY set_id) "
+    "SELECT set_id, relative_path, start_frame, coalesce(nxt, start_frame + usual) AS end_frame FROM n JOIN u USING (set_id)"
+)
+def s2_survey_index(spark, sf_dir):
+    """The index of all sets of a survey on disk, from names alone."""
+    return sets.survey_index(spark, _survey(spark, sf_dir))
+
+
+@query(
+    f"WITH {_FILES}, chosen AS (SELECT *, row_number() OVER (ORDER BY set_id, start_frame) - 1 AS k FROM file WHERE set_id >= '1' AND set_id <= '3' AND start_frame > 50) "
+    "SELECT set_id, relative_path, start_frame, CAST(k AS INT) AS file_number, CAST(p AS INT) AS row_index, CAST(49 AS BIGINT) AS length, array_to_string([CAST((s_suppkey * 10 + p * 100 + c) % 65536 AS INT) FOR c IN [3, 2, 1, 0]], ',') AS heights FROM chosen, (SELECT unnest([0, 1]) AS p)"
+)
+def s8_survey_source(spark, sf_dir):
+    """Profiles of some sets and frames by the data source; file_number counts the files that are opened."""
+    rows = datasource.read_survey(spark, _survey(spark, sf_dir), ["1", "2", "3"], from_frame=51, columns=4, split_bytes=1000)
+    return rows.select("set_id", "relative_path", "start_frame", "file_number", "row_index", "length", F.array_join(F.col("raw_heights").cast("array<string>"), ",").alias("heights"))
+
+
+@query(
+    f"WITH {_FILES}, cal AS (SELECT CAST(k AS VARCHAR) AS set_id, [-1.5, 0.0, 2.5, k * 10.0] AS o, (162.0 / 4) * sqrt(ch * ch + cz * cz) * lz / (16.0 * (ch * lz + lh * cz)) AS r FROM (SELECT r_regionkey AS k, r_regionkey % 7 + 1.5 AS ch, r_regionkey % 5 + 2.25 AS lh, r_regionkey % 9 + 20.0 AS cz, r_regionkey % 11 + 10.0 AS lz FROM region)) "
+    f"SELECT set_id, relative_path, CAST(p AS INT) AS row_index, CAST(i AS INT) AS i, {q6('i * 40.5')} AS x, {q6('((s_suppkey * 10 + p * 100 + 3 - i) % 65536 - o[i + 1]) * r')} AS y FROM file JOIN cal USING (set_id), (SELECT unnest([0, 1]) AS p), (SELECT unnest([0, 1, 2, 3]) AS i)"
+)
+def j1_calibrated_sets(spark, sf_dir):
+    """Profiles of five sets in one scan, each with the calibration of its set."""
+    root = _survey(spark, sf_dir)
+    rows = sets.calibrated_profiles(datasource.read_survey(spark, root, columns=4), sets.set_calibrations(spark, root, 4))
+    return arrays.points(rows, ["set_id", "relative_path", "row_index"]).select("set_id", "relative_path", "row_index", "i", r6("x").alias("x"), r6("y").alias("y"))
+
+
 _CAL = "s_suppkey % 7 + 1.5 AS ch, s_suppkey % 5 + 2.25 AS lh, s_suppkey % 9 + 20.0 AS cz, 162.0 AS w, s_suppkey % 11 + 10.0 AS lz"
 
 
-@query(f"SELECT CAST(s_suppkey AS VARCHAR) AS path, w / 4 AS pixel_width, {q6('(w / 4) * sqrt(ch * ch + cz * cz) * lz / (16.0 * (ch * lz + lh * cz))')} AS resolution, make_timestamp(2020, 1 + s_suppkey % 12, 1 + s_suppkey % 28, 3, 4, 0.0) AS calibrated_at, 1 AS n_extra FROM (SELECT s_suppkey, {_CAL} FROM supplier) WHERE s_suppkey % 10 <> 0")
+@query(f"SELECT CAST(s_suppkey AS VARCHAR) AS path, w / 4 AS pixel_width, {q6('(w / 4) * sqrt(ch * ch + cz * cz) * lz / (16.0 * (ch * lz + lh * cz))')} AS resolution, make_timestamp(2020, 1 + s_suppkey % 12, 1 + s_suppkey % 28, 3, 4, 0.0) AS calibrated_at, 1 AS n_extra FROM (SELECT s_suppkey, {_CAL} FROM supplier) WHERE s_suppkey % 10 NOT IN (0, 3, 6)")
 def s10_calibrations(spark, sf_dir):
+    """Calibration records; those with another header, an infinite value or a year with a fraction are refused."""
     k = F.col("s_suppkey")
     words = [F.lit("3D_Camera_Calibration"), F.lit("-1.5 0 2.5 10"), k % 7 + 1.5, k % 5 + 2.25, k % 9 + 20.0, F.lit("162 0.03 0.03"), k % 11 + 10.0, F.lit("0.125 2020"), 1 + k % 12, 1 + k % 28, F.lit("3 4 7.5")]
-    text = F.when(k % 10 == 0, F.lit("other 1 2 3")).otherwise(F.concat_ws(" \n", *[w.cast("string") for w in words]))
+    text = F.concat_ws(" \n", *[w.cast("string") for w in words])
+    text = F.when(k % 10 == 0, F.lit("other 1 2 3")).when(k % 10 == 3, F.replace(text, F.lit("0.03"), F.lit("Infinity"))).when(k % 10 == 6, F.replace(text, F.lit(" 2020"), F.lit(" 2020.5"))).otherwise(text)
     got = calibration.calibrations_of(table(spark, sf_dir, "supplier").select(k.cast("string").alias("path"), text.alias("value")), columns=4)
     return got.select("path", (F.col("pavement_width") / 4).alias("pixel_width"), r6("resolution").alias("resolution"), "calibrated_at", F.size("extra").alias("n_extra"))
 
@@ -797,18 +848,18 @@ def k1_export_csv(spark, sf_dir):
     from transect import schemas
 
     at = f"{new_folder(spark, 'csv')}/r.csv"
-    write_parts(at, csv_parts(_exported(spark, sf_dir).toLocalIterator()))
+    write_csv(_exported(spark, sf_dir), at)
     kinds = {"severity": "int", **dict.fromkeys(("set", "file_name", "relative_path", "preview_png"), "string")}
     rows = spark.read.option("header", True).schema(", ".join(f"`{c}` {kinds.get(c, 'double')}" for c in schemas.EXPORT_COLUMNS)).csv(at)
-    line = F.row_number().over(Window.orderBy(F.monotonically_increasing_id())) - 1
-    return rows.withColumn("line", line.cast("bigint")).select("line", *[r6(c).alias(c) if c in ("latitude", "longitude", "heading") else c for c in _SHOWN])
+    numbered = running_number(rows.withColumns({"one": F.lit(1), "place": F.monotonically_increasing_id()}), "one", ["place"], "line")
+    return numbered.withColumn("line", F.col("line").cast("bigint") - 1).select("line", *[r6(c).alias(c) if c in ("latitude", "longitude", "heading") else c for c in _SHOWN])
 
 
 @query(f"WITH {_EXPORTED} SELECT CAST(row_number() OVER (ORDER BY starting_frame_number) - 1 AS INT) AS pos, *, longitude AS lon, latitude AS lat FROM ({_EXPORTED_ROWS})")
 def k2_export_geojson(spark, sf_dir):
     """Export rows written as GeoJSON and read back as the map does (K2, S14); no point where there is no position."""
     at = f"{new_folder(spark, 'geojson')}/r.geojson"
-    write_parts(at, geojson_parts(_exported(spark, sf_dir).toLocalIterator(), "r"))
+    write_geojson(_exported(spark, sf_dir), at, "r")
     return maps.features(spark, at).select("pos", *[r6(c).alias(c) if c in ("latitude", "longitude", "heading") else c for c in _SHOWN], r6("lon").alias("lon"), r6("lat").alias("lat"))
 
 

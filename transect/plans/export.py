@@ -6,6 +6,7 @@ import csv
 import io
 import json
 import time
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import asdict
 from datetime import UTC, datetime
@@ -21,7 +22,8 @@ from transect.functions.scalars import preview_name
 from transect.operators.measure import aggregate_files, measure_files
 from transect.operators.preview import height_image, png
 from transect.plans.checkpoint import KEY, Checkpoint, fingerprint, identities
-from transect.plans.files import ensure_shared_folder, exists, write_parts, write_text
+from transect.plans.files import ensure_shared_folder, exists, write_parts
+from transect.plans.ordered import write_ordered
 from transect.sources import survey
 from transect.sources.calibration import Calibration, read_calibration
 from transect.sources.records import read_image
@@ -37,7 +39,7 @@ def file_results(files: DataFrame, index: DataFrame, calibration: Calibration, c
 
 
 def export_rows(results: DataFrame, gps: DataFrame, heading: DataFrame, min_severity: int | None = 2) -> DataFrame:
-    """The exported rows, in index order: results with the positions interpolated at their start frames."""
+    """The exported rows: results with the positions interpolated at their start frames."""
     placed = survey.interpolated(survey.interpolated(results, "start_frame", gps, ["lat", "lon"]), "start_frame", heading, ["heading"])
     preview = F.lit(None).cast("string") if min_severity is None else F.when(F.col("severity") >= min_severity, F.concat(F.lit("previews/"), preview_name(F.col("severity"), F.col("start_frame"), F.col("file_name"))))
     names = {
@@ -45,7 +47,7 @@ def export_rows(results: DataFrame, gps: DataFrame, heading: DataFrame, min_seve
         "cross_slope_average_percent": "cs_percent", "cross_slope_average_angle_degrees": "cs_degrees", "cross_slope_count": "cs_count", "cross_slope_error_count": "cs_error_count",
     }
     rows = placed.withColumn("preview_png", preview)
-    return rows.select(*[F.col(names.get(c, c)).alias(c) for c in schemas.EXPORT_COLUMNS]).orderBy("starting_frame_number", F.lower("relative_path"), "relative_path")
+    return rows.select(*[F.col(names.get(c, c)).alias(c) for c in schemas.EXPORT_COLUMNS])
 
 
 def write_previews(files: DataFrame, calibration: Calibration, folder: str) -> DataFrame:
@@ -61,22 +63,35 @@ def write_previews(files: DataFrame, calibration: Calibration, folder: str) -> D
     return files.select("name", "content").mapInArrow(work, "name string, size bigint")
 
 
-def csv_parts(rows: Iterator) -> Iterator[bytes]:
-    yield (",".join(schemas.EXPORT_COLUMNS) + "\r\n").encode()
-    for r in rows:
-        line = io.StringIO(newline="")
-        csv.writer(line).writerow(["" if v is None else v for v in r])
-        yield line.getvalue().encode()
+def csv_line(row: dict) -> bytes:
+    line = io.StringIO(newline="")
+    csv.writer(line).writerow(["" if row[c] is None else row[c] for c in schemas.EXPORT_COLUMNS])
+    return line.getvalue().encode()
 
 
-def geojson_parts(rows: Iterator, name: str) -> Iterator[bytes]:
-    """A feature collection, a point for each row that has a position."""
-    yield f'{{"type":"FeatureCollection","name":{json.dumps(name)},"features":['.encode()
-    for k, r in enumerate(rows):
-        p = r.asDict()
-        at = None if p["latitude"] is None or p["longitude"] is None else {"type": "Point", "coordinates": [p["longitude"], p["latitude"]]}
-        yield (("," if k else "") + json.dumps({"type": "Feature", "geometry": at, "properties": p}, allow_nan=False)).encode()
-    yield b"]}\n"
+def feature(row: dict) -> bytes:
+    """A GeoJSON feature, a point if the row has a position."""
+    p = {c: row[c] for c in schemas.EXPORT_COLUMNS}
+    at = None if p["latitude"] is None or p["longitude"] is None else {"type": "Point", "coordinates": [p["longitude"], p["latitude"]]}
+    return json.dumps({"type": "Feature", "geometry": at, "properties": p}, allow_nan=False).encode()
+
+
+def diagnostic(row: dict) -> bytes:
+    return f"\n    {json.dumps(row, allow_nan=False)}".encode()
+
+
+def write_csv(exported: DataFrame, path: str) -> int:
+    """Write exported rows as one CSV file in index order; how many."""
+    return write_ordered(exported, _order(), path, csv_line, head=(",".join(schemas.EXPORT_COLUMNS) + "\r\n").encode())
+
+
+def write_geojson(exported: DataFrame, path: str, name: str) -> int:
+    """Write exported rows as one feature collection in index order; how many."""
+    return write_ordered(exported, _order(), path, feature, f'{{"type":"FeatureCollection","name":{json.dumps(name)},"features":['.encode(), b",", b"]}\n")
+
+
+def _order() -> list:
+    return ["starting_frame_number", F.lower("relative_path"), "relative_path"]
 
 
 def _index(spark: SparkSession, config: ExportConfig, set_id: str) -> tuple[DataFrame, str]:
@@ -141,20 +156,24 @@ def export_set(spark: SparkSession, config: ExportConfig, cpu=None) -> dict:
             named = spark.createDataFrame([(f"{set_dir}/{r.relative_path}", r.name) for r in wanted], "path string, name string").withColumn("p", F.regexp_replace("path", "^[a-z0-9]+:/+", "/")).drop("path")
             content = spark.read.format("binaryFile").load([f"{set_dir}/{r.relative_path}" for r in wanted]).withColumn("p", F.regexp_replace("path", "^[a-z0-9]+:/+", "/"))
             previews = sorted(r.name for r in write_previews(content.join(F.broadcast(named), "p"), calibration, f"{out}/previews").collect())
-    write_parts(f"{out}/{base}.csv", csv_parts(exported.toLocalIterator()))
-    write_parts(f"{out}/{base}.geojson", geojson_parts(exported.toLocalIterator(), base))
-    states = {r.status: r.n for r in results.groupBy("status").agg(F.count("*").alias("n")).collect()}
-    severities = {str(r.severity): r.n for r in results.groupBy("severity").agg(F.count("*").alias("n")).collect()}
+    write_csv(exported, f"{out}/{base}.csv")
+    write_geojson(exported, f"{out}/{base}.geojson", base)
+    states, severities = Counter(), Counter()
+    for r in results.groupBy("status", "severity").agg(F.count("*").alias("n")).collect():
+        states[r.status] += r.n
+        severities[str(r.severity)] += r.n
     total = sum(states.values())
     metadata = {
         "schema_version": 1, "status": "ok" if states.get("ok", 0) == total else "partial", "created_at": datetime.now(UTC).isoformat(timespec="seconds"), "elapsed_seconds": time.time() - began,
         "measurement_units": {"rut_depth": "inch", "cross_slope_average_percent": "percent", "cross_slope_average_angle_degrees": "degree"}, "set": set_id, "set_dir": set_dir, "calibration": calibration_at, "index_json": index_at,
         "options": asdict(config.options), "lane_positions_inches": {"left": lane.left, "right": lane.right, "center": lane.center}, "records_indexed": everything.count(), "records_exported": total,
-        **{f"files_{s}": states.get(s, 0) for s in ("ok", "partial", "failed")}, "severity_counts": severities, "previews": previews, "diagnostics": [r.asDict(True) for r in results.orderBy("start_frame", "relative_path").toLocalIterator()],
+        **{f"files_{s}": states.get(s, 0) for s in ("ok", "partial", "failed")}, "severity_counts": dict(severities), "previews": previews, "navigation": {"gps_rows": gps.count(), "heading_rows": heading.count()},
         "checkpoint": {"resume_requested": config.resume, "fingerprint": mark, "root": root, "records_reused": reused, "records_processed": total - reused, "records_not_checkpointed": missing.count()},
         "outputs": {"geojson": f"{out}/{base}.geojson", "csv": f"{out}/{base}.csv", "metadata_json": f"{out}/{base}.metadata.json"},
     }
-    write_text(f"{out}/{base}.metadata.json", json.dumps(metadata, indent=2, allow_nan=False))
+    # What became of each file follows the rest in the metadata file; it grows with the set, so it isn't part of what is returned.
+    head, close = json.dumps(metadata, indent=2, allow_nan=False).removesuffix("\n}"), b"\n  ]\n}\n"
+    write_ordered(results, ["start_frame", "relative_path"], f"{out}/{base}.metadata.json", diagnostic, f'{head},\n  "diagnostics": ['.encode(), b",", close)
     return metadata
 
 

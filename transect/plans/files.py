@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_shared_folder(spark: SparkSession) -> None:
@@ -53,6 +56,18 @@ def write_text(path: str, text: str) -> None:
     write_parts(path, [text.encode()])
 
 
+def put_files(files: DataFrame) -> DataFrame:
+    """(path, size): files (path, content) written by the tasks, each in one step, so that one that runs again leaves the same."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                write_parts(path, [content])
+            yield pa.RecordBatch.from_arrays([b.column(0), pc.binary_length(b.column(1)).cast(pa.int64())], names=["path", "size"])
+
+    return files.select("path", F.col("content").cast("binary").alias("content")).mapInArrow(work, "path string, size bigint")
+
+
 def exists(path: str) -> bool:
     fs, at = store(path)
     return fs.get_file_info(at).type != pafs.FileType.NotFound

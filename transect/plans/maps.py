@@ -7,7 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transect.plans.files import write_parts, write_text
+from transect.plans.files import write_text
+from transect.plans.ordered import write_ordered
 from transect.plans.ranking import running_number
 
 FEATURE = (
@@ -64,15 +65,12 @@ def build_map(spark: SparkSession, root: str, out: str) -> dict:
     order = ["number", "set", "pos"]
     shown = display_sample(placed, order)
 
-    def parts(df: DataFrame):
-        yield b'{"type":"FeatureCollection","features":['
-        for k, r in enumerate(df.orderBy(*order).toLocalIterator()):
-            p = {n: v for n, v in r.asDict().items() if n not in ("pos", "number", "lon", "lat")}
-            yield (("," if k else "") + json.dumps({"type": "Feature", "geometry": {"type": "Point", "coordinates": [r.lon, r.lat]}, "properties": p}, allow_nan=False)).encode()
-        yield b"]}\n"
+    def point(row: dict) -> bytes:
+        p = {n: v for n, v in row.items() if n not in ("pos", "number", "lon", "lat")}
+        return json.dumps({"type": "Feature", "geometry": {"type": "Point", "coordinates": [row["lon"], row["lat"]]}, "properties": p}, allow_nan=False).encode()
 
-    write_parts(f"{out}/combined.geojson", parts(placed))
-    write_parts(f"{out}/display.geojson", parts(shown))
+    for name, points in (("combined", placed), ("display", shown)):
+        write_ordered(points, order, f"{out}/{name}.geojson", point, b'{"type":"FeatureCollection","features":[', b",", b"]}\n")
     classes = {str(r.severity): r.n for r in shown.groupBy("severity").agg(F.count("*").alias("n")).collect()}
     width, height = max(b.east - b.west, 1e-6), max(b.north - b.south, 1e-6)
     page = _PAGE.format(title="Rut depth", shown=sum(classes.values()), mapped=b.mapped, west=b.west, top=-b.north, width=width, height=height, radius=max(width, height) / 400, data="display.geojson")

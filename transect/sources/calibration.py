@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transect.config import COLUMNS
+from transect.functions.scalars import finite
 
 #: Fixed values of the record: its first token, and how many values come after the offsets at least.
 HEADER, TAIL = "3D_Camera_Calibration", 13
@@ -117,12 +118,13 @@ def calibrations(spark: SparkSession, path: str, columns: int = COLUMNS) -> Data
 
 
 def calibrations_of(records: DataFrame, columns: int = COLUMNS) -> DataFrame:
-    """(path, offsets, camera_horizontal ... resolution, calibrated_at, extra) of many records (path, value), in columns only; records that don't parse are left out."""
+    """(path, offsets, camera_horizontal ... resolution, calibrated_at, extra) of many records (path, value), in columns only; records that parse_calibration() refuses are left out."""
     words = F.split(F.trim(F.regexp_replace("value", r"[\s﻿]+", " ")), " ")
     text = records.select("path", words.alias("w"))
     text = text.filter((F.element_at("w", 1) == HEADER) & (F.size("w") > columns + TAIL))
-    text = text.select("path", F.transform(F.slice("w", 2, 1 << 30), lambda t: t.try_cast("double")).alias("v")).filter(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x)))
+    text = text.select("path", F.transform(F.slice("w", 2, 1 << 30), lambda t: t.try_cast("double")).alias("v")).filter(F.forall("v", lambda x: finite(x).isNotNull()))
     tail = [F.element_at("v", columns + 1 + k) for k in range(TAIL)]
+    text = text.filter(F.forall(F.slice("v", columns + 9, 5), lambda t: t == F.floor(t)))
     named = text.select(
         "path", F.slice("v", 1, columns).alias("offsets"), *[t.alias(n) for t, n in zip(tail[:4], ("camera_horizontal", "laser_horizontal", "camera_height", "pavement_width"), strict=True)],
         F.array(tail[4], tail[5]).alias("terms"), tail[6].alias("laser_height"), tail[7].alias("recorded_resolution"),

@@ -17,7 +17,7 @@ from transect.sources.records import image_files
 
 def sets_of(files: DataFrame, root: str) -> DataFrame:
     """(set_id, n_files) of image files under root/<digits>/...; set ids are labels, so 007 and 7 are two sets. In numeric order."""
-    rest = _below(F.col("path"), root)
+    rest = below(F.col("path"), root)
     found = files.select(F.regexp_extract(rest, "^([0-9]+)/", 1).alias("set_id")).filter("set_id <> ''")
     return found.groupBy("set_id").agg(F.count("*").alias("n_files")).orderBy(F.col("set_id").cast("decimal(38,0)"), "set_id")
 
@@ -47,7 +47,7 @@ def file_pattern(path: str) -> str:
     return f"{path[:-1]}[{path[-1]}]"
 
 
-def _below(path: Column, root: str) -> Column:
+def below(path: Column, root: str) -> Column:
     """What follows the folder `root` in a path, with or without a scheme; null outside it."""
     plain, base = F.regexp_replace(path, "^[a-z0-9]+:/+", "/"), re.sub("^[a-z0-9]+:/+", "/", root).rstrip("/") + "/"
     return F.when(F.startswith(plain, F.lit(base)), F.substring(plain, len(base) + 1, 1 << 30))
@@ -69,7 +69,7 @@ def build_index(spark: SparkSession, set_dir: str, fps: int = 30) -> DataFrame:
     """Index of the image files of one set; names without a time code are left out. ValueError if none is left."""
     set_id = PurePosixPath(set_dir.rstrip("/")).name
     files = image_files(spark, set_dir, content=False)
-    found = files.select(F.lit(set_id).alias("set_id"), _below(F.col("path"), set_dir).alias("relative_path"), frame_of(stem_of(F.col("path")), fps).alias("start_frame")).filter("start_frame IS NOT NULL")
+    found = files.select(F.lit(set_id).alias("set_id"), below(F.col("path"), set_dir).alias("relative_path"), frame_of(stem_of(F.col("path")), fps).alias("start_frame")).filter("start_frame IS NOT NULL")
     out = end_frames(found)
     if out.isEmpty():
         raise ValueError(f"no image file with a time code under {set_dir}")
