@@ -656,40 +656,60 @@ def test_tagger_finds_what_patterns_miss(frame):
     assert right / n > 0.85 and wrong <= 5
 
 
-def test_one_search_over_all_windows(frame):
-    """Tags are those of a plain Viterbi search over the merged emissions of every window of the whole text, with O far from digits and @s."""
+def whole_search(tagger, text):
+    """Tags of a plain Viterbi search over the merged emissions of every window of the whole text."""
+    c, n = pii.classes(text), len(text)
+    e, total = np.zeros((n, pii.TAGS)), np.zeros(n)
+    for s in range(0, n, pii.STRIDE):
+        x = np.zeros((1, pii.WINDOW), np.uint8)
+        size = min(pii.WINDOW, n - s)
+        x[0, :size] = c[s : s + size]
+        w = np.minimum(np.arange(pii.WINDOW) + 1, pii.WINDOW - np.arange(pii.WINDOW))[:size]
+        e[s : s + size] += w[:, None] * tagger.emissions(x)[0, :size]
+        total[s : s + size] += w
+    e /= np.maximum(total, 1)[:, None]
+    t = tagger.p["t"][: pii.TAGS].astype(float)
+    score, back = np.where(np.arange(pii.TAGS) == 0, 0.0, -np.inf), []
+    for row in e:
+        ways = score[:, None] + t
+        back.append(ways.argmax(0))
+        score = ways.max(0) + row
+    tag, out = int((score + t[:, 0]).argmax()), []
+    for b in reversed(back):
+        out.append(tag)
+        tag = int(b[tag])
+    return np.array(out[::-1], np.int8)
+
+
+def marked_runs(tags, text):
+    """Runs of tags other than O that hold a digit or an @, with their places."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], tags > 0, [0]]).astype(int)))
+    return [(a, b, tags[a:b].tolist()) for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True) if re.search("[0-9@]", text[a:b])]
+
+
+@pytest.mark.parametrize("spread, strength", [(1.0, 8), (0.3, 30), (2.0, 3)])
+def test_one_search_over_whole_texts(frame, spread, strength):
+    """Every run of tags that holds a digit or an @ is that of a search over the whole text, however far other tags reach: also for networks that see something everywhere."""
     tagger = pii.Tagger(3)
-    tagger.p["t"] = np.random.default_rng(3).normal(0, 1, tagger.p["t"].shape).astype(np.float32)
-    tagger.p["o"] *= 8
-    texts = ["", "no digits here", "1", "a" * 500 + "7" + "b" * 500 + "@" + "c" * 90, "12 34 " * 100, *frame.text.tolist()[:60]]
+    tagger.p["t"] = np.random.default_rng(3).normal(0, spread, tagger.p["t"].shape).astype(np.float32)
+    tagger.p["o"] *= strength
+    texts = ["", "no digits here", "1", "a" * 500 + "7" + "b" * 500 + "@" + "c" * 90, "12 34 " * 100, *frame.text.tolist()[:20], *[t for t in frame.text if re.search("[0-9@]", t)][:60]]
     some = 0
     for text, got in zip(texts, pii.tag_texts(tagger, texts, batch=7), strict=True):
-        c, n = pii.classes(text), len(text)
-        e, total = np.zeros((n, pii.TAGS)), np.zeros(n)
-        for s in range(0, n, pii.STRIDE):
-            x = np.zeros((1, pii.WINDOW), np.uint8)
-            size = min(pii.WINDOW, n - s)
-            x[0, :size] = c[s : s + size]
-            w = np.minimum(np.arange(pii.WINDOW) + 1, pii.WINDOW - np.arange(pii.WINDOW))[:size]
-            e[s : s + size] += w[:, None] * tagger.emissions(x)[0, :size]
-            total[s : s + size] += w
-        e /= np.maximum(total, 1)[:, None]
-        marks = np.flatnonzero((c == 1) | (c == 5)) // pii.STRIDE
-        free = np.isin(np.arange(n) // pii.STRIDE, np.concatenate([marks - 1, marks, marks + 1]))
-        e[~free, 1:] = -np.inf
-        t = tagger.p["t"][: pii.TAGS].astype(float)
-        score, back = np.where(np.arange(pii.TAGS) == 0, 0.0, -np.inf), []
-        for row in e:
-            ways = score[:, None] + t
-            back.append(ways.argmax(0))
-            score = ways.max(0) + row
-        tag, want = int((score + t[:, 0]).argmax()), []
-        for b in reversed(back):
-            want.append(tag)
-            tag = int(b[tag])
-        assert got.tolist() == want[::-1]
-        some += sum(x > 0 for x in want)
-    assert some > 100
+        want = whole_search(tagger, text)
+        assert len(got) == len(text) and marked_runs(got, text) == marked_runs(want, text)
+        assert pii.found_spans(text, got, []) == pii.found_spans(text, want, [])
+        some += len(marked_runs(want, text))
+    assert some >= 10
+
+
+def test_trained_search_over_whole_texts(frame):
+    tagger = pii.Tagger()
+    tagger.fit(*pii.training_windows(frame.text.tolist()), steps=300)
+    texts = [t for t in frame.text if re.search("[0-9@]", t)][:80]
+    assert len(texts) > 10
+    for text, got in zip(texts, pii.tag_texts(tagger, texts), strict=True):
+        assert marked_runs(got, text) == marked_runs(whole_search(tagger, text), text)
 
 
 def test_recall_on_documents_not_trained_on(spark, sf_small):
@@ -707,7 +727,7 @@ def test_recall_on_documents_not_trained_on(spark, sf_small):
         hit.update(k for k, a, b in base if (k, a, b) in found)
         extra += len(found - set(base))
     print({pii.KINDS[k]: (hit[k], n[k]) for k in sorted(n)}, "other spans", extra, "texts", len(texts))
-    assert sum(n.values()) > 50 and all(hit[k] >= 0.8 * n[k] for k in n if n[k] >= 10)
+    assert sum(n.values()) > 50 and all(hit[k] >= 0.9 * n[k] for k in n if n[k] >= 10)
 
 
 def test_window_borders_do_not_matter(frame):

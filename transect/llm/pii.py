@@ -3,9 +3,11 @@
 The patterns give the base spans. The network is trained on windows with labelled spans: those of the patterns in a bounded
 sample of rows, and forms that the patterns miss, made from a seed and set into contexts of that sample. Texts are read in
 overlapping windows. The emissions of all windows over a character are put together, the more central ones weighing more, and
-one Viterbi search over them decides all tags of a text at once. A span must hold a digit or an @, so characters further than
-a window from any are O beforehand; windows over the others are all computed, so what is left out can't change a tag. Spans
-that touch a base span are dropped, so base spans stay as they are.
+one Viterbi search over them decides all tags of a text at once. A span must hold a digit or an @, so of the text only that
+is read and searched which can bear on such spans: from each digit or @ on either side up to a character that is O for
+certain, one where the emissions leave O ahead by more than transitions can make up for. What lies beyond can't change the
+tags of these spans, so they are those of a search over the whole text. Spans that touch a base span are dropped, so base
+spans stay as they are.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: O, then B and I of each kind.
 TAGS = 1 + 2 * len(KINDS)
 WINDOW, STRIDE, HIDDEN = 64, 32, 16
+#: How central a place in a window is.
+WEIGHT = np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)).astype(np.float32)
 MARKS = "@.+-_%() /:,;#=&\"'\n\t[]<>|*$!?"
 #: Classes of characters: padding, digits, capitals, small letters, other letters and signs, then each mark.
 CLASSES = 5 + len(MARKS)
@@ -81,6 +85,12 @@ def base_spans(text: str, raw: bytes) -> list[Span]:
     return out
 
 
+def shown_spans(text: str) -> list[Span]:
+    """What training shows as spans: those of the patterns, and numbers that are cards but for their check digit, which a network can't count; found_spans() asks for it."""
+    base = base_spans(text, text.encode())
+    return [(2, m.start(), m.end()) for m in _CARD.finditer(text) if 13 <= len(_digits(m[0])) <= 19] + base
+
+
 def classes(text: str) -> np.ndarray:
     """Class of each character."""
     return _CLASS[np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), 128)]
@@ -193,6 +203,11 @@ class Tagger:
         """Emissions (window, position, tag) of windows."""
         return self._forward(x, False)[0]
 
+    def most_gained(self) -> float:
+        """The most that the transitions to and from a tag other than O can be worth over those to and from O, between any two tags."""
+        t = self.p["t"][:TAGS].astype(float)
+        return float(((t[:, 1:, None] + t[None, 1:, :]) - (t[:, :1, None] + t[None, :1, :])).max())
+
     def best_tags(self, e: np.ndarray, block: int = 64) -> np.ndarray:
         """The best tags of one sequence of emissions that begins and ends with O, by Viterbi.
 
@@ -260,7 +275,7 @@ def training_windows(texts: list[str], made: int = 1600, most: int = 2400, seed:
         x.append(np.pad(c, (0, WINDOW - len(c))))
         y.append(np.pad(tags, (0, WINDOW - len(tags))))
 
-    coded = [(c, _tags(len(text), base_spans(text, text.encode()))) for text in texts if ((c := classes(text)) == 1).any() or (c == 5).any()]
+    coded = [(c, _tags(len(text), shown_spans(text))) for text in texts if ((c := classes(text)) == 1).any() or (c == 5).any()]
     blocks = [(k, int(p)) for k, (c, _) in enumerate(coded) for p in np.unique(np.flatnonzero((c == 1) | (c == 5)) // STRIDE)]
     for k in sorted(rng.permutation(len(blocks))[:most].tolist()):
         add(*coded[blocks[k][0]], max(0, blocks[k][1] * STRIDE - int(rng.integers(0, STRIDE))))
@@ -304,69 +319,123 @@ def found_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
     return out
 
 
-def _islands(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Strides of a text (by number) that windows with a digit or an @ cover, and all windows over these."""
-    last = max(0, -(-len(c) // STRIDE) - 1)
-    marked = np.unique(np.flatnonzero((c == 1) | (c == 5)) // STRIDE)
-    near = np.unique(np.concatenate([marked - 1, marked, marked + 1]))
-    near = near[(near >= 0) & (near <= last)]
-    windows = np.unique(np.concatenate([near - 1, near]))
-    return near, windows[windows >= 0]
+def _runs(strides: np.ndarray) -> list[tuple[int, int]]:
+    """First and last of each run of consecutive numbers."""
+    cuts = np.flatnonzero(np.diff(strides) > 1)
+    return list(zip(strides[np.append(0, cuts + 1)].tolist(), strides[np.append(cuts, len(strides) - 1)].tolist(), strict=True)) if len(strides) else []
+
+
+class Reading:
+    """One text on its way to its tags: the strides that are read, and in how long steps they are widened."""
+
+    def __init__(self, text: str):
+        self.c = classes(text)
+        self.marks = np.flatnonzero((self.c == 1) | (self.c == 5))
+        self.last = max(0, -(-len(self.c) // STRIDE) - 1)
+        at = np.unique(self.marks // STRIDE)
+        self.strides, self.step = self._within(np.concatenate([at - 1, at, at + 1])), 1
+
+    def _within(self, strides: np.ndarray) -> np.ndarray:
+        return np.unique(strides[(strides >= 0) & (strides <= self.last)])
+
+    def windows(self) -> np.ndarray:
+        """The windows over the strides, by the stride at which each begins."""
+        both = np.unique(np.concatenate([self.strides - 1, self.strides]))
+        return both[both >= 0]
+
+    def merged(self, e: np.ndarray) -> np.ndarray:
+        """Emissions of the strides one after the other (the last may be short), from those of the windows: of two over a character the more central one weighs more."""
+        where, n = np.searchsorted(self.windows(), self.strides), len(self.strides)
+        out, weight = e[where, :STRIDE] * WEIGHT[:STRIDE, None], np.tile(WEIGHT[:STRIDE], (n, 1))
+        two = self.strides > 0
+        out[two] += e[where[two] - 1, STRIDE:] * WEIGHT[STRIDE:, None]
+        weight[two] += WEIGHT[STRIDE:]
+        return (out / weight[:, :, None]).reshape(-1, TAGS)[: n * STRIDE - (((self.last + 1) * STRIDE - len(self.c)) if n and self.strides[-1] == self.last else 0)]
+
+    def parts(self, e: np.ndarray, sure: float) -> list[tuple[int, int, np.ndarray]] | None:
+        """(start, end, emissions) of the parts of the text that decide the tags of spans with a mark, each from a character that is O for certain, or the text's begin, to the next such; None if some part's end isn't known yet: then the strides are wider.
+
+        Emissions for O that exceed all others by more than `sure`, the most that transitions can make up for, settle a tag
+        whatever the rest of the text is.
+        """
+        certain = e[:, 0] - e[:, 1:].max(1) > sure
+        out, wider, at = [], [], 0
+        for first, last in _runs(self.strides):
+            start, end = first * STRIDE, min((last + 1) * STRIDE, len(self.c))
+            held = self.marks[np.searchsorted(self.marks, start) : np.searchsorted(self.marks, end)]
+            here = np.flatnonzero(certain[at : at + end - start]) + start
+            before, after = np.searchsorted(here, held[0]), np.searchsorted(here, held[-1])
+            if before == 0 and start > 0:
+                wider.append(np.arange(first - self.step, first))
+            if after == len(here) and end < len(self.c):
+                wider.append(np.arange(last + 1, last + 1 + self.step))
+            low = int(here[before - 1]) if before else start
+            high = int(here[after]) + 1 if after < len(here) else end
+            part = e[at + low - start : at + high - start].copy()
+            if before:
+                part[0, 1:] = -np.inf
+            if after < len(here):
+                part[-1, 1:] = -np.inf
+            out.append((low, high, part))
+            at += end - start
+        if wider:
+            self.strides, self.step = self._within(np.concatenate([self.strides, *wider])), 2 * self.step
+            return None
+        return out
 
 
 def tag_texts(tagger: Tagger, texts: list[str], batch: int = 2048) -> list[np.ndarray]:
-    """Tags of each text: emissions of all windows over its islands, put together by how central they are, and one search over all of them with O between."""
-    coded = [classes(t) for t in texts]
-    out = [np.zeros(len(c), np.int8) for c in coded]
-    weight = np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)).astype(np.float32)
-    todo: list[tuple[int, np.ndarray, np.ndarray]] = []
-
-    def run() -> None:
-        total = sum(len(w) for _, _, w in todo)
-        x = np.zeros((total, WINDOW), np.uint8)
+    """Tags of each text as one Viterbi search over the emissions of all its windows gives them, wherever a run of tags other than O holds a digit or an @; all other runs, of which none can be a span, may be O.
+
+    Windows around digits and @s are read first, then as many beside them as it takes to find O for certain on both sides.
+    """
+    sure = tagger.most_gained() + 1e-3
+    readings = [Reading(t) for t in texts]
+    out = [np.zeros(len(r.c), np.int8) for r in readings]
+    gap = np.full((1, TAGS), -np.inf, np.float32)
+    gap[0, 0] = 0
+
+    def run(some: list[int]) -> list[int]:
+        """Tag these texts; those that have to be read wider."""
+        each = [readings[k].windows() for k in some]
+        x = np.zeros((sum(map(len, each)), WINDOW), np.uint8)
         at = 0
-        for k, _, windows in todo:
+        for k, windows in zip(some, each, strict=True):
             for s in windows.tolist():
-                part = coded[k][s * STRIDE : s * STRIDE + WINDOW]
+                part = readings[k].c[s * STRIDE : s * STRIDE + WINDOW]
                 x[at, : len(part)] = part
                 at += 1
-        e = np.concatenate([tagger.emissions(x[i : i + batch]) for i in range(0, total, batch)]) * weight[:, None]
-        # The strides of all islands one after the other; a row of O stands before each island and at the end.
-        gap = np.full((1, TAGS), -np.inf, np.float32)
-        gap[0, 0] = 0
-        rows, places, at = [], [], 0
-        for k, near, windows in todo:
-            slot = {s: at + i for i, s in enumerate(windows.tolist())}
+        e = np.concatenate([tagger.emissions(x[i : i + batch]) for i in range(0, len(x), batch)])
+        again, rows, places, at = [], [], [], 0
+        for k, windows in zip(some, each, strict=True):
+            r = readings[k]
+            parts = r.parts(r.merged(e[at : at + len(windows)]), sure)
             at += len(windows)
-            for i, s in enumerate(near.tolist()):
-                if i == 0 or near[i - 1] != s - 1:
-                    rows.append(gap)
-                    places.append((k, -1, 1))
-                size = min(STRIDE, len(coded[k]) - s * STRIDE)
-                both, w = e[slot[s], :size], weight[:size]
-                if s - 1 in slot:
-                    both, w = both + e[slot[s - 1], STRIDE : STRIDE + size], w + weight[STRIDE : STRIDE + size]
-                rows.append(both / w[:, None])
-                places.append((k, s * STRIDE, size))
-        tags = tagger.best_tags(np.concatenate([*rows, gap]))
-        done = 0
-        for k, s, size in places:
-            if s >= 0:
-                out[k][s : s + size] = tags[done : done + size]
-            done += size
-        todo.clear()
-
-    waiting = 0
-    for k, c in enumerate(coded):
-        near, windows = _islands(c)
-        if len(near):
-            todo.append((k, near, windows))
-            waiting += len(windows)
-        if waiting >= batch:
-            run()
-            waiting = 0
-    if todo:
-        run()
+            if parts is None:
+                again.append(k)
+                continue
+            for low, high, part in parts:
+                rows += (gap, part)
+                places.append((k, low, high))
+        if rows:
+            tags, done = tagger.best_tags(np.concatenate([*rows, gap])), 0
+            for k, low, high in places:
+                out[k][low:high] = tags[done + 1 : done + 1 + high - low]
+                done += 1 + high - low
+        return again
+
+    waiting = [k for k, r in enumerate(readings) if len(r.marks)]
+    while waiting:
+        later, some, size = [], [], 0
+        for k in waiting:
+            some.append(k)
+            size += len(readings[k].strides) + 1
+            if size >= batch:
+                later += run(some)
+                some, size = [], 0
+        if some:
+            later += run(some)
+        waiting = later
     return out
 
 
