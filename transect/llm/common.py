@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import ctypes
+import os
 import tempfile
 import uuid
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
@@ -158,10 +160,49 @@ def put_file(uri: str, name: str, parts: list) -> None:
     fs.move(made, f"{path}/{name}")
 
 
+class Opened:
+    """Shared files that a worker has open: the last `most` of them, and of those that had to be read, as the store isn't mounted, the last `held` bytes."""
+
+    def __init__(self, uri: str, most: int = 1024, held: int = 256 << 20):
+        self.uri, self.most, self.held = uri, most, held
+        self._files: OrderedDict[str, np.ndarray] = OrderedDict()
+        self.bytes_read = 0
+
+    def __len__(self) -> int:
+        return len(self._files)
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        """The bytes of a file; FileNotFoundError if it is gone, so that no result is made without it."""
+        if name in self._files:
+            self._files.move_to_end(name)
+            return self._files[name]
+        self._files[name] = found = mapped(self.uri, name)
+        self.bytes_read += self._read(found)
+        while len(self._files) > self.most or (self.bytes_read > self.held and len(self._files) > 1):
+            self.bytes_read -= self._read(self._files.popitem(last=False)[1])
+        return found
+
+    @staticmethod
+    def _read(data: np.ndarray) -> int:
+        return 0 if isinstance(data, np.memmap) else data.nbytes
+
+
+class Filled:
+    """Which of n ranges have a file, one bit each."""
+
+    def __init__(self, n: int, parts):
+        bits = np.zeros(n, bool)
+        bits[list(parts)] = True
+        self._bits = np.packbits(bits)
+
+    def __contains__(self, part: int) -> bool:
+        return bool(self._bits[part >> 3] >> (7 - (part & 7)) & 1)
+
+
 def mapped(uri: str, name: str) -> np.ndarray:
     """The bytes of a shared file: memory-mapped where the store is a mounted file system, else read."""
     fs, path = folder(uri)
     if isinstance(fs, pafs.LocalFileSystem):
-        return np.memmap(f"{path}/{name}", np.uint8, "r") if fs.get_file_info(f"{path}/{name}").size else np.zeros(0, np.uint8)
+        return np.memmap(f"{path}/{name}", np.uint8, "r") if os.stat(f"{path}/{name}").st_size else np.zeros(0, np.uint8)
     with fs.open_input_file(f"{path}/{name}") as f:
         return np.frombuffer(f.read(), np.uint8)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import arrow_map, groups, mapped, put_file, stored, workspace
+from transect.llm.common import Filled, Opened, arrow_map, groups, put_file, stored, workspace
 from transect.llm.lm import _narrow, _packed, _range_of, _unpacked
 
 #: Longest n-grams; words are padded by a space on each side.
@@ -51,28 +51,27 @@ def grams_of(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Where the counts lie and in how many files; by number of characters, 0 for words: all counts of each language, distinct items."""
+    """Where the counts lie and in how many files; by number of characters, 0 for words: all counts of each language, distinct items; which ranges have a file."""
 
     langs: list[str]
     uri: str = ""
     files: int = 1
     totals: dict[int, list[int]] = field(default_factory=dict)
     types: dict[int, int] = field(default_factory=dict)
+    filled: Filled = field(default_factory=lambda: Filled(1, ()))
 
 
 class Counts:
-    """A worker's view of the counts: hash, language and count, sorted by hash, mapped from the shared folder when first needed."""
+    """A worker's view of the counts: hash, language and count, sorted by hash, mapped from the shared folder when needed; a bounded number of files stay open."""
 
-    def __init__(self, model: Model):
-        self.model, self._open = model, {}
+    def __init__(self, model: Model, most: int = 1024):
+        self.model, self.files = model, Opened(model.uri, most)
 
     def _file(self, part: int) -> list[np.ndarray]:
-        if part not in self._open:
-            try:
-                self._open[part] = _unpacked(mapped(self.model.uri, f"counts-{part}"))
-            except FileNotFoundError:  # nothing fell into this range
-                self._open[part] = [np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.uint8)]
-        return self._open[part]
+        """A range's arrays; empty if nothing fell into it. A file that should be there and isn't is an error."""
+        if part not in self.model.filled:
+            return [np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.uint8)]
+        return _unpacked(self.files[f"counts-{part}"])
 
     def of(self, items: list[str], mark: str = "") -> np.ndarray:
         """Count of each item in each language; all 0 for one that training hasn't seen. mark: GRAM for n-grams."""
@@ -225,13 +224,14 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
         new = np.append(True, key[1:] != key[:-1])
         rows = [(s, -1, int(new[size[order] == s].sum())) for s in np.unique(size).tolist()]
         rows += [(s, k, int(n[(size == s) & (lang == k)].sum())) for s in np.unique(size).tolist() for k in np.unique(lang[size == s]).tolist()]
+        rows.append((-1, part, 1))
         return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([int(r[1]) for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64())], names=["size", "lang", "n"])
 
     rows = counts.select("lang", F.xxhash64("item").alias("h"), F.lit(0).alias("size"), "n").unionByName(found.select("lang", F.xxhash64(F.concat("item", F.lit(GRAM))).alias("h"), F.length("item").alias("size"), "n"))
     of_range = F.shiftrightunsigned(F.shiftrightunsigned("h", 32) * files, 32).cast("int")
     sums = rows.withColumn("part", of_range).repartitionById(files, F.col("part")).groupBy("part").applyInArrow(written, "size int, lang int, n bigint").groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()
     n = {(r["size"], r["lang"]): r["n"] for r in sums}
-    return Model(langs, f"{uri}/model", files, {s: [n.get((s, k), 0) for k in range(len(langs))] for s in range(ORDER + 1)}, {s: n.get((s, -1), 0) for s in range(ORDER + 1)})
+    return Model(langs, f"{uri}/model", files, {s: [n.get((s, k), 0) for k in range(len(langs))] for s in range(ORDER + 1)}, {s: n.get((s, -1), 0) for s in range(ORDER + 1)}, Filled(files, (part for s, part in n if s == -1)))
 
 
 def predicted(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transect.llm.common import arrow_map, as_bytes, groups, mapped, put_file, workspace
+from transect.llm.common import Filled, Opened, arrow_map, as_bytes, groups, put_file, workspace
 
 #: Bytes that are no UTF-8 text, for the end of a text and for what stands before its first word.
 END, START = b"\xff/", b"\xff"
@@ -148,6 +148,8 @@ class Model:
     discount: tuple[float, float, float]
     low_discount: tuple[float, float, float]
     low_rest: float
+    filled: Filled
+    word_filled: Filled
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
@@ -196,49 +198,46 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
             c, d = np.searchsorted(of_context, [k, k + 1])
             parts.append(k)
             blocks.append(_packed(word[a:z], _narrow(seen[a:z]), _narrow(lefts[a:z]), context[c:d], _narrow(once[c:d]), _narrow(twice[c:d]), _narrow(more[c:d])))
-        # Totals of the pairs, a block of one array, go along with some range of words.
+        # Totals of the pairs and the range's number, a block of two arrays, go along with some range of words.
         parts.append(part % word_ranges)
-        blocks.append(_packed(np.array([(times == k).sum() for k in (1, 2, 3, 4)] + [len(times)], "<u8")))
+        blocks.append(_packed(np.array([(times == k).sum() for k in (1, 2, 3, 4)] + [len(times)], "<u8"), np.array([part], "<u8")))
         return pa.table([pa.array(parts, pa.int32()), pa.array(blocks, pa.binary())], names=["part", "block"])
 
     def words(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         got = [_unpacked(x.as_buffer()) for x in table.column("block")]
-        of_pairs = [int(x) for x in np.sum([g[0] for g in got if len(g) == 1] or [np.zeros(5, np.uint64)], axis=0)]
+        of_pairs = [int(x) for x in np.sum([g[0] for g in got if len(g) == 2] or [np.zeros(5, np.uint64)], axis=0)]
+        ranges_told = [int(g[1][0]) for g in got if len(g) == 2]
         empty = [np.zeros(0, "<u8")] * 7
-        word, seen, left, context, once, twice, more = (np.concatenate([g[k].astype("<u8") for g in got if len(g) > 1] or [empty[k]]) for k in range(7))
+        word, seen, left, context, once, twice, more = (np.concatenate([g[k].astype("<u8") for g in got if len(g) > 2] or [empty[k]]) for k in range(7))
         none_w, none_c = np.zeros(len(word), np.uint64), np.zeros(len(context), np.uint64)
         key, seen, left, once, twice, more, _ = _summed(np.concatenate([word, context]), *(np.concatenate(x) for x in ((seen, none_c), (left, none_c), (none_w, once), (none_w, twice), (none_w, more))))
         put_file(uri, f"words-{part}", [x.astype(t) for x, (_, t) in zip((key, seen, left, once, twice, more), WORD_COLUMNS, strict=True)])
         of_words = [int(seen.sum()), int((seen > 0).sum()), *(int((left == k).sum()) for k in (1, 2, 3, 4)), int((left > 2).sum())]
-        return pa.table([pa.array([part], pa.int32()), pa.array([of_words], pa.list_(pa.int64())), pa.array([of_pairs], pa.list_(pa.int64()))], names=["part", "words", "pairs"])
+        return pa.table([pa.array([part], pa.int32()), pa.array([of_words], pa.list_(pa.int64())), pa.array([of_pairs], pa.list_(pa.int64())), pa.array([ranges_told], pa.list_(pa.int64()))], names=["part", "words", "pairs", "ranges"])
 
     schema = "part int, block binary"
     # One partition for each range, so that a task's share follows neither the session's setting nor the size of the table.
     sent = arrow_map(docs.select(text_col), counted, schema).repartitionById(ranges, F.col("part")).groupBy("part").applyInArrow(pairs, schema)
-    rows = sent.repartitionById(word_ranges, F.col("part")).groupBy("part").applyInArrow(words, "part int, words array<bigint>, pairs array<bigint>").collect()
+    rows = sent.repartitionById(word_ranges, F.col("part")).groupBy("part").applyInArrow(words, "part int, words array<bigint>, pairs array<bigint>, ranges array<bigint>").collect()
     of_pairs = [sum(x) for x in zip(*(r.pairs for r in rows), strict=True)] or [0] * 5
     of_words = [sum(x) for x in zip(*(r.words for r in rows), strict=True)] or [0] * 7
     low = discounts(of_words[2:6])
     rest = (low[0] * of_words[2] + low[1] * of_words[3] + low[2] * of_words[6]) / of_pairs[4] if of_pairs[4] else 1.0
-    model = Model(uri, ranges, word_ranges, of_words[0], of_words[1], of_pairs[4], 0, discounts(of_pairs[:4]), low, rest)
+    model = Model(uri, ranges, word_ranges, of_words[0], of_words[1], of_pairs[4], 0, discounts(of_pairs[:4]), low, rest, Filled(ranges, (k for r in rows for k in r.ranges)), Filled(word_ranges, (r.part for r in rows)))
     model.texts = int(Arrays(model).words(np.array([xxhash.xxh64_intdigest(END)], np.uint64))["count"][0])
     return model
 
 
 class Arrays:
-    """A worker's view of a model: sorted arrays mapped from the shared folder, opened when first needed."""
+    """A worker's view of a model: sorted arrays mapped from the shared folder, opened when needed; a bounded number of them stay open."""
 
-    def __init__(self, model: Model):
-        self.model, self._open = model, {}
+    def __init__(self, model: Model, most: int = 1024):
+        self.model, self.files = model, Opened(model.uri, most)
 
-    def _file(self, name: str) -> np.ndarray:
-        if name not in self._open:
-            try:
-                self._open[name] = mapped(self.model.uri, name)
-            except FileNotFoundError:  # no key fell into this range
-                self._open[name] = np.zeros(0, np.uint8)
-        return self._open[name]
+    def _file(self, kind: str, part: int) -> np.ndarray:
+        """A range's file; empty if no key fell into the range. A file that should be there and isn't is an error."""
+        return self.files[f"{kind}-{part}"] if part in (self.model.filled if kind == "pairs" else self.model.word_filled) else np.zeros(0, np.uint8)
 
     def _each(self, keys: np.ndarray, ranges: int):
         part = _range_of(keys, ranges)
@@ -252,7 +251,7 @@ class Arrays:
         asked = keys[order]
         out = {name: np.zeros(len(keys), np.int64) for name, _ in WORD_COLUMNS[1:]}
         for part, a, z in self._each(asked, self.model.word_ranges):
-            raw, at, columns = self._file(f"words-{part}"), 0, []
+            raw, at, columns = self._file("words", part), 0, []
             n = len(raw) // 32
             for _, kind in WORD_COLUMNS:
                 columns.append(raw[at : at + n * int(kind[2])].view(kind))
@@ -268,7 +267,7 @@ class Arrays:
         """Counts of these pair keys, 0 for unknown ones; keys in order."""
         out = np.zeros(len(keys), np.int64)
         for part, a, z in self._each(keys, self.model.ranges):
-            raw = self._file(f"pairs-{part}")
+            raw = self._file("pairs", part)
             if len(raw):
                 n = int(raw[:8].view("<u8")[0])
                 key, seen = raw[8 : 8 + 8 * n].view("<u8"), raw[8 + 8 * n :].view(f"<u{(len(raw) - 8 - 8 * n) // n}")
