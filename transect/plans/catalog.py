@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from transect.config import Lane, Options, Reduction
 from transect.functions import scalars
-from transect.operators import arrays
+from transect.operators import arrays, hulls
 from transect.operators.measure import aggregate_files, measure_profiles, profile_parts, reduce_profiles
 from transect.plans import batch, maps, sets
 from transect.plans.checkpoint import Checkpoint, probe
@@ -599,6 +599,36 @@ def j8_support_line(spark, sf_dir):
     return got.select("profile", r6("left_height").alias("left_height"), r6("right_height").alias("right_height"))
 
 
+@query(
+    f"WITH {sample_sql(8.0)}, up AS (SELECT a.profile, a.i, a.x, a.y, min((a.y - b.y) / (a.x - b.x)) FILTER (b.i < a.i) AS before, max((b.y - a.y) / (b.x - a.x)) FILTER (b.i > a.i) AS after FROM sample a JOIN sample b ON a.profile = b.profile AND a.i <> b.i GROUP BY ALL) "
+    f"SELECT profile, CAST(row_number() OVER (PARTITION BY profile ORDER BY i) - 1 AS INT) AS vertex, {q6('x')} AS x, {q6('y')} AS y FROM up WHERE before IS NULL OR after IS NULL OR before > after + 1e-12"
+)
+def w5_hull_vertices(spark, sf_dir):
+    """Vertices of each profile's upper hull, in columns: a sample is one if every line to the left of it is steeper than any to the right."""
+    rows = profiles(spark, sf_dir, 8.0)
+    hull = hulls.upper_hull(hulls.pairs(F.col("x"), F.col("y")))
+    return rows.select("profile", F.posexplode(hull).alias("vertex", "p")).select("profile", "vertex", r6("p.x").alias("x"), r6("p.y").alias("y"))
+
+
+@query(_SQL["j8_support_line"])
+def j8_support_columns(spark, sf_dir):
+    """The supporting lines from hull vertices, in columns."""
+    rows = profiles(spark, sf_dir)
+
+    def height(side):
+        low, high = LANE.half(side)
+        inside = F.filter(hulls.pairs(F.col("x"), F.col("y")), lambda p: (p["x"] >= low) & (p["x"] <= high))
+        return r6(hulls.supporting_line(hulls.upper_hull(inside), LANE.wheel_center(side), arrays.slope_hint(rows, LANE))["height"]).alias(f"{side}_height")
+
+    return rows.select("profile", height("left"), height("right")).filter("left_height IS NOT NULL AND right_height IS NOT NULL")
+
+
+@query(_SQL["a11_residual_noise"])
+def a11_noise_columns(spark, sf_dir):
+    """The mirrored running mean by a running sum, in columns."""
+    return profiles(spark, sf_dir).select("profile", r6(hulls.residual_noise(F.col("x"), F.col("y"), 20.0)).alias("noise"))
+
+
 @query(_SQL["a7_cross_slope"].replace(sample_sql(2.0), sample_sql(0.5)))
 def a7_cross_slope_kernel(spark, sf_dir):
     got = measure_profiles(_raw(spark, sf_dir, 0.5), OFF_GRID, PLAIN)
@@ -659,6 +689,27 @@ def w6_footprint_gap(spark, sf_dir):
     return got.select(F.col("row_index").alias("profile"), r6("right.rut_x").alias("rut_x"), r6("right.rut_y").alias("rut_y"), r6("right.bar_slope").alias("slope"), F.col("right.footprint_points").alias("points"))
 
 
+def _rut_columns(spark: SparkSession, sf_dir: str, sides: tuple[str, ...]) -> DataFrame:
+    """Profiles with a rut struct for each side, in columns."""
+    rows = profiles(spark, sf_dir, 0.5)
+    rows = arrays.inside_lane(rows.withColumn("hint", arrays.slope_hint(rows, OFF_GRID)), OFF_GRID)
+    return rows.select("profile", *[hulls.rut(F.col("x"), F.col("y"), F.col("hint"), OFF_GRID, side).alias(side) for side in sides])
+
+
+@query(_SQL["w7_rut_depth"])
+def w7_rut_columns(spark, sf_dir):
+    """Rut depth of raw profiles in columns: hull, tilted bar, footprint sweep."""
+    got = _rut_columns(spark, sf_dir, ("left", "right")).filter("left IS NOT NULL OR right IS NOT NULL")
+    return got.select("profile", r6("left.depth").alias("left_depth"), r6("right.depth").alias("right_depth"))
+
+
+@query(_SQL["w6_footprint_gap"])
+def w6_gap_columns(spark, sf_dir):
+    """Where the footprint lies deepest under the bar of the right wheel path, by one sweep in columns."""
+    got = _rut_columns(spark, sf_dir, ("right",)).filter("right.depth > 1e-9")
+    return got.select(F.col("profile").cast("int").alias("profile"), r6("right.rut_x").alias("rut_x"), r6("right.rut_y").alias("rut_y"), r6("right.bar_slope").alias("slope"), F.col("right.footprint_points").alias("points"))
+
+
 _C = OFF_GRID.wheel_center("left")
 
 
