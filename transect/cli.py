@@ -1,4 +1,4 @@
-"""Command line: inspect-file, export-set, batch, full-run, map, compare, flatten. Exit 0 if all is well, 1 if some files or sets aren't, 2 for an error."""
+"""Command line: inspect-file, export-set, batch, full-run, survey, map, compare, flatten. Exit 0 if all is well, 1 if some files or sets aren't, 2 for an error."""
 
 from __future__ import annotations
 
@@ -39,7 +39,7 @@ def _run_options(to: argparse.ArgumentParser) -> None:
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="transect", description="Transverse profiles: decoding, cross slope and rut depth.")
     commands = out.add_subparsers(dest="command", required=True)
-    new = {name: commands.add_parser(name) for name in ("inspect-file", "export-set", "batch", "full-run", "map", "compare", "flatten")}
+    new = {name: commands.add_parser(name) for name in ("inspect-file", "export-set", "batch", "full-run", "survey", "map", "compare", "flatten")}
 
     def texts(command: str, *names: str, required: bool = False) -> None:
         for n in names:
@@ -61,7 +61,9 @@ def parser() -> argparse.ArgumentParser:
     texts("batch", "index-dir")
     new["batch"].add_argument("--rebuild-indexes", action="store_true")
     texts("full-run", "data-root", required=True)
-    for command in ("batch", "full-run"):
+    texts("survey", "data-root", "out-dir", required=True)
+    _options(new["survey"])
+    for command in ("batch", "full-run", "survey"):
         new[command].add_argument("--sets", nargs="+")
     for command in ("export-set", "batch", "full-run"):
         _run_options(new[command])
@@ -103,6 +105,12 @@ def _run(a: argparse.Namespace, spark: SparkSession) -> int:
 
         print(json.dumps(flatten_previews(a.root, a.apply)))
         return 0
+    if a.command == "survey":
+        from transect.plans.sets import write_survey
+
+        totals = write_survey(spark, a.data_root, a.out_dir, _options_of(a), a.sets).filter("level = 'all'").first()
+        print(json.dumps({"files": totals.n, "files_ok": totals.n_ok, "average_rut": totals.depth}))
+        return int(totals.n != totals.n_ok)
     if a.command == "map":
         print(json.dumps(build_map(spark, a.root, a.out_dir), indent=2))
         return 0

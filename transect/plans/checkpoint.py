@@ -9,11 +9,13 @@ from __future__ import annotations
 import json
 import os
 import socket
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from hashlib import sha256
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -81,26 +83,62 @@ class Checkpoint:
     """The table of one fingerprint under a folder."""
 
     def __init__(self, spark: SparkSession, root: str, print_: str, resume: bool = True):
-        self.spark, self.at = spark, f"{root.rstrip('/')}/fingerprint={print_}"
-        if not resume and exists(self.at):
-            fs, path = store(self.at)
-            fs.delete_dir(path)
+        self.spark, self.at, self.resume = spark, f"{root.rstrip('/')}/fingerprint={print_}", resume
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.at).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     @contextmanager
     def locked(self):
-        """Hold the table's lock file; RuntimeError if another run has it. Whoever finds one left by a run that died removes it."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.at + ".lock")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        fs.mkdirs(path.getParent())
-        if not fs.createNewFile(path):
-            raise RuntimeError(f"another run holds {path.toString()}")
+        """Hold the table's lock file; RuntimeError if another run has it. Whoever finds one left by a run that died removes it.
+
+        Only the run that holds the lock changes the table: without resume it is emptied here, and a compaction that died is
+        finished or undone. The lock that is released is this run's own; one that someone has put in its place stays.
+        """
+        path, token = self._path(self.at + ".lock"), f"{socket.gethostname()} {os.getpid()} {uuid.uuid4().hex}".encode()
+        self._fs.mkdirs(path.getParent())
+        try:
+            stream = self._fs.create(path, False)
+        except Py4JJavaError:
+            if not self._fs.exists(path):
+                raise
+            raise RuntimeError(f"another run holds {path.toString()}") from None
         try:
-            stream = fs.create(path, True)
-            stream.write(bytearray(f"{socket.gethostname()} {os.getpid()}".encode()))
+            stream.write(bytearray(token))
             stream.close()
+            self._mend()
+            if not self.resume:
+                self._delete(self.at)
             yield self
         finally:
-            fs.delete(path, False)
+            if self._fs.exists(path) and self._read(path) == token:
+                self._fs.delete(path, False)
+
+    def _read(self, path) -> bytes:
+        stream = self._fs.open(path)
+        try:
+            return bytes(stream.readAllBytes())
+        finally:
+            stream.close()
+
+    def _delete(self, at: str) -> None:
+        self._fs.delete(self._path(at), True)
+
+    def _mend(self) -> None:
+        """After a compaction that died: without a table the merged one, which is whole by then, takes its place; what else was left goes."""
+        if not exists(self.at) and exists(self.at + ".merged"):
+            self._fs.rename(self._path(self.at + ".merged"), self._path(self.at))
+        for left in (".merged", ".before"):
+            self._delete(self.at + left)
+
+    def compact(self, most: int = 64) -> bool:
+        """Merge the latest entries into a few files if the table has more than `most`; to be called under the lock."""
+        if not exists(self.at) or sum(f.getPath().getName().endswith(".parquet") for f in self._fs.listStatus(self._path(self.at))) <= most:
+            return False
+        self.entries().write.mode("overwrite").parquet(self.at + ".merged")
+        self._fs.rename(self._path(self.at), self._path(self.at + ".before"))
+        self._fs.rename(self._path(self.at + ".merged"), self._path(self.at))
+        self._delete(self.at + ".before")
+        return True
 
     def entries(self) -> DataFrame:
         """The latest entry of each key, FILE_RESULT with the identity."""

@@ -123,6 +123,7 @@ def export_set(spark: SparkSession, config: ExportConfig, cpu=None) -> dict:
     everything, index_at = _index(spark, config, set_id)
     chosen = survey.select_files(everything, config.from_frame, config.to_frame, config.limit_files).withColumn("path", F.concat(F.lit(set_dir + "/"), F.col("relative_path")))
     with Checkpoint(spark, root, mark, config.resume).locked() as checkpoint:
+        checkpoint.compact()
         known = chosen.join(identities(chosen), "relative_path").checkpoint()  # files are probed once
         todo = known.join(checkpoint.reusable().select(KEY), KEY, "left_anti").orderBy("pos")
         rows = todo.select("relative_path", "path", "start_frame", "end_frame", "size", "changed", "probe")
