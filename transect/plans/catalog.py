@@ -690,8 +690,8 @@ def w6_footprint_gap(spark, sf_dir):
 
 
 def _rut_columns(spark: SparkSession, sf_dir: str, sides: tuple[str, ...]) -> DataFrame:
-    """Profiles with a rut struct for each side, in columns."""
-    rows = profiles(spark, sf_dir, 0.5)
+    """Profiles with a rut struct for each side, in columns. They cost some ms each, so they are dealt out evenly whatever a file holds."""
+    rows = profiles(spark, sf_dir, 0.5).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = arrays.inside_lane(rows.withColumn("hint", arrays.slope_hint(rows, OFF_GRID)), OFF_GRID)
     return rows.select("profile", *[hulls.rut(F.col("x"), F.col("y"), F.col("hint"), OFF_GRID, side).alias(side) for side in sides])
 
@@ -899,7 +899,7 @@ def k1_export_csv(spark, sf_dir):
     from transect import schemas
 
     at = f"{new_folder(spark, 'csv')}/r.csv"
-    write_csv(_exported(spark, sf_dir), at)
+    write_csv(_exported(spark, sf_dir).checkpoint(), at)
     kinds = {"severity": "int", **dict.fromkeys(("set", "file_name", "relative_path", "preview_png"), "string")}
     rows = spark.read.option("header", True).schema(", ".join(f"`{c}` {kinds.get(c, 'double')}" for c in schemas.EXPORT_COLUMNS)).csv(at)
     numbered = running_number(rows.withColumns({"one": F.lit(1), "place": F.monotonically_increasing_id()}), "one", ["place"], "line")
@@ -910,7 +910,7 @@ def k1_export_csv(spark, sf_dir):
 def k2_export_geojson(spark, sf_dir):
     """Export rows written as GeoJSON and read back as the map does (K2, S14); no point where there is no position."""
     at = f"{new_folder(spark, 'geojson')}/r.geojson"
-    write_geojson(_exported(spark, sf_dir), at, "r")
+    write_geojson(_exported(spark, sf_dir).checkpoint(), at, "r")
     return maps.features(spark, at).select("pos", *[r6(c).alias(c) if c in ("latitude", "longitude", "heading") else c for c in _SHOWN], r6("lon").alias("lon"), r6("lat").alias("lat"))
 
 
