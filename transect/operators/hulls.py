@@ -40,7 +40,7 @@ def _chain(points: Column) -> Column:
     def push(stack: Column, p: Column) -> Column:
         # Points are taken off from the top while they lie under the line from the one below to the new one, so the last that doesn't stays on top.
         firm = F.filter(F.sequence(F.lit(2), F.size(stack)), lambda m: ~turns_up(F.element_at(stack, m - 1), F.element_at(stack, m), p))
-        top = F.when(F.size(stack) < 2, F.size(stack)).otherwise(F.coalesce(F.element_at(F.when(F.size(firm) > 0, firm), -1), F.lit(1)))
+        top = F.when(F.size(stack) < 2, F.size(stack)).otherwise(F.coalesce(F.try_element_at(firm, F.lit(-1)), F.lit(1)))
         return F.concat(F.slice(stack, 1, top), F.array(p))
 
     return F.aggregate(points, F.array().cast(POINTS), push)
