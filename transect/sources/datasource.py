@@ -92,7 +92,7 @@ class ThreeDcReader(DataSourceReader):
                 size = 0
             out[-1].files.append(f)
             size += f.length
-        return out
+        return out or [Images(0)]  # for no partition Spark would call read() without one
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         for k, f in enumerate(partition.files):
