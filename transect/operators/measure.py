@@ -99,6 +99,12 @@ def measure_files(files: DataFrame, calibration: Calibration, options: Options,
     return files.select("set_id", "relative_path", "content").mapInArrow(work, schemas.RESULT)
 
 
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    """Each row's numbers, NaN for a null one; a null row has none."""
+    values, ends = column.values.to_numpy(zero_copy_only=False).astype(float), column.offsets.to_numpy()
+    return [values[a:z] if there else values[:0] for a, z, there in zip(ends[:-1].tolist(), ends[1:].tolist(), column.is_valid().to_pylist(), strict=True)]
+
+
 def measure_profiles(profiles: DataFrame, lane: Lane | None, reduction: Reduction, options: Options | None = None) -> DataFrame:
     """RESULT rows of profiles (set_id, relative_path, row_index, x array<double>, y array<double>); a null elevation is an invalid sample.
 
@@ -120,7 +126,7 @@ def measure_profiles(profiles: DataFrame, lane: Lane | None, reduction: Reductio
 
         for b in batches:
             rows = [dict(zip(("set_id", "relative_path", "row_index"), key, strict=True)) for key in zip(*(c.to_pylist() for c in b.columns[:3]), strict=True)]
-            samples = [tuple(np.array(v or [], float) for v in p) for p in zip(*(c.to_pylist() for c in b.columns[3:5]), strict=True)]
+            samples = list(zip(*(_arrays(c) for c in b.columns[3:5]), strict=True))
             among: dict[Lane, list[int]] = {} if lane is None else {lane: list(range(len(rows)))}
             if lane is None:
                 for k, (width, error) in enumerate(zip(*(c.to_pylist() for c in b.columns[5:]), strict=True)):
