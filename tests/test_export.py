@@ -5,12 +5,13 @@ import numpy as np
 import pytest
 from survey_files import calibration, image, make_set, surface
 
+from transect import schemas
 from transect.cli import main
 from transect.config import ExportConfig, Options, output_base
 from transect.plans.batch import run_batch
 from transect.plans.checkpoint import fingerprint
-from transect.plans.export import export_set, inspect_file
-from transect.plans.maps import build_map
+from transect.plans.export import export_set, inspect_file, write_geojson
+from transect.plans.maps import build_map, features
 from transect.sources import survey
 from transect.sources.calibration import parse_calibration
 from transect.streaming.incremental import measure_stream
@@ -135,3 +136,24 @@ def test_names():
         with pytest.raises(ValueError):
             output_base(bad)
     assert np.isfinite(parse_calibration(calibration()).resolution)
+
+
+def test_a_large_export_is_read_by_many_tasks(spark, tmp_path):
+    names = {"set": "'7'", "file_name": "concat('a,\"]}', id)", "relative_path": "concat('d/', id)", "severity": "CAST(id % 4 AS INT)", "preview_png": "CAST(NULL AS STRING)", "latitude": "IF(id % 5 = 0, NULL, id / 2)", "cross_slope_count": "id", "cross_slope_error_count": "id"}
+    rows = spark.range(600).selectExpr(*[f"{names.get(c, 'CAST(id AS DOUBLE)')} AS `{c}`" for c in schemas.EXPORT_COLUMNS])
+    assert write_geojson(rows, str(tmp_path / "own.geojson"), "n\n]}") == 600 and write_geojson(rows.limit(0), str(tmp_path / "none.geojson"), "n") == 0
+    body = json.loads((tmp_path / "own.geojson").read_text())
+    assert len(body["features"]) == 600 and json.loads((tmp_path / "none.geojson").read_text())["features"] == []
+    (tmp_path / "b c.geojson").write_text(json.dumps(body, indent=2))
+    (tmp_path / "line.geojson").write_text(json.dumps(body, separators=(",", ":")))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        own = features(spark, str(tmp_path / "own.geojson"))
+        assert own.rdd.getNumPartitions() > 4
+        alone, together = own.collect(), features(spark, str(tmp_path / "*.geojson")).collect()
+        assert features(spark, str(tmp_path / "*.geojson")).filter("lon IS NOT NULL").count() == 3 * 480
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert [(r.pos, r.relative_path, r.lat, r.lon) for r in sorted(alone)] == [(k, f"d/{k}", None if k % 5 == 0 else k / 2, None if k % 5 == 0 else k) for k in range(600)]
+    assert sorted(together, key=str) == sorted(alone * 3, key=str)

@@ -86,8 +86,8 @@ def write_csv(exported: DataFrame, path: str) -> int:
 
 
 def write_geojson(exported: DataFrame, path: str, name: str) -> int:
-    """Write exported rows as one feature collection in index order; how many."""
-    return write_ordered(exported, _order(), path, feature, f'{{"type":"FeatureCollection","name":{json.dumps(name)},"features":['.encode(), b",", b"]}\n")
+    """Write exported rows as one feature collection in index order, each feature on a line of its own, so that many tasks can read the file; how many."""
+    return write_ordered(exported, _order(), path, feature, f'{{"type":"FeatureCollection","name":{json.dumps(name)},"features":[\n'.encode(), b",\n", b"\n]}\n")
 
 
 def _order() -> list:

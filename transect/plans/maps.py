@@ -4,26 +4,47 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from transect.plans.files import write_text
+from transect.plans.files import ensure_shared_folder, write_text
 from transect.plans.ordered import write_ordered
 from transect.plans.ranking import running_number
 
 FEATURE = (
-    "type string, features array<struct<type:string,geometry:struct<type:string,coordinates:array<double>>,properties:struct<"
+    "struct<type:string,geometry:struct<type:string,coordinates:array<double>>,properties:struct<"
     "`set`:string,file_name:string,relative_path:string,starting_frame_number:double,latitude:double,longitude:double,heading:double,averaged_left_rut:double,averaged_right_rut:double,averaged_rut:double,"
-    "cross_slope_average_percent:double,cross_slope_average_angle_degrees:double,cross_slope_count:bigint,cross_slope_error_count:bigint,severity:int,preview_png:string>>>"
+    "cross_slope_average_percent:double,cross_slope_average_angle_degrees:double,cross_slope_count:bigint,cross_slope_error_count:bigint,severity:int,preview_png:string>>"
 )
+#: First line of our own exports, which have each feature on a line of its own.
+OWN_HEAD = r'^\{"type":"FeatureCollection","name":.*,"features":\[$'
 #: Of the points of a class each n-th is shown; other classes are left out.
 SHOWN = {3: 1, 2: 1, 1: 5, 0: 10}
 
 
 def features(spark: SparkSession, pattern: str) -> DataFrame:
-    """(pos, properties..., lon, lat) of the features of GeoJSON exports; pos is the place in its file."""
-    read = spark.read.schema(FEATURE).option("multiLine", True).json(pattern)
-    rows = read.select(F.posexplode("features").alias("pos", "f"))
+    """(pos, properties..., lon, lat) of the features of GeoJSON exports; pos is the place in its file.
+
+    Files as write_geojson() makes them are read by lines, so a large one is many tasks; a line that is no feature ends the
+    job. Other forms are read whole, a task for each file.
+    """
+    ensure_shared_folder(spark)
+    at = F.col("_metadata.file_path")
+    lines = spark.read.text(pattern).select(at.alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+    one = ~(F.startswith("value", F.lit('{"type":"FeatureCollection"')) | F.startswith("value", F.lit("]}")) | (F.col("value") == ""))
+    # Lines of a block have numbers in a row: a feature's place is its distance from its block's first one, and the features of the blocks before.
+    blocks = lines.groupBy("file", "block").agg(F.count(F.when(one, 1)).alias("n"), F.min(F.when(one, F.col("id"))).alias("first"), F.max((F.col("block") == 0) & F.rlike("value", F.lit(OWN_HEAD))).alias("own")).checkpoint()
+    kinds = {r.file: r.own for r in blocks.groupBy("file").agg(F.max("own").alias("own")).collect()}
+    other = [f for f, own in kinds.items() if not own]
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = blocks.select("file", "block", (before - F.col("first")).alias("shift"))
+    mine = one & ~F.col("file").isin(other) if other else one
+    # Filters on what is parsed may run before the one below, so no other line is ever parsed.
+    parsed = F.when(mine, F.from_json(F.rtrim("value", F.lit(",")), FEATURE, {"mode": "FAILFAST"}))
+    rows = lines.filter(mine).join(F.broadcast(places), ["file", "block"]).select((F.col("id") + F.col("shift")).cast("int").alias("pos"), parsed.alias("f"))
+    if other:
+        whole = spark.read.schema(f"type string, features array<{FEATURE}>").option("multiLine", True).json(pattern).filter(at.isin(other))
+        rows = rows.unionByName(whole.select(F.posexplode("features").alias("pos", "f")))
     return rows.select("pos", "f.properties.*", F.get("f.geometry.coordinates", F.lit(0)).alias("lon"), F.get("f.geometry.coordinates", F.lit(1)).alias("lat"))
 
 
