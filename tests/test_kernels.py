@@ -96,6 +96,18 @@ def test_footprint_against_a_dense_search():
         deepest_footprint(x, y, 5, 4, 4.0, 0, 0, 0)
 
 
+def two_dips(more):
+    """A flat surface with two dips of one form, the second one deeper by `more`."""
+    x = np.arange(0, 60.01, 0.5)
+    return x, -0.3 * np.maximum(0, 1 - np.abs(x - 15) / 3) - (0.3 + more) * np.maximum(0, 1 - np.abs(x - 45) / 3)
+
+
+@pytest.mark.parametrize(("more", "at"), [(0.0, 15), (3e-10, 15), (-3e-10, 15), (3e-8, 45)])
+def test_depths_equal_to_nine_places_are_equal(more, at):
+    got = deepest_footprint(*two_dips(more), 2.0, 58.0, 4.0, 0.0, 0.0, 30.0)
+    assert got[0] == pytest.approx(at, abs=1e-6) and got[2] == pytest.approx(0.2 + max(more, 0) * 2 / 3, abs=1e-14)
+
+
 def test_cross_slope():
     x = np.arange(0, 162.01, 0.125)
     got = cross_slope(Profile(x, 7 + 0.02 * x), LANE)
