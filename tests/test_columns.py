@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import survey_files
 from pyspark.sql import functions as F
+from test_kernels import two_dips
 
 from transect import schemas
 from transect.cli import main
@@ -83,6 +84,15 @@ def test_rut_depth(rows, side):
     assert some >= 8
 
 
+@pytest.mark.parametrize(("more", "at"), [(0.0, 15), (3e-10, 15), (-3e-10, 15), (3e-8, 45)])
+def test_depths_equal_to_nine_places_are_equal(spark, more, at):
+    x, y = two_dips(more)
+    points = hulls.pairs(F.lit(x.tolist()), F.lit(y.tolist()))
+    line = F.struct(F.lit(0.0).alias("slope"), F.lit(0.0).alias("height"))
+    got = spark.range(1).select(hulls.deepest_footprint(points, F.lit(2.0), F.lit(58.0), line, 30.0).alias("d")).first().d
+    assert got.at == pytest.approx(at, abs=1e-6) and got.most == pytest.approx(0.2 + max(more, 0) * 2 / 3, abs=1e-14)
+
+
 @pytest.mark.parametrize("window", [0.1, 5.0, 20.0, 500.0])
 def test_residual_noise(rows, window):
     got = {r.name: r.noise for r in rows.select("name", hulls.residual_noise(F.col("x"), F.col("y"), window).alias("noise")).collect()}

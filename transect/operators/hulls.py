@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from transect.config import BAR_LENGTH, FOOTPRINT_WIDTH, Lane
 from transect.operators.arrays import total
-from transect.operators.geometry import EPS, ROUNDS
+from transect.operators.geometry import EPS, FINE, PLACES, ROUNDS
 
 POINTS = "array<struct<x:double,y:double>>"
 #: Samples of which a hull is made by itself before it is joined with the others.
@@ -109,7 +109,7 @@ def bar(points: Column, hint: Column, lane: Lane, side: str, length: float = BAR
 
 
 def deepest_footprint(points: Column, low: Column, high: Column, line: Column, c: float, width: float = FOOTPRINT_WIDTH) -> Column:
-    """struct(at, over, points): where a footprint centred from low to high lies deepest under a line (slope, height at c), how high the line is over the surface's mean there, and the samples under it; the first of equals.
+    """struct(at, over, most, points): where a footprint centred from low to high lies deepest under a line (slope, height at c), how high the line is over the surface's mean there, the most that it is anywhere (0 if it is nowhere above), and the samples under it. Of depths equal to PLACES the first.
 
     The height of the line over the mean changes by slope - (surface at the right edge - surface at the left edge) / width, which
     is linear until an edge passes a sample. So one sweep over the places where an edge does sums it from piece to piece, and
@@ -134,33 +134,39 @@ def deepest_footprint(points: Column, low: Column, high: Column, line: Column, c
         k = F.least(F.greatest(F.size(F.filter(points, lambda p: p["x"] <= at)) - 1, F.lit(0)), last - 1)
         return let(k, lambda j: F.get(points, j)["y"] + incline(j) * (at - F.get(points, j)["x"]))
 
-    slope, state = line["slope"], "struct<at:double,over:double,rate:double,left:double,right:double,most:double,spot:double>"
+    slope, state = line["slope"], "struct<at:double,over:double,rate:double,left:double,right:double,most:double,rank:double,held:double,spot:double>"
+    tilt = F.hypot(F.lit(1.0), slope)
 
-    def better(most: Column, value: Column) -> Column:
-        return value > most + 1e-12 * F.greatest(F.lit(1.0), most)
+    def ranked(over: Column) -> Column:
+        return F.rint(F.rint(F.greatest(over, F.lit(0.0)) / tilt * 10.0**FINE) / 10.0 ** (FINE - PLACES))
 
     def step(s: Column, e: Column) -> Column:
         length, bend = e["at"] - s["at"], (s["left"] - s["right"]) / width
         inner = (s["rate"] > 0) & (s["rate"] + bend * length < 0)
         top = F.when(inner, -s["rate"] / bend).otherwise(F.lit(0.0))
-        peak = F.when(inner, s["over"] + s["rate"] * top / 2.0).otherwise(s["over"])
+        over, peak = s["over"] + length * (s["rate"] + bend * length / 2.0), F.when(inner, s["over"] + s["rate"] * top / 2.0).otherwise(s["over"])
 
-        def ended(over: Column) -> Column:
-            first, then = better(s["most"], peak), better(F.greatest(s["most"], peak), over)
+        def weighed(v: Column) -> Column:
+            # The peak inside the piece comes before its end.
+            return F.struct(v["over"].alias("over"), v["peak"].alias("peak"), v["top"].alias("top"), ranked(v["over"]).alias("last"), ranked(v["peak"]).alias("first"))
+
+        def ended(v: Column) -> Column:
+            first, then = v["first"] > s["rank"], v["last"] > F.greatest(s["rank"], v["first"])
             return F.struct(
-                e["at"].alias("at"), over.alias("over"), (s["rate"] + bend * length).alias("rate"), F.when(e["right"], s["left"]).otherwise(e["rise"]).alias("left"), F.when(e["right"], e["rise"]).otherwise(s["right"]).alias("right"),
-                F.when(then, over).when(first, peak).otherwise(s["most"]).alias("most"), F.when(then, e["at"]).when(first, s["at"] + top).otherwise(s["spot"]).alias("spot"),
+                e["at"].alias("at"), v["over"].alias("over"), (s["rate"] + bend * length).alias("rate"), F.when(e["right"], s["left"]).otherwise(e["rise"]).alias("left"), F.when(e["right"], e["rise"]).otherwise(s["right"]).alias("right"),
+                F.greatest(s["most"], v["peak"], v["over"]).alias("most"), F.greatest(s["rank"], v["first"], v["last"]).alias("rank"),
+                F.when(then, v["over"]).when(first, v["peak"]).otherwise(s["held"]).alias("held"), F.when(then, e["at"]).when(first, s["at"] + v["top"]).otherwise(s["spot"]).alias("spot"),
             ).cast(state)
 
-        return let(s["over"] + length * (s["rate"] + bend * length / 2.0), ended)
+        return let(let(F.struct(over.alias("over"), peak.alias("peak"), top.alias("top")), weighed), ended)
 
     events = F.array_sort(F.concat(passed(-1.0, True), passed(1.0, False)))
     end = F.array(F.struct(high.alias("at"), F.lit(0).alias("k"), F.lit(True).alias("right"), F.lit(0.0).alias("rise")))
     mean = total(F.transform(F.sequence(F.lit(0), last - 1), area)) / width
     over = line["height"] + slope * (low - c) - mean
-    first = F.struct(low.alias("at"), over.alias("over"), (slope - (surface(low + half) - surface(low - half)) / width).alias("rate"), incline(F.lit(0)).alias("left"), incline(F.lit(0)).alias("right"), F.greatest(over, F.lit(0.0)).alias("most"), low.alias("spot")).cast(state)
+    first = F.struct(low.alias("at"), over.alias("over"), (slope - (surface(low + half) - surface(low - half)) / width).alias("rate"), incline(F.lit(0)).alias("left"), incline(F.lit(0)).alias("right"), F.greatest(over, F.lit(0.0)).alias("most"), ranked(over).alias("rank"), over.alias("held"), low.alias("spot")).cast(state)
     done = let(first, lambda s: F.aggregate(F.concat(events, end), s, step))
-    return let(done, lambda s: F.struct(s["spot"].alias("at"), s["most"].alias("over"), F.size(F.filter(points, lambda p: (p["x"] >= s["spot"] - half) & (p["x"] <= s["spot"] + half))).alias("points")))
+    return let(done, lambda s: F.struct(s["spot"].alias("at"), s["held"].alias("over"), s["most"].alias("most"), F.size(F.filter(points, lambda p: (p["x"] >= s["spot"] - half) & (p["x"] <= s["spot"] + half))).alias("points")))
 
 
 def rut(x: Column, y: Column, hint: Column, lane: Lane, side: str, length: float = BAR_LENGTH, width: float = FOOTPRINT_WIDTH) -> Column:
@@ -174,7 +180,7 @@ def rut(x: Column, y: Column, hint: Column, lane: Lane, side: str, length: float
         return let(F.struct(low.alias("low"), high.alias("high")), lambda z: F.when(z["low"] <= z["high"], let(deepest_footprint(points, z["low"], z["high"], line, c, width), lambda d: told(line, d))))
 
     def told(line: Column, d: Column) -> Column:
-        depth = d["over"] / F.hypot(F.lit(1.0), line["slope"])
+        depth = d["most"] / F.hypot(F.lit(1.0), line["slope"])
         return F.struct(
             F.when(depth < 64 * EPS, 0.0).otherwise(depth).alias("depth"), d["at"].alias("rut_x"), (line["height"] + line["slope"] * (d["at"] - c) - d["over"]).alias("rut_y"), line["slope"].alias("bar_slope"),
             line["left_x"].alias("left_x"), line["right_x"].alias("right_x"), line["supports"].alias("supports"), d["points"].alias("footprint_points"),
