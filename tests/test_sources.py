@@ -155,3 +155,12 @@ def test_repeated_frames_and_long_tracks(spark):
     began = time.perf_counter()
     off = survey.interpolated(many, "at", long, ["v"]).agg(F.max(F.abs(F.col("v") - F.col("at") * 1.5)), F.count("v")).first()
     assert off[0] < 1e-6 and off[1] == 200_000 and time.perf_counter() - began < 60
+
+
+def test_interpolation_deals_rows_out_however_well_they_compress(spark):
+    """No task holds much of a track or of the probes; before, the sorted rows of half a million frames were those of one task."""
+    track = spark.range(500_000).select(F.lit("7").alias("set_id"), (F.col("id") * 2.0).alias("frame"), F.lit(1.5).alias("v"))
+    probes = spark.range(100_000).select(F.lit("7").alias("set_id"), (F.col("id") * 9.0).alias("at"))
+    got = survey.interpolated(probes, "at", track, ["v"], span=1024.0)
+    of_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(of_task) == 100_000 and max(of_task) < 12_500 and got.filter("v = 1.5").count() == 100_000

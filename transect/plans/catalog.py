@@ -874,13 +874,13 @@ _EXPORTED_ROWS = f"SELECT path AS relative_path, f AS starting_frame_number, CAS
 
 
 def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export rows of a result for each order along a straight track."""
+    """Export rows of a result for each order along a straight track. A frame that is there twice has the same values, so interpolation takes it once."""
     k = F.col("o_orderkey")
     rows = table(spark, sf_dir, "orders").select(
         F.lit("7").alias("set_id"), F.concat(F.lit("d/"), k, F.lit(".3dc")).alias("relative_path"), F.concat(k, F.lit(".3dc")).alias("file_name"), (k * 2.0).alias("start_frame"), (k % 4).cast("int").alias("severity"),
         *[(k / 8).cast("double").alias(c) for c in ("left_average", "right_average", "overall_average", "cs_percent", "cs_degrees")], *[F.lit(1).cast("bigint").alias(c) for c in ("cs_count", "cs_error_count")],
     )
-    track = table(spark, sf_dir, "events").select((F.col("event_id") * 5).cast("double").alias("frame")).distinct().select(F.lit("7").alias("set_id"), "frame", (F.col("frame") / 10).alias("lat"), (-F.col("frame") / 7).alias("lon"), (F.col("frame") / 3).alias("heading"))
+    track = table(spark, sf_dir, "events").select((F.col("event_id") * 5).cast("double").alias("frame")).select(F.lit("7").alias("set_id"), "frame", (F.col("frame") / 10).alias("lat"), (-F.col("frame") / 7).alias("lon"), (F.col("frame") / 3).alias("heading"))
     return export_rows(rows, track.select("set_id", "frame", "lat", "lon"), track.select("set_id", "frame", "heading"))
 
 

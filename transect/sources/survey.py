@@ -14,6 +14,9 @@ from transect.functions.scalars import frame_of, is_close, stem_of
 from transect.plans.files import write_text
 from transect.sources.records import image_files
 
+#: Tasks for each core, so that what one of them holds is a small part of the memory that cores share.
+TASKS_A_CORE = 8
+
 
 def sets_of(files: DataFrame, root: str) -> DataFrame:
     """(set_id, n_files) of image files under root/<digits>/...; set ids are labels, so 007 and 7 are two sets. In numeric order."""
@@ -141,6 +144,11 @@ def navigation(spark: SparkSession, set_dir: str) -> tuple[DataFrame, DataFrame]
     return named(numeric_rows(spark, f"{set_dir}/gpsdis.{set_id}", 4), ["frame", "lat", "lon"]), named(numeric_rows(spark, f"{set_dir}/heading.{set_id}", 2), ["frame", "heading"])
 
 
+def tasks_of(spark: SparkSession) -> int:
+    """Tasks for rows of which each task holds its own sorted: those of a shuffle, but TASKS_A_CORE for each core at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+
+
 def interpolated(probes: DataFrame, at: str, track: DataFrame, values: list[str], key: str = "set_id", order: str | None = "line", span: float = 65536.0) -> DataFrame:
     """probes with `values` of the track interpolated at frame column `at`; null before the first and after the last frame of the key's track.
 
@@ -148,11 +156,14 @@ def interpolated(probes: DataFrame, at: str, track: DataFrame, values: list[str]
     of a line; the last one as a line's begin. Track and probes are sorted together in spans of `span` frames, each of which
     also holds the nearest track rows of its neighbours, so a long track of one key is many tasks, and each probe gets what
     stands before and behind it in one run over its span in either direction: no pair of probe and row is built. Without a
-    key column in common use a constant. A track without the order column is in order of its values.
+    key column in common use a constant. A track without the order column is in order of its values. Frames of the track and
+    spans are dealt to a fixed number of tasks (tasks_of), as rows that compress well would else be put into few of them.
     """
+    tasks = tasks_of(probes.sparkSession)
     row = F.struct(*[F.col(v) for v in values])
     order = order if order in track.columns else row
-    known = track.filter("frame IS NOT NULL AND NOT isnan(frame)").groupBy(key, F.col("frame").alias("__f")).agg(F.min_by(row, order).alias("first"), F.max_by(row, order).alias("last"))
+    track = track.filter("frame IS NOT NULL AND NOT isnan(frame)").repartition(tasks, "frame")
+    known = track.groupBy(key, F.col("frame").alias("__f")).agg(F.min_by(row, order).alias("first"), F.max_by(row, order).alias("last"))
     known = known.select(key, "__f", F.struct(F.col("__f").alias("frame"), "first", "last").alias("__t"))
     asked = probes.select(key, F.col(at).cast("double").alias("__f"), F.struct("*").alias("__p"))
     part = F.floor(F.col("__f") / span).alias("__s")
@@ -162,7 +173,7 @@ def interpolated(probes: DataFrame, at: str, track: DataFrame, values: list[str]
     outside = Window.partitionBy(key).rowsBetween(Window.unboundedPreceding, -1)
     near = ends.select(key, "__s", F.last("high", True).over(outside.orderBy("__s")).alias("before"), F.last("low", True).over(outside.orderBy(F.desc("__s"))).alias("after"))
     borders = near.select(key, "__s", F.explode(F.array(F.struct(F.lit(float("-inf")).alias("__f"), F.col("before").alias("__t")), F.struct(F.lit(float("inf")).alias("__f"), F.col("after").alias("__t")))).alias("b")).select(key, "__s", "b.*").filter("__t IS NOT NULL")
-    both = marks.unionByName(borders).unionByName(asked, allowMissingColumns=True)
+    both = marks.unionByName(borders).unionByName(asked, allowMissingColumns=True).repartition(tasks, key, "__s")
     probe = F.col("__p").isNotNull()
     here = Window.partitionBy(key, "__s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = both.withColumn("__l", F.last("__t", True).over(here.orderBy("__f", probe))).withColumn("__h", F.last("__t", True).over(here.orderBy(F.desc("__f"), probe.desc()))).filter(probe)
