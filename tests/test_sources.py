@@ -164,3 +164,19 @@ def test_interpolation_deals_rows_out_however_well_they_compress(spark):
     got = survey.interpolated(probes, "at", track, ["v"], span=1024.0)
     of_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(of_task) == 100_000 and max(of_task) < 12_500 and got.filter("v = 1.5").count() == 100_000
+
+
+def test_a_large_set_is_indexed_by_many_tasks(spark):
+    """Each file's end against a plain loop, over the borders of ranges, with files of one frame; before, a set was one task."""
+    rng = np.random.default_rng(3)
+    rows = [("1", f"93/{'aB'[k % 2]}{k}", float(f)) for k, f in enumerate(rng.integers(0, 30_000, 20_000))] + [("2", "93/x", 5.0), ("3", "93/y", 7.0), ("3", "93/Y", 7.0)]
+    got = survey.end_frames(spark.createDataFrame(rows, "set_id string, relative_path string, start_frame double"))
+    of_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(of_task) == len(rows) and max(of_task) < 10_000
+    want = {}
+    for name in ("1", "2", "3"):
+        mine = sorted((r for r in rows if r[0] == name), key=lambda r: (r[2], r[1].lower(), r[1]))
+        steps = [b[2] - a[2] for a, b in zip(mine, mine[1:]) if b[2] > a[2]]
+        usual = float(np.median(steps)) if steps else 1.0
+        want |= {a[:2]: b if b is not None and b > a[2] else a[2] + usual for a, b in zip(mine, [r[2] for r in mine[1:]] + [None])}
+    assert {(r.set_id, r.relative_path): r.end_frame for r in got.collect()} == want

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from transect.functions.scalars import frame_of, is_close, stem_of
-from transect.plans.files import write_text
+from transect.plans.files import ensure_shared_folder, write_text
+from transect.plans.ranking import MOST_BROADCAST
 from transect.sources.records import image_files
 
 #: Tasks for each core, so that what one of them holds is a small part of the memory that cores share.
@@ -59,13 +60,28 @@ def below(path: Column, root: str) -> Column:
 def end_frames(index: DataFrame) -> DataFrame:
     """(set_id, relative_path, start_frame, end_frame): a file ends where the next one of its set begins, if that is later; else after the set's median positive step (1 without one).
 
-    Files are in order of start frame, then of path without case. One set is one window; its rows are one for each file.
+    Files are in order of start frame, then of path without case. They are sorted into ranges, so a large set is many tasks:
+    each range looks up its own next files, and its last one the first of the next range. The median is that of counts of
+    steps, which are few for whole frames: n different ones span at least n (n + 1) / 2 frames.
     """
-    order = Window.partitionBy("set_id").orderBy("start_frame", F.lower("relative_path"), "relative_path")
-    step = index.withColumn("next", F.lead("start_frame").over(order)).withColumn("step", F.when(F.col("next") > F.col("start_frame"), F.col("next") - F.col("start_frame")))
-    usual = step.groupBy("set_id").agg(F.coalesce(F.median("step"), F.lit(1.0)).alias("usual"))
-    out = step.join(usual, "set_id")
-    return out.select("set_id", "relative_path", "start_frame", F.when(F.col("step").isNotNull(), F.col("next")).otherwise(F.col("start_frame") + F.col("usual")).alias("end_frame"))
+    spark = index.sparkSession
+    ensure_shared_folder(spark)
+    tasks, order = tasks_of(spark), ["start_frame", F.lower("relative_path"), "relative_path"]
+    ranged = index.select("set_id", "relative_path", "start_frame").repartitionByRange(tasks, "set_id", *order).withColumn("__range", F.spark_partition_id()).checkpoint()
+    after = F.lead("head").over(Window.partitionBy("set_id").orderBy("__range"))
+    heads = ranged.groupBy("set_id", "__range").agg(F.min("start_frame").alias("head")).select("set_id", "__range", after.alias("after"))
+    following = F.lead("start_frame").over(Window.partitionBy("__range", "set_id").orderBy(*order))
+    rows = ranged.repartition(tasks, "__range").withColumn("next", following).join(_small(heads), ["set_id", "__range"]).withColumn("next", F.coalesce("next", "after"))
+    step = rows.withColumn("step", F.when(F.col("next") > F.col("start_frame"), F.col("next") - F.col("start_frame")))
+    steps = step.filter("step IS NOT NULL").groupBy("set_id", "step").agg(F.count("*").alias("n"))
+    usual = steps.groupBy("set_id").agg(F.percentile("step", 0.5, F.col("n")).alias("usual")).checkpoint()
+    out = step.join(_small(usual), "set_id", "left")
+    return out.select("set_id", "relative_path", "start_frame", F.when(F.col("step").isNotNull(), F.col("next")).otherwise(F.col("start_frame") + F.coalesce("usual", F.lit(1.0))).alias("end_frame"))
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    """rows, to be broadcast if they are few enough: a set may have most files, so joins by set take no shuffle where they can."""
+    return F.broadcast(rows) if rows.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else rows
 
 
 def build_index(spark: SparkSession, set_dir: str, fps: int = 30) -> DataFrame:
