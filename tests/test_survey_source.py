@@ -2,15 +2,19 @@
 
 import json
 import math
+from collections import Counter
 
 import pytest
 import survey_files
+from pyspark import TaskContext
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from transect.config import Options
 from transect.functions.scalars import frame_number, frame_of
 from transect.plans import sets
 from transect.plans.ordered import write_ordered
+from transect.plans.ranking import running_number
 from transect.sources.calibration import CalibrationError, calibrations_of, parse_calibration
 from transect.sources.datasource import listed, read_survey
 
@@ -156,3 +160,16 @@ def test_ordered_file_that_fails_leaves_nothing(spark, tmp_path):
     with pytest.raises(Exception, match="no such row"):
         write_ordered(spark.range(100), ["id"], str(tmp_path / "f"), broken)
     assert [p.name for p in tmp_path.iterdir()] == ["f"] and (tmp_path / "f").read_bytes() == b"before"
+
+
+def test_ordered_files_and_running_numbers_deal_rows_out(spark, tmp_path):
+    """No task holds much of an order, nor does one class; before, their tasks were those of a shuffle, and numbered ranges met in fewer still."""
+    rows = spark.range(200_000).select((F.col("id") * 7919 % 200_000).alias("k"), F.when(F.col("id") % 100 == 0, F.lit("few")).alias("class"))
+    got = running_number(rows, "class", ["k"], "n")
+    of_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(of_task) == 200_000 and max(of_task) < 12_500
+    place = F.row_number().over(Window.partitionBy("class").orderBy("k"))
+    assert got.withColumn("want", place).filter("n IS NULL OR n <> want").count() == 0 and running_number(rows.limit(0), "class", ["k"], "n").count() == 0
+    assert write_ordered(rows, ["k"], str(tmp_path / "f"), lambda r: b"%d %d\n" % (TaskContext.get().partitionId(), r["k"])) == 200_000
+    written = [line.split() for line in (tmp_path / "f").read_bytes().splitlines()]
+    assert [int(k) for _, k in written] == list(range(200_000)) and max(Counter(task for task, _ in written).values()) < 12_500

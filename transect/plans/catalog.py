@@ -902,7 +902,7 @@ def k1_export_csv(spark, sf_dir):
     write_csv(_exported(spark, sf_dir).checkpoint(), at)
     kinds = {"severity": "int", **dict.fromkeys(("set", "file_name", "relative_path", "preview_png"), "string")}
     rows = spark.read.option("header", True).schema(", ".join(f"`{c}` {kinds.get(c, 'double')}" for c in schemas.EXPORT_COLUMNS)).csv(at)
-    numbered = running_number(rows.withColumns({"one": F.lit(1), "place": F.monotonically_increasing_id()}), "one", ["place"], "line")
+    numbered = running_number(rows.select(*_SHOWN, F.lit(1).alias("one"), F.monotonically_increasing_id().alias("place")), "one", ["place"], "line")
     return numbered.withColumn("line", F.col("line").cast("bigint") - 1).select("line", *[r6(c).alias(c) if c in ("latitude", "longitude", "heading") else c for c in _SHOWN])
 
 

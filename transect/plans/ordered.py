@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 
 from transect.plans.files import store
+from transect.plans.ranking import tasks_of
 
 BLOCK = 8 << 20
 #: Bytes that a task holds before it writes them.
@@ -63,7 +64,7 @@ def write_ordered(rows: DataFrame, order: list[Column | str], path: str, render:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([part]), pa.array([size]), pa.array([n])], names=["range", "part", "size", "rows"])
 
     try:
-        ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        ranged = rows.repartitionByRange(tasks_of(spark), *order).sortWithinPartitions(*order)
         parts = sorted(ranged.mapInArrow(write, "range bigint, part string, size bigint, rows bigint").collect())
         places, end = [], len(head)
         for p in parts:

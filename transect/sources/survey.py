@@ -12,12 +12,9 @@ from pyspark.sql import functions as F
 
 from transect.functions.scalars import frame_of, is_close, stem_of
 from transect.plans.files import ensure_shared_folder, write_text
-from transect.plans.ranking import MOST_BROADCAST
+from transect.plans.ranking import MOST_BROADCAST, tasks_of
 from transect.sources.records import image_files
 
-#: Tasks for each core, so that what one of them holds is a small part of the memory that cores share.
-TASKS_A_CORE = 8
-
 
 def sets_of(files: DataFrame, root: str) -> DataFrame:
     """(set_id, n_files) of image files under root/<digits>/...; set ids are labels, so 007 and 7 are two sets. In numeric order."""
@@ -160,11 +157,6 @@ def navigation(spark: SparkSession, set_dir: str) -> tuple[DataFrame, DataFrame]
     return named(numeric_rows(spark, f"{set_dir}/gpsdis.{set_id}", 4), ["frame", "lat", "lon"]), named(numeric_rows(spark, f"{set_dir}/heading.{set_id}", 2), ["frame", "heading"])
 
 
-def tasks_of(spark: SparkSession) -> int:
-    """Tasks for rows of which each task holds its own sorted: those of a shuffle, but TASKS_A_CORE for each core at least."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_A_CORE * spark.sparkContext.defaultParallelism)
-
-
 def interpolated(probes: DataFrame, at: str, track: DataFrame, values: list[str], key: str = "set_id", order: str | None = "line", span: float = 65536.0) -> DataFrame:
     """probes with `values` of the track interpolated at frame column `at`; null before the first and after the last frame of the key's track.
 
